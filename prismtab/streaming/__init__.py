@@ -1,0 +1,8 @@
+"""Streaming: intentionally empty.
+
+The workflow being re-implemented is batch-only: it has no streams,
+watermarks, windows over event time, or stateful stream operators, so there is
+nothing to build here.  Every operator in this package is a batch DataFrame
+transformation; if predictions ever arrive as a stream, the same functions
+apply inside ``foreachBatch``.
+"""
