@@ -30,11 +30,12 @@ def register(name: str, sql: str | None = None):
 
 
 def rounded(df: DataFrame, digits: int = 6) -> DataFrame:
-    """Round every double/float column (sum order differs between engines)."""
+    """Round every double/float column (sum order differs between engines);
+    adding 0.0 turns -0.0 into 0.0."""
     cols = []
     for name, typ in df.dtypes:
         if typ in ("double", "float"):
-            cols.append(F.round(F.col(name).cast("double"), digits).alias(name))
+            cols.append((F.round(F.col(name).cast("double"), digits) + F.lit(0.0)).alias(name))
         else:
             cols.append(F.col(name))
     return df.select(*cols)
