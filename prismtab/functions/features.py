@@ -55,15 +55,10 @@ def astronomy_features(df: DataFrame) -> DataFrame:
     """Colour differences, magnitude row stats, redshift ratios, angle cycles."""
     if has(df, *MAG_COLS):
         exprs = {f"{a}_minus_{b}": col(a) - col(b) for a, b in ADJACENT_PAIRS + WIDER_PAIRS}
-        exprs.update(
-            {
-                "mag_mean": row_mean(MAG_COLS),
-                "mag_std": row_std(MAG_COLS),
-                "mag_min": row_min(MAG_COLS),
-                "mag_max": row_max(MAG_COLS),
-            }
+        exprs.update({"mag_mean": row_mean(MAG_COLS), "mag_min": row_min(MAG_COLS), "mag_max": row_max(MAG_COLS)})
+        df = df.withColumns(exprs).withColumns(
+            {"mag_std": row_std(MAG_COLS, mean=col("mag_mean")), "mag_range": col("mag_max") - col("mag_min")}
         )
-        df = df.withColumns(exprs).withColumn("mag_range", col("mag_max") - col("mag_min"))
         if has(df, "redshift"):
             den = F.abs(col("redshift")) + _lit(EPS)
             exprs = {f"{m}_redshift_ratio": col(m) / den for m in MAG_COLS}

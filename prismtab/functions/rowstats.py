@@ -45,10 +45,13 @@ def row_mean(cols) -> Column:
     return F.when(n > 0, row_sum(cols) / n)
 
 
-def row_std(cols, ddof: int = 1) -> Column:
-    """Sample standard deviation over non-null values (NULL when n <= ddof)."""
+def row_std(cols, ddof: int = 1, mean: Column | None = None) -> Column:
+    """Sample standard deviation over non-null values (NULL when n <= ddof).
+
+    Pass ``mean`` (an already projected row-mean column) to keep the
+    generated code small."""
     n = row_count(cols)
-    mean = row_mean(cols)
+    mean = row_mean(cols) if mean is None else mean
     ss = reduce(
         lambda a, b: a + b,
         [F.when(_c(c).isNotNull(), (_c(c) - mean) * (_c(c) - mean)).otherwise(F.lit(0.0)) for c in cols],
