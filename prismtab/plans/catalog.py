@@ -45,6 +45,7 @@ def load_all() -> None:
     """Import every query module so that they register themselves."""
     from prismtab.plans import (  # noqa: F401
         q_features,
+        q_folds,
         q_metrics,
         q_search,
         q_groupkeys,
