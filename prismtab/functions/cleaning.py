@@ -83,8 +83,10 @@ def median_impute(train: DataFrame, others: list[DataFrame], cols: list[str], re
     med = train.agg(*aggs)
     med = med.select(*[F.coalesce(F.col(c).cast("double"), F.lit(0.0)).alias(f"_med_{c}") for c in cols])
 
+    from prismtab.operators.search import attach_scalars
+
     def apply(df):
-        j = df.crossJoin(F.broadcast(med))
+        j = attach_scalars(df, med)
         return j.withColumns({c: F.coalesce(F.col(c).cast("double"), F.col(f"_med_{c}")) for c in cols}).drop(
             *[f"_med_{c}" for c in cols]
         )

@@ -36,11 +36,14 @@ def confusion(df: DataFrame, truth: str, pred: str, classes=CLASSES, by=()) -> D
     cells = df.groupBy(*by, F.col(truth).alias("true_class"), F.col(pred).alias("pred_class")).agg(
         F.count(F.lit(1)).alias("n")
     )
-    grid = _class_grid(df.sparkSession, classes)
     if by:
-        grid = cells.select(*by).distinct().crossJoin(F.broadcast(grid))
+        # zero-fill grid: every present group x every (true, pred) class pair,
+        # generated per group row (no join)
+        pairs = F.array(*[F.struct(F.lit(a).alias("true_class"), F.lit(b).alias("pred_class"))
+                          for a in classes for b in classes])
+        grid = cells.select(*by).distinct().select(*by, F.inline(pairs))
     else:
-        grid = F.broadcast(grid)
+        grid = F.broadcast(_class_grid(df.sparkSession, classes))
     keys = [*by, "true_class", "pred_class"]
     return grid.join(cells, keys, "left").select(*keys, F.coalesce(F.col("n"), F.lit(0)).cast("bigint").alias("n"))
 
@@ -387,7 +390,7 @@ def class_distribution(df: DataFrame, pred: str, by=(), classes=CLASSES) -> Data
     counts = df.groupBy(*by, F.col(pred).alias("class")).agg(F.count(F.lit(1)).alias("_c"))
     cls = spark.createDataFrame([(c,) for c in classes], "class string")
     if by:
-        grid = counts.select(*by).distinct().crossJoin(F.broadcast(cls))
+        grid = counts.select(*by).distinct().select(*by, F.explode(F.array(*[F.lit(c) for c in classes])).alias("class"))
     else:
         grid = F.broadcast(cls)
     keys = [*by, "class"]
@@ -396,7 +399,7 @@ def class_distribution(df: DataFrame, pred: str, by=(), classes=CLASSES) -> Data
     if by:
         joined = joined.join(tot, list(by), "left")
     else:
-        joined = joined.crossJoin(F.broadcast(tot))
+        joined = joined.withColumn("_tot", tot.select("_tot").scalar())
     return joined.select(*keys, "n", F.when(F.col("_tot") > 0, F.col("n") / F.col("_tot")).alias("rate"))
 
 
