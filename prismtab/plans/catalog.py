@@ -51,4 +51,5 @@ def load_all() -> None:
         q_groupkeys,
         q_misc,
         q_models,
+        q_registry,
     )
