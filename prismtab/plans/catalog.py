@@ -51,5 +51,6 @@ def load_all() -> None:
         q_groupkeys,
         q_misc,
         q_models,
+        q_proba,
         q_registry,
     )
