@@ -1 +1,214 @@
-"""Registered queries."""
+"""Registered model-job queries (K-01..K-13, I-06, G-06, G-07).
+
+Model outputs have no SQL oracle (the driver records a rows-only check);
+their properties (probabilities sum to 1, every train row in exactly one
+validation fold, better than the class prior on a planted signal) are
+tested in ``tests/test_models.py``.  G-06 and G-07 are deterministic given
+their inputs; G-07 has an oracle.
+
+The model frame is ``obs`` with the evaluation features and two planted
+signal columns (FIXTURES: obs features carry no class signal by design).
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from prismtab.constants import CLASSES
+from prismtab.functions.features import astronomy_features
+
+from prismtab.operators import metrics as M
+from prismtab.plans import oof as O
+from prismtab.plans.catalog import register, rounded
+from prismtab.plans.common import MODELS, model_cols
+from prismtab.sources.fixtures import load_obs, load_pro
+
+BASE_FEATURES = ["u", "g", "r", "i", "z", "redshift", "u_minus_g", "g_minus_r", "r_minus_i", "i_minus_z", "mag_std"]
+FEATURES = BASE_FEATURES + ["signal_q", "signal_s"]
+K = 3
+RF = {"numTrees": 20, "maxDepth": 5}
+GBT = {"maxIter": 10, "maxDepth": 3}
+
+
+def model_frames(spark, sf_dir):
+    obs = astronomy_features(load_obs(spark, sf_dir))
+    obs = obs.withColumns({
+        "signal_q": F.col("redshift") + F.when(F.col("class") == "QSO", 1.0).otherwise(0.0),
+        "signal_s": F.col("u") - F.col("z") + F.when(F.col("class") == "STAR", 1.5).otherwise(0.0),
+    }).select("id", "class", "split", *FEATURES)
+    train = obs.where(F.col("split") == "train").drop("split")
+    test = obs.where(F.col("split") == "test").drop("split", "class")
+    return train, test
+
+
+def _oof_table(r: O.OOFResult, prefix: str):
+    cols = [f"{prefix}__{c}" for c in CLASSES]
+    tr = r.oof.select("id", F.lit("train").alias("split"), *cols)
+    te = r.test.select("id", F.lit("test").alias("split"), *cols)
+    return rounded(tr.unionByName(te))
+
+
+# ---------------------------------------------------------------- K-01 / K-03 / A-08
+@register("k01_oof_random_forest")
+def q_oof_rf(spark, sf_dir):
+    train, test = model_frames(spark, sf_dir)
+    return _oof_table(O.run_oof(train, test, FEATURES, "rf", RF, "l1__rf", k=K), "l1__rf")
+
+
+# ---------------------------------------------------------------- K-02
+@register("k02_experiment_suite")
+def q_suite(spark, sf_dir):
+    train, test = model_frames(spark, sf_dir)
+    exps = [{"name": "rf_planted", "family": "rf", "features": FEATURES, "params": RF},
+            {"name": "lr_planted", "family": "lr", "features": FEATURES, "params": {"maxIter": 100}},
+            {"name": "rf_base", "family": "rf", "features": BASE_FEATURES, "params": RF}]
+    _, _, board = O.run_suite(train, test, exps, k=K)
+    return rounded(board)
+
+
+# ---------------------------------------------------------------- K-04
+@register("k04_mlp_oof")
+def q_mlp(spark, sf_dir):
+    train, test = model_frames(spark, sf_dir)
+    train = train.withColumn("w", F.when(F.col("class") == "STAR", 1.5).otherwise(1.0))
+    r = O.run_oof(train, test, FEATURES, "mlp", {"hidden": [8], "maxIter": 60}, "l1__mlp", k=K, weight_col="w")
+    return _oof_table(r, "l1__mlp")
+
+
+# ---------------------------------------------------------------- K-06 / K-07
+def _stack_features(spark, sf_dir):
+    """B-26 logit features of the three synthetic models, both splits."""
+    from prismtab.functions.proba import logit_features
+
+    pro = load_pro(spark, sf_dir)
+    feats = logit_features(pro, {m: model_cols(m) for m in MODELS}, eps=1e-5, keep=("id", "class", "split"))
+    names = [c for c in feats.columns if c not in ("id", "class", "split")]
+    return feats, names
+
+
+@register("k06_lr_stacker")
+def q_lr_stacker(spark, sf_dir):
+    feats, names = _stack_features(spark, sf_dir)
+    train = feats.where(F.col("split") == "train").drop("split")
+    test = feats.where(F.col("split") == "test").drop("split", "class")
+    best_c, r, scores = O.lr_stacker(train, test, names, c_values=(0.1, 1.0), k=K)
+    return rounded(scores.withColumn("selected", F.col("C") == best_c))
+
+
+@register("k07_stacker_from_stored_features")
+def q_stacker_stored(spark, sf_dir):
+    """K-07: re-run the stacker from a stored stack-feature table (keyed by
+    id), here written once to the checkpoint folder and read back."""
+    from prismtab.session import cut_lineage
+
+    feats, names = _stack_features(spark, sf_dir)
+    stored = cut_lineage(feats)
+    train = stored.where(F.col("split") == "train").drop("split")
+    test = stored.where(F.col("split") == "test").drop("split", "class")
+    best_c, r, _ = O.lr_stacker(train, test, names, c_values=(0.3,), k=K)
+    return _oof_table(r, "lr_logits")
+
+
+# ---------------------------------------------------------------- K-08
+@register("k08_level2_stacker")
+def q_level2(spark, sf_dir):
+    feats, names = _stack_features(spark, sf_dir)
+    train = feats.where(F.col("split") == "train").drop("split")
+    test = feats.where(F.col("split") == "test").drop("split", "class")
+    return _oof_table(O.run_oof(train, test, names, "gbt", GBT, "ag_stack", k=K), "ag_stack")
+
+
+# ---------------------------------------------------------------- K-09
+@register("k09_two_stage_classifier")
+def q_two_stage_clf(spark, sf_dir):
+    train, test = model_frames(spark, sf_dir)
+    return _oof_table(O.two_stage_classifier(train, test, FEATURES, "gbt", GBT, k=K), "two_stage")
+
+
+# ---------------------------------------------------------------- K-10 / K-05
+@register("k10_local_binary_model")
+def q_local_binary(spark, sf_dir):
+    train, test = model_frames(spark, sf_dir)
+    tr, te, _ = O.local_binary_model(train, test, FEATURES, "GALAXY", "STAR", "gbt", GBT, k=K)
+    return rounded(tr.withColumn("split", F.lit("train")).unionByName(te.withColumn("split", F.lit("test"))))
+
+
+@register("k10_local_binary_metrics")
+def q_local_binary_metrics(spark, sf_dir):
+    train, test = model_frames(spark, sf_dir)
+    _, _, met = O.local_binary_model(train, test, FEATURES, "GALAXY", "STAR", "gbt", GBT, k=K)
+    return rounded(met)
+
+
+# ---------------------------------------------------------------- K-11
+@register("k11_pairwise_blocks")
+def q_pairwise(spark, sf_dir):
+    train, test = model_frames(spark, sf_dir)
+    gs_tr, _, _ = O.local_binary_model(train, test, FEATURES, "GALAXY", "STAR", "rf", RF, k=K, early_stopping=False)
+    gq_tr, _, _ = O.local_binary_model(train, test, FEATURES, "GALAXY", "QSO", "rf", RF, k=K, early_stopping=False)
+    base = load_pro(spark, sf_dir).where(F.col("split") == "train").select("id", *model_cols("m1"))
+    return rounded(O.pairwise_blocks(base, gs_tr, gq_tr, model_cols("m1")))
+
+
+# ---------------------------------------------------------------- K-12
+@register("k12_holdout_baseline")
+def q_holdout(spark, sf_dir):
+    train, test = model_frames(spark, sf_dir)
+    _, pred = O.holdout_baseline(train, test, FEATURES, "rf", RF)
+    return pred
+
+
+# ---------------------------------------------------------------- K-13
+@register("k13_feature_search")
+def q_feature_search(spark, sf_dir):
+    from prismtab.operators.groupkeys import rounded_key
+
+    train, _ = model_frames(spark, sf_dir)
+    cands = {
+        "round__redshift__1": rounded_key(F.col("redshift"), 1).cast("double"),
+        "digit__u__1": (F.floor(F.col("u") * 10) % 10).cast("double"),
+        "cross__signal_q_x_g_minus_r": F.col("signal_q") * F.col("g_minus_r"),
+    }
+    _, trace = O.feature_search(train, BASE_FEATURES, cands, "lr", {"maxIter": 60}, k=K)
+    return rounded(trace)
+
+
+# ---------------------------------------------------------------- I-06
+@register("i06_hyperparameter_sweep")
+def q_sweep(spark, sf_dir):
+    train, _ = model_frames(spark, sf_dir)
+    grid = [{"family": "rf", "variant": "shallow", "params": {"numTrees": 10, "maxDepth": 3}},
+            {"family": "rf", "variant": "deep", "params": {"numTrees": 20, "maxDepth": 6}},
+            {"family": "lr", "variant": "default", "params": {"maxIter": 60}}]
+    res = O.hyperparameter_sweep(train, {"planted": FEATURES, "base": BASE_FEATURES}, grid, k=K)
+    return rounded(res.drop("fit_seconds"))
+
+
+# ---------------------------------------------------------------- G-06
+@register("g06_diverse_model_selection")
+def q_model_selection(spark, sf_dir):
+    pro = load_pro(spark, sf_dir).where(F.col("split") == "train")
+    blocks = {m: model_cols(m) for m in MODELS}
+    board = M.scoreboard(pro, "class", blocks)
+    corr = M.probability_correlation(pro, blocks)
+    return rounded(O.select_diverse_models(board, corr, corr_threshold=0.9, manual_weights={"m3": 1.0}))
+
+
+# ---------------------------------------------------------------- G-07
+def _g07_sql() -> str:
+    from prismtab.plans.q_search import THRESHOLD_SQL
+
+    return ("SELECT qso_threshold, star_threshold, replace_threshold, balanced_accuracy FROM (" + THRESHOLD_SQL
+            + ") ORDER BY balanced_accuracy DESC, qso_threshold, star_threshold, replace_threshold LIMIT 1")
+
+
+@register("g07_best_parameter", _g07_sql())
+def q_best_parameter(spark, sf_dir):
+    from prismtab.plans.q_search import threshold_results
+
+    res = rounded(threshold_results(spark, sf_dir))
+    best = O.best_parameter(res, "balanced_accuracy", False, ["qso_threshold", "star_threshold", "replace_threshold"])
+    return best.select("qso_threshold", "star_threshold", "replace_threshold", "balanced_accuracy")
+
+
+
