@@ -26,10 +26,15 @@ def flow_utility(train: DataFrame, truth: str, base: str, other: str, weights=No
     w = weight_of(t, weights)
     after = F.when(o == t, 1).otherwise(0)
     before = F.when(b == t, 1).otherwise(0)
+    # disagreement is counted inside the aggregate and groups with n = 0 are
+    # dropped after it: a filter on the derived prediction columns would be
+    # pushed below their projection and re-expand them at the scan
+    dis = b != o
     g = (
-        train.where(b != o)
-        .groupBy(b.alias("base_pred"), o.alias("other_pred"))
-        .agg(F.count(F.lit(1)).alias("n"), F.sum(w * (after - before)).alias("delta_weighted_correct"))
+        train.groupBy(b.alias("base_pred"), o.alias("other_pred"))
+        .agg(F.sum(F.when(dis, 1).otherwise(0)).alias("n"),
+             F.sum(F.when(dis, w * (after - before)).otherwise(0.0)).alias("delta_weighted_correct"))
+        .where(F.col("n") > 0)
     )
     return g.select(
         "base_pred",
