@@ -329,3 +329,88 @@ def q_category_codes(spark, sf_dir):
     test = obs.where(F.col("split") == "test").select("id", "spectral_type")
     tr, te = encode_categoricals([train, test], ["spectral_type"])
     return tr.unionByName(te)
+
+
+# ---------------------------------------------------------------- A-03
+@register("a03_pruned_read", "SELECT o_orderkey, o_orderstatus FROM orders")
+def q_pruned_read(spark, sf_dir):
+    """Column-pruned read by a name predicate; ``ReadSchema`` holds 2 columns."""
+    from prismtab.sources.io import read_columns
+    from prismtab.sources.fixtures import table_path
+
+    return read_columns(spark, table_path(sf_dir, "orders"), lambda c: c in ("o_orderkey", "o_orderstatus"))
+
+
+# ---------------------------------------------------------------- B-39
+@register("b39_feature_set_extra", with_views("""fe AS (SELECT id, (u+g+r+i+z)/5 AS mm, redshift, u FROM obs)""")
+          + """SELECT id, round(mm, 6) + 0e0 AS mag_mean, round(u - mm, 6) + 0e0 AS u_minus_mag_mean,
+  round(redshift * redshift, 6) + 0e0 AS redshift_sq FROM fe""")
+def q_feature_set(spark, sf_dir):
+    from prismtab.functions.features import feature_set
+
+    fs = feature_set(load_obs(spark, sf_dir), "extra")
+    return rounded(fs.select("id", "mag_mean", "u_minus_mag_mean", "redshift_sq"))
+
+
+# ---------------------------------------------------------------- B-36
+@register("b36_numeric_frame", with_views("""lab AS (
+  SELECT d.doc_id, CAST(l.quality AS DOUBLE) AS quality, d.lang FROM documents d LEFT JOIN labels l USING (doc_id)
+), med AS (SELECT coalesce(quantile_cont(quality, 0.5), 0e0) AS m FROM lab),
+lv AS (SELECT value, row_number() OVER (ORDER BY value) - 1 AS code
+       FROM (SELECT DISTINCT coalesce(lang, '__NA__') AS value FROM lab))""")
+          + """SELECT lab.doc_id, round(coalesce(lab.quality, med.m), 6) AS quality, CAST(lv.code AS SMALLINT) AS lang
+FROM lab CROSS JOIN med JOIN lv ON coalesce(lab.lang, '__NA__') = lv.value""")
+def q_numeric_frame(spark, sf_dir):
+    """B-36: median-impute numerics (train median) and code categoricals."""
+    from prismtab.functions.cleaning import median_impute
+
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "lang")
+    lab = read_table(spark, sf_dir, "labels").select("doc_id", F.col("quality").cast("double").alias("quality"))
+    frame = docs.join(lab, "doc_id", "left")
+    imputed, _ = median_impute(frame, [], ["quality"])
+    (coded,) = encode_categoricals([imputed], ["lang"])
+    return rounded(coded.select("doc_id", "quality", "lang"))
+
+
+# ---------------------------------------------------------------- G-09
+@register("g09_top_star_recall", with_views(PREDS_SQL, """lp AS (
+  SELECT 'm1' AS model, class, pred_m1 AS pred FROM preds WHERE split = 'train'
+  UNION ALL SELECT 'm2', class, pred_m2 FROM preds WHERE split = 'train'
+  UNION ALL SELECT 'm3', class, pred_m3 FROM preds WHERE split = 'train'
+)""") + """SELECT model, round(sum(CASE WHEN class = 'STAR' AND pred = 'STAR' THEN 1 ELSE 0 END)
+  / sum(CASE WHEN class = 'STAR' THEN 1 ELSE 0 END), 6) AS recall_STAR
+FROM lp GROUP BY model ORDER BY recall_STAR DESC, model LIMIT 2""")
+def q_top_star_recall(spark, sf_dir):
+    from prismtab.operators.metrics import per_class_metrics
+    from prismtab.plans.q_metrics import long_predictions
+
+    pc = rounded(per_class_metrics(long_predictions(spark, sf_dir, "train"), "class", "pred", by=("model",)))
+    return pc.orderBy(F.desc("recall_STAR"), F.asc("model")).limit(2).select("model", "recall_STAR")
+
+
+# ---------------------------------------------------------------- H-02 / D-11
+@register("h02_d11_union_scores_with_lookup", with_views(PREDS_SQL, """sc AS (
+  SELECT 'train' AS split, 'm1' AS model, avg(CASE WHEN pred_m1 = class THEN 1e0 ELSE 0e0 END) AS accuracy
+    FROM preds WHERE split = 'train'
+  UNION ALL SELECT 'test', 'm1', avg(CASE WHEN pred_m1 = class THEN 1e0 ELSE 0e0 END) FROM preds WHERE split = 'test'
+  UNION ALL SELECT 'train', 'm2', avg(CASE WHEN pred_m2 = class THEN 1e0 ELSE 0e0 END) FROM preds WHERE split = 'train'
+  UNION ALL SELECT 'test', 'm2', avg(CASE WHEN pred_m2 = class THEN 1e0 ELSE 0e0 END) FROM preds WHERE split = 'test'
+), meta AS (SELECT * FROM (VALUES ('m1', 'synthetic', 60), ('m2', 'synthetic', 45)) t(model, model_type, strength))""")
+          + """SELECT sc.split, sc.model, round(sc.accuracy, 6) AS accuracy, meta.model_type, meta.strength
+FROM sc LEFT JOIN meta USING (model)""")
+def q_union_scores(spark, sf_dir):
+    """H-02: union of per-split score tables; D-11: broadcast lookup of
+    experiment metadata (one row per experiment) by model name."""
+    from prismtab.operators.metrics import prediction_metrics
+
+    p = predictions(spark, sf_dir, None)
+    tables = []
+    for m in ("m1", "m2"):
+        s = prediction_metrics(p, "class", f"pred_{m}", by=("split",)).select(
+            "split", F.lit(m).alias("model"), "accuracy")
+        tables.append(s)
+    scores = tables[0].unionByName(tables[1])
+    meta = spark.createDataFrame([("m1", "synthetic", 60), ("m2", "synthetic", 45)],
+                                 "model string, model_type string, strength int")
+    return rounded(scores.join(F.broadcast(meta), "model", "left").select(
+        "split", "model", "accuracy", "model_type", "strength"))
