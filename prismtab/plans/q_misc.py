@@ -121,7 +121,9 @@ def q_local_region(spark, sf_dir):
     obs = guard_features_v2(astronomy_features(load_obs(spark, sf_dir).where(F.col("split") == "train")))
     region = (F.col("redshift_abs") <= 0.144) & (F.col("compact_color_rms") <= 1.30) & (
         F.col("mag_std") <= 0.75) & (F.col("is_blue_cloud") == 1)
-    return obs.where(region).groupBy("class").agg(F.count(F.lit(1)).alias("n"))
+    # mask inside the aggregate: a filter on the derived region flag would be
+    # pushed below the feature projection and re-expand it
+    return obs.groupBy("class").agg(F.sum(F.when(region, 1).otherwise(0)).alias("n")).where(F.col("n") > 0)
 
 
 # ---------------------------------------------------------------- C-05

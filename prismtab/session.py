@@ -28,6 +28,10 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
         # driver-side: skip per-call Python call-site capture (error context only);
         # plan construction of the grid searches issues thousands of column calls
         .config("spark.python.sql.dataFrameDebugging.enabled", "false")
+        # whole-stage methods above 8000 bytes are never JIT-compiled by HotSpot
+        # (they run interpreted); past this size Spark uses split per-operator
+        # code instead.  Recommended on clusters too (wide feature projections).
+        .config("spark.sql.codegen.hugeMethodLimit", "8000")
     )
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
