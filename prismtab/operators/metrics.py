@@ -455,10 +455,13 @@ def prediction_agreement(df: DataFrame, pred_cols: dict[str, str]) -> DataFrame:
 
 
 # ---------------------------------------------------------------- E-22
-def scoreboard(df: DataFrame, truth: str, blocks: dict[str, list[str]], weights=None, classes=CLASSES) -> DataFrame:
+def scoreboard(df: DataFrame, truth: str, blocks: dict[str, list[str]], weights=None, classes=CLASSES,
+               eps: float = LOGLOSS_EPS) -> DataFrame:
     """E-22: per model accuracy, balanced, weighted accuracy and log loss.
 
-    Models are unpivoted into rows (one Expand), then one grouped aggregate."""
+    Models are unpivoted into rows (one Expand); one grouped aggregate builds
+    (model, truth, prediction) cells that also carry the summed negative log
+    likelihood, so all metrics come from a single pass over the rows."""
     weights = weights or DEFAULT_CLASS_WEIGHTS
     arr = F.array(
         *[F.struct(F.lit(n).alias("model"), *[F.col(c).alias(f"_p{j}") for j, c in enumerate(cols)])
@@ -466,9 +469,16 @@ def scoreboard(df: DataFrame, truth: str, blocks: dict[str, list[str]], weights=
     )
     long = df.select(F.col(truth).alias("_t"), F.inline(arr))
     pcols = [f"_p{j}" for j in range(len(classes))]
-    long = long.withColumn("_pred", argmax_of(pcols, classes))
-    m = prediction_metrics(long, "_t", "_pred", by=("model",), weights=weights, classes=classes, absent="skip")
-    ll = log_loss(long, "_t", pcols, by=("model",), classes=classes)
+    ps = [F.col(c) for c in pcols]
+    tot = sum(ps[1:], ps[0])
+    pt = F.when(F.col("_t") == classes[0], ps[0] / tot)
+    for c, p in zip(classes[1:], ps[1:]):
+        pt = pt.when(F.col("_t") == c, p / tot)
+    nll = -F.ln(F.least(F.greatest(pt, F.lit(eps)), F.lit(1.0 - eps)))
+    cells = long.groupBy("model", F.col("_t").alias("true_class"), argmax_of(pcols, classes).alias("pred_class")).agg(
+        F.count(F.lit(1)).alias("n"), F.sum(nll).alias("_nll"))
+    m = metrics_from_cells(cells, by=("model",), weights=weights, classes=classes, absent="skip")
+    ll = cells.groupBy("model").agg((F.sum("_nll") / F.sum("n")).alias("log_loss"))
     return m.select("model", "n", "accuracy", "balanced_accuracy", "weighted_accuracy").join(ll, "model")
 
 

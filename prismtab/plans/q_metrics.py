@@ -352,7 +352,12 @@ def q_hard_slice_metrics(spark, sf_dir):
     from prismtab.functions.features import astronomy_features, hard_slice_features
     from prismtab.sources.fixtures import load_obs
 
+    from prismtab.session import cut_lineage
+
     obs = hard_slice_features(astronomy_features(load_obs(spark, sf_dir)))
-    hard = obs.where(F.col("hard_slice_main") == 1).select("id")
+    # materialise the compact (id, flag) table: a filter on the derived flag
+    # would otherwise be pushed down and re-expand the feature expressions
+    flags = cut_lineage(obs.select("id", "hard_slice_main"))
+    hard = flags.where(F.col("hard_slice_main") == 1).select("id")
     pro = load_pro(spark, sf_dir).where(F.col("split") == "train").join(hard, "id", "left_semi")
     return rounded(M.scoreboard(pro, "class", {m: model_cols(m) for m in MODELS}))

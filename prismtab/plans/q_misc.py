@@ -210,7 +210,10 @@ def q_replaced_rows(spark, sf_dir):
     row = {"qso_threshold": 0.46, "star_threshold": 0.38, "replace_threshold": 0.5}
     out = apply_threshold_row(pro, model_cols("m1"), row, out="final")
     out = out.withColumn("base_class", argmax_class(model_cols("m1")))
-    return out.where(F.col("replaced")).select("id", "class", "base_class", "staged_class")
+    from prismtab.session import cut_lineage
+
+    audit = cut_lineage(out.select("id", "class", "base_class", "staged_class", "replaced"))
+    return audit.where(F.col("replaced")).select("id", "class", "base_class", "staged_class")
 
 
 # ---------------------------------------------------------------- D-01 / D-02
