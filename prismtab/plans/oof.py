@@ -88,9 +88,13 @@ def replicate_by_weight(df: DataFrame, weight_col: str, id_col: str = "id") -> D
 
 
 def _proba_cols(pred: DataFrame, n: int) -> list:
+    return [x.alias(f"_p{j}") for j, x in enumerate(_proba_exprs(pred, n))]
+
+
+def _proba_exprs(pred: DataFrame, n: int) -> list:
     if "probability" in pred.columns:
         arr = vector_to_array(F.col("probability"))
-        return [F.coalesce(F.get(arr, j), F.lit(0.0)).alias(f"_p{j}") for j in range(n)]
+        return [F.coalesce(F.get(arr, j), F.lit(0.0)) for j in range(n)]
     # one-vs-rest over GBT: rawPrediction holds each binary model's margin m;
     # GBT's positive-class probability is 1 / (1 + exp(-2m)); renormalise
     raw = vector_to_array(F.col("rawPrediction"))
@@ -98,7 +102,35 @@ def _proba_cols(pred: DataFrame, n: int) -> list:
     tot = ps[0]
     for x in ps[1:]:
         tot = tot + x
-    return [(x / tot).alias(f"_p{j}") for j, x in enumerate(ps)]
+    return [x / tot for x in ps]
+
+
+MODEL_OUTPUTS = ("probability", "rawPrediction", "prediction", "_scaled")
+
+
+def average_over_models(frame: DataFrame, models: list, n: int, id_col: str, names: list[str],
+                        positive_only: bool = False) -> DataFrame:
+    """Mean prediction of several fitted models on the same rows, without a
+    shuffle: the models are applied one after another to the same frame
+    (each adds its probability columns, the model outputs are dropped before
+    the next), then averaged in a projection."""
+    cur = frame
+    for f, m in enumerate(models):
+        out = m.transform(cur)
+        if positive_only:
+            cols = [F.get(vector_to_array(F.col("probability")), 1).alias(f"_m{f}_p0")]
+        else:
+            cols = [x.alias(f"_m{f}_p{j}") for j, x in enumerate(_proba_exprs(out, n))]
+        cur = out.select(*[c for c in cur.columns], *cols)
+    k = len(models)
+    width = 1 if positive_only else n
+    avg = []
+    for j in range(width):
+        tot = F.col(f"_m0_p{j}")
+        for f in range(1, k):
+            tot = tot + F.col(f"_m{f}_p{j}")
+        avg.append((tot / F.lit(float(k))).alias(names[j]))
+    return cur.select(id_col, *avg)
 
 
 @dataclass
@@ -139,7 +171,7 @@ def run_oof(train: DataFrame, test: DataFrame | None, features: list[str], famil
     if test is not None:
         tv = VectorAssembler(inputCols=features, outputCol=FEATURES, handleInvalid="keep").transform(test).select(
             id_col, FEATURES)
-    oofs, tests, secs = [], [], []
+    oofs, models, secs = [], [], []
     for f in range(k):
         t0 = time.time()
         fit_rows = base.where(F.col("fold") != f)
@@ -147,22 +179,15 @@ def run_oof(train: DataFrame, test: DataFrame | None, features: list[str], famil
             fit_rows = replicate_by_weight(fit_rows, weight_col, id_col)
         model = Pipeline(stages=stages).fit(fit_rows)
         secs.append(time.time() - t0)
+        models.append(model)
         va = model.transform(base.where(F.col("fold") == f))
         oofs.append(va.select(id_col, label, "fold", *_proba_cols(va, n)))
-        if tv is not None:
-            te = model.transform(tv)
-            tests.append(te.select(id_col, *_proba_cols(te, n)))
     oof = oofs[0]
     for o in oofs[1:]:
         oof = oof.unionByName(o)
     names = [f"{prefix}__{c}" for c in classes]
     oof = oof.select(id_col, label, "fold", *[F.col(f"_p{j}").alias(names[j]) for j in range(n)])
-    test_out = None
-    if tests:
-        t = tests[0]
-        for x in tests[1:]:
-            t = t.unionByName(x)
-        test_out = t.groupBy(id_col).agg(*[F.avg(f"_p{j}").alias(names[j]) for j in range(n)])
+    test_out = average_over_models(tv, models, n, id_col, names) if tv is not None else None
     return OOFResult(oof, test_out, oof_scores(oof, label, names, classes), secs)
 
 
@@ -239,20 +264,29 @@ def two_stage_classifier(train: DataFrame, test: DataFrame, features: list[str],
     base = prepare(train, features, label, k, seed, None, None, id_col)
     tv = VectorAssembler(inputCols=features, outputCol=FEATURES, handleInvalid="keep").transform(test).select(
         id_col, FEATURES)
-    oofs, tests = [], []
+    def both(frame, keep, pairs):
+        """Apply (QSO model, STAR model) pairs in sequence on the same rows and
+        average their positive probabilities (no join, no shuffle)."""
+        cur = frame
+        for j, (mq, ms) in enumerate(pairs):
+            o = mq.transform(cur)
+            cur = o.select(*cur.columns, F.get(vector_to_array("probability"), 1).alias(f"_q{j}"))
+            o = ms.transform(cur)
+            cur = o.select(*cur.columns, F.get(vector_to_array("probability"), 1).alias(f"_s{j}"))
+        m = float(len(pairs))
+        pq = sum((F.col(f"_q{j}") for j in range(1, len(pairs))), F.col("_q0")) / m
+        ps = sum((F.col(f"_s{j}") for j in range(1, len(pairs))), F.col("_s0")) / m
+        return cur.select(*keep, pq.alias("_pq"), ps.alias("_ps"))
+
+    oofs, pairs = [], []
     for f in range(k):
         fit = base.where(F.col("fold") != f)
         q_rows = fit.withColumn(LABEL, (F.col(label) == "QSO").cast("double"))
         s_rows = fit.where(F.col(label) != "QSO").withColumn(LABEL, (F.col(label) == "STAR").cast("double"))
         mq = Pipeline(stages=make_estimator(family, params, None, seed + f, len(features), 2)).fit(q_rows)
         ms = Pipeline(stages=make_estimator(family, params, None, seed + 100 + f, len(features), 2)).fit(s_rows)
-
-        def both(frame, keep):
-            a = mq.transform(frame).select(*keep, F.get(vector_to_array("probability"), 1).alias("_pq"))
-            b = ms.transform(frame).select(id_col, F.get(vector_to_array("probability"), 1).alias("_ps"))
-            return a.join(b, id_col)
-        oofs.append(both(base.where(F.col("fold") == f), [id_col, label, "fold"]))
-        tests.append(both(tv, [id_col]))
+        pairs.append((mq, ms))
+        oofs.append(both(base.where(F.col("fold") == f), [id_col, label, "fold"], [(mq, ms)]))
     names = [f"two_stage__{c}" for c in CLASSES]
 
     def combine(df, keep):
@@ -262,11 +296,8 @@ def two_stage_classifier(train: DataFrame, test: DataFrame, features: list[str],
     for o in oofs[1:]:
         oof = oof.unionByName(o)
     oof = combine(oof, [id_col, label, "fold"])
-    t = tests[0]
-    for x in tests[1:]:
-        t = t.unionByName(x)
-    t = t.groupBy(id_col).agg(F.avg("_pq").alias("_pq"), F.avg("_ps").alias("_ps"))
-    return OOFResult(oof, combine(t, [id_col]), oof_scores(oof, label, names))
+    test_out = combine(both(tv, [id_col], pairs), [id_col])
+    return OOFResult(oof, test_out, oof_scores(oof, label, names))
 
 
 # ---------------------------------------------------------------- K-10 / K-05
@@ -287,7 +318,7 @@ def local_binary_model(train: DataFrame, test: DataFrame, features: list[str], p
         train.where(~F.col(label).isin(positive, negative))).select(id_col, FEATURES)
     tv = VectorAssembler(inputCols=features, outputCol=FEATURES, handleInvalid="keep").transform(test).select(
         id_col, FEATURES)
-    oofs, outs, tests = [], [], []
+    oofs, models = [], []
     for f in range(k):
         fit = base.where(F.col("fold") != f)
         p = dict(params or {})
@@ -297,19 +328,15 @@ def local_binary_model(train: DataFrame, test: DataFrame, features: list[str], p
             fit = fit.withColumn("_val", val)
             stages[0].setValidationIndicatorCol("_val")
         model = Pipeline(stages=stages).fit(fit)
+        models.append(model)
         pos = F.get(vector_to_array("probability"), 1)
         oofs.append(model.transform(base.where(F.col("fold") == f)).select(id_col, label, "fold", pos.alias(out)))
-        outs.append(model.transform(others).select(id_col, pos.alias(out)))
-        tests.append(model.transform(tv).select(id_col, pos.alias(out)))
-
-    def union(xs):
-        u = xs[0]
-        for x in xs[1:]:
-            u = u.unionByName(x)
-        return u
-    oof = union(oofs)
-    rest = union(outs).groupBy(id_col).agg(F.avg(out).alias(out))
-    test_out = union(tests).groupBy(id_col).agg(F.avg(out).alias(out))
+    oof = oofs[0]
+    for o in oofs[1:]:
+        oof = oof.unionByName(o)
+    # rows outside the pair and test rows: mean of the k fold models (no shuffle)
+    rest = average_over_models(others, models, 1, id_col, [out], positive_only=True)
+    test_out = average_over_models(tv, models, 1, id_col, [out], positive_only=True)
     scored = oof.withColumn("_yb", (F.col(label) == positive).cast("int")).withColumn("fold", F.col("fold").cast("string"))
     metrics = binary_metrics(scored, "_yb", out, by=("fold",)).join(roc_auc(scored, "_yb", out, by=("fold",)), "fold")
     train_out = oof.select(id_col, out).unionByName(rest)

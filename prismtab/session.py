@@ -32,6 +32,8 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
         # (they run interpreted); past this size Spark uses split per-operator
         # code instead.  Recommended on clusters too (wide feature projections).
         .config("spark.sql.codegen.hugeMethodLimit", "8000")
+        # remove checkpoint files once their DataFrames are garbage collected
+        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
     )
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
