@@ -134,3 +134,12 @@ def submission(sample: DataFrame, pred: DataFrame, id_col: str = ID_COL, label_c
     any id without a prediction is an error (checked with one aggregate)."""
     out = sample.select(id_col).join(pred.select(id_col, label_col), id_col, "left")
     return check_complete(out, [label_col], "submission") if check else out
+
+
+def write_sorted(df: DataFrame, path: str, key: str = ID_COL, fmt: str = "csv", mode: str = "errorifexists",
+                 partitions: int | None = None) -> None:
+    """G-08: export ordered by ``key`` without a single-task sort: range
+    partitioning gives ordered, non-overlapping files, each sorted inside."""
+    n = partitions or df.sparkSession.sparkContext.defaultParallelism
+    out = df.repartitionByRange(n, key).sortWithinPartitions(key)
+    write_table(out, path, fmt, mode)
