@@ -140,3 +140,28 @@ def test_exact_quantiles_match_numpy(spark):
 
 def test_classes_order():
     assert CLASSES[0] == "GALAXY"
+
+
+def test_exact_quantiles_with_hot_value(spark):
+    """A value repeated on a third of the rows: still exact, and the range
+    partitions stay balanced thanks to the row-hash tiebreak."""
+    import numpy as np
+
+    from prismtab.operators.groupkeys import exact_quantiles
+
+    df = spark.range(9000).select(F.when(F.col("id") % 3 == 0, F.lit(5.0)).otherwise(F.col("id") * 0.001).alias("x"),
+                                  "id")
+    vals = [r[0] for r in df.collect()]
+    fr = [0.0, 0.1, 0.33, 0.5, 0.9, 1.0]
+    assert exact_quantiles(df, "x", fr) == pytest.approx(list(np.quantile(vals, fr)))
+
+
+def test_bucketed_rank_with_hot_class(spark):
+    """One class holding most rows: ranks stay exact per class."""
+    from pyspark.sql import Window
+
+    df = spark.range(5000).select("id", F.when(F.col("id") % 10 < 7, "STAR").otherwise("QSO").alias("class"))
+    ours = {r["id"]: r["class_rank"] for r in FO.class_rank(df, "class", prefix_len=2).collect()}
+    w = Window.partitionBy("class").orderBy(FO.order_key("id", 42), "id")
+    plain = {r["id"]: r["rk"] for r in df.select("id", (F.row_number().over(w) - 1).alias("rk")).collect()}
+    assert ours == plain
