@@ -441,15 +441,11 @@ def _extra(df: DataFrame) -> DataFrame:
 
 
 def _targeted(df: DataFrame) -> DataFrame:
-    return targeted_features(astronomy_features(df))
+    return targeted_features(_extra(df))
 
 
 def _local_guard(df: DataFrame) -> DataFrame:
-    return local_guard_features(targeted_features(astronomy_features(df)))
-
-
-def _wide(df: DataFrame) -> DataFrame:
-    return local_guard_features(targeted_features(extra_features(astronomy_features(df))))
+    return local_guard_features(_targeted(df))
 
 
 FEATURE_SETS = {
@@ -458,7 +454,6 @@ FEATURE_SETS = {
     "extra": _extra,
     "targeted": _targeted,
     "local_guard": _local_guard,
-    "wide": _wide,
 }
 
 
@@ -469,6 +464,34 @@ def feature_set(df: DataFrame, name: str) -> DataFrame:
     return FEATURE_SETS[name](df)
 
 
+def build_feature_sets(train: DataFrame, test: DataFrame, generated: DataFrame | None = None,
+                       group_features: tuple[DataFrame, DataFrame] | None = None, id_col: str = "id") -> dict:
+    """B-39: all named feature sets as (train, test) pairs.
+
+    ``generated`` (id + searched columns, K-13) and ``group_features``
+    (id + group aggregate columns for train and test, E-12/D-08) are attached
+    by left joins on id: ``autofe`` = baseline + generated, ``groupagg`` =
+    baseline + group features, ``wide`` = extra + both, ``targeted_wide`` =
+    targeted + both.  Column lineage is the column list of each frame."""
+    out = {name: (fn(train), fn(test)) for name, fn in FEATURE_SETS.items()}
+
+    def attach(pair, gen, grp):
+        tr, te = pair
+        if gen is not None:
+            tr, te = tr.join(gen, id_col, "left"), te.join(gen, id_col, "left")
+        if grp is not None:
+            tr, te = tr.join(grp[0], id_col, "left"), te.join(grp[1], id_col, "left")
+        return tr, te
+
+    if generated is not None:
+        out["autofe"] = attach(out["baseline"], generated, None)
+    if group_features is not None:
+        out["groupagg"] = attach(out["baseline"], None, group_features)
+    out["wide"] = attach(out["extra"], generated, group_features)
+    out["targeted_wide"] = attach(out["targeted"], generated, group_features)
+    return out
+
+
 def feature_columns(df: DataFrame, exclude=("id", "class", "split", "source_index")) -> list[str]:
     """Numeric model columns of a feature frame (B-38: drop id/target/index)."""
     numeric = {"double", "float", "int", "bigint", "smallint", "tinyint", "boolean"}

@@ -205,3 +205,21 @@ def test_weighted_average_skips_missing_and_errors_when_none(spark):
 
 def test_classes_constant():
     assert CLASSES == ["GALAXY", "QSO", "STAR"]
+
+
+def test_feature_set_builder_and_group_features(spark):
+    from prismtab.operators.groupkeys import group_aggregate_features
+    from prismtab.sources.fixtures import load_obs
+
+    obs = load_obs(spark, "/root/testdata/sf0.001")
+    train = obs.where(F.col("split") == "train")
+    test = obs.where(F.col("split") == "test").drop("class")
+    gtr, gte = group_aggregate_features(train, test, [(["spectral_type"], "redshift", "mean"),
+                                                      (["galaxy_population", "spectral_type"], "u", "count")])
+    assert gtr.count() == train.count() and gte.count() == test.count()
+    sets = FT.build_feature_sets(train, test, group_features=(gtr, gte))
+    assert {"raw", "baseline", "extra", "targeted", "local_guard", "groupagg", "wide", "targeted_wide"} <= set(sets)
+    wide_cols = set(sets["wide"][0].columns)
+    assert "gb__spectral_type__redshift__mean" in wide_cols and "u_minus_mag_mean" in wide_cols
+    assert "hard_star_gr_high" in set(sets["targeted"][0].columns) and "redshift_sq" in set(sets["targeted"][0].columns)
+    assert sets["wide"][0].count() == train.count()
