@@ -13,6 +13,7 @@ index, so probability vector slot j is class j (B-33 alignment).
 
 from __future__ import annotations
 
+import os
 import time
 from dataclasses import dataclass, field
 
@@ -57,7 +58,8 @@ def make_estimator(family: str, params: dict | None = None, weight_col: str | No
                             stepSize=p.get("stepSize", 0.1), **common)
         if weight_col:
             gbt.setWeightCol(weight_col)
-        return [OneVsRest(classifier=gbt, **common)] if n_classes > 2 else [gbt]
+        # one binary model per class, fitted concurrently
+        return [OneVsRest(classifier=gbt, parallelism=n_classes, **common)] if n_classes > 2 else [gbt]
     if family == "lr":
         est = LogisticRegression(maxIter=p.get("maxIter", 200), regParam=p.get("regParam", 0.0),
                                  elasticNetParam=0.0, standardization=p.get("standardization", True),
@@ -106,6 +108,21 @@ def _proba_exprs(pred: DataFrame, n: int) -> list:
 
 
 MODEL_OUTPUTS = ("probability", "rawPrediction", "prediction", "_scaled")
+FIT_THREADS = int(os.environ.get("PRISMTAB_FIT_THREADS", "3"))
+
+
+def fit_folds(fit_one, k: int, threads: int | None = None) -> list:
+    """Fit the k fold models, submitting up to ``threads`` distributed fits at
+    once from a small driver thread pool (each fit is its own Spark job set;
+    concurrent jobs keep executors busy between the short stages of small
+    fits).  Results are returned in fold order."""
+    n = max(1, min(k, threads or FIT_THREADS))
+    if n == 1:
+        return [fit_one(f) for f in range(k)]
+    from concurrent.futures import ThreadPoolExecutor
+
+    with ThreadPoolExecutor(max_workers=n) as pool:
+        return list(pool.map(fit_one, range(k)))
 
 
 def average_over_models(frame: DataFrame, models: list, n: int, id_col: str, names: list[str],
@@ -171,15 +188,19 @@ def run_oof(train: DataFrame, test: DataFrame | None, features: list[str], famil
     if test is not None:
         tv = VectorAssembler(inputCols=features, outputCol=FEATURES, handleInvalid="keep").transform(test).select(
             id_col, FEATURES)
-    oofs, models, secs = [], [], []
-    for f in range(k):
+    def fit_one(f):
         t0 = time.time()
         fit_rows = base.where(F.col("fold") != f)
         if family == "mlp" and weight_col:
             fit_rows = replicate_by_weight(fit_rows, weight_col, id_col)
-        model = Pipeline(stages=stages).fit(fit_rows)
-        secs.append(time.time() - t0)
-        models.append(model)
+        model = Pipeline(stages=[st.copy() for st in stages]).fit(fit_rows)
+        return model, time.time() - t0
+
+    fitted = fit_folds(fit_one, k)
+    models = [m for m, _ in fitted]
+    secs = [t for _, t in fitted]
+    oofs = []
+    for f, model in enumerate(models):
         va = model.transform(base.where(F.col("fold") == f))
         oofs.append(va.select(id_col, label, "fold", *_proba_cols(va, n)))
     oof = oofs[0]
@@ -278,15 +299,16 @@ def two_stage_classifier(train: DataFrame, test: DataFrame, features: list[str],
         ps = sum((F.col(f"_s{j}") for j in range(1, len(pairs))), F.col("_s0")) / m
         return cur.select(*keep, pq.alias("_pq"), ps.alias("_ps"))
 
-    oofs, pairs = [], []
-    for f in range(k):
+    def fit_pair(f):
         fit = base.where(F.col("fold") != f)
         q_rows = fit.withColumn(LABEL, (F.col(label) == "QSO").cast("double"))
         s_rows = fit.where(F.col(label) != "QSO").withColumn(LABEL, (F.col(label) == "STAR").cast("double"))
         mq = Pipeline(stages=make_estimator(family, params, None, seed + f, len(features), 2)).fit(q_rows)
         ms = Pipeline(stages=make_estimator(family, params, None, seed + 100 + f, len(features), 2)).fit(s_rows)
-        pairs.append((mq, ms))
-        oofs.append(both(base.where(F.col("fold") == f), [id_col, label, "fold"], [(mq, ms)]))
+        return mq, ms
+
+    pairs = fit_folds(fit_pair, k)
+    oofs = [both(base.where(F.col("fold") == f), [id_col, label, "fold"], [pair]) for f, pair in enumerate(pairs)]
     names = [f"two_stage__{c}" for c in CLASSES]
 
     def combine(df, keep):
@@ -318,19 +340,19 @@ def local_binary_model(train: DataFrame, test: DataFrame, features: list[str], p
         train.where(~F.col(label).isin(positive, negative))).select(id_col, FEATURES)
     tv = VectorAssembler(inputCols=features, outputCol=FEATURES, handleInvalid="keep").transform(test).select(
         id_col, FEATURES)
-    oofs, models = [], []
-    for f in range(k):
+    def fit_one(f):
         fit = base.where(F.col("fold") != f)
-        p = dict(params or {})
-        stages = make_estimator(family, p, weight_col, seed + f, len(features), 2)
+        stages = make_estimator(family, dict(params or {}), weight_col, seed + f, len(features), 2)
         if early_stopping and family == "gbt":
             val = (F.abs(F.xxhash64(F.col(id_col), F.lit(f))) % 100) < 12
             fit = fit.withColumn("_val", val)
             stages[0].setValidationIndicatorCol("_val")
-        model = Pipeline(stages=stages).fit(fit)
-        models.append(model)
-        pos = F.get(vector_to_array("probability"), 1)
-        oofs.append(model.transform(base.where(F.col("fold") == f)).select(id_col, label, "fold", pos.alias(out)))
+        return Pipeline(stages=stages).fit(fit)
+
+    models = fit_folds(fit_one, k)
+    pos = F.get(vector_to_array("probability"), 1)
+    oofs = [m.transform(base.where(F.col("fold") == f)).select(id_col, label, "fold", pos.alias(out))
+            for f, m in enumerate(models)]
     oof = oofs[0]
     for o in oofs[1:]:
         oof = oof.unionByName(o)
