@@ -223,3 +223,15 @@ def test_feature_set_builder_and_group_features(spark):
     assert "gb__spectral_type__redshift__mean" in wide_cols and "u_minus_mag_mean" in wide_cols
     assert "hard_star_gr_high" in set(sets["targeted"][0].columns) and "redshift_sq" in set(sets["targeted"][0].columns)
     assert sets["wide"][0].count() == train.count()
+
+
+def test_align_columns_and_drop_non_features(spark):
+    train = spark.createDataFrame([(1, "STAR", 0.5, "M")], "id long, class string, a double, cat string")
+    test = spark.createDataFrame([(2, 0.7, 3.0)], "id long, a double, extra double")
+    tr, te = cleaning.align_columns(train, test)
+    assert tr.columns == te.columns == ["id", "a", "cat", "extra"]
+    assert te.first()["cat"] is None and tr.first()["extra"] is None
+    assert cleaning.drop_non_features(train).columns == ["a", "cat"]
+    (coded_tr, coded_te) = cleaning.encode_categoricals([tr, te], ["cat"])
+    # sorted levels: "M" < "__NA__" (NULL), so codes 0 and 1
+    assert {r["cat"] for r in coded_tr.collect()} == {0} and {r["cat"] for r in coded_te.collect()} == {1}
