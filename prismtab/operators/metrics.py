@@ -274,50 +274,63 @@ def slice_metrics(df: DataFrame, truth: str, candidates: dict[str, str], masks:
     ``masks`` maps base mask name → boolean Column (NULL counts as false).
     Output: candidate, slice, n, accuracy, balanced_accuracy,
     weighted_accuracy, errors, weighted_errors.
-    """
+
+    Plan: one partial aggregate to (candidate, truth, prediction, mask bits)
+    cells, then one grouping-sets aggregate over the mask bits with
+    class-conditional sums, which yields each slice's metrics directly.  A
+    zero-count cell with every mask true per candidate makes empty slices
+    appear (n = 0) without a join against a slice grid."""
     weights = weights or DEFAULT_CLASS_WEIGHTS
-    cells = _slice_cells(df, truth, candidates, masks, weights)
-    t, p, n = F.col("true_class"), F.col("pred_class"), F.col("n")
-    w = weight_of(t, weights, default=0.0)
-    per_truth = cells.groupBy("candidate", "slice", "true_class").agg(
-        F.sum(n).alias("_sup"), F.sum(F.when(t == p, n).otherwise(0)).alias("_tp"),
-        F.first(w).alias("_w"),
-    )
-    recall = F.col("_tp") / F.col("_sup")
-    g = per_truth.groupBy("candidate", "slice").agg(
-        F.sum("_sup").alias("_n"),
-        F.sum("_tp").alias("_ok"),
-        F.sum(F.col("_w") * F.col("_sup")).alias("_wn"),
-        F.sum(F.col("_w") * F.col("_tp")).alias("_wok"),
-        F.sum(F.when(t.isin(*classes), recall)).alias("_rsum"),
-        F.sum(F.when(t.isin(*classes), 1).otherwise(0)).alias("_npresent"),
+    names = list(masks)
+    flag_cols = [f"_m{j}" for j in range(len(names))]
+    base = df.select(
+        F.col(truth).alias("_truth"),
+        *[F.col(c).alias(f"_cand_{j}") for j, c in enumerate(candidates.values())],
+        *[F.coalesce(m, F.lit(False)).alias(f) for f, m in zip(flag_cols, masks.values())],
     )
+    long = _long_predictions(base, "_truth", {n: f"_cand_{j}" for j, n in enumerate(candidates)}, keep=flag_cols)
+    cells = long.groupBy("candidate", "true_class", "pred_class", *flag_cols).agg(F.count(F.lit(1)).alias("n"))
+    if include_empty:
+        schema = "candidate string, true_class string, pred_class string, " + ", ".join(
+            f"{f} boolean" for f in flag_cols) + ", n bigint"
+        dummy = df.sparkSession.createDataFrame(
+            [(c, None, None, *([True] * len(flag_cols)), 0) for c in candidates], schema)
+        cells = cells.unionByName(dummy)
+    t, p, n = F.col("true_class"), F.col("pred_class"), F.col("n")
+    aggs = [F.sum(n).alias("_n"), F.sum(F.when(t == p, n).otherwise(0)).alias("_ok")]
+    for c in classes:
+        aggs.append(F.sum(F.when(t == c, n).otherwise(0)).alias(f"_sup_{c}"))
+        aggs.append(F.sum(F.when((t == c) & (p == c), n).otherwise(0)).alias(f"_tp_{c}"))
+    aggs += [F.grouping(f).alias(f"_g{j}") for j, f in enumerate(flag_cols)]
+    sets = [["candidate", *combo] for size in range(len(flag_cols) + 1) for combo in combinations(flag_cols, size)]
+    rolled = cells.groupingSets(sets, "candidate", *flag_cols).agg(*aggs)
+    keep = None
+    for j, f in enumerate(flag_cols):
+        cond = (F.col(f"_g{j}") == 1) | F.col(f)
+        keep = cond if keep is None else keep & cond
+    sname = F.concat_ws("&", *[F.when(F.col(f"_g{j}") == 0, F.lit(nm)) for j, nm in enumerate(names)])
+    col = F.col
+    wn = sum((F.lit(float(weights.get(c, 0.0))) * col(f"_sup_{c}") for c in classes[1:]),
+             F.lit(float(weights.get(classes[0], 0.0))) * col(f"_sup_{classes[0]}"))
+    wok = sum((F.lit(float(weights.get(c, 0.0))) * col(f"_tp_{c}") for c in classes[1:]),
+              F.lit(float(weights.get(classes[0], 0.0))) * col(f"_tp_{classes[0]}"))
+    rec = [F.when(col(f"_sup_{c}") > 0, col(f"_tp_{c}") / col(f"_sup_{c}")) for c in classes]
+    present = sum((F.when(col(f"_sup_{c}") > 0, 1).otherwise(0) for c in classes[1:]),
+                  F.when(col(f"_sup_{classes[0]}") > 0, 1).otherwise(0))
+    rsum = sum((F.coalesce(r, F.lit(0.0)) for r in rec[1:]), F.coalesce(rec[0], F.lit(0.0)))
     if absent == "skip":
-        bal = F.when(F.col("_npresent") > 0, F.col("_rsum") / F.col("_npresent"))
+        bal = F.when(present > 0, rsum / present)
     else:
-        bal = F.coalesce(F.col("_rsum"), F.lit(0.0)) / F.lit(float(len(classes)))
-    out = g.select(
+        bal = F.when(col("_n") > 0, rsum / F.lit(float(len(classes))))
+    return rolled.where(keep).select(
         "candidate",
-        "slice",
-        F.col("_n").cast("bigint").alias("n"),
-        (F.col("_ok") / F.col("_n")).alias("accuracy"),
+        F.when(sname == "", F.lit("ALL")).otherwise(sname).alias("slice"),
+        col("_n").cast("bigint").alias("n"),
+        F.when(col("_n") > 0, col("_ok") / col("_n")).alias("accuracy"),
         bal.alias("balanced_accuracy"),
-        F.when(F.col("_wn") != 0, F.col("_wok") / F.col("_wn")).alias("weighted_accuracy"),
-        (F.col("_n") - F.col("_ok")).cast("bigint").alias("errors"),
-        (F.col("_wn") - F.col("_wok")).alias("weighted_errors"),
-    )
-    if not include_empty:
-        return out
-    grid = _slice_grid(df.sparkSession, list(candidates), list(masks))
-    return F.broadcast(grid).join(out, ["candidate", "slice"], "left").select(
-        "candidate",
-        "slice",
-        F.coalesce(F.col("n"), F.lit(0).cast("bigint")).alias("n"),
-        "accuracy",
-        "balanced_accuracy",
-        "weighted_accuracy",
-        F.coalesce(F.col("errors"), F.lit(0).cast("bigint")).alias("errors"),
-        F.coalesce(F.col("weighted_errors"), F.lit(0.0)).alias("weighted_errors"),
+        F.when(wn != 0, wok / wn).alias("weighted_accuracy"),
+        (col("_n") - col("_ok")).cast("bigint").alias("errors"),
+        (wn - wok).alias("weighted_errors"),
     )
 
 
