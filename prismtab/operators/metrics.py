@@ -175,25 +175,33 @@ def binary_metrics(df: DataFrame, label: str, prob: str, by=(), eps: float = LOG
 
 
 # ---------------------------------------------------------------- E-27
-def roc_auc(df: DataFrame, label: str, score: str, by=()) -> DataFrame:
+def roc_auc(df: DataFrame, label: str, score: str, by=(), partitions: int | None = None) -> DataFrame:
     """E-27: exact ROC AUC via the Mann-Whitney statistic with tie-averaged ranks.
 
-    Ties are handled by first aggregating to distinct (score) values with
-    positive/negative counts; the AUC is then sum over values of
-    pos(v) * (neg below v + neg(v)/2) / (P*N).  The window runs over distinct
-    scores per group, ordered, with a running sum (F-04).  For very large
-    distinct-score counts per group, the running sum is the only ordered step;
-    it is partitioned by ``by``.
-    """
+    Rows are first aggregated to distinct (group, score) values with positive
+    and negative counts; AUC = sum over values of pos(v) * (neg below v +
+    neg(v)/2) / (P*N).  "neg below v" is a running sum computed without a
+    per-group window over all scores: the distinct values are
+    range-partitioned by (group, score), summed inside each partition, and
+    offset by the negatives of earlier partitions of the same group (a table
+    of partitions x groups rows)."""
     from pyspark.sql import Window as W
 
+    by = list(by)
     y = F.col(label).cast("int")
     vals = df.groupBy(*by, F.col(score).alias("_s")).agg(
         F.sum(y).alias("_pos"), F.sum(F.lit(1) - y).alias("_neg")
     )
-    w = W.partitionBy(*by).orderBy("_s").rowsBetween(W.unboundedPreceding, -1)
-    vals = vals.withColumn("_neg_below", F.coalesce(F.sum("_neg").over(w), F.lit(0)))
-    g = vals.groupBy(*by).agg(
+    n = partitions or df.sparkSession.sparkContext.defaultParallelism
+    ranged = vals.repartitionByRange(n, *by, "_s").withColumn("_pid", F.spark_partition_id())
+    part = ranged.groupBy("_pid", *by).agg(F.sum("_neg").alias("_pn"))
+    w_off = W.partitionBy(*by).orderBy("_pid").rowsBetween(W.unboundedPreceding, -1) if by else \
+        W.orderBy("_pid").rowsBetween(W.unboundedPreceding, -1)
+    offs = part.select("_pid", *by, F.coalesce(F.sum("_pn").over(w_off), F.lit(0)).alias("_off"))
+    w_in = W.partitionBy("_pid", *by).orderBy("_s").rowsBetween(W.unboundedPreceding, -1)
+    below = (ranged.join(F.broadcast(offs), ["_pid", *by])
+             .withColumn("_neg_below", F.coalesce(F.sum("_neg").over(w_in), F.lit(0)) + F.col("_off")))
+    g = below.groupBy(*by).agg(
         F.sum(F.col("_pos") * (F.col("_neg_below") + F.col("_neg") / 2.0)).alias("_u"),
         F.sum("_pos").alias("_P"),
         F.sum("_neg").alias("_N"),
