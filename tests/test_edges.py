@@ -235,3 +235,10 @@ def test_align_columns_and_drop_non_features(spark):
     (coded_tr, coded_te) = cleaning.encode_categoricals([tr, te], ["cat"])
     # sorted levels: "M" < "__NA__" (NULL), so codes 0 and 1
     assert {r["cat"] for r in coded_tr.collect()} == {0} and {r["cat"] for r in coded_te.collect()} == {1}
+
+
+def test_f_pvalue_closed_form():
+    # for d1 = 2 the F survival function is (1 + 2 f / d2) ** (-d2 / 2)
+    for f, d2 in [(3.0, 10.0), (0.5, 7.0), (12.0, 40.0)]:
+        assert GK.f_pvalue(f, 2.0, d2) == pytest.approx((1 + 2 * f / d2) ** (-d2 / 2), rel=1e-9)
+    assert GK.f_pvalue(0.0, 3.0, 20.0) == 1.0
