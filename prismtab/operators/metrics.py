@@ -269,11 +269,6 @@ def _slice_cells(df: DataFrame, truth: str, candidates: dict[str, str], masks: d
     )
 
 
-def _slice_grid(spark: SparkSession, candidates, names, extra=()) -> DataFrame:
-    rows = [(c, s) for c in candidates for s, _ in slice_names(names)]
-    return spark.createDataFrame(rows, "candidate string, slice string")
-
-
 def slice_metrics(df: DataFrame, truth: str, candidates: dict[str, str], masks: dict[str, Column],
                   weights=None, classes=CLASSES, absent: str = "skip", include_empty: bool = True) -> DataFrame:
     """E-11: metrics of every candidate over the AND-lattice of slice masks.
@@ -364,7 +359,10 @@ def slice_error_flows(df: DataFrame, truth: str, candidates: dict[str, str], mas
 def slice_disagreement(df: DataFrame, pairs: dict[tuple[str, str], tuple[str, str]], masks: dict[str, Column]) -> DataFrame:
     """E-18: candidate vs reference disagreement count/rate per slice.
 
-    ``pairs`` maps (candidate_name, reference_name) → (candidate_col, reference_col)."""
+    ``pairs`` maps (candidate_name, reference_name) → (candidate_col, reference_col).
+    One partial aggregate to (pair, mask bits) cells, one grouping-sets
+    aggregate over the bits; a zero-count all-true cell per pair makes empty
+    slices appear without a join."""
     names = list(masks)
     flag_cols = [f"_m{j}" for j in range(len(names))]
     arr = F.array(
@@ -376,8 +374,12 @@ def slice_disagreement(df: DataFrame, pairs: dict[tuple[str, str], tuple[str, st
     )
     base = df.select(*[F.coalesce(m, F.lit(False)).alias(f) for f, m in zip(flag_cols, masks.values())], F.inline(arr))
     cells = base.groupBy("candidate", "reference", *flag_cols).agg(
-        F.count(F.lit(1)).alias("n"), F.sum("_ne").alias("d")
+        F.count(F.lit(1)).alias("n"), F.sum("_ne").cast("bigint").alias("d")
     )
+    schema = "candidate string, reference string, " + ", ".join(f"{f} boolean" for f in flag_cols) + \
+        ", n bigint, d bigint"
+    dummy = df.sparkSession.createDataFrame([(cn, rn, *([True] * len(flag_cols)), 0, 0) for cn, rn in pairs], schema)
+    cells = cells.unionByName(dummy)
     sets = [["candidate", "reference", *combo] for size in range(len(flag_cols) + 1)
             for combo in combinations(flag_cols, size)]
     rolled = cells.groupingSets(sets, "candidate", "reference", *flag_cols).agg(
@@ -388,17 +390,12 @@ def slice_disagreement(df: DataFrame, pairs: dict[tuple[str, str], tuple[str, st
         cond = (F.col(f"_g{j}") == 1) | F.col(f)
         keep = cond if keep is None else keep & cond
     sname = F.concat_ws("&", *[F.when(F.col(f"_g{j}") == 0, F.lit(n)) for j, n in enumerate(names)])
-    out = rolled.where(keep).select(
-        "candidate", "reference", F.when(sname == "", "ALL").otherwise(sname).alias("slice"), "n", "d"
-    )
-    grid_rows = [(cn, rn, s) for (cn, rn) in pairs for s, _ in slice_names(names)]
-    grid = df.sparkSession.createDataFrame(grid_rows, "candidate string, reference string, slice string")
-    return F.broadcast(grid).join(out, ["candidate", "reference", "slice"], "left").select(
+    return rolled.where(keep).select(
         "candidate",
         "reference",
-        "slice",
-        F.coalesce(F.col("n"), F.lit(0)).cast("bigint").alias("n"),
-        F.coalesce(F.col("d"), F.lit(0)).cast("bigint").alias("disagreements"),
+        F.when(sname == "", "ALL").otherwise(sname).alias("slice"),
+        F.col("n").cast("bigint").alias("n"),
+        F.col("d").cast("bigint").alias("disagreements"),
         F.when(F.col("n") > 0, F.col("d") / F.col("n")).alias("disagreement_rate"),
         F.when(F.col("n") > 0, F.lit(1.0) - F.col("d") / F.col("n")).alias("agreement_rate"),
     )
