@@ -60,7 +60,8 @@ FLOW_NAMES = [
 
 
 def metrics_from_cells(cells: DataFrame, by=(), weights=None, classes=CLASSES, absent: str = "zero",
-                       truth: str = "true_class", pred: str = "pred_class", n: str = "n") -> DataFrame:
+                       truth: str = "true_class", pred: str = "pred_class", n: str = "n",
+                       extra_aggs=(), extra_cols=()) -> DataFrame:
     """E-02: accuracy, balanced/weighted accuracy, errors and the six directed
     flows from (truth, pred, n) cells.  ``absent='zero'`` divides the recall
     sum by the number of classes; ``'skip'`` averages present classes only."""
@@ -79,7 +80,7 @@ def metrics_from_cells(cells: DataFrame, by=(), weights=None, classes=CLASSES, a
         agg.append(F.sum(F.when((t == c) & ok, cnt).otherwise(0)).alias(f"_tp_{c}"))
     for a, b, name in FLOW_NAMES:
         agg.append(F.sum(F.when((t == a) & (p == b), cnt).otherwise(0)).cast("bigint").alias(name))
-    g = cells.groupBy(*by).agg(*agg)
+    g = cells.groupBy(*by).agg(*agg, *extra_aggs)
     recalls = [F.when(F.col(f"_sup_{c}") > 0, F.col(f"_tp_{c}") / F.col(f"_sup_{c}")) for c in classes]
     present = [F.when(F.col(f"_sup_{c}") > 0, 1).otherwise(0) for c in classes]
     rec_sum = sum((F.coalesce(r, F.lit(0.0)) for r in recalls[1:]), F.coalesce(recalls[0], F.lit(0.0)))
@@ -97,6 +98,7 @@ def metrics_from_cells(cells: DataFrame, by=(), weights=None, classes=CLASSES, a
         (F.col("_n") - F.col("_ok")).cast("bigint").alias("errors"),
         *[F.col(name) for _, _, name in FLOW_NAMES],
         (F.col("star_to_galaxy") + F.col("galaxy_to_star")).alias("star_galaxy_swaps"),
+        *extra_cols,
     )
 
 
@@ -495,9 +497,10 @@ def scoreboard(df: DataFrame, truth: str, blocks: dict[str, list[str]], weights=
     nll = -F.ln(F.least(F.greatest(pt, F.lit(eps)), F.lit(1.0 - eps)))
     cells = long.groupBy("model", F.col("_t").alias("true_class"), argmax_of(pcols, classes).alias("pred_class")).agg(
         F.count(F.lit(1)).alias("n"), F.sum(nll).alias("_nll"))
-    m = metrics_from_cells(cells, by=("model",), weights=weights, classes=classes, absent="skip")
-    ll = cells.groupBy("model").agg((F.sum("_nll") / F.sum("n")).alias("log_loss"))
-    return m.select("model", "n", "accuracy", "balanced_accuracy", "weighted_accuracy").join(ll, "model")
+    m = metrics_from_cells(cells, by=("model",), weights=weights, classes=classes, absent="skip",
+                           extra_aggs=[F.sum("_nll").alias("_nll_sum")],
+                           extra_cols=[(F.col("_nll_sum") / F.col("_n")).alias("log_loss")])
+    return m.select("model", "n", "accuracy", "balanced_accuracy", "weighted_accuracy", "log_loss")
 
 
 def argmax_of(cols, classes=CLASSES) -> Column:
