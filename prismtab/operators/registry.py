@@ -151,3 +151,53 @@ def read_registry_jsonl(spark, path: str, schema: T.StructType = REGISTRY_SCHEMA
 def write_registry(df: DataFrame, path: str, fmt: str = "json") -> None:
     """A-11: rewrite the registry table (after an upsert)."""
     df.write.mode("overwrite").format(fmt).save(path)
+
+
+# ---------------------------------------------------------------- L-04
+def register_prediction(pred: DataFrame, relpath: str, model_name: str | None = None,
+                        submission_type: str | None = None, metrics: dict | None = None,
+                        params: dict | None = None, notes: str | None = None, id_col: str = "id",
+                        label_col: str = "class") -> DataFrame:
+    """L-04: one registry row for a prediction table: E-24 audit, E-25 digest,
+    context, metrics (map<string,double>) and params (map<string,string>),
+    flattened by :func:`registry_rows`."""
+    from prismtab.operators.search import attach_scalars
+
+    audit = output_audit(pred, id_col, label_col)
+    digest = table_digest(pred.select(id_col, label_col)).select("content_digest")
+    row = attach_scalars(audit, digest)
+
+    def lit_map(d, typ):
+        if not d:
+            return F.create_map().cast(f"map<string,{typ}>")
+        return F.create_map(*[x for k, v in sorted(d.items()) for x in (F.lit(str(k)), F.lit(v).cast(typ))])
+
+    row = row.withColumns({
+        "submission_relpath": F.lit(relpath),
+        "model_name": F.lit(model_name).cast("string"),
+        "submission_type": F.lit(submission_type).cast("string"),
+        "notes": F.lit(notes).cast("string"),
+        "metrics": lit_map(metrics, "double"),
+        "params": lit_map({k: str(v) for k, v in (params or {}).items()}, "string"),
+    })
+    if not metrics:
+        row = row.withColumn("metrics", F.create_map(F.lit("none"), F.lit(None).cast("double")))
+    return registry_rows(row)
+
+
+def upsert_registry_table(spark, path: str, new_rows: DataFrame, key: str = "submission_relpath") -> DataFrame:
+    """L-04 / H-05: keyed upsert into a stored registry table.  The merged
+    table is cut from its lineage (reliable checkpoint) before it overwrites
+    the path it was read from."""
+    import os
+
+    from prismtab.session import cut_lineage
+
+    new_rows = new_rows.drop("metrics", "params")
+    if os.path.exists(path):
+        merged = upsert(spark.read.parquet(path), new_rows, key)
+    else:
+        merged = new_rows
+    merged = cut_lineage(merged)
+    merged.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)

@@ -242,3 +242,21 @@ def test_f_pvalue_closed_form():
     for f, d2 in [(3.0, 10.0), (0.5, 7.0), (12.0, 40.0)]:
         assert GK.f_pvalue(f, 2.0, d2) == pytest.approx((1 + 2 * f / d2) ** (-d2 / 2), rel=1e-9)
     assert GK.f_pvalue(0.0, 3.0, 20.0) == 1.0
+
+
+def test_register_prediction_and_upsert_table(spark):
+    d = tempfile.mkdtemp(prefix="prismtab-registry-")
+    path = os.path.join(d, "registry.parquet")
+    pred = spark.createDataFrame([(1, "STAR"), (2, "GALAXY"), (2, "GALAXY")], "id long, class string")
+    r1 = RG.register_prediction(pred, "runs/a.csv", "m1", "argmax", {"balanced_accuracy": 0.9, "accuracy": 0.8},
+                                {"k": 5}, "first")
+    row = r1.first()
+    assert (row["row_count"], row["duplicate_id_count"], row["primary_metric_name"]) == (3, 1, "accuracy")
+    assert row["metrics_json"] == '{"accuracy":0.8,"balanced_accuracy":0.9}'
+    RG.upsert_registry_table(spark, path, r1)
+    r2 = RG.register_prediction(pred.limit(2), "runs/a.csv", "m1", notes="second")
+    r3 = RG.register_prediction(pred, "runs/b.csv", "m2", metrics={"log_loss": 0.3})
+    RG.upsert_registry_table(spark, path, r2)
+    out = {r["submission_relpath"]: r for r in RG.upsert_registry_table(spark, path, r3).collect()}
+    assert set(out) == {"runs/a.csv", "runs/b.csv"}
+    assert out["runs/a.csv"]["notes"] == "second" and out["runs/b.csv"]["primary_metric_name"] == "log_loss"
