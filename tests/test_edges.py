@@ -260,3 +260,12 @@ def test_register_prediction_and_upsert_table(spark):
     out = {r["submission_relpath"]: r for r in RG.upsert_registry_table(spark, path, r3).collect()}
     assert set(out) == {"runs/a.csv", "runs/b.csv"}
     assert out["runs/a.csv"]["notes"] == "second" and out["runs/b.csv"]["primary_metric_name"] == "log_loss"
+
+
+def test_anova_with_pvalues(spark):
+    rows = [("A", 1.0), ("A", 1.2), ("A", 0.9), ("B", 3.0), ("B", 3.1), ("B", 2.8), ("C", 1.0), ("C", 1.1), ("C", 0.95)]
+    df = spark.createDataFrame(rows, "class string, x double").withColumn("noise", F.lit(1.0) + F.col("x") * 0)
+    out = {r["feature"]: r for r in GK.anova_with_pvalues(df, "class", ["x"]).collect()}
+    r = out["x"]
+    assert r["df_between"] == 2 and r["df_within"] == 6 and r["f_score"] > 100
+    assert r["p_value"] == pytest.approx((1 + 2 * r["f_score"] / 6) ** (-3), rel=1e-9)
