@@ -142,15 +142,19 @@ def norm_words(raw: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[n
     length = ends - starts
     at = np.zeros(len(starts) + 1, np.int64)
     np.cumsum(length + 1, out=at[1:])
-    # every word plus the byte behind it, which becomes a space
-    shift = np.repeat(starts - at[:-1], length + 1)
-    source = np.arange(at[-1]) + shift
-    out = np.append(raw, np.uint8(32))[source]
+    out = np.empty(at[-1], np.uint8)
+    for a in range(0, len(starts), 1 << 15):  # the index of a byte takes eight bytes
+        b = min(a + (1 << 15), len(starts))
+        # every word plus the byte behind it, which becomes a space
+        source = np.arange(at[a], at[b]) + np.repeat(starts[a:b] - at[a:b], length[a:b] + 1)
+        if source[-1] >= len(raw):
+            source[-1] = 0
+        out[at[a] : at[b]] = raw[source]
     out[at[1:] - 1] = 32
     return out, at
 
 
-def batches(frames, rows: int = 1 << 30, size: int = 4 << 20):
+def batches(frames, rows: int = 1 << 30, size: int = 1 << 19):
     """Cut Arrow batches into slices of about ``size`` bytes (at least one row each)."""
     for batch in frames:
         if batch.num_rows == 0:

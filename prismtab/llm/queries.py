@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from prismtab.llm import sharding
+from prismtab.llm import sharding, simhash
 
 QUERIES: dict = {}
 ORACLE: dict[str, str] = {}
@@ -38,3 +38,14 @@ def op2(spark, sf_dir):
         "slot",
         F.lit(None).cast("int").alias("grown_shard"),
     )
+
+
+@query("op9_simhash_near_dedup")
+def op9(spark, sf_dir):
+    """Fingerprint and component of every document."""
+    found = simhash.near_duplicates(table(spark, sf_dir, "documents"), "doc_id", "text", shingle=4, distance=4)
+    return found.select(
+        F.col("key").alias("doc_id"),
+        F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"),
+        F.col("component").alias("component_id"),
+    )
