@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from prismtab.llm import sharding, simhash
+from prismtab.llm import sharding, simhash, substrings
 
 QUERIES: dict = {}
 ORACLE: dict[str, str] = {}
@@ -49,3 +49,23 @@ def op9(spark, sf_dir):
         F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"),
         F.col("component").alias("component_id"),
     )
+
+
+WORDS = r"list_filter(string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '')"
+
+
+@query(
+    "op5_substring_dedup",
+    f"""WITH w AS (SELECT doc_id, {WORDS} AS ws FROM documents),
+  win AS (SELECT doc_id, i, array_to_string(ws[i : i + 49], ' ') AS s FROM w, unnest(range(1, len(ws) - 48)) u(i)),
+  low AS (SELECT s, min(doc_id) AS m FROM win GROUP BY s),
+  gone AS (SELECT DISTINCT doc_id, i + k AS p FROM win JOIN low USING (s), range(50) r(k) WHERE m < doc_id),
+  word AS (SELECT doc_id, p, ws[p] AS x FROM w, unnest(range(1, len(ws) + 1)) u(p)),
+  kept AS (SELECT doc_id, string_agg(x, ' ' ORDER BY p) AS t, count(*) AS n FROM word ANTI JOIN gone USING (doc_id, p) GROUP BY doc_id)
+SELECT w.doc_id, CAST(len(ws) AS BIGINT) AS n_words, CAST(len(ws) - coalesce(n, 0) AS BIGINT) AS n_removed,
+  sha256(coalesce(t, '')) AS kept_sha256 FROM w LEFT JOIN kept ON w.doc_id = kept.doc_id""",
+)
+def op5(spark, sf_dir):
+    """Words left after the removal of repeated 50-word windows."""
+    left = substrings.remove_repeats(table(spark, sf_dir, "documents"), "doc_id", "text", size=50)
+    return left.select(F.col("key").alias("doc_id"), "n_words", "n_removed", F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256"))
