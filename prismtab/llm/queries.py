@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from prismtab.llm import sharding, simhash, substrings
+from prismtab.llm import decontaminate, sharding, simhash, substrings
 
 QUERIES: dict = {}
 ORACLE: dict[str, str] = {}
@@ -69,3 +69,10 @@ def op5(spark, sf_dir):
     """Words left after the removal of repeated 50-word windows."""
     left = substrings.remove_repeats(table(spark, sf_dir, "documents"), "doc_id", "text", size=50)
     return left.select(F.col("key").alias("doc_id"), "n_words", "n_removed", F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256"))
+
+
+@query("op3_decontamination")
+def op3(spark, sf_dir):
+    """One row per document and benchmark item that overlap."""
+    found = decontaminate.overlaps(table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "benchmark"))
+    return found.select("doc_id", F.explode("matches").alias("m")).select("doc_id", F.col("m.item").alias("item_id"), "m.matched", "m.item_tokens", "m.first_token", "m.last_token")
