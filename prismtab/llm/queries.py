@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from prismtab.llm import decontaminate, sharding, simhash, substrings
+from prismtab.llm import decontaminate, pieces, sharding, simhash, substrings
 
 QUERIES: dict = {}
 ORACLE: dict[str, str] = {}
@@ -76,3 +76,15 @@ def op3(spark, sf_dir):
     """One row per document and benchmark item that overlap."""
     found = decontaminate.overlaps(table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "benchmark"))
     return found.select("doc_id", F.explode("matches").alias("m")).select("doc_id", F.col("m.item").alias("item_id"), "m.matched", "m.item_tokens", "m.first_token", "m.last_token")
+
+
+#: the vocabulary file, a parameter of the queries
+PIECES = "/opt/tokenizers/piece_bpe_32k.model"
+
+
+@query("op1_sentencepiece")
+def op1(spark, sf_dir):
+    """Piece ids of every whole document, and whether they decode to its text."""
+    coded = pieces.encode(table(spark, sf_dir, "documents").select("doc_id", "text"), PIECES)
+    back = pieces.decode(coded, PIECES)
+    return back.select("doc_id", F.size("ids").cast("long").alias("n_ids"), "ids", (F.col("decoded") == F.coalesce("text", F.lit(""))).alias("round_trip"))
