@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from prismtab.llm import decontaminate, pieces, sharding, simhash, substrings
+from prismtab.llm import decontaminate, language, pieces, sharding, simhash, substrings
 
 QUERIES: dict = {}
 ORACLE: dict[str, str] = {}
@@ -88,3 +88,22 @@ def op1(spark, sf_dir):
     coded = pieces.encode(table(spark, sf_dir, "documents").select("doc_id", "text"), PIECES)
     back = pieces.decode(coded, PIECES)
     return back.select("doc_id", F.size("ids").cast("long").alias("n_ids"), "ids", (F.col("decoded") == F.coalesce("text", F.lit(""))).alias("round_trip"))
+
+
+@query("op7_language_id")
+def op7(spark, sf_dir):
+    """Language of every document: text, declared language and the priors of its source."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source")
+    found = language.identify(docs, "text", F.col("lang"), F.col("source"), label="lang")
+    return found.select("doc_id", "language", F.round("probability", 6).alias("probability"), "accepted")
+
+
+@query("page_language")
+def page_language(spark, sf_dir):
+    """The same for web pages: markup language, address suffix and host; the text model is that of the documents."""
+    pages = table(spark, sf_dir, "pages")
+    plain = F.regexp_replace(F.regexp_replace("html", r"(?is)<(script|style)\b.*?</\1>", " "), r"<[^>]*>|&[a-zA-Z#0-9]+;?", " ")
+    rows = pages.select("page_id", "url", plain.alias("text"), language.declared_of(F.col("html")).alias("declared"))
+    model = language.fit(table(spark, sf_dir, "documents"), "text", "lang")
+    found = language.identify(rows, "text", F.col("declared"), F.col("url"), model=model)
+    return found.select("page_id", "url", "language", F.round("probability", 6).alias("probability"), "accepted")
