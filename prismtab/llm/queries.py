@@ -67,8 +67,8 @@ SELECT w.doc_id, CAST(len(ws) AS BIGINT) AS n_words, CAST(len(ws) - coalesce(n,
 )
 def op5(spark, sf_dir):
     """Words left after the removal of repeated 50-word windows."""
-    left = substrings.remove_repeats(table(spark, sf_dir, "documents"), "doc_id", "text", size=50)
-    return left.select(F.col("key").alias("doc_id"), "n_words", "n_removed", F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256"))
+    left = substrings.remove_repeats(table(spark, sf_dir, "documents").select("doc_id", "text"), "doc_id", "text", size=50)
+    return left.select("doc_id", "n_words", "n_removed", F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256"))
 
 
 @query("op3_decontamination")

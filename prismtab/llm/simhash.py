@@ -23,6 +23,7 @@ from pyspark.sql import functions as F
 
 from prismtab.llm.arrays import LOWER, batches, norm_words, span_hashes, text_buffer, word_spans
 from prismtab.llm.components import components
+from prismtab.session import cut_lineage
 
 HASH_SEED = 42
 BLOCK = 1 << 14
@@ -191,7 +192,7 @@ def near_duplicates(df: DataFrame, key: str = "doc_id", text: str = "text", shin
     carry a component; a component whose keys are all null has null.  Repeated
     rows stay.  An empty table gives an empty result.
     """
-    prints = fingerprints(df, key, text, shingle)
+    prints = cut_lineage(fingerprints(df, key, text, shingle))
     classes = prints.groupBy("fp").agg(F.min("key").alias("least"))
     rooted = components(links(classes, distance)).withColumnsRenamed({"node": "fp"})
     joined = classes.join(rooted, "fp", "left").withColumn("root", F.coalesce("root", "fp"))

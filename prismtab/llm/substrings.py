@@ -22,6 +22,7 @@ import pyarrow as pa
 import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from prismtab.llm.arrays import batches, mix, norm_words, sliding_min, span_hashes, text_buffer, word_spans
 
@@ -199,12 +200,12 @@ def covered_ranges(rows: DataFrame, size: int) -> DataFrame:
 
 
 def _apply(frames):
-    """(…, text, ranges) to (…, n_words, n_removed, kept)."""
+    """(row, text, ranges) to (row, n_words, n_removed, kept)."""
     for batch in batches(frames):
-        raw, offsets = text_buffer(batch.column(2))
+        raw, offsets = text_buffer(batch.column(1))
         starts, ends, first = word_spans(raw, offsets)
         gone = np.zeros(len(starts), bool)
-        spans = batch.column(3)
+        spans = batch.column(2)
         if spans.null_count < len(spans):
             for r, own in enumerate(spans.to_pylist()):
                 for span in own or ():
@@ -217,22 +218,28 @@ def _apply(frames):
         texts = [data[at[a] : max(at[a], at[b] - 1)].decode() for a, b in zip(edge, edge[1:])]
         n_words = np.diff(first)
         yield pa.RecordBatch.from_arrays(
-            [batch.column(0), batch.column(1), pa.array(n_words.astype(np.int64)), pa.array((n_words - np.diff(edge)).astype(np.int64)), pa.array(texts, pa.string()), batch.column(2)],
-            ["key", "row", "n_words", "n_removed", "kept", "text"])
+            [batch.column(0), pa.array(n_words.astype(np.int64)), pa.array((n_words - np.diff(edge)).astype(np.int64)), pa.array(texts, pa.string())],
+            ["row", "n_words", "n_removed", "kept"])
 
 
 def remove_repeats(df: DataFrame, key: str = "doc_id", text: str = "text", size: int = 50) -> DataFrame:
-    """(key, n_words, n_removed, kept, text): every row with the words left after the removal.
+    """All rows and columns of ``df`` with ``n_words``, ``n_removed`` and ``kept``.
 
     A word goes if a window of ``size`` words that covers it also starts in a
     row with a smaller key.  ``kept`` has the remaining words joined by one
-    space, ``text`` is the input text.  Windows are judged on the input.  A null or empty text has no
+    space.  Windows are judged on the input.  A null or empty text has no
     words; a null key neither loses words nor takes any from others; rows with
     equal keys do not take from each other, and each is judged by its own text.
-    An empty table gives an empty result.
+    Input columns of the three names are replaced.  An empty table gives an
+    empty result.
     """
-    rows = df.select(F.col(key).cast("long").alias("key"), F.xxhash64(key, text).alias("row"), F.col(text).alias("text"))
-    ranges = covered_ranges(rows, size).groupBy("key", "row").agg(F.collect_set(F.struct("start", "stop")).alias("ranges"))
-    joined = rows.join(ranges, (rows.key == ranges.key) & (rows.row == ranges.row), "left").select(rows.key, rows.row, "text", "ranges")
-    schema = "key long, row long, n_words long, n_removed long, kept string, text string"
-    return joined.mapInArrow(_apply, schema).drop("row")
+    df = df.drop("n_words", "n_removed", "kept")
+    own = F.struct(*[F.col(f"`{c}`") for c in df.columns])
+    rows = df.select(own.alias("row"), F.col(text).alias("text"), F.col(key).cast("long").alias("key"), F.xxhash64(key, text).alias("hash"))
+    ranges = covered_ranges(rows.select("key", F.col("hash").alias("row"), "text"), size)
+    ranges = ranges.groupBy("key", F.col("row").alias("hash")).agg(F.collect_set(F.struct("start", "stop")).alias("ranges"))
+    joined = rows.join(ranges, ["key", "hash"], "left").select("row", "text", "ranges")
+    schema = T.StructType([
+        T.StructField("row", rows.schema["row"].dataType), T.StructField("n_words", T.LongType()),
+        T.StructField("n_removed", T.LongType()), T.StructField("kept", T.StringType())])
+    return joined.mapInArrow(_apply, schema).select("row.*", "n_words", "n_removed", "kept")
