@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from prismtab.llm import decontaminate, language, pieces, sharding, simhash, substrings
+from prismtab.llm import decontaminate, html, language, pieces, sharding, simhash, substrings
 
 QUERIES: dict = {}
 ORACLE: dict[str, str] = {}
@@ -107,3 +107,20 @@ def page_language(spark, sf_dir):
     model = language.fit(table(spark, sf_dir, "documents"), "text", "lang")
     found = language.identify(rows, "text", F.col("declared"), F.col("url"), model=model)
     return found.select("page_id", "url", "language", F.round("probability", 6).alias("probability"), "accepted")
+
+
+#: the pages' own markup: an article of h1 and p with b and br
+ARTICLE = r"""
+WITH a AS (SELECT page_id, url, regexp_extract(coalesce(html, ''), '(?s)<article>(.*?)(</article>|\z)', 1) AS x FROM pages),
+  b AS (SELECT page_id, url, list_filter(list_transform(string_split_regex(x, '</?(p|h1)>'), lambda y:
+      trim(regexp_replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace(replace(regexp_replace(replace(y, '<br>', ' '),
+        '<[^>]*(>|\z)', '', 'g'), '&#39;', ''''), '&lt;?', '<', 'g'), '&gt;?', '>', 'g'), '&quot;?', '"', 'g'), '&amp;?', '&', 'g'), '\s+', ' ', 'g'))),
+      lambda y: y <> '') AS t FROM a)
+SELECT page_id, url, array_to_string(t, chr(10) || chr(10)) AS text, CAST(length(array_to_string(t, chr(10) || chr(10))) AS BIGINT) AS n_chars FROM b"""
+
+
+@query("op10_html_extraction", ARTICLE)
+def op10(spark, sf_dir):
+    """Main text of every page, without what its site repeats."""
+    found = html.main_text(table(spark, sf_dir, "pages"))
+    return found.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
