@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from prismtab.llm import decontaminate, html, language, pieces, sharding, simhash, substrings
+from prismtab.llm import decontaminate, digests, html, language, pieces, sharding, simhash, substrings
 
 QUERIES: dict = {}
 ORACLE: dict[str, str] = {}
@@ -124,3 +124,23 @@ def op10(spark, sf_dir):
     """Main text of every page, without what its site repeats."""
     found = html.main_text(table(spark, sf_dir, "pages"))
     return found.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
+
+
+@query("op8_document_fingerprints")
+def op8(spark, sf_dir):
+    """Digests of every document and of its edited text, with their likeness and that to the next document."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
+    ranks = digests.entropy_ranks(docs)
+    rows = digests.with_next(docs).withColumn("n_chars", F.length("text"))
+    cut = F.expr("n_chars div 3").cast("int")
+    rows = rows.withColumn("edited", F.concat(F.substr("text", F.lit(1), F.col("n_chars") - cut), F.substr("next_text", F.lit(1), cut)))
+    made = digests.fingerprints(rows, {"text": "fingerprint", "edited": "edited_fingerprint", "next_text": "next_fingerprint"}, ranks)
+    return made.select(
+        "doc_id",
+        F.col("n_chars").cast("long").alias("n_chars"),
+        F.sha2(F.col("edited").cast("binary"), 256).alias("edited_sha256"),
+        "fingerprint",
+        "edited_fingerprint",
+        digests.likeness("fingerprint", "edited_fingerprint").alias("near_edited"),
+        digests.likeness("fingerprint", "next_fingerprint").alias("near_next"),
+    )
