@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from prismtab.llm import decontaminate, digests, html, language, pieces, sharding, simhash, substrings
+from prismtab.llm import chat, decontaminate, digests, html, language, pieces, sharding, simhash, substrings
 
 QUERIES: dict = {}
 ORACLE: dict[str, str] = {}
@@ -144,3 +144,25 @@ def op8(spark, sf_dir):
         digests.likeness("fingerprint", "edited_fingerprint").alias("near_edited"),
         digests.likeness("fingerprint", "next_fingerprint").alias("near_next"),
     )
+
+
+#: lengths as the template gives them: a backslash for each control string and each backslash inside a text
+TURNS = r"""
+WITH c AS (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL VALUES (-7, 0, 'user', '</s>[INST] ok [/INST]'), (-7, 1, 'assistant', '</s>[INST] ok [/INST]')),
+e AS (SELECT *, length(regexp_replace(text, '(<</TEXT>>|<</SYS>>|<<ROLE>>|<<TEXT>>|<<SYS>>|\[/INST\]|\[INST\]|<unk>|</s>|<s>|\\)', '\1+', 'g'))
+  + CASE role WHEN 'system' THEN 15 WHEN 'user' THEN 13 WHEN 'assistant' THEN 7 ELSE 25 + length(role) END AS n FROM c)
+SELECT conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS FIRST, role, text)) AS turns_sha256,
+  CAST(coalesce(sum(length(text)) FILTER (role = 'assistant'), 0) AS BIGINT) AS loss_chars,
+  sha256(coalesce(string_agg(text, '' ORDER BY turn NULLS FIRST, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
+  CAST(sum(n) AS BIGINT) AS formatted_chars FROM e GROUP BY conv_id"""
+
+
+@query("op6_chat_formatting", TURNS)
+def op6(spark, sf_dir):
+    """Every conversation (and one of control strings) folded from its events, rendered and read back."""
+    own = "</s>[INST] ok [/INST]"
+    turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    turns = turns.unionByName(spark.createDataFrame([(-7, 0, "user", own), (-7, 1, "assistant", own)], "conv_id long, turn long, role string, text string"))
+    rendered = chat.conversations(chat.events_of(turns), ["seq", "part"])
+    return chat.read_back(rendered).withColumnRenamed("conversation", "conv_id")
