@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from prismtab.llm import chat, decontaminate, digests, html, language, pieces, sharding, simhash, substrings
+from prismtab.llm import chat, decontaminate, digests, html, language, ngrams, pieces, sharding, simhash, substrings
 
 QUERIES: dict = {}
 ORACLE: dict[str, str] = {}
@@ -166,3 +166,12 @@ def op6(spark, sf_dir):
     turns = turns.unionByName(spark.createDataFrame([(-7, 0, "user", own), (-7, 1, "assistant", own)], "conv_id long, turn long, role string, text string"))
     rendered = chat.conversations(chat.events_of(turns), ["seq", "part"])
     return chat.read_back(rendered).withColumnRenamed("conversation", "conv_id")
+
+
+@query("op4_lm_scoring")
+def op4(spark, sf_dir):
+    """Scores of every document under a model of the nine tenths that are not held out."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
+    docs = docs.withColumn("held_out", F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")) % 10 == 0)
+    model = ngrams.train(docs.where("not held_out"))
+    return ngrams.score(docs, model).select("doc_id", "held_out", "n_tokens", "n_known", F.lit(model.tokens).cast("long").alias("train_tokens"), "base_score", "score")
