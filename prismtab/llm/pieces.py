@@ -116,8 +116,13 @@ class Pieces:
         self.unknown = next((i for i, p in enumerate(pieces) if p[2] == UNKNOWN), 0)
         self.bytes = {int(p[3:5], 16): i for i, (p, _, kind) in enumerate(pieces) if kind == BYTE} if fallback else {}
         self.longest = max(map(len, self.ids), default=1)
-        # every beginning of a piece, with the piece's id or -1
-        self.trie = {p[:k]: -1 for p in self.ids for k in range(1, len(p))} | self.ids
+        # nested by character; a piece's id stands under the empty string
+        self.trie: dict = {}
+        for p, i in self.ids.items():
+            node = self.trie
+            for c in p:
+                node = node.setdefault(c, {})
+            node[""] = i
         self.inside = {p[k : k + 2] for p in self.ids for k in range(len(p) - 1)}
         normal = [s for _, s, kind in pieces if kind == NORMAL]
         self.unknown_score = min(normal, default=0.0) - 10.0
@@ -175,38 +180,38 @@ class Pieces:
         """
         n, bpe, out = len(text), self.kind == BPE, []
         trie, follows, score, longest = self.trie, self.follows, self.score, self.longest
+        characters = list(text)
         base, last, came, best = 0, [-1], [0], [0.0]
         for i in range(n):
             at = i - base
             end = min(n, i + longest)
             if len(last) <= end - base:
-                more = end - base + 1 - len(last)
+                more = min(n - base, end - base + STRIDE) + 1 - len(last)
                 last += [-2] * more
                 came += [0] * more
                 best += [0.0] * more
             left = last[at]
             if left == -2:
                 continue
-            single = False
-            for j in range(i + 1, end + 1):
-                piece = trie.get(text[i:j])
-                if piece is None:
+            node, to, before = trie, at, (left + 1) << 32
+            for c in characters[i:end]:
+                node = node.get(c)
+                if node is None:
                     break
-                if piece < 0:
+                to += 1
+                piece = node.get("")
+                if piece is None:
                     continue
-                to = j - base
-                if to == at + 1:
-                    single = True
                 if bpe:
                     if last[to] == -2:
-                        known = follows.get((left + 1) << 32 | piece)
+                        known = follows.get(before | piece)
                         if known or known is None and self.may_follow(left, piece):
                             last[to], came[to] = piece, at
                 else:
                     value = best[at] + score[piece]
                     if last[to] == -2 or value > best[to]:
                         last[to], came[to], best[to] = piece, at, value
-            if not single:
+            if "" not in trie.get(characters[i], trie):
                 value = best[at] + self.unknown_score
                 if last[at + 1] == -2 or value > best[at + 1]:
                     last[at + 1], came[at + 1], best[at + 1] = -1, at, value
@@ -236,13 +241,23 @@ class Pieces:
                 out.append(piece)
             elif self.bytes:
                 out.extend(self.bytes[x] for x in text[base + a : base + b].encode())
-            elif not out or out[-1] != self.unknown:
+            else:
                 out.append(self.unknown)
 
     def encode(self, text: str) -> bytes:
-        """The text's ids as little-endian 32-bit integers."""
+        """The text's ids as little-endian 32-bit integers; a run of unknown characters is one id."""
         if not text:
             return b""
+        coded = self._coded(text)
+        if not self.bytes:
+            ids = np.frombuffer(coded, np.int32)
+            unknown = ids == self.unknown
+            unknown[1:] &= unknown[:-1].copy()
+            unknown[:1] = False
+            coded = ids[~unknown].tobytes()
+        return coded
+
+    def _coded(self, text: str) -> bytes:
         whole = self.normalise(text)
         if self.given is None:
             parts = self.stretches.findall(whole) if self.stretches else [whole]
