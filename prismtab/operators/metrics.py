@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from prismtab.constants import CLASSES, DEFAULT_CLASS_WEIGHTS, LOGLOSS_EPS
+from prismtab.operators.ranking import range_id, range_splits
 
 
 def weight_of(label: Column, weights: dict[str, float], default: float | None = None) -> Column:
@@ -184,9 +185,9 @@ def roc_auc(df: DataFrame, label: str, score: str, by=(), partitions: int | None
     and negative counts; AUC = sum over values of pos(v) * (neg below v +
     neg(v)/2) / (P*N).  "neg below v" is a running sum computed without a
     per-group window over all scores: the distinct values are
-    range-partitioned by (group, score), summed inside each partition, and
-    offset by the negatives of earlier partitions of the same group (a table
-    of partitions x groups rows)."""
+    cut into ranges of (group, score) at literal split points, summed inside each range, and
+    offset by the negatives of earlier ranges of the same group (a table
+    of at most ranges + groups rows)."""
     from pyspark.sql import Window as W
 
     by = list(by)
@@ -194,14 +195,21 @@ def roc_auc(df: DataFrame, label: str, score: str, by=(), partitions: int | None
     vals = df.groupBy(*by, F.col(score).alias("_s")).agg(
         F.sum(y).alias("_pos"), F.sum(F.lit(1) - y).alias("_neg")
     )
-    n = partitions or df.sparkSession.sparkContext.defaultParallelism
-    ranged = vals.repartitionByRange(n, *by, "_s").withColumn("_pid", F.spark_partition_id())
-    part = ranged.groupBy("_pid", *by).agg(F.sum("_neg").alias("_pn"))
-    w_off = W.partitionBy(*by).orderBy("_pid").rowsBetween(W.unboundedPreceding, -1) if by else \
-        W.orderBy("_pid").rowsBetween(W.unboundedPreceding, -1)
-    offs = part.select("_pid", *by, F.coalesce(F.sum("_pn").over(w_off), F.lit(0)).alias("_off"))
-    w_in = W.partitionBy("_pid", *by).orderBy("_s").rowsBetween(W.unboundedPreceding, -1)
-    below = (ranged.join(F.broadcast(offs), ["_pid", *by])
+    # split points from the raw rows' keys; a range is a pure function of (group, score)
+    keys = df.select(*by, F.col(score).alias("_s"))
+    order = [*by, "_s"]
+    ranged = vals.withColumn("_rid", range_id(vals, order, range_splits(keys, order, partitions)))
+    part = ranged.groupBy("_rid", *by).agg(F.sum("_neg").alias("_pn"))
+    w_off = W.partitionBy(*by).orderBy("_rid").rowsBetween(W.unboundedPreceding, -1) if by else \
+        W.orderBy("_rid").rowsBetween(W.unboundedPreceding, -1)
+    offs = part.select("_rid", *by, F.coalesce(F.sum("_pn").over(w_off), F.lit(0)).alias("_off"))
+    offs = offs.select("_rid", "_off", *[F.col(c).alias(f"_by{i}") for i, c in enumerate(by)])
+    w_in = W.partitionBy("_rid", *by).orderBy("_s").rowsBetween(W.unboundedPreceding, -1)
+    same = ranged["_rid"] == offs["_rid"]
+    for i, c in enumerate(by):
+        same = same & ranged[c].eqNullSafe(offs[f"_by{i}"])
+    # offsets: ranges x groups rows, and a range holds few groups
+    below = (ranged.join(F.broadcast(offs), same).drop(offs["_rid"])
              .withColumn("_neg_below", F.coalesce(F.sum("_neg").over(w_in), F.lit(0)) + F.col("_off")))
     g = below.groupBy(*by).agg(
         F.sum(F.col("_pos") * (F.col("_neg_below") + F.col("_neg") / 2.0)).alias("_u"),

@@ -1,36 +1,74 @@
 """Global ranks without a single-partition window; ordered leaderboards (G-01,
 G-02, G-08, G-09).
 
-A window with no ``partitionBy`` sorts everything in one task.  Instead we
-range-partition by the order key, number rows inside each range, and add the
-(tiny) prefix count of the preceding ranges.  The offsets table has one row
-per range partition.
+A window with no ``partitionBy`` sorts everything in one task.  Instead the
+order keys are cut into ranges at split points that are read once and then
+are literals, so a row's range is a pure function of its values: counts per
+range and row numbers inside ranges agree in any plan and after any retry.
+Only the split points (parameter-sized) and one count per range leave the data.
 """
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+#: rows that one range aims at, the most ranges, and sampled rows for each range
+ROWS_PER_RANGE, MAX_RANGES, SAMPLED = 1_000_000, 1024, 32
+
+
+def order_struct(order: list[str]) -> Column:
+    """The order keys as one comparable value (ascending, NULLs first)."""
+    return F.struct(*[F.col(c) for c in order])
+
+
+def range_splits(df: DataFrame, order: list[str], ranges: int | None = None) -> list[tuple]:
+    """At most ``ranges - 1`` ascending split points of the order keys, from a random sample of bounded size."""
+    if ranges is None:
+        floor = df.sparkSession.sparkContext.defaultParallelism
+        ranges = min(MAX_RANGES, max(floor, math.ceil(df.count() / ROWS_PER_RANGE)))
+    if ranges < 2:
+        return []
+    drawn = df.select(*order).orderBy(F.rand(17)).limit(SAMPLED * ranges)
+    points = [tuple(r) for r in drawn.orderBy(*order).collect()]
+    chosen = [points[len(points) * i // ranges] for i in range(1, ranges)] if points else []
+    return [p for i, p in enumerate(chosen) if i == 0 or p != chosen[i - 1]]
+
+
+def range_id(df: DataFrame, order: list[str], splits: list[tuple]) -> Column:
+    """Number of split points at or before a row's keys: a binary tree of comparisons with literals."""
+    types = [df.schema[c].dataType for c in order]
+    key = order_struct(order)
+    at = [F.struct(*[F.lit(v).cast(t).alias(c) for c, v, t in zip(order, p, types)]) for p in splits]
+
+    def tree(low: int, high: int) -> Column:
+        if low == high:
+            return F.lit(low)
+        mid = (low + high) // 2
+        return F.when(key < at[mid], tree(low, mid)).otherwise(tree(mid + 1, high))
+
+    return tree(0, len(splits))
+
 
 def global_row_number(df: DataFrame, order: list[str], name: str = "rn", partitions: int | None = None) -> DataFrame:
-    """Exact 1-based row number over ``order`` (ties broken by the full key).
-
-    Range partitioning keeps each partition a contiguous key range, so
-    row_number within a partition plus the count of all earlier partitions is
-    the global row number.  The partition id is consumed twice (counts and
-    numbering); range bounds come from a seeded sample, so a re-executed task
-    sees the same ranges."""
-    n = partitions or df.sparkSession.sparkContext.defaultParallelism
-    ranged = df.repartitionByRange(n, *order).withColumn("_pid", F.spark_partition_id())
-    counts = ranged.groupBy("_pid").agg(F.count(F.lit(1)).alias("_cnt"))
-    w_off = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.select("_pid", F.coalesce(F.sum("_cnt").over(w_off), F.lit(0)).alias("_off"))
-    w = Window.partitionBy("_pid").orderBy(*order)
+    """Exact 1-based row number over ``order`` (rows that tie on all keys are numbered in any order).
+
+    One shuffle of the rows (by range, for the window) and one aggregate to a
+    count per range.  Rows that tie on all keys share a range, so the order should end in a
+    key that tells rows apart if a value may be frequent."""
+    rid = range_id(df, order, range_splits(df, order, partitions))
+    ranged = df.withColumn("_rid", rid)
+    counts = ranged.groupBy("_rid").agg(F.count(F.lit(1)).alias("_cnt"))
+    # one row per range: bounded by MAX_RANGES
+    w_off = Window.orderBy("_rid").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = counts.select("_rid", F.coalesce(F.sum("_cnt").over(w_off), F.lit(0)).alias("_off"))
+    w = Window.partitionBy("_rid").orderBy(*order)
     return (
-        ranged.join(F.broadcast(offsets), "_pid")
+        ranged.join(F.broadcast(offsets), "_rid")
         .withColumn(name, F.row_number().over(w) + F.col("_off"))
-        .drop("_pid", "_off")
+        .drop("_rid", "_off")
     )
 
 
