@@ -35,9 +35,9 @@ HARD_STAR_STD = 1.624
 HARD_STAR_STD_MID = 1.118
 
 # --- fixed values: default threshold-search ranges (start:stop:step) ------
-DEFAULT_QSO_RANGE = "0.40:0.60:0.02"
-DEFAULT_STAR_RANGE = "0.40:0.60:0.02"
-DEFAULT_REPLACE_RANGE = "0.50:0.95:0.03"
+DEFAULT_QSO_STEPS = ("0.40", "0.60", "0.02")
+DEFAULT_STAR_STEPS = ("0.40", "0.60", "0.02")
+DEFAULT_REPLACE_STEPS = ("0.50", "0.95", "0.03")
 
 # --- fixed values: numeric guards ------------------------------------------
 PROBA_CLIP = 1e-12

@@ -55,12 +55,12 @@ def encode_categoricals(frames: list[DataFrame], cols: list[str], token: str = K
         if not all(c in f.columns for f in frames):
             continue
         levels = category_levels(frames, c, token)
-        lv = levels.select(F.col("value").alias(f"_v_{c}"), F.col("code").cast("smallint").alias(f"_code_{c}"))
+        lv = levels.select(F.col("value").alias(f"_v_{c}"), F.col("code").cast("int").alias(f"_code_{c}"))
         new = []
         for f in out:
             joined = f.withColumn(f"_v_{c}", fill_na_string(c, token)).join(F.broadcast(lv), f"_v_{c}", "left")
             new.append(
-                joined.withColumn(c, F.coalesce(F.col(f"_code_{c}"), F.lit(unseen).cast("smallint"))).drop(
+                joined.withColumn(c, F.coalesce(F.col(f"_code_{c}"), F.lit(unseen).cast("int"))).drop(
                     f"_v_{c}", f"_code_{c}"
                 )
             )

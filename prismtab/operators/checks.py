@@ -32,12 +32,19 @@ def unknown_classes(df: DataFrame, col: str, classes=CLASSES) -> DataFrame:
 
 def check_class_domain(df: DataFrame, col: str, classes=CLASSES, limit: int = 20) -> DataFrame:
     """C-08: raise if any value of ``col`` is outside ``classes``; returns ``df``."""
-    bad = [r["value"] for r in unknown_classes(df, col, classes).limit(limit).collect()]
+    bad = [r["value"] for r in unknown_classes(df, col, classes).limit(limit + 1).collect()]
     if bad:
-        raise ContractError(f"unknown classes in {col}: {sorted(bad)}")
+        more = f" and more than {limit - 1} others" if len(bad) > limit else ""
+        raise ContractError(f"unknown classes in {col}: {sorted(bad)[:limit]}{more}")
     return df
 
 
+def in_domain(col: Column, what: str, classes=CLASSES) -> Column:
+    """C-08 inside a job: the class itself; a NULL or unknown one ends the job with an error, without a further pass."""
+    said = F.concat(F.lit(f"unknown class in {what}: "), F.coalesce(col.cast("string"), F.lit("NULL")))
+    return F.when(col.isin(*classes), col).otherwise(F.raise_error(said).cast("string"))
+
+
 def null_counts(df: DataFrame, cols=None) -> DataFrame:
     """C-09: one row, one null count per column (single pass)."""
     cols = cols or df.columns

@@ -72,6 +72,13 @@ def stratified_quota(counts: dict, n: int) -> dict:
     return base
 
 
+def _quota(label: str, quota: dict) -> Column:
+    """Rows to take of a row's class; NULL is a class of its own."""
+    known = [x for c, q in quota.items() if c is not None for x in (F.lit(c), F.lit(q))]
+    found = F.element_at(F.create_map(*known), F.col(label)) if known else F.lit(0)
+    return F.when(F.col(label).isNull(), F.lit(quota.get(None, 0))).otherwise(found)
+
+
 def stratified_sample(df: DataFrame, label: str, n: int, id_col: str = "id", seed: int = 42,
                       prefix_len: int = 3) -> DataFrame:
     """L-01: exactly ``n`` rows with per-class quotas proportional to the
@@ -80,9 +87,8 @@ def stratified_sample(df: DataFrame, label: str, n: int, id_col: str = "id", see
     if n <= 0 or n >= sum(counts.values()):
         return df
     quota = stratified_quota(counts, n)
-    qmap = F.create_map(*[x for c, q in quota.items() if c is not None for x in (F.lit(c), F.lit(q))])
     r = class_rank(df, label, id_col, seed, prefix_len)
-    return r.where(F.col("class_rank") < F.element_at(qmap, F.col(label))).drop("class_rank", "_ok")
+    return r.where(F.col("class_rank") < _quota(label, quota)).drop("class_rank", "_ok")
 
 
 def proportional_sample(df: DataFrame, label: str, n: int, id_col: str = "id", seed: int = 42,
@@ -94,10 +100,9 @@ def proportional_sample(df: DataFrame, label: str, n: int, id_col: str = "id", s
     total = sum(counts.values())
     if n <= 0 or n >= total:
         return df
-    quota = {c: min(max(1, int(round(n * cnt / total))), cnt) for c, cnt in counts.items() if c is not None}
-    qmap = F.create_map(*[x for c, q in quota.items() for x in (F.lit(c), F.lit(q))])
+    quota = {c: min(max(1, int(round(n * cnt / total))), cnt) for c, cnt in counts.items()}
     r = class_rank(df, label, id_col, seed, prefix_len)
-    picked = r.where(F.col("class_rank") < F.element_at(qmap, F.col(label)))
+    picked = r.where(F.col("class_rank") < _quota(label, quota))
     if sum(quota.values()) <= n:
         return picked.drop("class_rank", "_ok")
     ranked = global_row_number(picked, ["_ok", id_col], name="_grn")

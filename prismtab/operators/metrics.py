@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from prismtab.constants import CLASSES, DEFAULT_CLASS_WEIGHTS, LOGLOSS_EPS
+from prismtab.operators.checks import in_domain
 from prismtab.operators.ranking import range_id, range_splits
 
 
@@ -33,10 +34,9 @@ def _class_grid(spark: SparkSession, classes, names=("true_class", "pred_class")
 
 # ---------------------------------------------------------------- E-01
 def confusion(df: DataFrame, truth: str, pred: str, classes=CLASSES, by=()) -> DataFrame:
-    """Dense confusion counts (zero-filled) per ``by`` group."""
-    cells = df.groupBy(*by, F.col(truth).alias("true_class"), F.col(pred).alias("pred_class")).agg(
-        F.count(F.lit(1)).alias("n")
-    )
+    """Dense confusion counts (zero-filled) per ``by`` group; a NULL or unknown class is an error."""
+    cells = df.groupBy(*by, in_domain(F.col(truth), truth, classes).alias("true_class"),
+                       in_domain(F.col(pred), pred, classes).alias("pred_class")).agg(F.count(F.lit(1)).alias("n"))
     if by:
         # zero-fill grid: every present group x every (true, pred) class pair,
         # generated per group row (no join)

@@ -8,6 +8,8 @@ single aggregates over the prediction table, so they scale with it.
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -92,7 +94,7 @@ def primary_metric(metrics: Column, order=PRIMARY_METRIC_ORDER) -> tuple[Column,
     for k in order:
         cond = F.map_contains_key(metrics, F.lit(k))
         name = F.when(cond, F.lit(k)) if name is None else name.when(cond, F.lit(k))
-    name = name.otherwise(F.element_at(F.map_keys(metrics), 1))
+    name = name.otherwise(F.get(F.map_keys(metrics), 0))
     return name, F.element_at(metrics, name)
 
 
@@ -180,24 +182,41 @@ def register_prediction(pred: DataFrame, relpath: str, model_name: str | None =
         "metrics": lit_map(metrics, "double"),
         "params": lit_map({k: str(v) for k, v in (params or {}).items()}, "string"),
     })
-    if not metrics:
-        row = row.withColumn("metrics", F.create_map(F.lit("none"), F.lit(None).cast("double")))
     return registry_rows(row)
 
 
+def _registry_versions(spark, path: str) -> list[str]:
+    """Complete versions of a stored registry, oldest first."""
+    from prismtab.sources.io import child_folders, path_exists
+
+    names = [n for n in child_folders(spark, path) if re.fullmatch(r"version=\d+", n)]
+    return [n for n in sorted(names, key=lambda n: int(n[8:])) if path_exists(spark, f"{path}/{n}/_SUCCESS")]
+
+
+def read_registry_table(spark, path: str) -> DataFrame | None:
+    """The stored registry (its newest complete version, or a plain Parquet table); None if there is none."""
+    from prismtab.sources.io import path_exists
+
+    versions = _registry_versions(spark, path)
+    if versions:
+        return spark.read.parquet(f"{path}/{versions[-1]}")
+    return spark.read.parquet(path) if path_exists(spark, path) else None
+
+
 def upsert_registry_table(spark, path: str, new_rows: DataFrame, key: str = "submission_relpath") -> DataFrame:
-    """L-04 / H-05: keyed upsert into a stored registry table.  The merged
-    table is cut from its lineage (reliable checkpoint) before it overwrites
-    the path it was read from."""
-    import os
+    """L-04 / H-05: keyed upsert into a stored registry table, in any store.
 
-    from prismtab.session import cut_lineage
+    The merged table is written as a new version beside the one it was read from, and
+    counts once it is complete, so a failed write loses nothing.  The version before it is kept, older ones go."""
+    from prismtab.sources.io import delete_folder
 
     new_rows = new_rows.drop("metrics", "params")
-    if os.path.exists(path):
-        merged = upsert(spark.read.parquet(path), new_rows, key)
-    else:
-        merged = new_rows
-    merged = cut_lineage(merged)
-    merged.write.mode("overwrite").parquet(path)
-    return spark.read.parquet(path)
+    path = path.rstrip("/")
+    versions = _registry_versions(spark, path)
+    stored = read_registry_table(spark, path)
+    merged = new_rows if stored is None else upsert(stored, new_rows, key)
+    number = int(versions[-1][8:]) + 1 if versions else 1
+    merged.write.mode("overwrite").parquet(f"{path}/version={number}")
+    for old in versions[:-1]:
+        delete_folder(spark, f"{path}/{old}")
+    return read_registry_table(spark, path)

@@ -58,8 +58,13 @@ def make_estimator(family: str, params: dict | None = None, weight_col: str | No
                             stepSize=p.get("stepSize", 0.1), **common)
         if weight_col:
             gbt.setWeightCol(weight_col)
-        # one binary model per class, fitted concurrently
-        return [OneVsRest(classifier=gbt, parallelism=n_classes, **common)] if n_classes > 2 else [gbt]
+        if n_classes == 2:
+            return [gbt]
+        # one binary model per class, fitted concurrently; the wrapper passes its own weight column on
+        each = OneVsRest(classifier=gbt, parallelism=n_classes, **common)
+        if weight_col:
+            each.setWeightCol(weight_col)
+        return [each]
     if family == "lr":
         est = LogisticRegression(maxIter=p.get("maxIter", 200), regParam=p.get("regParam", 0.0),
                                  elasticNetParam=0.0, standardization=p.get("standardization", True),
@@ -254,11 +259,13 @@ def lr_stacker(train: DataFrame, test: DataFrame, features: list[str], c_values=
     with ``standardization=False``.  Selects by overall log loss (or by
     weighted accuracy when class-weighted).  Returns (best C, OOF result, scores)."""
     prepared = prepare(train, features, label, k, seed, None, weight_col, id_col, classes)
-    n_fit = prepared.where(F.col("fold") != 0).count()   # fold sizes differ by <= 1 per class
+    # weights (1 each, if there are none) of the rows that one fold's model is fitted on, on average
+    mass = F.sum(F.col(weight_col).cast("double")) if weight_col else F.count(F.lit(1)).cast("double")
+    fit_mass = prepared.agg(mass).first()[0] * (k - 1) / k
     results = []
     best = None
     for c in c_values:
-        reg = 1.0 / (float(c) * n_fit)
+        reg = 1.0 / (float(c) * fit_mass)
         r = run_oof(train, test, features, "lr", {"regParam": reg, "standardization": False, "maxIter": 300},
                     "lr_logits", label, k, seed, weight_col, id_col, classes, prepared=prepared)
         row = r.scores.where(F.col("fold") == "overall").first().asDict()

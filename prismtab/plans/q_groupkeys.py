@@ -76,7 +76,7 @@ HY_SQL = " + ".join(f"(CASE WHEN {n} > 0 THEN -({n} / n_all) * ln({n} / n_all) E
 
 
 def _score_sql(keys: tuple[str, ...]) -> str:
-    name, joined = GK.safe_name(keys), "|".join(keys)
+    name, joined = GK.key_label(keys), "|".join(keys)
     return f"""SELECT '{name}' AS key_name, '{joined}' AS keys, {len(keys)} AS degree,
   CAST(count(*) FILTER (WHERE tr > 0) AS INTEGER) AS n_train_groups,
   CAST(count(*) FILTER (WHERE te > 0) AS INTEGER) AS n_test_groups,
@@ -109,7 +109,7 @@ def q_group_key_scores(spark, sf_dir):
 
 # ---------------------------------------------------------------- E-07 / E-09
 def _profile_sql(keys: tuple[str, ...]) -> str:
-    name, joined = GK.safe_name(keys), "|".join(keys)
+    name, joined = GK.key_label(keys), "|".join(keys)
     k2 = keys[1] if len(keys) > 1 else "CAST(NULL AS VARCHAR)"
     return f"""SELECT '{name}' AS key_name, '{joined}' AS keys, {keys[0]} AS k1, {k2} AS k2,
   CAST(cg AS BIGINT) AS count_GALAXY, CAST(cq AS BIGINT) AS count_QSO, CAST(cs AS BIGINT) AS count_STAR,

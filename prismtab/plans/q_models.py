@@ -115,7 +115,7 @@ def q_level2(spark, sf_dir):
     feats, names = _stack_features(spark, sf_dir)
     train = feats.where(F.col("split") == "train").drop("split")
     test = feats.where(F.col("split") == "test").drop("split", "class")
-    return _oof_table(O.run_oof(train, test, names, "gbt", GBT, "ag_stack", k=K), "ag_stack")
+    return _oof_table(O.run_oof(train, test, names, "gbt", GBT, "level2", k=K), "level2")
 
 
 # ---------------------------------------------------------------- K-09

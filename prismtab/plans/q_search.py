@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from prismtab.constants import CLASSES, DEFAULT_QSO_RANGE, DEFAULT_REPLACE_RANGE, DEFAULT_STAR_RANGE
+from prismtab.constants import CLASSES, DEFAULT_QSO_STEPS, DEFAULT_REPLACE_STEPS, DEFAULT_STAR_STEPS
 from prismtab.functions.features import astronomy_features, guard_features_v2
 from prismtab.functions.proba import argmax_class
 from prismtab.operators import search as S
@@ -16,9 +16,9 @@ from prismtab.plans.catalog import register, rounded
 from prismtab.plans.common import argmax_sql, model_cols, with_views
 from prismtab.sources.fixtures import load_obs, load_pro
 
-QT = S.parse_range(DEFAULT_QSO_RANGE)
-ST = S.parse_range(DEFAULT_STAR_RANGE)
-RT = S.parse_range(DEFAULT_REPLACE_RANGE)
+QT = S.steps(*DEFAULT_QSO_STEPS)
+ST = S.steps(*DEFAULT_STAR_STEPS)
+RT = S.steps(*DEFAULT_REPLACE_STEPS)
 
 
 def _vals(name: str, vals) -> str:
@@ -186,7 +186,7 @@ def q_materialize_threshold(spark, sf_dir):
 
 
 # ---------------------------------------------------------------- I-02 / G-03 / I-03
-GUARD_GRIDS = {k: S.parse_float_grid(v) for k, v in S.GUARD_DEFAULTS.items() if k != "blue_cloud_required"}
+GUARD_GRIDS = S.GUARD_DEFAULTS
 
 
 def guard_frame(spark, sf_dir):
@@ -216,7 +216,7 @@ GF_SQL = """gf AS (
 
 GUARD_SQL = with_views(
     GF_SQL,
-    _vals("pg_", S.parse_float_grid(S.GUARD_DEFAULTS["p_galaxy_threshold"])),
+    _vals("pg_", GUARD_GRIDS["p_galaxy_threshold"]),
     _vals("zg", GUARD_GRIDS["redshift_abs_max"]),
     _vals("cg", GUARD_GRIDS["compact_color_score_max"]),
     _vals("mg", GUARD_GRIDS["mag_std_max"]),
@@ -261,7 +261,7 @@ GUARD_SQL = with_views(
   round((wok + dw) / w - 2e0 * inj_o / greatest(n, 1) + 0.25e0 * rec_o / greatest(n, 1), 6) AS guard_objective,
   CAST(changed AS BIGINT) AS changed_to_galaxy, round(changed / n, 6) AS changed_rate,
   CAST(chg AS BIGINT) AS recovered_to_galaxy, CAST(inj AS BIGINT) AS injured_base_correct,
-  CAST(inj_o AS BIGINT) AS injured_015_only_correct, CAST(rec_o AS BIGINT) AS recovered_015_only_correct_true_galaxy,
+  CAST(inj_o AS BIGINT) AS injured_other_only_correct, CAST(rec_o AS BIGINT) AS recovered_other_only_correct_true_galaxy,
   CAST(chg AS BIGINT) AS changed_true_galaxy, CAST(chq AS BIGINT) AS changed_true_qso,
   CAST(chs AS BIGINT) AS changed_true_star, CAST(s2g + chs AS BIGINT) AS star_to_galaxy,
   CAST(q2g + chq AS BIGINT) AS qso_to_galaxy, CAST(g2s - gfs AS BIGINT) AS galaxy_to_star,
@@ -281,8 +281,8 @@ def q_guard_grid(spark, sf_dir):
 
 @register("g03_guard_leaderboard", GUARD_SQL.replace(
     "SELECT pt AS p_galaxy_threshold", "SELECT * FROM (SELECT pt AS p_galaxy_threshold", 1
-) + """) ORDER BY guard_objective DESC, weighted_accuracy DESC, injured_015_only_correct ASC,
-  recovered_015_only_correct_true_galaxy DESC, changed_to_galaxy ASC, p_galaxy_threshold, redshift_abs_max,
+) + """) ORDER BY guard_objective DESC, weighted_accuracy DESC, injured_other_only_correct ASC,
+  recovered_other_only_correct_true_galaxy DESC, changed_to_galaxy ASC, p_galaxy_threshold, redshift_abs_max,
   compact_color_score_max, mag_std_max, blue_cloud_required LIMIT 25""")
 def q_guard_leaderboard(spark, sf_dir):
     return S.guard_leaderboard(rounded(guard_results(spark, sf_dir)), 25)

@@ -46,7 +46,7 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 
     On a cluster ``spark.checkpoint.dir`` names a shared folder (HDFS/S3/...);
     we read it from the session.  Only when it is unset (local tests) do we
-    point it at a fresh scratch folder.
+    point it at a fresh scratch folder; on a cluster without it this is an error.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -54,6 +54,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         configured = tempfile.mkdtemp(prefix="prismtab-ckpt-")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured

@@ -7,8 +7,6 @@ unless asked.  Outputs are keyed by id: nothing depends on row order.
 
 from __future__ import annotations
 
-import os
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -28,8 +26,40 @@ TEST_SCHEMA = T.StructType([T.StructField(n, t) for n, t in OBS_FIELDS])
 PRED_SCHEMA = T.StructType([T.StructField("id", T.LongType()), T.StructField("class", T.StringType())])
 
 
+def _hadoop(spark: SparkSession, path: str):
+    """(file system, path) of the store that the path names."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark._jsc.hadoopConfiguration()), p
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether a file or folder exists, in any store that Spark reads."""
+    fs, p = _hadoop(spark, path)
+    return fs.exists(p)
+
+
+def child_folders(spark: SparkSession, path: str) -> list[str]:
+    """Names of the folders below a path (none if it does not exist)."""
+    fs, p = _hadoop(spark, path)
+    return sorted(s.getPath().getName() for s in fs.listStatus(p) if s.isDirectory()) if fs.exists(p) else []
+
+
+def delete_folder(spark: SparkSession, path: str) -> None:
+    fs, p = _hadoop(spark, path)
+    fs.delete(p, True)
+
+
+def _is_folder(spark: SparkSession, path: str) -> bool:
+    fs, p = _hadoop(spark, path)
+    return fs.exists(p) and fs.getFileStatus(p).isDirectory()
+
+
+def _join(directory: str, name: str) -> str:
+    return f"{directory.rstrip('/')}/{name}"
+
+
 def _read(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
-    if path.endswith(".parquet") or os.path.isdir(path) and not path.endswith(".csv"):
+    if path.endswith(".parquet") or not path.endswith(".csv") and _is_folder(spark, path):
         df = spark.read.parquet(path)
         return df if schema is None else df.select(*[F.col(f.name).cast(f.dataType) for f in schema.fields
                                                       if f.name in df.columns])
@@ -44,8 +74,8 @@ def read_inputs(spark: SparkSession, directory: str, fmt: str = "csv"):
     names = {"train": TRAIN_SCHEMA, "test": TEST_SCHEMA, "sample_submission": PRED_SCHEMA}
     out = []
     for name, schema in names.items():
-        path = os.path.join(directory, f"{name}.{fmt}")
-        if not os.path.exists(path):
+        path = _join(directory, f"{name}.{fmt}")
+        if not path_exists(spark, path):
             raise FileNotFoundError(f"Missing input file: {path}")
         out.append(_read(spark, path, schema))
     return tuple(out)
@@ -74,10 +104,10 @@ def read_columns(spark: SparkSession, path: str, cols) -> DataFrame:
 
 def read_oof_run(spark: SparkSession, run_dir: str, fmt: str = "parquet"):
     """A-04: (train, test, scores) of one OOF run; missing scores → empty typed frame."""
-    train = _read(spark, os.path.join(run_dir, f"oof_train.{fmt}"))
-    test = _read(spark, os.path.join(run_dir, f"oof_test.{fmt}"))
-    sp = os.path.join(run_dir, f"scores.{fmt}")
-    scores = _read(spark, sp) if os.path.exists(sp) else spark.createDataFrame([], SCORES_SCHEMA)
+    train = _read(spark, _join(run_dir, f"oof_train.{fmt}"))
+    test = _read(spark, _join(run_dir, f"oof_test.{fmt}"))
+    sp = _join(run_dir, f"scores.{fmt}")
+    scores = _read(spark, sp) if path_exists(spark, sp) else spark.createDataFrame([], SCORES_SCHEMA)
     return train, test, scores
 
 
@@ -100,7 +130,7 @@ def prediction_table(df: DataFrame, pred_col: str, id_col: str = ID_COL, label_c
 
 def optional_frame(spark: SparkSession, path: str | None, schema: T.StructType) -> DataFrame:
     """A-06: an optional input: absent → empty frame of the given schema."""
-    if path and os.path.exists(path):
+    if path and path_exists(spark, path):
         return _read(spark, path, schema)
     return spark.createDataFrame([], schema)
 

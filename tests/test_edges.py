@@ -182,11 +182,14 @@ def test_upsert_keeps_newest(spark):
     assert out == {"a": "v1", "b": "v2"}
 
 
-def test_parse_range_inclusive():
-    assert S.parse_range("0.40:0.60:0.02")[-1] == 0.6
-    assert len(S.parse_range("0.50:0.95:0.03")) == 16
+def test_grid_axes():
+    assert S.steps("0.40", "0.60", "0.02")[-1] == 0.6
+    assert len(S.steps("0.50", "0.95", "0.03")) == 16
+    assert S.axis([0.3, 0.1, 0.3]) == [0.1, 0.3]
     with pytest.raises(ValueError):
-        S.parse_range("0:1:0")
+        S.steps("0", "1", "0")
+    with pytest.raises(ValueError):
+        S.axis([])
 
 
 def test_slice_names_lattice():
@@ -269,3 +272,58 @@ def test_anova_with_pvalues(spark):
     r = out["x"]
     assert r["df_between"] == 2 and r["df_within"] == 6 and r["f_score"] > 100
     assert r["p_value"] == pytest.approx((1 + 2 * r["f_score"] / 6) ** (-3), rel=1e-9)
+
+
+def test_long_key_names_score_apart(spark):
+    long = "a" * 200
+    rows = [(i, "GALAXY" if i % 2 else "STAR", str(i % 2), "same") for i in range(80)]
+    df = spark.createDataFrame(rows, f"id long, class string, {long}x string, {long}y string")
+    cells = GK.group_cells(df, df, "class", [(f"{long}x",), (f"{long}y",)])
+    got = {r["keys"]: r["weighted_purity"] for r in GK.group_key_scores(cells).collect()}
+    assert got == {f"{long}x": 1.0, f"{long}y": 0.5}
+
+
+def test_candidates_are_all_kept_unless_a_limit_says_so():
+    cats, bins = [f"c{i}" for i in range(5)], [f"b{i}" for i in range(40)]
+    keys = GK.group_candidates(cats, bins)
+    assert len(keys) == len(set(keys)) == 45 + 10 + 200 + 780 + 10 * 40 + 5 * 780
+    with pytest.warns(UserWarning, match="drops"):
+        assert len(GK.group_candidates(cats, bins, limit=100)) == 100
+
+
+def test_samples_count_null_labels(spark):
+    from prismtab.operators import folds
+
+    df = spark.range(10_000).withColumn("class", F.when(F.col("id") % 4 == 0, None).when(F.col("id") % 4 == 1, "STAR").otherwise("QSO"))
+    for take in (folds.stratified_sample, folds.proportional_sample):
+        got = take(df, "class", 1000)
+        assert got.count() == 1000 and got.where("class is null").count() == 250
+
+
+def test_unknown_classes_end_the_job(spark):
+    from prismtab.operators import metrics
+
+    ok = spark.createDataFrame([("STAR", "QSO")], "class string, p string")
+    assert metrics.confusion(ok, "class", "p").agg(F.sum("n")).first()[0] == 1
+    for bad in (("STAR", None), ("NOVA", "QSO")):
+        with pytest.raises(Exception, match="unknown class"):
+            metrics.confusion(spark.createDataFrame([bad], "class string, p string"), "class", "p").collect()
+
+
+def test_registry_and_optional_input_by_uri(spark):
+    from prismtab.sources import io as IO
+
+    d = tempfile.mkdtemp(prefix="prismtab-uri-")
+    pred = spark.createDataFrame([(1, "STAR")], "id long, class string")
+    for name in ("a", "b", "c"):
+        out = RG.upsert_registry_table(spark, f"file://{d}/registry", RG.register_prediction(pred, name))
+    assert sorted(r["submission_relpath"] for r in out.collect()) == ["a", "b", "c"]
+    assert sorted(n for n in os.listdir(f"{d}/registry")) == ["version=2", "version=3"]
+    pred.write.parquet(f"file://{d}/pred")
+    assert IO.optional_frame(spark, f"file://{d}/pred", IO.PRED_SCHEMA).count() == 1
+    assert IO.optional_frame(spark, f"file://{d}/none", IO.PRED_SCHEMA).count() == 0
+
+
+def test_no_metrics_give_no_metric(spark):
+    row = RG.register_prediction(spark.createDataFrame([(1, "STAR")], "id long, class string"), "x").first()
+    assert row["primary_metric_name"] is None and row["metrics_json"] in (None, "{}")

@@ -53,7 +53,7 @@ def test_guard_grid_empty_threshold_equals_baseline(spark):
 
     df = guard_frame(spark, SF_SMALL)
     res = S.search_guard_grid(df, "class", "base_pred", "other_pred", "p_galaxy",
-                              grids={"p_galaxy_threshold": "1.5,2.0"}).collect()
+                              grids={"p_galaxy_threshold": [1.5, 2.0]}).collect()
     assert all(r["changed_to_galaxy"] == 0 and r["delta_accuracy"] == 0 for r in res)
 
 
