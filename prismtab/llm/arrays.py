@@ -154,6 +154,19 @@ def norm_words(raw: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[n
     return out, at
 
 
+#: bytes of one Arrow batch between Spark and a task's Python
+BATCH_BYTES = 4 << 20
+
+
+def small_batches(df):
+    """``df``, after its session's Arrow batches were held to ``BATCH_BYTES``: the default is made for narrow rows, not for texts."""
+    conf = df.sparkSession.conf
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    if int(str(conf.get(name, "67108864b")).rstrip("bB")) > BATCH_BYTES:
+        conf.set(name, str(BATCH_BYTES))
+    return df
+
+
 def batches(frames, rows: int = 1 << 30, size: int = 1 << 19):
     """Cut Arrow batches into slices of about ``size`` bytes (at least one row each)."""
     for batch in frames:

@@ -26,6 +26,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from prismtab.llm.arrays import small_batches
+
 #: role: marks before and behind its texts; any other role is written out before its text
 MARKS = {"system": ("<<SYS>>", "<</SYS>>"), "user": ("[INST]", "[/INST]"), "assistant": ("<s>", "</s>")}
 OTHER = ("<<ROLE>>", "<<TEXT>>", "<</TEXT>>")
@@ -130,7 +132,7 @@ def conversations(events: DataFrame, order: list[str | Column]) -> DataFrame:
         T.StructField("conversation", kind), T.StructField("n_turns", T.LongType()), T.StructField("formatted", T.StringType()),
         T.StructField("loss", T.ArrayType(T.StructType([T.StructField("start", T.LongType()), T.StructField("stop", T.LongType())])))])
     arrow = pa.list_(pa.struct([("start", pa.int64()), ("stop", pa.int64())]))
-    ordered = events.repartition("conversation").sortWithinPartitions("conversation", *order)
+    ordered = small_batches(events).repartition("conversation").sortWithinPartitions("conversation", *order)
     ordered = ordered.select("conversation", "kind", "message", F.coalesce("role", F.lit("")).alias("role"), F.coalesce("text", F.lit("")).alias("text"))
 
     def run(frames):

@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from prismtab.llm.arrays import batches, mix, span_hashes, text_buffer, word_spans
+from prismtab.llm.arrays import batches, mix, small_batches, span_hashes, text_buffer, word_spans
 
 #: 1: the token counts, 0: it is ignored.  Whichever two tokens of a window of thirteen
 #: are substituted, one of these masks hits at some place inside the window.
@@ -169,7 +169,7 @@ def overlaps(df: DataFrame, benchmark: DataFrame, text: str = "text", item_id: s
     matches.  An input column named matches is replaced.  Items with equal
     texts each match under their own id.
     """
-    df = df.drop("matches")
+    df = small_batches(df).drop("matches")
     spark = df.sparkSession
     items = benchmark.select(F.col(item_id).cast("long").alias("id"), F.coalesce(F.col(item_text), F.lit("")).alias("text"))
     size = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0

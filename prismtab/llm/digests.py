@@ -24,7 +24,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from prismtab.llm.arrays import batches, sliding_min, span_hashes, text_buffer
+from prismtab.llm.arrays import batches, sliding_min, small_batches, span_hashes, text_buffer
 
 FEATURE, CLASSES, VOTES, CAPACITY, BITS = 64, 1001, 16, 160, 2048
 #: windows below this class (near-constant bytes) are never selected
@@ -81,7 +81,7 @@ def entropy_ranks(df: DataFrame, text: str = "text") -> np.ndarray:
         yield pa.RecordBatch.from_arrays([pa.array(np.arange(CLASSES, dtype=np.int32)), pa.array(sums)], ["class", "n"])
 
     counts = np.zeros(CLASSES, np.int64)
-    for r in df.select(text).mapInArrow(count, "class int, n long").groupBy("class").agg(F.sum("n").alias("n")).collect():
+    for r in small_batches(df).select(text).mapInArrow(count, "class int, n long").groupBy("class").agg(F.sum("n").alias("n")).collect():
         counts[r["class"]] = r.n
     ranks = np.empty(CLASSES, np.int32)
     ranks[np.lexsort([np.arange(CLASSES), counts])] = np.arange(CLASSES)
@@ -166,7 +166,7 @@ def fingerprints(df: DataFrame, columns: dict[str, str], ranks: np.ndarray) -> D
     Null and empty texts have the empty digest; equal texts have equal digests; whole texts are read, however long.
     Input columns of the new names are replaced.
     """
-    df = df.drop(*columns.values())
+    df = small_batches(df).drop(*columns.values())
     places = [df.columns.index(c) for c in columns]
     schema = T.StructType([*df.schema.fields, *[T.StructField(c, T.StringType()) for c in columns.values()]])
 
@@ -195,7 +195,7 @@ def with_next(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataFra
     rows travel once to their range, and the first row of each range also
     travels to the range before it.
     """
-    df = df.drop("next_text")
+    df = small_batches(df).drop("next_text")
     own = F.struct(*[F.col(f"`{c}`") for c in df.columns])
     rows = df.select(own.alias("row"), F.col(text).alias("text"), F.col(key).cast("long").alias("id"), F.xxhash64(text).alias("hash"))
     total, count, known = rows.agg(F.sum(F.octet_length("text")), F.count("*"), F.count("id")).first()

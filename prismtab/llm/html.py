@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from prismtab.llm.arrays import batches
+from prismtab.llm.arrays import batches, small_batches
 from prismtab.llm.language import host_of
 from prismtab.session import cut_lineage
 
@@ -221,7 +221,7 @@ def main_text(df: DataFrame, html: str = "html", url: str = "url", text: str = "
     null or empty page has an empty text.  Pages without a URL share the empty
     host.  An input column named as ``text`` is replaced.
     """
-    df = df.drop(text)
+    df = small_batches(df).drop(text)
     own = F.struct(*[F.col(f"`{c}`") for c in df.columns])
     rows = df.select(own.alias("row"), F.col(html).alias("html"), host_of(F.col(url)).alias("host"))
     templates = cut_lineage(template_subtrees(rows, least_pages, least_share))

@@ -23,7 +23,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from prismtab.llm.arrays import SPACE, batches, text_buffer
+from prismtab.llm.arrays import SPACE, batches, small_batches, text_buffer
 from prismtab.session import cut_lineage
 
 #: labelled rows (about) that the trigram model is fitted on, for each of at most so many labels
@@ -64,7 +64,7 @@ def fit(df: DataFrame, text: str, label: str, sample_rows: int = SAMPLE_ROWS) ->
 
     About ``sample_rows`` rows of each label, chosen by a hash of label and text, are read whole.
     """
-    labelled = df.where(F.col(label).isNotNull() & (F.col(label) != "")).select(F.col(label).alias("label"), F.col(text).alias("text"))
+    labelled = small_batches(df).where(F.col(label).isNotNull() & (F.col(label) != "")).select(F.col(label).alias("label"), F.col(text).alias("text"))
     counts = labelled.groupBy("label").count().orderBy(F.desc("count"), "label").limit(MAX_LANGUAGES).collect()
     languages = sorted(r[0] for r in counts if r[0] != UND)
     if not languages:
@@ -124,7 +124,7 @@ def identify(df: DataFrame, text: str = "text", declared: Column | None = None,
     language that sorts first.  Without any labelled row all are und.  Input
     columns of the three names are replaced.
     """
-    df = df.drop("language", "probability", "accepted")
+    df = small_batches(df).drop("language", "probability", "accepted")
     languages, logs = model if model is not None else fit(df, text, label)
     names, k = [*languages, UND], len(languages) + 1
     spark = df.sparkSession

@@ -39,7 +39,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from prismtab.llm.arrays import LOWER, P1, batches, mix, span_hashes, text_buffer, word_spans
+from prismtab.llm.arrays import LOWER, P1, batches, mix, small_batches, span_hashes, text_buffer, word_spans
 from prismtab.session import ensure_checkpoint_dir
 
 END, START = np.uint64(0), np.uint64(1)
@@ -283,7 +283,7 @@ def train(df: DataFrame, text: str = "text") -> Model:
     """Count the pairs of all texts of ``df`` (null: empty) and store the model in the shared checkpoint folder."""
     spark = df.sparkSession
     store = Store(f"{ensure_checkpoint_dir(spark).rstrip('/')}/ngrams-{uuid.uuid4().hex}")
-    size = df.agg(F.sum(F.octet_length(text))).first()[0] or 0
+    size = small_batches(df).agg(F.sum(F.octet_length(text))).first()[0] or 0
     parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), math.ceil(size / PART_BYTES))
     counted = df.select(text).mapInArrow(lambda f: _count(f, parts), "part int, blob binary").repartitionById(parts, "part")
     summed = counted.mapInArrow(lambda f: _store_pairs(f, store, parts), "range int, kind int, blob binary").repartitionById(parts, "range")
@@ -389,7 +389,7 @@ def score(df: DataFrame, model: Model, text: str = "text") -> DataFrame:
     A model of no text gives every token the same probability.  Input columns of these names are replaced.
     """
     names = ["n_tokens", "n_known", "base_score", "score"]
-    df = df.drop(*names)
+    df = small_batches(df).drop(*names)
     place = df.columns.index(text)
     schema = T.StructType([*df.schema.fields, *[T.StructField(n, k) for n, k in zip(names, (T.LongType(), T.LongType(), T.DoubleType(), T.DoubleType()))]])
 

@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from prismtab.llm.arrays import batches
+from prismtab.llm.arrays import batches, small_batches
 
 MARK = "▁"
 MODEL_BYTES = 64 << 20
@@ -303,7 +303,7 @@ def encode(df: DataFrame, model_path: str, text: str = "text", ids: str = "ids")
     Null and empty texts have no ids.  Texts of any length are coded whole, in
     memory of a few times the text.  An input column named as ``ids`` is replaced.
     """
-    df = df.drop(ids)
+    df = small_batches(df).drop(ids)
     place = df.columns.index(text)
     schema = T.StructType([*df.schema.fields, T.StructField(ids, T.ArrayType(T.IntegerType(), False))])
     model = df.sparkSession.sparkContext.broadcast(read_model(df.sparkSession, model_path))
@@ -323,7 +323,7 @@ def encode(df: DataFrame, model_path: str, text: str = "text", ids: str = "ids")
 
 def decode(df: DataFrame, model_path: str, ids: str = "ids", text: str = "decoded") -> DataFrame:
     """All rows and columns of ``df`` with the text of the ids; a null list gives null, an empty one an empty text."""
-    df = df.drop(text)
+    df = small_batches(df).drop(text)
     place = df.columns.index(ids)
     schema = T.StructType([*df.schema.fields, T.StructField(text, T.StringType())])
     model = df.sparkSession.sparkContext.broadcast(read_model(df.sparkSession, model_path))

@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from prismtab.llm.arrays import LOWER, batches, norm_words, span_hashes, text_buffer, word_spans
+from prismtab.llm.arrays import LOWER, batches, norm_words, small_batches, span_hashes, text_buffer, word_spans
 from prismtab.llm.components import components
 from prismtab.session import cut_lineage
 
@@ -64,7 +64,7 @@ def fingerprints(df: DataFrame, key: str = "doc_id", text: str = "text", shingle
     the shingles' XXH64 (seed 42).  Null, empty and blank texts have
     fingerprint zero.
     """
-    rows = df.select(F.col(key).alias("key"), F.col(text).alias("text"))
+    rows = small_batches(df).select(F.col(key).alias("key"), F.col(text).alias("text"))
     schema = f"key {rows.schema['key'].dataType.simpleString()}, fp long"
 
     def run(frames):

@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from prismtab.llm.arrays import batches, mix, norm_words, sliding_min, span_hashes, text_buffer, word_spans
+from prismtab.llm.arrays import batches, mix, norm_words, sliding_min, small_batches, span_hashes, text_buffer, word_spans
 
 MINIMISER = 8
 LONGEST = 256
@@ -233,7 +233,7 @@ def remove_repeats(df: DataFrame, key: str = "doc_id", text: str = "text", size:
     Input columns of the three names are replaced.  An empty table gives an
     empty result.
     """
-    df = df.drop("n_words", "n_removed", "kept")
+    df = small_batches(df).drop("n_words", "n_removed", "kept")
     own = F.struct(*[F.col(f"`{c}`") for c in df.columns])
     rows = df.select(own.alias("row"), F.col(text).alias("text"), F.col(key).cast("long").alias("key"), F.xxhash64(key, text).alias("hash"))
     ranges = covered_ranges(rows.select("key", F.col("hash").alias("row"), "text"), size)
