@@ -25,7 +25,7 @@ from pyspark.ml.classification import (
     OneVsRest,
     RandomForestClassifier,
 )
-from pyspark.ml.feature import StandardScaler, VectorAssembler
+from pyspark.ml.feature import StandardScaler, StringIndexer, StringIndexerModel, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -163,15 +163,46 @@ class OOFResult:
     seconds: list = field(default_factory=list)
 
 
+@dataclass
+class Vectoriser:
+    """Model input of a table: numeric columns with the training medians for NULL and NaN, string columns as codes
+    (B-34..B-37; unseen and NULL strings share one more code), assembled in the order of ``features``."""
+
+    features: list[str]
+    medians: dict[str, float]
+    indexer: StringIndexerModel | None
+
+    def transform(self, df: DataFrame) -> DataFrame:
+        def filled(c: str):
+            x = F.col(c).cast("double")
+            return F.when(x.isNotNull() & ~F.isnan(x), x).otherwise(F.lit(self.medians[c]))
+
+        out = df.withColumns({f"_in_{c}": filled(c) for c in self.medians})
+        out = self.indexer.transform(out) if self.indexer else out
+        ready = VectorAssembler(inputCols=[f"_in_{c}" for c in self.features], outputCol=FEATURES).transform(out)
+        return ready.drop(*[f"_in_{c}" for c in self.features])
+
+
+def fit_vectoriser(train: DataFrame, features: list[str], relative_error: float = 0.001) -> Vectoriser:
+    """Medians (within ``relative_error`` ranks; 0 for a column of NULLs) and string codes of the training table, one job each."""
+    strings = [c for c in features if dict(train.dtypes)[c] == "string"]
+    numbers = [c for c in features if c not in strings]
+    found = train.select(*[F.col(c).cast("double") for c in numbers]).approxQuantile(numbers, [0.5], relative_error) if numbers else []
+    indexer = None
+    if strings:
+        indexer = StringIndexer(inputCols=strings, outputCols=[f"_in_{c}" for c in strings], handleInvalid="keep").fit(train)
+    return Vectoriser(list(features), {c: q[0] if q else 0.0 for c, q in zip(numbers, found)}, indexer)
+
+
 def prepare(train: DataFrame, features: list[str], label: str = "class", k: int = 5, seed: int = 42,
             fold_col: str | None = None, weight_col: str | None = None, id_col: str = "id",
-            classes=CLASSES, checkpoint: bool = True) -> DataFrame:
+            classes=CLASSES, checkpoint: bool = True, vectoriser: Vectoriser | None = None) -> DataFrame:
     """Fold assignment (F-02) + label code + feature vector, materialised once."""
+    vectoriser = vectoriser or fit_vectoriser(train, features)
     df = train if fold_col else stratified_folds(train, label, k, id_col, seed, name="fold")
     fold = fold_col or "fold"
     keep = [id_col, label, fold] + ([weight_col] if weight_col else [])
-    assembler = VectorAssembler(inputCols=features, outputCol=FEATURES, handleInvalid="keep")
-    out = assembler.transform(df.withColumn(LABEL, class_code(F.col(label), classes).cast("double"))).select(
+    out = vectoriser.transform(df.withColumn(LABEL, class_code(F.col(label), classes).cast("double"))).select(
         *keep, LABEL, FEATURES)
     if fold != "fold":
         out = out.withColumnRenamed(fold, "fold")
@@ -186,12 +217,13 @@ def run_oof(train: DataFrame, test: DataFrame | None, features: list[str], famil
     probability of the model that did not see it; test rows get the mean over
     the k fold models.  Per-fold and overall metrics (E-03/E-05)."""
     n = len(classes)
+    vectoriser = fit_vectoriser(train, features)
     base = prepared if prepared is not None else prepare(train, features, label, k, seed, None, weight_col, id_col,
-                                                          classes)
+                                                          classes, vectoriser=vectoriser)
     stages = make_estimator(family, params, weight_col, seed, len(features), n)
     tv = None
     if test is not None:
-        tv = VectorAssembler(inputCols=features, outputCol=FEATURES, handleInvalid="keep").transform(test).select(
+        tv = vectoriser.transform(test).select(
             id_col, FEATURES)
     def fit_one(f):
         t0 = time.time()
@@ -289,8 +321,9 @@ def two_stage_classifier(train: DataFrame, test: DataFrame, features: list[str],
     fold, combined by the chain rule (B-25)."""
     from prismtab.functions.proba import combined_two_stage
 
-    base = prepare(train, features, label, k, seed, None, None, id_col)
-    tv = VectorAssembler(inputCols=features, outputCol=FEATURES, handleInvalid="keep").transform(test).select(
+    vectoriser = fit_vectoriser(train, features)
+    base = prepare(train, features, label, k, seed, None, None, id_col, vectoriser=vectoriser)
+    tv = vectoriser.transform(test).select(
         id_col, FEATURES)
     def both(frame, keep, pairs):
         """Apply (QSO model, STAR model) pairs in sequence on the same rows and
@@ -342,10 +375,11 @@ def local_binary_model(train: DataFrame, test: DataFrame, features: list[str], p
     from prismtab.operators.metrics import binary_metrics, roc_auc
 
     pair = train.where(F.col(label).isin(positive, negative))
-    base = prepare(pair, features, label, k, seed, None, weight_col, id_col, [negative, positive])
-    others = VectorAssembler(inputCols=features, outputCol=FEATURES, handleInvalid="keep").transform(
+    vectoriser = fit_vectoriser(pair, features)
+    base = prepare(pair, features, label, k, seed, None, weight_col, id_col, [negative, positive], vectoriser=vectoriser)
+    others = vectoriser.transform(
         train.where(~F.col(label).isin(positive, negative))).select(id_col, FEATURES)
-    tv = VectorAssembler(inputCols=features, outputCol=FEATURES, handleInvalid="keep").transform(test).select(
+    tv = vectoriser.transform(test).select(
         id_col, FEATURES)
     def fit_one(f):
         fit = base.where(F.col("fold") != f)
@@ -406,7 +440,7 @@ def holdout_baseline(train: DataFrame, test: DataFrame, features: list[str], fam
     from prismtab.operators.folds import train_valid_split
 
     split = train_valid_split(train, label, 0.2, id_col, seed)
-    asm = VectorAssembler(inputCols=features, outputCol=FEATURES, handleInvalid="keep")
+    asm = fit_vectoriser(train, features)
     lab = split.withColumn(LABEL, class_code(F.col(label)).cast("double"))
     v = asm.transform(lab)
     stages = make_estimator(family, params, None, seed, len(features), len(CLASSES))

@@ -61,3 +61,37 @@ def test_greedy_selection_drops_correlated(spark):
     out = {r["model"]: r for r in O.select_diverse_models(board, corr, 0.99).collect()}
     assert out["a"]["selected"] and not out["b"]["selected"] and out["c"]["selected"]
     assert out["b"]["drop_reason"].startswith("corr>=")
+
+
+@pytest.fixture(scope="module")
+def rough(spark):
+    """Features with NULL, NaN, a constant NULL column and strings; the class follows from x and s with some noise."""
+    h = F.pmod(F.xxhash64("id"), F.lit(1000)) / 1000.0
+    rows = spark.range(400).withColumn("x", F.when(F.col("id") % 11 == 0, None).when(F.col("id") % 13 == 0, float("nan")).otherwise(h))
+    rows = rows.withColumn("s", F.when(F.col("id") % 7 == 0, None).otherwise(F.concat(F.lit("k"), F.col("id") % 3)))
+    rows = rows.withColumn("none", F.lit(None).cast("double")).withColumn("n", (F.col("id") % 5).cast("int"))
+    noisy = F.when(F.col("id") % 10 == 0, h).otherwise(F.coalesce(F.nanvl("x", F.lit(0.5)), F.lit(0.5)))
+    rows = rows.withColumn("class", F.when(noisy < 0.33, "GALAXY").when(noisy < 0.66, "QSO").otherwise("STAR"))
+    return rows.withColumn("w", F.when(F.col("class") == "STAR", 4.6).when(F.col("class") == "QSO", 3.2).otherwise(1.0))
+
+
+@pytest.mark.parametrize("family, params", [("rf", {"numTrees": 4}), ("gbt", {"maxIter": 2}), ("lr", {"maxIter": 20}), ("mlp", {"maxIter": 10, "hidden": [4]})])
+def test_rough_features_and_weights(spark, rough, family, params):
+    test = rough.drop("class", "w").withColumn("s", F.when(F.col("id") % 2 == 0, "unseen").otherwise(F.col("s")))
+    r = O.run_oof(rough, test, ["x", "s", "none", "n"], family, params, "m", k=2, weight_col="w")
+    cols = [f"m__{c}" for c in CLASSES]
+    for frame in (r.oof, r.test):
+        assert frame.count() == 400
+        assert frame.where(F.abs(sum(F.col(c) for c in cols) - 1) > 1e-6).count() == 0
+    assert r.scores.where("fold = 'overall'").first()["accuracy"] > 0.4
+
+
+def test_a_weight_of_two_is_a_doubled_row(spark, rough):
+    fit = dict(family="lr", params={"maxIter": 100, "regParam": 0.01, "standardization": False})
+    vec = O.fit_vectoriser(rough, ["x", "n"])
+    base = vec.transform(rough).withColumn("_y", F.when(F.col("class") == "GALAXY", 0.0).when(F.col("class") == "QSO", 1.0).otherwise(2.0))
+    twice = base.withColumn("w", F.when(F.col("class") == "STAR", 2.0).otherwise(1.0))
+    doubled = base.unionByName(base.where("class = 'STAR'"))
+    a = O.make_estimator(**fit, weight_col="w")[0].fit(twice).coefficientMatrix.toArray()
+    b = O.make_estimator(**fit)[0].fit(doubled).coefficientMatrix.toArray()
+    assert abs(a - b).max() < 1e-4
