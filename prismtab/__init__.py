@@ -12,7 +12,6 @@ operators  checks, joins, metrics, group-key scoring, folds, weights,
            threshold grids, arbitration, model selection, registry
 plans      composed jobs: ``pyspark.ml`` out-of-fold model runs and the
            registered query catalogue used by ``__spark_entry__``
-streaming  intentionally empty (the workflow has no streaming part)
 """
 
 __version__ = "0.1.0"

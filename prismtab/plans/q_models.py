@@ -6,8 +6,8 @@ validation fold, better than the class prior on a planted signal) are
 tested in ``tests/test_models.py``.  G-06 and G-07 are deterministic given
 their inputs; G-07 has an oracle.
 
-The model frame is ``obs`` with the evaluation features and two planted
-signal columns (FIXTURES: obs features carry no class signal by design).
+The model frame is ``obs`` with the evaluation features and a class planted on
+two of them with noise (FIXTURES: the class of obs has nothing to do with its features by design).
 """
 
 from __future__ import annotations
@@ -20,7 +20,7 @@ from prismtab.functions.features import astronomy_features
 from prismtab.operators import metrics as M
 from prismtab.plans import oof as O
 from prismtab.plans.catalog import register, rounded
-from prismtab.plans.common import MODELS, model_cols
+from prismtab.plans.common import MODELS, model_cols, with_views
 from prismtab.sources.fixtures import load_obs, load_pro
 
 BASE_FEATURES = ["u", "g", "r", "i", "z", "redshift", "u_minus_g", "g_minus_r", "r_minus_i", "i_minus_z", "mag_std"]
@@ -32,9 +32,13 @@ GBT = {"maxIter": 10, "maxDepth": 3}
 
 def model_frames(spark, sf_dir):
     obs = astronomy_features(load_obs(spark, sf_dir))
+    # the class follows from two features, for four rows in five; the others keep an unrelated one
+    noise = F.pmod(F.xxhash64(F.lit("class"), F.col("id")), F.lit(5)) == 0
+    planted = F.when(F.col("redshift") > 1.3, "QSO").when(F.col("u") - F.col("z") > 3.0, "STAR").otherwise("GALAXY")
     obs = obs.withColumns({
-        "signal_q": F.col("redshift") + F.when(F.col("class") == "QSO", 1.0).otherwise(0.0),
-        "signal_s": F.col("u") - F.col("z") + F.when(F.col("class") == "STAR", 1.5).otherwise(0.0),
+        "class": F.when(noise, F.col("class")).otherwise(planted),
+        "signal_q": F.col("redshift") * 2.0,
+        "signal_s": F.col("u") - F.col("z"),
     }).select("id", "class", "split", *FEATURES)
     train = obs.where(F.col("split") == "train").drop("split")
     test = obs.where(F.col("split") == "test").drop("split", "class")
@@ -55,15 +59,54 @@ def q_oof_rf(spark, sf_dir):
     return _oof_table(O.run_oof(train, test, FEATURES, "rf", RF, "l1__rf", k=K), "l1__rf")
 
 
+def _checked(table, names: list[str]):
+    """What must hold of any probability table, by split: its rows, distinct ids, and rows whose probabilities do not add up to one."""
+    off = F.abs(sum((F.col(n) for n in names[1:]), F.col(names[0])) - 1) > 1e-5
+    return table.groupBy("split").agg(
+        F.count(F.lit(1)).alias("rows"), F.count_distinct("id").alias("ids"), F.sum(F.when(off | off.isNull(), 1).otherwise(0)).cast("bigint").alias("off"))
+
+
+CHECKED_SQL = with_views() + """SELECT split, count(*) AS rows, count(DISTINCT id) AS ids, CAST(0 AS BIGINT) AS off FROM obs GROUP BY split"""
+
+
+@register("k01_oof_checked", CHECKED_SQL)
+def q_oof_checked(spark, sf_dir):
+    return _checked(q_oof_rf(spark, sf_dir), [f"l1__rf__{c}" for c in CLASSES])
+
+
+@register("k09_two_stage_checked", CHECKED_SQL)
+def q_two_stage_checked(spark, sf_dir):
+    return _checked(q_two_stage_clf(spark, sf_dir), [f"two_stage__{c}" for c in CLASSES])
+
+
+@register("k11_pairwise_checked", CHECKED_SQL)
+def q_pairwise_checked(spark, sf_dir):
+    return _checked(q_pairwise(spark, sf_dir), [f"blend_050__{c}" for c in CLASSES])
+
+
 # ---------------------------------------------------------------- K-02
+SUITE_BLOCKS = ["l1__rf_planted", "l1__lr_planted", "l1__rf_base"]
+
+
+@register("k02_suite_wide")
+def q_suite_wide(spark, sf_dir):
+    """The suite's wide probability tables of both splits."""
+    train, test, _ = _suite(spark, sf_dir)
+    cols = [f"{b}__{c}" for b in SUITE_BLOCKS for c in CLASSES]
+    return rounded(train.select("id", F.lit("train").alias("split"), *cols).unionByName(test.select("id", F.lit("test").alias("split"), *cols)))
+
+
 @register("k02_experiment_suite")
 def q_suite(spark, sf_dir):
+    return rounded(_suite(spark, sf_dir)[2])
+
+
+def _suite(spark, sf_dir):
     train, test = model_frames(spark, sf_dir)
     exps = [{"name": "rf_planted", "family": "rf", "features": FEATURES, "params": RF},
             {"name": "lr_planted", "family": "lr", "features": FEATURES, "params": {"maxIter": 100}},
             {"name": "rf_base", "family": "rf", "features": BASE_FEATURES, "params": RF}]
-    _, _, board = O.run_suite(train, test, exps, k=K)
-    return rounded(board)
+    return O.run_suite(train, test, exps, k=K)
 
 
 # ---------------------------------------------------------------- K-04
@@ -144,13 +187,23 @@ def q_local_binary_metrics(spark, sf_dir):
 @register("k11_pairwise_blocks")
 def q_pairwise(spark, sf_dir):
     train, test = model_frames(spark, sf_dir)
-    gs_tr, _, _ = O.local_binary_model(train, test, FEATURES, "GALAXY", "STAR", "rf", RF, k=K, early_stopping=False)
-    gq_tr, _, _ = O.local_binary_model(train, test, FEATURES, "GALAXY", "QSO", "rf", RF, k=K, early_stopping=False)
-    base = load_pro(spark, sf_dir).where(F.col("split") == "train").select("id", *model_cols("m1"))
-    return rounded(O.pairwise_blocks(base, gs_tr, gq_tr, model_cols("m1")))
+    gs_tr, gs_te, _ = O.local_binary_model(train, test, FEATURES, "GALAXY", "STAR", "rf", RF, k=K, early_stopping=False)
+    gq_tr, gq_te, _ = O.local_binary_model(train, test, FEATURES, "GALAXY", "QSO", "rf", RF, k=K, early_stopping=False)
+    base = load_pro(spark, sf_dir).select("id", "split", *model_cols("m1"))
+    both = [
+        O.pairwise_blocks(base.where(F.col("split") == name).drop("split"), gs, gq, model_cols("m1")).withColumn("split", F.lit(name))
+        for name, gs, gq in (("train", gs_tr, gq_tr), ("test", gs_te, gq_te))
+    ]
+    return rounded(both[0].unionByName(both[1]))
 
 
 # ---------------------------------------------------------------- K-12
+@register("k12_holdout_metrics")
+def q_holdout_metrics(spark, sf_dir):
+    train, test = model_frames(spark, sf_dir)
+    return rounded(O.holdout_baseline(train, test, FEATURES, "rf", RF)[0])
+
+
 @register("k12_holdout_baseline")
 def q_holdout(spark, sf_dir):
     train, test = model_frames(spark, sf_dir)
