@@ -80,7 +80,7 @@ def contaminated(text, item, window=13, similarity=0.8):
     need = math.ceil(similarity * size - 1e-9)
     if len(t) < size:
         return False
-    same = np.array([[a == b for b in t] for a in i], int)
-    return any(
-        sum(same[p + k, q + k] for k in range(size)) >= need
-        for p in range(len(i) - size + 1) for q in range(len(t) - size + 1))
+    number = {w: n for n, w in enumerate(dict.fromkeys(t + i))}
+    same = (np.array([number[w] for w in i])[:, None] == np.array([number[w] for w in t])[None, :]).astype(np.int16)
+    n, m = len(i) - size + 1, len(t) - size + 1
+    return bool((sum(same[k : k + n, k : k + m] for k in range(size)) >= need).any())
