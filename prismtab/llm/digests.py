@@ -199,7 +199,8 @@ def with_next(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataFra
     own = F.struct(*[F.col(f"`{c}`") for c in df.columns])
     rows = df.select(own.alias("row"), F.col(text).alias("text"), F.col(key).cast("long").alias("id"), F.xxhash64(text).alias("hash"))
     total, count, known = rows.agg(F.sum(F.octet_length("text")), F.count("*"), F.count("id")).first()
-    ranges = max(1, min(MAX_RANGES, -(-(total or 0) // RANGE_BYTES)))
+    least = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    ranges = max(1, min(MAX_RANGES, max(least, -(-(total or 0) // RANGE_BYTES))))
     cuts = sorted(set(rows.approxQuantile("id", [i / ranges for i in range(1, ranges)], 0.1 / ranges))) if ranges > 1 and known else []
     bounds = np.array(cuts, np.float64)
     nulls = max(1, -(-ranges * (count - known) // max(1, count)))
@@ -219,8 +220,8 @@ def with_next(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataFra
     head = F.broadcast(df.sparkSession.createDataFrame(before, "at int, low long, h long, target int"))
     found = placed.join(head, (F.col("place") == F.col("at")) & (F.coalesce(-F.col("id"), F.lit(0)) == F.col("low")) & (F.col("hash") == F.col("h")), "left")
     stops = F.array(F.struct(F.col("place"), F.lit(0).alias("extra")), F.struct(F.col("target").alias("place"), F.lit(1).alias("extra")))
-    spread = found.select("row", "text", "id", "hash", F.explode(F.filter(stops, lambda s: s["place"].isNotNull())).alias("s"))
-    ordered = spread.select("row", "text", "id", "hash", "s.place", "s.extra").repartition("place").sortWithinPartitions("place", "extra", F.col("id").desc_nulls_last(), "hash")
+    spread = found.select("row", "id", "hash", F.explode(F.filter(stops, lambda s: s["place"].isNotNull())).alias("s"))
+    ordered = spread.select("row", "id", "hash", "s.place", "s.extra").repartitionById(len(cuts) + 1 + nulls, "place").sortWithinPartitions("place", "extra", F.col("id").desc_nulls_last(), "hash")
     schema = T.StructType([T.StructField("row", rows.schema["row"].dataType), T.StructField("next_text", T.StringType())])
 
     def follow(frames):
@@ -235,4 +236,4 @@ def with_next(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataFra
             yield out.filter(pc.equal(now.column(2), 0))
             held = batch.slice(batch.num_rows - 1)
 
-    return ordered.select("row", "text", "extra").mapInArrow(follow, schema).select("row.*", "next_text")
+    return ordered.select("row", F.col("row")[text].alias("text"), "extra").mapInArrow(follow, schema).select("row.*", "next_text")
