@@ -134,11 +134,14 @@ def membership_flag(df: DataFrame, ids: DataFrame, key: str = "id", name: str =
 
 def null_safe_join(left: DataFrame, right: DataFrame, keys, how: str = "left") -> DataFrame:
     """Join on composite keys where NULL matches NULL (``<=>``), e.g. group
-    keys of D-08/D-10.  Right-side key columns are dropped from the output."""
+    keys of D-08/D-10.  Each key is one column of the output; rows of the right side alone keep theirs."""
     keys = [keys] if isinstance(keys, str) else list(keys)
     r = right.select(*[F.col(k).alias(f"_r_{k}") for k in keys], *[c for c in right.columns if c not in keys])
     cond: Column | None = None
     for k in keys:
         c = F.col(k).eqNullSafe(F.col(f"_r_{k}"))
         cond = c if cond is None else cond & c
-    return left.join(r, cond, how).drop(*[f"_r_{k}" for k in keys])
+    joined = left.join(r, cond, how)
+    if how.replace("_", "") in ("right", "rightouter", "full", "fullouter", "outer"):
+        joined = joined.withColumns({k: F.coalesce(F.col(k), F.col(f"_r_{k}")) for k in keys})
+    return joined.drop(*[f"_r_{k}" for k in keys])

@@ -226,10 +226,12 @@ def q_join_runs(spark, sf_dir):
     return rounded(C.join_runs([a, b], ["id"]))
 
 
-@register("d02_label_mismatches", with_views() + """SELECT o.id, o.class AS _la, p.class AS _lb
-FROM obs o JOIN pro p USING (id) WHERE o.class IS DISTINCT FROM p.class""")
+@register("d02_label_mismatches", with_views(PREDS_SQL) + """SELECT o.id, o.class AS _la, p.pred_m1 AS _lb
+FROM obs o JOIN preds p USING (id) WHERE o.class IS DISTINCT FROM p.pred_m1""")
 def q_label_mismatch(spark, sf_dir):
-    return C.label_mismatches(load_obs(spark, sf_dir), load_pro(spark, sf_dir))
+    """The true classes against those that a model's table claims."""
+    claimed = predictions(spark, sf_dir, None).select("id", F.col("pred_m1").alias("class"))
+    return C.label_mismatches(load_obs(spark, sf_dir), claimed)
 
 
 # ---------------------------------------------------------------- D-03 / D-06
@@ -238,7 +240,7 @@ FROM preds p LEFT JOIN obs o USING (id) WHERE p.split = 'test'""")
 def q_attach_labels(spark, sf_dir):
     p = predictions(spark, sf_dir, "test").select("id", "pred_m1")
     labels = load_obs(spark, sf_dir)
-    return C.attach_labels(p, labels, check=False)
+    return C.attach_labels(p, labels)
 
 
 @register("d06_one_to_one_join", with_views() + """SELECT o.id, o.split, p.m3__STAR
@@ -246,7 +248,7 @@ FROM obs o LEFT JOIN pro p USING (id)""")
 def q_one_to_one(spark, sf_dir):
     obs = load_obs(spark, sf_dir).select("id", "split")
     pro = load_pro(spark, sf_dir).select("id", "m3__STAR")
-    return rounded(C.one_to_one(obs, pro, "id", "left", check=False))
+    return rounded(C.one_to_one(obs, pro, "id", "left"))
 
 
 # ---------------------------------------------------------------- D-05

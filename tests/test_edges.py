@@ -327,3 +327,10 @@ def test_registry_and_optional_input_by_uri(spark):
 def test_no_metrics_give_no_metric(spark):
     row = RG.register_prediction(spark.createDataFrame([(1, "STAR")], "id long, class string"), "x").first()
     assert row["primary_metric_name"] is None and row["metrics_json"] in (None, "{}")
+
+
+def test_null_safe_full_join_keeps_the_keys_of_both_sides(spark):
+    a = spark.createDataFrame([("x", 1), (None, 2)], "k string, a int")
+    b = spark.createDataFrame([("y", 3), (None, 4)], "k string, b int")
+    got = sorted(map(tuple, C.null_safe_join(a, b, "k", "full_outer").collect()), key=str)
+    assert got == sorted([("x", 1, None), (None, 2, 4), ("y", None, 3)], key=str)
