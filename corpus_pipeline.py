@@ -47,8 +47,8 @@ def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str)
 
 def sentencepiece(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The documents with their piece ids; ``text`` is what the ids decode to."""
-    coded = pieces.encode(docs, PIECES)
-    return pieces.decode(coded, PIECES, "ids", "text").select(*docs.columns, F.size("ids").cast("long").alias("n_ids"), "ids")
+    coded = pieces.encode(docs, PIECES, decoded="text")
+    return coded.select(*docs.columns, F.size("ids").cast("long").alias("n_ids"), "ids")
 
 
 STAGES = [

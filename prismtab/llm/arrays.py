@@ -173,7 +173,7 @@ def batches(frames, rows: int = 1 << 30, size: int = 1 << 19):
         if batch.num_rows == 0:
             continue
         weight = np.zeros(batch.num_rows, np.int64)
-        for column in batch.columns:
+        for column in [c for own in batch.columns for c in ([own] if not pa.types.is_struct(own.type) else own.flatten())]:
             if pa.types.is_string(column.type) or pa.types.is_binary(column.type):
                 o = np.frombuffer(column.buffers()[1], np.int32)[column.offset : column.offset + len(column) + 1]
                 weight += np.diff(o.astype(np.int64))
@@ -185,3 +185,5 @@ def batches(frames, rows: int = 1 << 30, size: int = 1 << 19):
             end = min(end, at + rows, batch.num_rows)
             yield batch.slice(at, end - at)
             at = end
+        del batch
+    pa.default_memory_pool().release_unused()  # a worker lives on after its task

@@ -129,6 +129,7 @@ def identify(df: DataFrame, text: str = "text", declared: Column | None = None,
     names, k = [*languages, UND], len(languages) + 1
     spark = df.sparkSession
     held = spark.sparkContext.broadcast(logs.astype(np.float32))
+    place = df.columns.index(text)
     code = F.lower(F.coalesce(declared, F.lit(""))) if declared is not None else F.lit("")
     host = host_of(address) if address is not None else F.lit("")
     # declared languages that are not modelled are one kind, none at all another
@@ -196,16 +197,16 @@ def identify(df: DataFrame, text: str = "text", declared: Column | None = None,
     hosts = cut_lineage(hosts.select("host", F.array(*[F.col(f"h{i}") for i in range(k)]).alias("prior")))
     small = hosts.count() <= BROADCAST_HOSTS
     # a row without a host has the global shares
-    joined = rows.join(F.broadcast(hosts) if small else hosts, "host", "left").select("row", "text", "kind", F.when(F.col("host") != "", F.col("prior")).alias("prior"))
+    joined = rows.join(F.broadcast(hosts) if small else hosts, "host", "left").select("row", "kind", F.when(F.col("host") != "", F.col("prior")).alias("prior"))
     schema = T.StructType([
         T.StructField("row", rows.schema["row"].dataType), T.StructField("language", T.StringType()),
         T.StructField("probability", T.DoubleType()), T.StructField("accepted", T.BooleanType())])
 
     def decide(frames):
         for batch in batches(frames):
-            loglik, seen = likelihoods(batch.column(1))
-            prior = np.array([p if p is not None else world for p in batch.column(3).to_pylist()]).reshape(-1, k)
-            post = _softmax(loglik + log_given[batch.column(2).to_numpy() + 1] + np.log(prior))
+            loglik, seen = likelihoods(batch.column(0).flatten()[place])
+            prior = np.array([p if p is not None else world for p in batch.column(2).to_pylist()]).reshape(-1, k)
+            post = _softmax(loglik + log_given[batch.column(1).to_numpy() + 1] + np.log(prior))
             best = post.argmax(axis=1)
             best[seen == 0] = k - 1
             top = np.where(seen == 0, 1.0, post[np.arange(len(best)), best])

@@ -21,6 +21,7 @@ from __future__ import annotations
 
 import re
 import struct
+from array import array
 
 import numpy as np
 import pyarrow as pa
@@ -82,7 +83,7 @@ class Remembered(dict):
             if cuts:
                 found = b"".join([self[stretch[a:b]] for a, b in zip([0, *cuts], [*cuts, len(stretch)])])
             else:
-                found = np.array(self.pieces.viterbi(stretch), np.int32).tobytes()
+                found = array("i", self.pieces.viterbi(stretch)).tobytes()
         if len(stretch) <= SHORT:
             if len(self) >= REMEMBERED:
                 self.older = dict(self)
@@ -164,7 +165,7 @@ class Pieces:
         pair = (left + 1) << 32 | right
         known = self.follows.get(pair)
         if known is None:
-            if len(self.follows) > 1 << 20:
+            if len(self.follows) >= REMEMBERED:
                 self.follows.clear()
             text = self.text[right]
             known = self.merged(text) == [right] if left < 0 else self.merged(self.text[left] + text) == [left, right]
@@ -297,15 +298,18 @@ def read_model(spark: SparkSession, path: str) -> bytes:
     return bytes(files.select("content").first()[0])
 
 
-def encode(df: DataFrame, model_path: str, text: str = "text", ids: str = "ids") -> DataFrame:
-    """All rows and columns of ``df`` with the text's piece ids, array<int>.
+def encode(df: DataFrame, model_path: str, text: str = "text", ids: str = "ids", decoded: str | None = None) -> DataFrame:
+    """All rows and columns of ``df`` with the text's piece ids, array<int>, and if wanted with the text that they decode to.
 
     Null and empty texts have no ids.  Texts of any length are coded whole, in
-    memory of a few times the text.  An input column named as ``ids`` is replaced.
+    memory of a few times the text.  Input columns named as ``ids`` or ``decoded`` are replaced
+    (``decoded`` may be the text's own column).
     """
     df = small_batches(df).drop(ids)
     place = df.columns.index(text)
-    schema = T.StructType([*df.schema.fields, T.StructField(ids, T.ArrayType(T.IntegerType(), False))])
+    kept = [i for i, c in enumerate(df.columns) if c != decoded]
+    fields = [*(df.schema.fields[i] for i in kept), T.StructField(ids, T.ArrayType(T.IntegerType(), False))]
+    schema = T.StructType([*fields, T.StructField(decoded, T.StringType())] if decoded else fields)
     model = df.sparkSession.sparkContext.broadcast(read_model(df.sparkSession, model_path))
 
     def run(frames):
@@ -316,7 +320,11 @@ def encode(df: DataFrame, model_path: str, text: str = "text", ids: str = "ids")
             item = pa.field("element", pa.int32(), False)
             values = pa.array(np.frombuffer(b"".join(coded), np.int32))
             lists = pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32)), values, type=pa.list_(item))
-            yield pa.RecordBatch.from_arrays([*batch.columns, lists], names=schema.names)
+            columns = [batch.column(i) for i in kept] + [lists]
+            if decoded:
+                values = values.to_numpy()
+                columns.append(pa.array([pieces.decode(values[a:b].tolist()) for a, b in zip(offsets, offsets[1:])], pa.string()))
+            yield pa.RecordBatch.from_arrays(columns, names=schema.names)
 
     return df.mapInArrow(run, schema)
 

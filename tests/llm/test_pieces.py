@@ -106,6 +106,9 @@ def test_round_trip_through_spark(spark):
     back = pieces.decode(coded, MODEL)
     assert coded.columns.count("ids") == 1 and "key" in coded.columns
     got = back.select("doc_id", "text", "ids", "decoded").collect()
+    once = pieces.encode(frame(spark, rows), MODEL, decoded="decoded")
+    assert sorted(map(str, once.select("doc_id", "text", "ids", "decoded").collect())) == sorted(map(str, got))
+    assert pieces.encode(frame(spark, rows), MODEL, decoded="text").columns[-2:] == ["ids", "text"]
     assert len(got) == len(rows)
     for r in got:
         assert r.decoded == (r.text or "").replace("▁", " ")
