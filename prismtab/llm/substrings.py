@@ -29,7 +29,7 @@ from prismtab.llm.arrays import batches, mix, norm_words, sliding_min, small_bat
 MINIMISER = 8
 LONGEST = 256
 #: words handled at a time, bytes of packed strings held before a flush, text bytes that a bucket aims at
-CHUNK, FLUSH, BUCKET = 1 << 16, 24 << 20, 16 << 20
+CHUNK, FLUSH, BUCKET = 1 << 16, 24 << 20, 8 << 20
 
 
 def super_kmers(hashes: np.ndarray, row_of: np.ndarray, size: int):
@@ -193,9 +193,9 @@ def _reduce(frames, size: int):
 def covered_ranges(rows: DataFrame, size: int) -> DataFrame:
     """(key, row, start, stop): word ranges covered by windows that also start in a row with a smaller key."""
     total = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    buckets = max(1, math.ceil(total / BUCKET))
+    buckets = max(int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")), math.ceil(total / BUCKET))
     packed = rows.where("key is not null and text is not null").mapInArrow(lambda f: _map(f, size, buckets), "bucket int, blob binary")
-    dealt = packed.repartition(buckets, "bucket").sortWithinPartitions("bucket")
+    dealt = packed.repartitionById(buckets, "bucket").sortWithinPartitions("bucket")
     return dealt.mapInArrow(lambda f: _reduce(f, size), "key long, row long, start long, stop long")
 
 
@@ -238,7 +238,8 @@ def remove_repeats(df: DataFrame, key: str = "doc_id", text: str = "text", size:
     rows = df.select(own.alias("row"), F.col(text).alias("text"), F.col(key).cast("long").alias("key"), F.xxhash64(key, text).alias("hash"))
     ranges = covered_ranges(rows.select("key", F.col("hash").alias("row"), "text"), size)
     ranges = ranges.groupBy("key", F.col("row").alias("hash")).agg(F.collect_set(F.struct("start", "stop")).alias("ranges"))
-    joined = rows.join(ranges, ["key", "hash"], "left").select("row", "text", "ranges")
+    # the text travels once, inside its row
+    joined = rows.drop("text").join(ranges, ["key", "hash"], "left").select("row", F.col("row")[text].alias("text"), "ranges")
     schema = T.StructType([
         T.StructField("row", rows.schema["row"].dataType), T.StructField("n_words", T.LongType()),
         T.StructField("n_removed", T.LongType()), T.StructField("kept", T.StringType())])
