@@ -79,17 +79,28 @@ class Remembered(dict):
         if found is None:
             # no path crosses two neighbours that no piece holds
             inside = self.pieces.inside
-            cuts = [k for k in range(1, len(stretch)) if stretch[k - 1 : k + 1] not in inside]
+            cuts = [k for k, pair in enumerate(zip(stretch, stretch[1:]), 1) if pair not in inside]
             if cuts:
-                found = b"".join([self[stretch[a:b]] for a, b in zip([0, *cuts], [*cuts, len(stretch)])])
+                found = b"".join([self.part(stretch[a:b]) for a, b in zip([0, *cuts], [*cuts, len(stretch)])])
             else:
                 found = array("i", self.pieces.viterbi(stretch)).tobytes()
+        self.keep(stretch, found)
+        return found
+
+    def part(self, stretch: str) -> bytes:
+        """As for any stretch, but it holds no place to cut."""
+        found = self.get(stretch) or self.older.get(stretch)
+        if found is None:
+            found = array("i", self.pieces.viterbi(stretch)).tobytes()
+            self.keep(stretch, found)
+        return found
+
+    def keep(self, stretch: str, found: bytes) -> None:
         if len(stretch) <= SHORT:
             if len(self) >= REMEMBERED:
                 self.older = dict(self)
                 self.clear()
             self[stretch] = found
-        return found
 
 
 class Pieces:
@@ -124,7 +135,7 @@ class Pieces:
             for c in p:
                 node = node.setdefault(c, {})
             node[""] = i
-        self.inside = {p[k : k + 2] for p in self.ids for k in range(len(p) - 1)}
+        self.inside = {pair for p in self.ids for pair in zip(p, p[1:])}
         normal = [s for _, s, kind in pieces if kind == NORMAL]
         self.unknown_score = min(normal, default=0.0) - 10.0
         given = sorted((p for p, _, kind in pieces if kind == USER_DEFINED), key=len, reverse=True)
@@ -165,7 +176,7 @@ class Pieces:
         pair = (left + 1) << 32 | right
         known = self.follows.get(pair)
         if known is None:
-            if len(self.follows) >= REMEMBERED:
+            if len(self.follows) >= 2 * REMEMBERED:
                 self.follows.clear()
             text = self.text[right]
             known = self.merged(text) == [right] if left < 0 else self.merged(self.text[left] + text) == [left, right]
@@ -179,6 +190,8 @@ class Pieces:
         boundary on, the piece that ends there and where it begins: -2 is not
         reached, -1 a start or an unknown character.
         """
+        if self.kind == BPE and len(text) <= STRIDE:
+            return self._short(text)
         n, bpe, out = len(text), self.kind == BPE, []
         trie, follows, score, longest = self.trie, self.follows, self.score, self.longest
         characters = list(text)
@@ -231,6 +244,29 @@ class Pieces:
         self._commit(text, base, n - base, last, came, out)
         return out
 
+    def _short(self, text: str) -> list[int]:
+        """The same for a BPE model and a stretch within one stride, where nothing is committed early."""
+        trie, follows, n = self.trie, self.follows, len(text)
+        last, came = [-1] + [-2] * n, [0] * (n + 1)
+        for at in range(n):
+            left = last[at]
+            before, node, to = (left + 1) << 32, trie, at
+            for c in text[at:]:
+                node = node.get(c)
+                if node is None:
+                    break
+                to += 1
+                if last[to] == -2 and "" in node:
+                    piece = node[""]
+                    known = follows.get(before | piece)
+                    if known or known is None and self.may_follow(left, piece):
+                        last[to], came[to] = piece, at
+            if last[at + 1] == -2:
+                last[at + 1], came[at + 1] = -1, at
+        out: list[int] = []
+        self._commit(text, 0, n, last, came, out)
+        return out
+
     def _commit(self, text: str, base: int, upto: int, last: list, came: list, out: list) -> None:
         """Append the ids of the path from the committed boundary to ``upto``."""
         path = []
