@@ -5,6 +5,7 @@ pages a subtree occurs; a subtree that recurs across many pages of its host is
 part of the site's template and is deleted from them all.  Pages with the same
 content count once, so copies of an article do not make it a template, and
 single text blocks inside an article are left alone, as a sentence may recur.
+All text that is left is the main text, whether in one article, several or none.
 
 What HTML itself marks as something else than content goes as well: menus,
 headers, footers, asides, forms, scripts and elements whose class, id or role
@@ -77,15 +78,31 @@ class Element:
         self.heading = False
 
 
-def parse(page: str, templates=frozenset()) -> tuple[str, list[tuple[int, bool]]]:
-    """(main text, [(hash of a subtree that may be template, whether it stood in the article)]) of one page.
+def _joined(pieces: list[str | None]) -> str:
+    """The blocks of some pieces, white space inside a block as one space."""
+    blocks, block = [], []
+    for p in [*pieces, BREAK]:
+        if p is not BREAK:
+            block.append(p)
+        elif block:
+            line = " ".join("".join(block).split())
+            if line:
+                blocks.append(line)
+            block = []
+    return "\n\n".join(blocks)
+
 
-    Subtrees whose hash is in ``templates`` are deleted.  Tags that are not
+def parse(page: str, templates=frozenset()) -> tuple[str, list[tuple[int, bool]], str]:
+    """(main text, [(hash of a subtree that may be template, whether it stood in the article)], what tells copies) of one page.
+
+    Subtrees whose hash is in ``templates`` are deleted, and the main text is all that is left.  Copies
+    are told by the text of all articles that are left, or by the main text if there is none.  Tags that are not
     closed end where HTML ends them; a tag cut off at the page's end is markup.
     """
     pieces: list[str | None] = []
     root = Element("", "", 0, False, False)
-    stack, found, articles = [root], [], []
+    stack, found = [root], []
+    articles: list[tuple[int, int]] = []  # ranges of pieces
     inside = 0  # open articles or main elements
 
     def close() -> None:
@@ -107,8 +124,10 @@ def parse(page: str, templates=frozenset()) -> tuple[str, list[tuple[int, bool]]
         if gone:
             del pieces[e.start :]
             pieces.append(BREAK)
+            while articles and articles[-1][0] >= e.start:
+                articles.pop()
         elif e.article and not inside:
-            articles.append(pieces[e.start :])
+            articles.append((e.start, len(pieces)))
 
     def text(part: str) -> None:
         part = references.unescape(part)
@@ -171,18 +190,9 @@ def parse(page: str, templates=frozenset()) -> tuple[str, list[tuple[int, bool]]
         inside += article
     while len(stack) > 1:
         close()
-    # the longest article; without one, all that is left
-    chosen = max(articles, key=lambda own: sum(len(p) for p in own if p)) if articles else pieces
-    blocks, block = [], []
-    for p in [*chosen, BREAK]:
-        if p is not BREAK:
-            block.append(p)
-        elif block:
-            line = " ".join("".join(block).split())
-            if line:
-                blocks.append(line)
-            block = []
-    return "\n\n".join(blocks), found
+    main = _joined(pieces)
+    own = _joined([p for a, b in articles for p in [*pieces[a:b], BREAK]]) if articles else main
+    return main, found, own
 
 
 def template_subtrees(rows: DataFrame, least_pages: int = LEAST_PAGES, least_share: float = LEAST_SHARE) -> DataFrame:
@@ -195,8 +205,8 @@ def template_subtrees(rows: DataFrame, least_pages: int = LEAST_PAGES, least_sha
         for batch in batches(frames):
             hosts, contents, trees = [], [], []
             for host, page in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                main, found = parse(page or "")
-                content = xxhash.xxh64_intdigest(main.encode("utf-8", "surrogatepass")) - (1 << 63)
+                _, found, own = parse(page or "")
+                content = xxhash.xxh64_intdigest(own.encode("utf-8", "surrogatepass")) - (1 << 63)
                 for tree in {0, *(t for t, _ in found)}:  # 0 stands for the page itself
                     hosts.append(host)
                     contents.append(content)
@@ -216,8 +226,8 @@ def main_text(df: DataFrame, html: str = "html", url: str = "url", text: str = "
     """All rows and columns of ``df`` with ``text``, the page's main text.
 
     Character references are decoded, white space inside a block becomes one
-    space, blocks are trimmed and joined by an empty line, in page order.  The
-    longest article (or main element) is taken, and the whole body if there is none.  A
+    space, blocks are trimmed and joined by an empty line, in page order.  All text
+    that is left after the deletions is taken, in articles (or main elements) and beside them.  A
     null or empty page has an empty text.  Pages without a URL share the empty
     host.  An input column named as ``text`` is replaced.
     """

@@ -59,3 +59,17 @@ def test_many_templates_are_joined_without_a_broadcast(spark, monkeypatch):
 
 def test_empty_table(spark):
     assert run(spark, []) == {}
+
+
+def test_all_text_that_is_left_is_taken():
+    two = "<article><h1>A</h1><p>one</p></article><article><p>two, the longer</p></article><main><p>three</p></main>"
+    assert html.parse(two)[0] == "A\n\none\n\ntwo, the longer\n\nthree"
+    for block in ("<aside>{}</aside>", "<nav>{}</nav>", "<div class=related>{}</div>"):
+        teaser = block.format("<article><p>read this as well, a teaser</p></article>")
+        assert html.parse(f"<div><p>the text</p></div>{teaser}<p>goes on</p>")[0] == "the text\n\ngoes on"
+    assert html.parse("<article><p>a</p></article><div><p>the text beside it</p></div>")[0] == "a\n\nthe text beside it"
+
+
+def test_copies_of_an_article_beside_other_text_are_one_page(spark):
+    page = "<body><article><div><p>news</p></div></article>{}"
+    assert run(spark, site("a.com", 20, page))[3] == "news\n\npage 3 of a.com"
