@@ -1,25 +1,27 @@
-"""Word-pair language model with interpolated modified Kneser-Ney smoothing.
+"""Word n-gram language model of any order with interpolated modified Kneser-Ney smoothing.
 
-Counting: map tasks combine the pairs (context, token) of their texts and send
-them, packed, to the partition that the context (and four bits of the token,
-so that a hot context spreads) gives.  There equal pairs meet; the partition
-stores its pair hashes as one sorted array with their counts in the shared folder,
-and sends per-word sums on.  A second exchange adds these up per word and
-stores the words' sorted hash arrays.  All of the model beyond a few totals stays in those files.
+Counting: map tasks combine the n-grams of their texts and send them, packed
+with a word list, to the partition that the last two tokens (of the last one four bits,
+so that a hot word spreads) give.  There equal n-grams meet, and with them all that share a suffix of
+two or more tokens, so the partition has the counts of every order from two on; it
+stores each order's hashes as one sorted array with their counts in the shared folder,
+and sends per-word and per-context sums on.  A second exchange adds these up
+and stores their sorted hash arrays.  All of the model beyond a few totals stays in those files.
 
-Scoring: workers memory-map the arrays and look up the sorted, distinct words and
-pairs of a chunk of texts, so lookups walk through the arrays in order.
+Scoring: workers memory-map the arrays and look up the sorted, distinct words, contexts and
+n-grams of a chunk of texts, so lookups walk through the arrays in order.
 
-A token is a word (A-Z count as a-z) or the end that closes each text; the
-first word's context is a start mark, which is no token.  Words are known by 48
-bits of their XXH64, pairs by 64 bits.
+A token is a word (A-Z count as a-z) or the end that closes each text; before the
+first word stand order - 1 start marks, which are no tokens.  Words are known by 48
+bits of their XXH64, contexts and n-grams by 64 bits.
 
-    p(w | u) = max(c(u w) - D(c), 0) / c(u) + g(u) p(w)
+    p(w | u) = max(c(u w) - D(c), 0) / c(u) + g(u) p(w | u')
     p(w)     = max(a(w) - E(a), 0) / A + h / (V + 1)
 
-c are counts, a(w) is the number of distinct contexts of w, A their sum, V the number
+u' is u without its first token.  c are counts at the model's order, and at lower orders the number of distinct
+tokens (or start marks) before the n-gram; c(u) is their sum.  a(w) is the number of distinct contexts of w, A their sum, V the number
 of distinct tokens (one more for all unknown ones); D and E are the three modified discounts
-of each order, g and h the masses that they free.
+of each order, g and h the masses that they free.  A context that was never seen leaves it to u'.
 """
 
 from __future__ import annotations
@@ -43,7 +45,7 @@ from prismtab.llm.arrays import LOWER, P1, batches, mix, small_batches, span_has
 from prismtab.session import ensure_checkpoint_dir
 
 END, START = np.uint64(0), np.uint64(1)
-#: parts that one context may spread over, text bytes that a part aims at, pairs held before a flush, text bytes scored at once
+#: parts that one context may spread over, text bytes that a part aims at, n-grams held before a flush, text bytes scored at once
 SPREAD, PART_BYTES, HELD, SCORED = 16, 16 << 20, 2 << 20, 2 << 20
 BIG = 255
 
@@ -60,8 +62,8 @@ def _words(column) -> tuple[np.ndarray, np.ndarray]:
     return out, first
 
 
-def pairs(column) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(context, token, index of each row's first token) of all tokens of the texts."""
+def grams(column, order: int) -> tuple[list[np.ndarray], np.ndarray]:
+    """(the n-gram that ends at each token of the texts, oldest token first; index of each row's first token)."""
     words, first = _words(column)
     rows = len(first) - 1
     at = first + np.arange(rows + 1)  # one more token in each row
@@ -69,10 +71,14 @@ def pairs(column) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     place = np.arange(len(words)) + np.repeat(np.arange(rows), np.diff(first))
     token[place] = words
     token[at[1:] - 1] = END
-    context = np.empty_like(token)
-    context[1:] = token[:-1]
-    context[at[:-1]] = START
-    return context, token, at
+    since = np.arange(len(token)) - np.repeat(at[:-1], np.diff(at))
+    out = [token]
+    for back in range(1, order):
+        own = np.full_like(token, START)
+        inside = np.flatnonzero(since >= back)
+        own[inside] = token[inside - back]
+        out.append(own)
+    return out[::-1], at
 
 
 def pair_hash(context: np.ndarray, token: np.ndarray) -> np.ndarray:
@@ -80,6 +86,14 @@ def pair_hash(context: np.ndarray, token: np.ndarray) -> np.ndarray:
         return mix(context * P1 + mix(token))
 
 
+def gram_hash(columns: list[np.ndarray]) -> np.ndarray:
+    """A single token is its own hash."""
+    out = columns[0]
+    for token in columns[1:]:
+        out = pair_hash(out, token)
+    return out
+
+
 def part_of(context: np.ndarray, token: np.ndarray, parts: int) -> np.ndarray:
     with np.errstate(over="ignore"):
         return (mix(context * np.uint64(SPREAD) + (mix(token) & np.uint64(SPREAD - 1))) % np.uint64(parts)).astype(np.int64)
@@ -103,31 +117,45 @@ def _unsqueeze(blob: bytes) -> list[np.ndarray]:
     return out
 
 
-def _count(frames, parts: int):
-    """Texts to (part, blob): the distinct pairs of some texts with their counts, by part and context."""
+def _pack(columns: list[np.ndarray], count: np.ndarray) -> bytes:
+    """N-grams with their counts: a list of the distinct tokens, and places in it."""
+    words, place = np.unique(np.concatenate(columns), return_inverse=True)
+    place = place.astype(np.uint16 if len(words) <= 1 << 16 else np.uint32).reshape(len(columns), -1)
+    count = count.astype(np.min_scalar_type(int(count.max())))
+    return _squeeze(np.diff(words, prepend=np.uint64(0)), count, *place)
+
 
-    def flushed(context, token):
-        context, token = np.concatenate(context), np.concatenate(token)
-        _, at, count = np.unique(pair_hash(context, token), return_index=True, return_counts=True)
-        context, token = context[at], token[at]
-        part = part_of(context, token, parts)
-        order = np.lexsort([context, part]) if parts >= 1 << 16 else np.argsort((part.astype(np.uint64) << np.uint64(48)) | context)
-        part, context, token, count = part[order], context[order], token[order], count[order].astype(np.uint32)
+def _unpack(blob: bytes) -> list[np.ndarray]:
+    """The count and then the tokens."""
+    delta, count, *place = _unsqueeze(blob)
+    words = np.cumsum(delta, dtype=np.uint64)
+    return [count.astype(np.int64), *[words[p] for p in place]]
+
+
+def _count(frames, parts: int, order: int):
+    """Texts to (part, blob): the distinct n-grams of some texts with their counts, by part and last context word."""
+
+    def flushed(held):
+        columns = [np.concatenate(x) for x in zip(*held)]
+        _, at, count = np.unique(gram_hash(columns), return_index=True, return_counts=True)
+        columns = [c[at] for c in columns]
+        part = part_of(columns[-2], columns[-1], parts)
+        by = np.lexsort([columns[-1], columns[-2], part])
+        part, columns, count = part[by], [c[by] for c in columns], count[by]
         edge = np.flatnonzero(np.append(True, part[1:] != part[:-1])).tolist() + [len(part)]
-        blobs = [_squeeze(np.diff(context[a:b], prepend=np.uint64(0)), token[a:b], count[a:b]) for a, b in zip(edge, edge[1:])]
+        blobs = [_pack([c[a:b] for c in columns], count[a:b]) for a, b in zip(edge, edge[1:])]
         return pa.RecordBatch.from_arrays([pa.array(part[edge[:-1]].astype(np.int32)), pa.array(blobs, pa.binary())], ["part", "blob"])
 
-    contexts, tokens, held = [], [], 0
+    held, n = [], 0
     for batch in batches(frames):
-        context, token, _ = pairs(batch.column(0))
-        contexts.append(context)
-        tokens.append(token)
-        held += len(token)
-        if held > HELD:
-            yield flushed(contexts, tokens)
-            contexts, tokens, held = [], [], 0
-    if held:
-        yield flushed(contexts, tokens)
+        columns, _ = grams(batch.column(0), order)
+        held.append(columns)
+        n += len(columns[0])
+        if n > HELD:
+            yield flushed(held)
+            held, n = [], 0
+    if n:
+        yield flushed(held)
 
 
 class Store:
@@ -194,63 +222,80 @@ def _group(keys: np.ndarray, *values: np.ndarray):
     return keys[begin], *[np.add.reduceat(v[order], begin) if len(begin) else v[:0] for v in values]
 
 
-def _store_pairs(frames, store: Store, ranges: int):
-    """One part's blobs to its sorted array; out go (range, kind, blob): per-word sums, and how many pairs have which count."""
+def _by_range(kind: int, where: np.ndarray, key: np.ndarray, *sums: np.ndarray) -> list[tuple[int, int, bytes]]:
+    """(range, kind, blob) rows of sorted keys with their sums."""
+    edge = np.flatnonzero(np.append(True, where[1:] != where[:-1])).tolist() + [len(where)]
+    small = [x.astype(np.min_scalar_type(int(x.max(initial=0)))) for x in sums]
+    return [(int(where[a]), kind, _squeeze(np.diff(key[a:b], prepend=np.uint64(0)), *[c[a:b] for c in small])) for a, b in zip(edge, edge[1:]) if b > a]
+
+
+def _store_grams(frames, store: Store, ranges: int):
+    """One part's blobs to a sorted array for each order.
+
+    Out go (range, kind, blob): per-word sums as kind 1, per-context sums of an order from three on as
+    that order, and how many n-grams of an order have which count as minus the order.
+    """
     part, found = None, []
     for batch in frames:
         for p, blob in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
             part = p
-            delta, token, count = _unsqueeze(blob)
-            found.append((np.cumsum(delta, dtype=np.uint64), token, count.astype(np.int64)))
+            found.append(_unpack(blob))
     if part is None:
         return
-    context, token, count = (np.concatenate(x) for x in zip(*found))
+    count, *columns = (np.concatenate(x) for x in zip(*found))
     del found
-    key = pair_hash(context, token)
-    order = np.argsort(key, kind="stable")
-    key = key[order]
-    begin = np.flatnonzero(np.append(True, key[1:] != key[:-1]))
-    key, count = key[begin], np.add.reduceat(count[order], begin)
-    context, token = context[order][begin], token[order][begin]
-    big = np.flatnonzero(count >= BIG)
-    store.write(f"pairs-{part}", key, np.minimum(count, BIG).astype(np.uint8), big, count[big])
-    word, total, one, two, three = _group(context, count, *[(count == k).astype(np.int64) for k in (1, 2)], (count > 2).astype(np.int64))
-    after, contexts = _group(token, np.ones(len(token), np.int64))
-    none = np.zeros(len(after), np.int64)
-    zero = np.zeros(len(word), np.int64)
-    columns = [np.concatenate(x) for x in ((word, after), (total, none), (one, none), (two, none), (three, none), (zero, contexts))]
-    columns = _group(*columns)
-    where = range_of(columns[0], ranges)
-    edge = np.flatnonzero(np.append(True, where[1:] != where[:-1])).tolist() + [len(where)]
-    rows = [(int(where[a]), 0, _squeeze(np.diff(columns[0][a:b], prepend=np.uint64(0)), *[c[a:b] for c in columns[1:]])) for a, b in zip(edge, edge[1:])]
-    rows.append((part % ranges, 1, _squeeze(np.bincount(np.minimum(count, 5), minlength=6))))
+    rows = []
+    heard, raw = _group(columns[-1], count)
+    for order in range(len(columns), 1, -1):
+        key = gram_hash(columns)
+        by = np.argsort(key, kind="stable")
+        key = key[by]
+        begin = np.flatnonzero(np.append(True, key[1:] != key[:-1]))
+        key, count = key[begin], np.add.reduceat(count[by], begin)
+        columns = [c[by][begin] for c in columns]
+        big = np.flatnonzero(count >= BIG)
+        store.write(f"grams{order}-{part}", key, np.minimum(count, BIG).astype(np.uint8), big, count[big])
+        rows.append((part % ranges, -order, _squeeze(np.bincount(np.minimum(count, 5), minlength=6))))
+        context = _group(gram_hash(columns[:-1]), count, *[(count == k).astype(np.int64) for k in (1, 2)], (count > 2).astype(np.int64))
+        if order > 2:
+            rows += _by_range(order, range_of(context[0] >> np.uint64(16), ranges), *context)
+            columns, count = columns[1:], np.ones(len(count), np.int64)
+    after, contexts = _group(columns[-1], np.ones(len(columns[-1]), np.int64))
+    groups = [(context[0], *context[1:], None, None), (after, None, None, None, None, contexts, None), (heard, None, None, None, None, None, raw)]
+    sums = [[np.zeros(len(g[0]), np.int64) if x is None else x for x in g] for g in groups]
+    words = _group(*[np.concatenate(x) for x in zip(*sums)])
+    rows += _by_range(1, range_of(words[0], ranges), *words)
     for a in range(0, len(rows), 256):
         cols = list(zip(*rows[a : a + 256]))
         yield pa.RecordBatch.from_arrays([pa.array(cols[0], pa.int32()), pa.array(cols[1], pa.int32()), pa.array(cols[2], pa.binary())], ["range", "kind", "blob"])
 
 
-def _store_words(frames, store: Store):
-    """One range's sums to its sorted arrays; out go its totals and the pairs' counts of counts."""
-    where, found, counts = None, [], np.zeros(6, np.int64)
+def _store_sums(frames, store: Store, order: int):
+    """One range's sums to its sorted arrays; out go its totals and the counts of counts of each order."""
+    where, found, counts = None, {}, np.zeros((order, 6), np.int64)
     for batch in frames:
         for r, kind, blob in zip(*(batch.column(i).to_pylist() for i in range(3))):
             where = r
-            if kind:
-                counts += _unsqueeze(blob)[0]
+            if kind < 0:
+                counts[-kind - 1] += _unsqueeze(blob)[0]
             else:
                 delta, *sums = _unsqueeze(blob)
-                found.append((np.cumsum(delta, dtype=np.uint64), *sums))
+                found.setdefault(kind, []).append((np.cumsum(delta, dtype=np.uint64), *sums))
     if where is None:
         return
-    totals = np.zeros(4, np.int64)
-    many = np.zeros(6, np.int64)
-    if found:
-        word, total, one, two, three, contexts = _group(*[np.concatenate(x) for x in zip(*found)])
-        store.write(f"words-{where}", word, total, one, two, three, contexts)
-        is_token = contexts > 0
-        many = np.bincount(np.minimum(contexts[is_token], 5), minlength=6)
-        totals[:] = [is_token.sum(), total[word >= 2].sum(), contexts.sum(), total[word == START].sum()]
-    yield pa.RecordBatch.from_arrays([pa.array([where], pa.int32()), pa.array([[*totals.tolist(), *many.tolist(), *counts.tolist()]], pa.list_(pa.int64()))], ["range", "totals"])
+    totals = np.zeros(3, np.int64)
+    for kind in sorted(found):
+        keys, *sums = (np.concatenate(x) for x in zip(*found.pop(kind)))
+        key, *sums = _group(keys, *[x.astype(np.int64) for x in sums])
+        if kind == 1:
+            store.write(f"words-{where}", key, *sums)
+            contexts, raw = sums[4:]
+            counts[0] = np.bincount(np.minimum(contexts[contexts > 0], 5), minlength=6)
+            totals[:] = [(contexts > 0).sum(), raw.sum(), contexts.sum()]
+        else:  # the first sum is the largest
+            big = np.flatnonzero(sums[0] >= BIG)
+            store.write(f"contexts{kind}-{where}", key, *[np.minimum(x, BIG).astype(np.uint8) for x in sums], big, *[x[big] for x in sums])
+    yield pa.RecordBatch.from_arrays([pa.array([where], pa.int32()), pa.array([[*totals.tolist(), *counts.ravel().tolist()]], pa.list_(pa.int64()))], ["range", "totals"])
 
 
 def discounts(counts: np.ndarray) -> tuple[float, float, float]:
@@ -270,29 +315,30 @@ class Model:
     uri: str
     parts: int
     ranges: int
-    texts: int  # also the count of the end token
+    order: int
     tokens: int
     distinct: int
     contexts: int
     context_counts: tuple[int, ...]
-    pair_discounts: tuple[float, float, float]
-    word_discounts: tuple[float, float, float]
+    discounts: tuple[tuple[float, float, float], ...]  # of order 1 first
 
 
-def train(df: DataFrame, text: str = "text") -> Model:
-    """Count the pairs of all texts of ``df`` (null: empty) and store the model in the shared checkpoint folder."""
+def train(df: DataFrame, text: str = "text", order: int = 2) -> Model:
+    """Count the n-grams of all texts of ``df`` (null: empty) up to ``order`` (at least 2) and store the model in the shared checkpoint folder."""
+    if order < 2:
+        raise ValueError("order must be at least 2")
     spark = df.sparkSession
     store = Store(f"{ensure_checkpoint_dir(spark).rstrip('/')}/ngrams-{uuid.uuid4().hex}")
     size = small_batches(df).agg(F.sum(F.octet_length(text))).first()[0] or 0
     parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), math.ceil(size / PART_BYTES))
-    counted = df.select(text).mapInArrow(lambda f: _count(f, parts), "part int, blob binary").repartitionById(parts, "part")
-    summed = counted.mapInArrow(lambda f: _store_pairs(f, store, parts), "range int, kind int, blob binary").repartitionById(parts, "range")
-    totals = np.zeros(16, np.int64)
-    for r in summed.mapInArrow(lambda f: _store_words(f, store), "range int, totals array<long>").collect():
+    counted = df.select(text).mapInArrow(lambda f: _count(f, parts, order), "part int, blob binary").repartitionById(parts, "part")
+    summed = counted.mapInArrow(lambda f: _store_grams(f, store, parts), "range int, kind int, blob binary").repartitionById(parts, "range")
+    totals = np.zeros(3 + 6 * order, np.int64)
+    for r in summed.mapInArrow(lambda f: _store_sums(f, store, order), "range int, totals array<long>").collect():
         totals += r.totals
-    distinct, words, contexts, texts = totals[:4].tolist()
-    return Model(store.uri, parts, parts, texts, words + texts, distinct, contexts, tuple(totals[4:10].tolist()),
-                 discounts(totals[10:16]), discounts(totals[4:10]))
+    distinct, tokens, contexts = totals[:3].tolist()
+    counts = totals[3:].reshape(order, 6)
+    return Model(store.uri, parts, parts, order, tokens, distinct, contexts, tuple(counts[0].tolist()), tuple(discounts(c) for c in counts))
 
 
 class Lookup:
@@ -300,7 +346,7 @@ class Lookup:
 
     def __init__(self, model: Model):
         self.model, self.store, self.files = model, Store(model.uri), {}
-        d, n = model.word_discounts, model.context_counts
+        d, n = model.discounts[0], model.context_counts
         freed = d[0] * n[1] + d[1] * n[2] + d[2] * (n[3] + n[4] + n[5])
         self.floor = freed / model.contexts / (model.distinct + 1) if model.contexts else 1.0 / (model.distinct + 1)
 
@@ -308,7 +354,7 @@ class Lookup:
         if name not in self.files:
             try:
                 self.files[name] = self.store.map(name)
-            except FileNotFoundError:  # no word or pair fell into it
+            except FileNotFoundError:  # nothing fell into it
                 self.files[name] = None
         return self.files[name]
 
@@ -327,24 +373,37 @@ class Lookup:
             yield a + hit, arrays, at[hit]
 
     def words(self, words: np.ndarray):
-        """(count as a token, count as a context, freed mass, p(w)) of sorted distinct words."""
+        """(count as a token, sum as a context, freed share, p(w)) of sorted distinct words."""
         m = self.model
-        total, contexts, freed = np.zeros(len(words), np.int64), np.zeros(len(words), np.int64), np.zeros(len(words))
+        count, total, contexts, freed = np.zeros(len(words), np.int64), np.zeros(len(words), np.int64), np.zeros(len(words), np.int64), np.zeros(len(words))
         for rows, arrays, at in self.find("words", range_of(words, m.ranges), words):
-            total[rows], contexts[rows] = arrays[1][at], arrays[5][at]
-            freed[rows] = sum(d * arrays[k][at] for d, k in zip(m.pair_discounts, (2, 3, 4)))
-        less = np.array([0.0, *m.word_discounts])[np.minimum(contexts, 3)]
+            total[rows], contexts[rows], count[rows] = arrays[1][at], arrays[5][at], arrays[6][at]
+            freed[rows] = sum(d * arrays[k][at] for d, k in zip(m.discounts[1], (2, 3, 4)))
+        less = np.array([0.0, *m.discounts[0]])[np.minimum(contexts, 3)]
         alone = np.maximum(contexts - less, 0.0) / max(1, m.contexts) + self.floor
-        count = np.where(words == END, m.texts, total)
         return count, total, freed / np.maximum(total, 1), alone
 
-    def pairs(self, context: np.ndarray, token: np.ndarray) -> np.ndarray:
-        """Counts of the pairs."""
+    def contexts(self, order: int, keys: np.ndarray):
+        """(sum, freed share) of an order's contexts, given by sorted distinct hashes."""
+        m = self.model
+        sums = np.zeros((4, len(keys)), np.int64)
+        for rows, arrays, at in self.find(f"contexts{order}", range_of(keys >> np.uint64(16), m.ranges), keys):
+            found = np.stack([x[at] for x in arrays[1:5]]).astype(np.int64)
+            big = np.flatnonzero(found[0] == BIG)
+            if len(big):
+                own = np.searchsorted(arrays[5], at[big])
+                found[:, big] = np.stack([x[own] for x in arrays[6:10]])
+            sums[:, rows] = found
+        freed = sum(d * x for d, x in zip(m.discounts[order - 1], sums[1:]))
+        return sums[0], freed / np.maximum(sums[0], 1)
+
+    def grams(self, columns: list[np.ndarray]) -> np.ndarray:
+        """Counts of the n-grams."""
         m = self.model
-        key, part = pair_hash(context, token), part_of(context, token, m.parts)
+        key, part = gram_hash(columns), part_of(columns[-2], columns[-1], m.parts)
         order = np.lexsort([key, part])
         out, counts = np.zeros(len(key), np.int64), np.zeros(len(key), np.int64)
-        for rows, arrays, at in self.find("pairs", part[order], key[order]):
+        for rows, arrays, at in self.find(f"grams{len(columns)}", part[order], key[order]):
             found = arrays[1][at].astype(np.int64)
             big = np.flatnonzero(found == BIG)
             if len(big):
@@ -364,18 +423,24 @@ def opened(model: Model) -> Lookup:
     return _OPEN[model.uri]
 
 
-def token_scores(lookup: Lookup, context: np.ndarray, token: np.ndarray):
-    """(training count, log10 of the base probability, log10 p(token | context)) of tokens."""
+def token_scores(lookup: Lookup, columns: list[np.ndarray]):
+    """(training count, log10 of the base probability, log10 p(token | context)) of the tokens that n-grams end with."""
     m = lookup.model
-    distinct, place = np.unique(np.concatenate([context, token]), return_inverse=True)
-    left, right = place[: len(context)], place[len(context) :]
-    count, total, free, alone = lookup.words(distinct)
-    # each pair once
-    _, first, again = np.unique(left.astype(np.int64) * len(distinct) + right, return_index=True, return_inverse=True)
-    seen = lookup.pairs(context[first], token[first])[again]
-    less = np.array([0.0, *m.pair_discounts])[np.minimum(seen, 3)]
-    known = total[left] > 0
-    chance = np.where(known, np.maximum(seen - less, 0.0) / np.maximum(total[left], 1) + free[left] * alone[right], alone[right])
+    distinct, place = np.unique(np.concatenate(columns[-2:]), return_inverse=True)
+    left, right = place[: len(columns[-1])], place[len(columns[-1]) :]
+    count, sums, freed, alone = lookup.words(distinct)
+    chance, total, free = alone[right], sums[left], freed[left]
+    for order in range(2, m.order + 1):
+        own = columns[-order:]
+        if order > 2:
+            keys, place = np.unique(gram_hash(own[:-1]), return_inverse=True)
+            sums, freed = lookup.contexts(order, keys)
+            total, free = sums[place], freed[place]
+        # each n-gram once
+        _, first, again = np.unique(gram_hash(own), return_index=True, return_inverse=True)
+        seen = lookup.grams([c[first] for c in own])[again]
+        less = np.array([0.0, *m.discounts[order - 1]])[np.minimum(seen, 3)]
+        chance = np.where(total > 0, np.maximum(seen - less, 0.0) / np.maximum(total, 1) + free * chance, chance)
     base = np.log10((count + 0.1) / (m.tokens + 0.1 * (m.distinct + 1)))
     return count[right], base[right], np.log10(chance)
 
@@ -396,12 +461,12 @@ def score(df: DataFrame, model: Model, text: str = "text") -> DataFrame:
     def run(frames):
         lookup = opened(model)
         for batch in batches(frames, size=SCORED):
-            context, token, at = pairs(batch.column(place))
-            rows = np.diff(at)
-            known, base, chance = np.empty(len(token), np.int64), np.empty(len(token)), np.empty(len(token))
-            for a in range(0, len(token), 1 << 20):  # a very long text comes in pieces
+            columns, at = grams(batch.column(place), model.order)
+            rows, n = np.diff(at), len(columns[0])
+            known, base, chance = np.empty(n, np.int64), np.empty(n), np.empty(n)
+            for a in range(0, n, 1 << 20):  # a very long text comes in pieces
                 b = a + (1 << 20)
-                known[a:b], base[a:b], chance[a:b] = token_scores(lookup, context[a:b], token[a:b])
+                known[a:b], base[a:b], chance[a:b] = token_scores(lookup, [c[a:b] for c in columns])
             sums = [np.add.reduceat(x, at[:-1]) for x in ((known > 0).astype(np.int64), base, chance)]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(rows.astype(np.int64)), *map(pa.array, sums)], names=schema.names)
 

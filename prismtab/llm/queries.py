@@ -167,10 +167,14 @@ def op6(spark, sf_dir):
     return chat.read_back(rendered).withColumnRenamed("conversation", "conv_id")
 
 
+#: the order of the scoring model, a parameter of the query
+ORDER = 3
+
+
 @query("op4_lm_scoring")
 def op4(spark, sf_dir):
     """Scores of every document under a model of the nine tenths that are not held out."""
     docs = table(spark, sf_dir, "documents").select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
     docs = docs.withColumn("held_out", F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")) % 10 == 0)
-    model = ngrams.train(docs.where("not held_out"))
+    model = ngrams.train(docs.where("not held_out"), order=ORDER)
     return ngrams.score(docs, model).select("doc_id", "held_out", "n_tokens", "n_known", F.lit(model.tokens).cast("long").alias("train_tokens"), "base_score", "score")

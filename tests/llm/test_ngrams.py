@@ -90,3 +90,68 @@ def test_files_of_another_store_are_mapped_from_a_nameless_copy(tmp_path):
     far = ngrams.Store(f"file://{tmp_path}/m")
     far.local = lambda: None
     assert [a.tolist() for a in far.map("x")] == [a.tolist() for a in store.map("x")] == [[0, 1, 2, 3, 4], [1, 2]]
+
+
+class BruteOrder(Brute):
+    """Any order: every level's counts as a counter, the lower ones from distinct n-grams."""
+
+    def __init__(self, texts, order):
+        super().__init__(texts)
+        self.order, top = order, collections.Counter()
+        for t in texts:
+            own = ["start"] * (order - 1) + self.tokens(t)
+            top.update(tuple(own[i : i + order]) for i in range(len(own) - order + 1))
+        self.levels = {order: top}
+        for k in range(order - 1, 0, -1):
+            self.levels[k] = collections.Counter(g[1:] for g in self.levels[k + 1])
+        self.before = collections.Counter({g[0]: n for g, n in self.levels[1].items()})
+        many = {k: np.bincount(np.minimum(list(c.values()) or [0], 5), minlength=6) for k, c in self.levels.items()}
+        self.less = {k: [0, *ngrams.discounts(n)] for k, n in many.items()}
+        self.e, n = self.less[1][1:], many[1]
+        self.contexts = sum(self.before.values())
+        self.free = (self.e[0] * n[1] + self.e[1] * n[2] + self.e[2] * n[3:].sum()) / self.contexts if self.contexts else 1.0
+        self.after = {k: collections.defaultdict(list) for k in range(2, order + 1)}
+        for k in self.after:
+            for g, c in self.levels[k].items():
+                self.after[k][g[:-1]].append(c)
+
+    def p(self, u, w):
+        if not u:
+            return self.alone(w)
+        k = len(u) + 1
+        found, lower = self.after[k].get(u), self.p(u[1:], w)
+        if not found:
+            return lower
+        less, c = self.less[k], self.levels[k].get((*u, w), 0)
+        return max(c - less[min(c, 3)], 0) / sum(found) + sum(less[min(x, 3)] for x in found) / sum(found) * lower
+
+    def scores(self, text):
+        own = self.tokens(text)
+        base = sum(math.log10((self.count[w] + 0.1) / (self.total + 0.1 * (self.distinct + 1))) for w in own)
+        padded = ["start"] * (self.order - 1) + own
+        chances = [self.p(tuple(padded[i : i + self.order - 1]), w) for i, w in enumerate(own)]
+        return len(own), sum(w in self.count for w in own), base, sum(map(math.log10, chances))
+
+
+def test_higher_orders_match_the_formulas(spark):
+    rows = [tuple(r) for r in spark.read.parquet(f"{SF_MID}/documents.parquet").select("doc_id", "text").where("doc_id < 60").collect()]
+    train = [r for r in rows if r[0] % 10] + [(900, "a b " * 3000), (901, None), (902, ""), (903, "A b\tC \n"), (903, "A b\tC \n"), (None, "d")]
+    scored = [*rows, (901, None), (904, "never a b d never seen"), (905, "a b a c")]
+    for order in (3, 4):
+        model, brute = ngrams.train(frame(spark, train), order=order), BruteOrder([t for _, t in train], order)
+        assert (model.tokens, model.distinct) == (brute.total, brute.distinct)
+        got = {(r.doc_id, r.text): r for r in ngrams.score(frame(spark, scored), model).collect()}
+        for i, t in scored:
+            n, known, base, score = brute.scores(t)
+            r = got[i, t]
+            assert (r.n_tokens, r.n_known) == (n, known) and abs(r.base_score - base) < 1e-5 * max(1, -base) and abs(r.score - score) < 1e-5 * max(1, -score)
+        for u in (("start",) * (order - 1), (b"a", b"b", b"a")[: order - 1], (b"never",) * (order - 2) + (b"a",)):
+            assert abs(sum(brute.p(u, w) for w in brute.count) + brute.p(u, b"?unknown?") - 1) < 1e-9
+
+
+def test_a_word_two_back_tells(spark):
+    train = [(i, "one b c" if i % 2 else "two b d") for i in range(40)]
+    scored = frame(spark, [(1, "one b c"), (2, "one b d")])
+    score = lambda order: {r.doc_id: r.score for r in ngrams.score(scored, ngrams.train(frame(spark, train), order=order)).collect()}
+    pair, triple = score(2), score(3)
+    assert abs(pair[1] - pair[2]) < 1e-9 and triple[1] > triple[2] + 1
