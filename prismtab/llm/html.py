@@ -9,13 +9,14 @@ All text that is left is the main text, whether in one article, several or none.
 
 What HTML itself marks as something else than content goes as well: menus,
 headers, footers, asides, forms, scripts and elements whose class, id or role
-says advert, notice, sidebar, comments and the like.
+says advert, notice, sidebar, comments and the like, unless they hold the page's own text.
 """
 
 from __future__ import annotations
 
 import html as references
 import re
+from itertools import accumulate
 
 import pyarrow as pa
 import xxhash
@@ -46,15 +47,22 @@ _MARKED = frozenset(
     "ad ads advert adverts advertisement advertising sponsor sponsored promo promotion banner cookie cookies consent gdpr notice notices alert popup modal overlay "
     "newsletter subscribe signup login nav navbar navigation menu menus breadcrumb breadcrumbs sidebar footer comment comments disqus respond replies share sharing "
     "social related recommended recommendations pagination pager toolbar widget widgets masthead complementary contentinfo search".split())
+#: marks of blocks whose articles are not the page's own
+_FOREIGN = frozenset("ad ads advert adverts advertisement advertising sponsor sponsored promo promotion comment comments disqus respond replies related recommended recommendations".split())
 _HEADERS = frozenset("header site-header page-header masthead topbar top-bar".split())
 BREAK = None
+#: how an element is marked as no content: by any mark, by the first part of a word of ``_FOREIGN``, by a whole such word
+MARKED, FOREIGN, SURELY = 1, 2, 3
 
 
-def _marks(attributes: str) -> tuple[str, bool, bool]:
-    """(what of the attributes counts for the hash, whether they mark no content, whether they mark a main element)."""
+def _marks(attributes: str) -> tuple[str, bool, int, bool]:
+    """(what of the attributes counts for the hash, whether they hide the element, how they mark it as no content, whether they mark a main element).
+
+    A word marks as a whole or by its first part (cookie-notice), not by a later one (no-sidebar).
+    """
     if not attributes or attributes.isspace():
-        return "", False, False
-    key, drop, main = [], False, False
+        return "", False, 0, False
+    key, drop, mark, main = [], False, 0, False
     for m in _ATTRIBUTE.finditer(attributes):
         name, value = m[1].lower(), (m[2] or m[3] or m[4] or "").lower()
         if name == "hidden":
@@ -63,19 +71,23 @@ def _marks(attributes: str) -> tuple[str, bool, bool]:
             drop |= "display:none" in value.replace(" ", "")
         else:
             words = value.split()
-            drop |= any(w in _HEADERS or not _MARKED.isdisjoint(re.split(r"[-_:]+", w)) for w in words)
+            for w in words:
+                first = re.split(r"[-_:]+", w, maxsplit=1)[0]
+                if w in _HEADERS or first in _MARKED:
+                    mark = max(mark, SURELY if w in _FOREIGN else FOREIGN if first in _FOREIGN else MARKED)
             main |= name == "role" and value == "main"
             key.append(f"{name}={value}")
-    return " ".join(key), drop, main
+    return " ".join(key), drop, mark, main
 
 
 class Element:
-    __slots__ = ("tag", "key", "start", "parts", "drop", "article", "heading")
+    __slots__ = ("tag", "key", "start", "parts", "drop", "mark", "article", "heading", "articles", "mains")
 
-    def __init__(self, tag: str, key: str, start: int, drop: bool, article: bool):
-        self.tag, self.key, self.start, self.drop, self.article = tag, key, start, drop, article
+    def __init__(self, tag: str, key: str, start: int, drop: bool, mark: int, article: bool, main: bool):
+        self.tag, self.key, self.start, self.drop, self.mark, self.article = tag, key, start, drop, mark, article
         self.parts: list[bytes] = []
         self.heading = False
+        self.articles, self.mains = int(article), int(main)  # how many it is and holds
 
 
 def _joined(pieces: list[str | None]) -> str:
@@ -95,14 +107,18 @@ def _joined(pieces: list[str | None]) -> str:
 def parse(page: str, templates=frozenset()) -> tuple[str, list[tuple[int, bool]], str]:
     """(main text, [(hash of a subtree that may be template, whether it stood in the article)], what tells copies) of one page.
 
-    Subtrees whose hash is in ``templates`` are deleted, and the main text is all that is left.  Copies
+    Subtrees whose hash is in ``templates`` are deleted, marked blocks go then, and the main text is all that is left.
+    A mark does not hold for html, body and what holds a main element; for what holds an article, unless
+    the mark says that it is not the page's own; and for what holds more than half of the page's text, unless
+    a whole word says so and there is an article or main element that is not inside it.  Copies
     are told by the text of all articles that are left, or by the main text if there is none.  Tags that are not
     closed end where HTML ends them; a tag cut off at the page's end is markup.
     """
     pieces: list[str | None] = []
-    root = Element("", "", 0, False, False)
+    root = Element("", "", 0, False, 0, False, False)
     stack, found = [root], []
     articles: list[tuple[int, int]] = []  # ranges of pieces
+    marked: list[tuple[int, int, Element]] = []
     inside = 0  # open articles or main elements
 
     def close() -> None:
@@ -112,6 +128,8 @@ def parse(page: str, templates=frozenset()) -> tuple[str, list[tuple[int, bool]]
         parent = stack[-1]
         parent.parts.append(digest)
         parent.heading |= e.heading or e.tag in ("h1", "h2", "h3", "h4", "h5", "h6")
+        parent.articles += e.articles
+        parent.mains += e.mains
         inside -= e.article
         if e.tag not in _INLINE:
             pieces.append(BREAK)
@@ -124,10 +142,14 @@ def parse(page: str, templates=frozenset()) -> tuple[str, list[tuple[int, bool]]
         if gone:
             del pieces[e.start :]
             pieces.append(BREAK)
-            while articles and articles[-1][0] >= e.start:
-                articles.pop()
-        elif e.article and not inside:
+            for ranges in (articles, marked):
+                while ranges and ranges[-1][0] >= e.start:
+                    ranges.pop()
+            return
+        if e.article and not inside:
             articles.append((e.start, len(pieces)))
+        if e.mark and not e.mains and (not e.articles or e.mark >= FOREIGN):
+            marked.append((e.start, len(pieces), e))
 
     def text(part: str) -> None:
         part = references.unescape(part)
@@ -178,18 +200,27 @@ def parse(page: str, templates=frozenset()) -> tuple[str, list[tuple[int, bool]]
                     break
         if m[3].rstrip().endswith("/") and tag in ("svg", "path"):
             continue
-        key, drop, main = _marks(m[3])
-        article = tag in ("article", "main") or main
-        if article and drop and any(w in key for w in ("comment", "related", "sponsor", "promo", "advert")):
+        key, drop, mark, main = _marks(m[3])
+        main |= tag == "main"
+        article = tag == "article" or main
+        if article and mark >= FOREIGN and not main:
             article = False
         elif article:
             drop = False
+        if article or tag in ("html", "body"):
+            mark = 0
         if tag not in _INLINE:
             pieces.append(BREAK)
-        stack.append(Element(tag, key, len(pieces), drop or tag in _DROPPED, article))
+        stack.append(Element(tag, key, len(pieces), drop or tag in _DROPPED, mark, article, main))
         inside += article
     while len(stack) > 1:
         close()
+    if marked:
+        upto = [0, *accumulate(len(p.strip()) if p else 0 for p in pieces)]
+        for a, b, e in marked:
+            most = 2 * (upto[b] - upto[a]) > upto[-1]
+            if not most or e.mark == SURELY and root.articles > e.articles:
+                pieces[a:b] = [BREAK] * (b - a)
     main = _joined(pieces)
     own = _joined([p for a, b in articles for p in [*pieces[a:b], BREAK]]) if articles else main
     return main, found, own

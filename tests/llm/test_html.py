@@ -66,10 +66,35 @@ def test_all_text_that_is_left_is_taken():
     assert html.parse(two)[0] == "A\n\none\n\ntwo, the longer\n\nthree"
     for block in ("<aside>{}</aside>", "<nav>{}</nav>", "<div class=related>{}</div>"):
         teaser = block.format("<article><p>read this as well, a teaser</p></article>")
-        assert html.parse(f"<div><p>the text</p></div>{teaser}<p>goes on</p>")[0] == "the text\n\ngoes on"
+        assert html.parse(f"<div><p>the text, longer than the teaser</p></div>{teaser}<p>goes on</p>")[0] == "the text, longer than the teaser\n\ngoes on"
     assert html.parse("<article><p>a</p></article><div><p>the text beside it</p></div>")[0] == "a\n\nthe text beside it"
 
 
 def test_copies_of_an_article_beside_other_text_are_one_page(spark):
     page = "<body><article><div><p>news</p></div></article>{}"
     assert run(spark, site("a.com", 20, page))[3] == "news\n\npage 3 of a.com"
+
+
+@pytest.mark.parametrize("page", [
+    "<html class='nav-open'><body class='no-sidebar search'>{}</body></html>",
+    "<div class='content-with-sidebar'>{}</div>",
+    "<div id='page' class='logged-in nav-open'>{}</div>",
+    "<article><div class='post-body share-enabled'>{}</div></article>",
+    "<div class='share-post'><article>{}</article></div>",
+    "<div class='social'><main>{}</main></div>",
+    "<div class='related'><article>{}</article></div>",
+    "<div class='widget-page'><div class='sidebar'>menu</div>{}<div class='search-box'>find</div></div>",
+])
+def test_marks_do_not_delete_what_holds_the_text(page):
+    text = "<p>the text of the page</p><p>in two parts</p>"
+    assert html.parse(page.format(text))[0] == "the text of the page\n\nin two parts"
+
+
+def test_marked_blocks_beside_the_text_go():
+    posts = "".join(f"<div class='share-post'><article><p>post {i}</p></article></div>" for i in range(3))
+    assert html.parse(posts)[0] == "post 0\n\npost 1\n\npost 2"
+    for block in ("<div class='sidebar left'>{}</div>", "<div id=comments>{}</div>", "<div class='related-posts'><article>{}</article></div>", "<p role=search>{}</p>"):
+        assert html.parse(f"<div><p>the text of the page</p></div>{block.format('something else')}<p>goes on</p>")[0] == "the text of the page\n\ngoes on"
+    # an advert longer than the article beside it
+    assert html.parse("<div class=ad>buy this, and that, and more</div><article><p>A.</p></article>")[0] == "A."
+    assert html.parse("<div class=ad>buy this, and that, and more</div><article>")[0] == ""
