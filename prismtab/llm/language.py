@@ -119,8 +119,9 @@ def identify(df: DataFrame, text: str = "text", declared: Column | None = None,
     or hosts; either may be missing, null or empty, which is no evidence.
     ``model`` comes from ``fit``; without it, it is fitted on ``label`` (a
     column of ``df``).  ``accepted`` is false for und, for a probability under
-    ``ACCEPT`` and for texts without a letter trigram (null and empty ones
-    included), whose language is und with probability 1.  Ties go to the
+    ``ACCEPT`` and for texts without a letter (null and empty ones
+    included), whose language is und with probability 1.  Texts too short for a trigram
+    are decided by the declared language and the host.  Ties go to the
     language that sorts first.  Without any labelled row all are und.  Input
     columns of the three names are replaced.
     """
@@ -204,12 +205,16 @@ def identify(df: DataFrame, text: str = "text", declared: Column | None = None,
 
     def decide(frames):
         for batch in batches(frames):
-            loglik, seen = likelihoods(batch.column(0).flatten()[place])
+            texts = batch.column(0).flatten()[place]
+            loglik, seen = likelihoods(texts)
+            # a text without a trigram has flat likelihoods
+            bare = np.flatnonzero(seen == 0)
+            bare = bare[~pc.match_substring_regex(texts.take(pa.array(bare)), r"\p{L}").fill_null(False).to_numpy(zero_copy_only=False).astype(bool)]
             prior = np.array([p if p is not None else world for p in batch.column(2).to_pylist()]).reshape(-1, k)
             post = _softmax(loglik + log_given[batch.column(1).to_numpy() + 1] + np.log(prior))
             best = post.argmax(axis=1)
-            best[seen == 0] = k - 1
-            top = np.where(seen == 0, 1.0, post[np.arange(len(best)), best])
+            top = post[np.arange(len(best)), best]
+            best[bare], top[bare] = k - 1, 1.0
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array([names[b] for b in best], pa.string()), pa.array(top), pa.array((best < k - 1) & (top >= ACCEPT))],
                 ["row", "language", "probability", "accepted"])

@@ -50,3 +50,26 @@ def test_many_hosts_are_joined_without_a_broadcast(spark, monkeypatch):
     wide = sorted(map(tuple, language.identify(*args, label="lang").select("doc_id", "language").collect()))
     monkeypatch.setattr(language, "BROADCAST_HOSTS", 0)
     assert sorted(map(tuple, language.identify(*args, label="lang").select("doc_id", "language").collect())) == wide
+
+
+def test_texts_too_short_for_a_trigram_are_decided_by_the_other_evidence(spark):
+    docs = spark.read.parquet(f"{SF_MID}/documents.parquet").where(F.col("lang").isin("en", "fr"))
+    known = docs.select("doc_id", "text", F.col("lang").alias("said"), F.concat(F.col("lang"), F.lit(".example")).alias("at"))
+    short = [(-1, "A.", "en", "en.example"), (-2, "é", "fr", "fr.example"), (-3, "y", "", "fr.example"), (-4, "A", "en", None),
+             (-5, "1.", "en", "en.example"), (-6, "²", "en", "en.example"), (-7, " ", "en", "en.example"), (-8, None, "en", "en.example"), (-9, "1234 5678", "en", "en.example")]
+    rows = known.unionAll(spark.createDataFrame(short, known.schema))
+    found = language.identify(rows, "text", F.col("said"), F.col("at"), model=language.fit(docs, "text", "lang")).where("doc_id < 0").collect()
+    got = {r.doc_id: r for r in found}
+    assert [(got[-i].language, got[-i].accepted) for i in range(1, 5)] == [("en", True), ("fr", True), ("fr", True), ("en", True)]
+    assert all(0.5 <= got[-i].probability < 1 for i in range(1, 5))
+    assert all((got[-i].language, got[-i].accepted, got[-i].probability) == ("und", False, 1) for i in range(5, 10))
+
+
+def test_the_pipeline_keeps_short_documents_with_a_letter(spark):
+    import corpus_pipeline
+
+    docs = spark.read.parquet(f"{SF_MID}/documents.parquet")
+    first = docs.where("lang = 'en'").limit(1)
+    short = first.withColumn("doc_id", F.lit(-1).cast("long")).withColumn("text", F.lit("A."))
+    kept = corpus_pipeline.language_id(spark, docs.unionByName(short.select(docs.columns)), SF_MID)
+    assert [r.text for r in kept.where("doc_id = -1").collect()] == ["A."]
