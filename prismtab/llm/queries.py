@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from prismtab.llm import chat, decontaminate, digests, html, language, ngrams, pieces, sharding, simhash, substrings
+from prismtab.llm import chat, decontaminate, digests, divergence, html, language, mixing, negatives, ngrams, pieces, sharding, simhash, substrings
 
 QUERIES: dict = {}
 ORACLE: dict[str, str] = {}
@@ -178,3 +178,81 @@ def op4(spark, sf_dir):
     docs = docs.withColumn("held_out", F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")) % 10 == 0)
     model = ngrams.train(docs.where("not held_out"), order=ORDER)
     return ngrams.score(docs, model).select("doc_id", "held_out", "n_tokens", "n_known", F.lit(model.tokens).cast("long").alias("train_tokens"), "base_score", "score")
+
+
+#: every share as an integer; pairs are summed over all kept terms
+DIVERGENCE = r"""
+WITH d AS (SELECT row_number() OVER () AS r, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+    regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS ts FROM documents),
+  w AS (SELECT r, lang, source, unnest(ts) AS t FROM d),
+  keep AS (SELECT lang, t FROM w GROUP BY lang, t HAVING count(DISTINCT r) >= 10),
+  g AS (SELECT DISTINCT lang, source FROM d),
+  v AS (SELECT lang, count(*) AS v FROM keep GROUP BY lang),
+  c AS (SELECT lang, source, t, count(*) AS c FROM w JOIN keep USING (lang, t) GROUP BY lang, source, t),
+  n AS (SELECT g.lang, g.source, coalesce(sum(c), 0) AS n FROM g LEFT JOIN c ON g.lang = c.lang AND g.source = c.source GROUP BY g.lang, g.source),
+  p AS (SELECT n.lang, n.source, keep.t, coalesce(c, 0) AS c, CAST(1 + (1000000000 * (coalesce(c, 0) + 2)) // (n + 2 * v) AS BIGINT) AS p
+    FROM n JOIN v USING (lang) JOIN keep USING (lang) LEFT JOIN c ON c.lang = n.lang AND c.source = n.source AND c.t = keep.t),
+  l AS (SELECT lang, t, CAST(1 + (1000000000 * (sum(c) + 2)) // (any_value(tn) + 2 * any_value(v)) AS BIGINT) AS q
+    FROM c JOIN v USING (lang) JOIN (SELECT lang, sum(n) AS tn FROM n GROUP BY lang) USING (lang) GROUP BY lang, t),
+  pair AS (SELECT a.lang, a.source, b.source AS item, CAST(coalesce((SELECT sum(((x.p - y.p) * (x.p - y.p)) // (x.p + y.p)) FROM p x JOIN p y
+      ON x.lang = y.lang AND x.t = y.t WHERE x.lang = a.lang AND x.source = a.source AND y.source = b.source), 0) AS BIGINT) AS value
+    FROM g a JOIN g b ON a.lang = b.lang AND a.source <> b.source),
+  term AS (SELECT lang, source, t AS item, ((p - q) * (p - q)) // (p + q) AS value FROM p JOIN l USING (lang, t) WHERE c > 0 AND p > q)
+SELECT lang, source, 'pair' AS part, item, value, CAST(row_number() OVER (PARTITION BY lang, source ORDER BY value DESC, item) AS INT) AS rank FROM pair
+UNION ALL SELECT * FROM (SELECT lang, source, 'term' AS part, item, value,
+  CAST(row_number() OVER (PARTITION BY lang, source ORDER BY value DESC, item) AS INT) AS rank FROM term) WHERE rank <= 10"""
+
+
+@query("op11_source_divergence", DIVERGENCE)
+def op11(spark, sf_dir):
+    """Distances of all sources of a language, and the terms that set each source apart."""
+    return divergence.audit(table(spark, sf_dir, "documents").select("text", "lang", "source"))
+
+
+NEGATIVES = """
+WITH e AS (SELECT vec_id, CAST(CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS BIGINT) AS label,
+    list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+  FROM embeddings WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+  s AS (SELECT a.vec_id AS anchor_id, b.vec_id AS id, a.label = b.label AS own, CAST(list_inner_product(CAST(a.v AS DOUBLE[]), CAST(b.v AS DOUBLE[])) AS BIGINT) AS score
+    FROM e a JOIN e b ON a.vec_id % 50 = 0 AND a.vec_id <> b.vec_id),
+  p AS (SELECT anchor_id, id AS positive_id, score AS positive_score FROM s WHERE own
+    QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, id) <= 5)
+SELECT anchor_id, positive_id, CAST(row_number() OVER w AS INT) AS rank, id AS negative_id, positive_score, score AS negative_score
+FROM p JOIN s USING (anchor_id) WHERE NOT own AND 50 * positive_score <= 100 * score AND 100 * score <= 95 * positive_score
+WINDOW w AS (PARTITION BY anchor_id, positive_id ORDER BY score DESC, id) QUALIFY row_number() OVER w <= 3"""
+
+
+@query("op12_hard_negatives", NEGATIVES)
+def op12(spark, sf_dir):
+    """Negatives of every fiftieth vector, just below each of its best positives."""
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return negatives.mine(table(spark, sf_dir, "embeddings").select("vec_id", "embedding", "label"), label=label)
+
+
+#: the same laws written out: the level by full sources, seats by ranking all quotients near the quota
+MIXING = f"""
+WITH d AS (SELECT doc_id, source, CAST(len({WORDS}) AS BIGINT) AS size, md5('13:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS o FROM documents),
+  s AS (SELECT source, CAST(sum(size) AS BIGINT) AS s, row_number() OVER (ORDER BY source NULLS LAST) AS i FROM d GROUP BY source),
+  w AS (SELECT *, [5, 2, 1][(i - 1) % 3 + 1] AS w, 3 * s AS most, CAST(sum(s) OVER () AS BIGINT) AS total FROM s),
+  lv AS (SELECT *, (total - coalesce(CAST(sum(most) OVER b AS BIGINT), 0)) / (CAST(sum(w) OVER () AS BIGINT) - coalesce(CAST(sum(w) OVER b AS BIGINT), 0)) AS lv
+    FROM w WINDOW b AS (ORDER BY most / w, i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
+  t AS (SELECT *, least(CAST(most AS DOUBLE), w * max(lv) OVER ()) AS target FROM lv),
+  k AS (SELECT *, greatest(1, least(1024, coalesce(CAST(floor(min(target) FILTER (target > 0) OVER () / 256) AS BIGINT), 1))) AS block FROM t),
+  h AS (SELECT k.*, j, ((total // block) * j) // 40 AS h FROM k, range(1, 41) r(j)),
+  seat AS (SELECT i, j, h, seat, target / (2 * seat + 1) AS quotient FROM h, unnest(range(0, CAST(least(most // block, ceil(h * target / greatest(total, 1)) + 30) AS BIGINT))) u(seat)),
+  won AS (SELECT i, j FROM seat QUALIFY row_number() OVER (PARTITION BY j ORDER BY quotient DESC, i, seat) <= h),
+  e AS (SELECT i, list(n ORDER BY j) AS ends FROM (SELECT k.i, r.j, count(won.i) AS n FROM k CROSS JOIN range(1, 41) r(j) LEFT JOIN won ON won.i = k.i AND won.j = r.j GROUP BY k.i, r.j) GROUP BY i),
+  l AS (SELECT d.*, k.s, k.target, k.block, ends, CAST(sum(size) OVER (PARTITION BY k.i ORDER BY o, doc_id, size ROWS UNBOUNDED PRECEDING) AS BIGINT) - size AS a
+    FROM d JOIN k ON d.source IS NOT DISTINCT FROM k.source JOIN e ON e.i = k.i),
+  piece AS (SELECT l.*, j, greatest(0, least(a + size + c * s, ends[j] * block) - greatest(a + c * s, CASE j WHEN 1 THEN 0 ELSE ends[j - 1] END * block)) AS n
+    FROM l, range(3) r(c), range(1, 41) q(j))
+SELECT doc_id, size, any_value(s) AS source_size, any_value(target) AS target, CAST(sum(n) AS BIGINT) AS taken,
+  CAST(coalesce(min(j - 1) FILTER (n > 0), -1) AS INT) AS first_shard, CAST(count(*) FILTER (n > 0) AS INT) AS pieces FROM piece GROUP BY doc_id, size, a, o, source"""
+
+
+@query("op13_mixing", MIXING)
+def op13(spark, sf_dir):
+    """Words of every document that a mix by source weights takes, over 40 shards."""
+    mixed = mixing.mix(table(spark, sf_dir, "documents").select("doc_id", "source", "text"), mixing.word_count(F.col("text")))
+    first = F.coalesce(F.array_min(F.transform("pieces", lambda p: p["shard"])), F.lit(-1)).alias("first_shard")
+    return mixed.select("doc_id", "size", "source_size", "target", "taken", first, F.size("pieces").alias("pieces"))
