@@ -481,8 +481,10 @@ def hyperparameter_sweep(train: DataFrame, feature_sets: dict[str, list[str]], g
 def best_parameter(results: DataFrame, metric: str, ascending: bool, order_cols: list[str]) -> DataFrame:
     """G-07: the best row; strict improvement only, so the first row in grid
     order wins ties."""
-    m = F.asc(metric) if ascending else F.desc(metric)
-    return results.orderBy(m, *[F.asc(c) for c in order_cols]).limit(1)
+    from prismtab.operators.search import order_cols as by
+
+    order = by([(metric, "asc" if ascending else "desc"), *[(c, "asc") for c in order_cols]], results)
+    return results.orderBy(*order).limit(1)
 
 
 # ---------------------------------------------------------------- G-06

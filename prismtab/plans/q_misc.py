@@ -42,14 +42,15 @@ def q_flow_utility(spark, sf_dir):
 # ---------------------------------------------------------------- G-04
 @register("g04_flow_ranking", with_views(PREDS_SQL, FLOW_SQL) + """SELECT base_pred, other_pred, n,
   round(delta, 6) AS delta_weighted_correct,
-  row_number() OVER (ORDER BY (n >= 1 AND delta > 0) DESC, delta DESC, n DESC, base_pred, other_pred) AS rank
+  row_number() OVER (ORDER BY (n >= 1 AND delta > 0) DESC, round(delta, 12) DESC, n DESC, base_pred, other_pred) AS rank
 FROM flows""")
 def q_flow_ranking(spark, sf_dir):
-    f = rounded(_flows(spark, sf_dir))
-    order = [F.desc("selected"), F.desc("delta_weighted_correct"), F.desc("n"), F.asc("base_pred"),
-             F.asc("other_pred")]
-    return rank_scoreboard(f, order).select("base_pred", "other_pred", "n", "delta_weighted_correct",
-                                            F.col("rank").cast("bigint").alias("rank"))
+    from prismtab.operators.search import order_cols
+
+    f = _flows(spark, sf_dir)
+    order = order_cols([("selected", "desc"), ("delta_weighted_correct", "desc"), ("n", "desc"), ("base_pred", "asc"), ("other_pred", "asc")], f)
+    return rounded(rank_scoreboard(f, order).select("base_pred", "other_pred", "n", "delta_weighted_correct",
+                                                    F.col("rank").cast("bigint").alias("rank")))
 
 
 APPLY_SQL = """arb AS (
@@ -384,15 +385,30 @@ def q_numeric_frame(spark, sf_dir):
   SELECT 'm1' AS model, class, pred_m1 AS pred FROM preds WHERE split = 'train'
   UNION ALL SELECT 'm2', class, pred_m2 FROM preds WHERE split = 'train'
   UNION ALL SELECT 'm3', class, pred_m3 FROM preds WHERE split = 'train'
-)""") + """SELECT model, round(sum(CASE WHEN class = 'STAR' AND pred = 'STAR' THEN 1 ELSE 0 END)
-  / sum(CASE WHEN class = 'STAR' THEN 1 ELSE 0 END), 6) AS recall_STAR
-FROM lp GROUP BY model ORDER BY recall_STAR DESC, model LIMIT 2""")
+), rc AS (SELECT model, class, avg(CASE WHEN pred = class THEN 1e0 ELSE 0e0 END) AS recall, sum(CASE WHEN pred = class THEN 1 ELSE 0 END) AS ok, count(*) AS n
+  FROM lp GROUP BY model, class),
+m AS (SELECT model, max(recall) FILTER (class = 'STAR') AS star, sum(recall) / 3 AS bal, CAST(sum(ok) AS DOUBLE) / sum(n) AS acc FROM rc GROUP BY model)""")
+          + """SELECT * FROM (SELECT 'star_recall' AS board, CAST(row_number() OVER (ORDER BY round(star, 12) DESC, round(bal, 12) DESC, model) AS INT) AS rank,
+  model, round(star, 6) AS recall_STAR, round(bal, 6) AS balanced_accuracy, round(acc, 6) AS accuracy FROM m) WHERE rank <= 10
+UNION ALL SELECT * FROM (SELECT 'balanced', CAST(row_number() OVER (ORDER BY round(bal, 12) DESC, round(acc, 12) DESC, model) AS INT) AS rank,
+  model, round(star, 6), round(bal, 6), round(acc, 6) FROM m) WHERE rank <= 10""")
 def q_top_star_recall(spark, sf_dir):
-    from prismtab.operators.metrics import per_class_metrics
+    """Both lists of the sweep summary: by STAR recall and by balanced accuracy."""
+    from pyspark.sql import Window
+
+    from prismtab.operators.metrics import per_class_metrics, prediction_metrics
+    from prismtab.operators.search import order_cols
     from prismtab.plans.q_metrics import long_predictions
 
-    pc = rounded(per_class_metrics(long_predictions(spark, sf_dir, "train"), "class", "pred", by=("model",)))
-    return pc.orderBy(F.desc("recall_STAR"), F.asc("model")).limit(2).select("model", "recall_STAR")
+    long = long_predictions(spark, sf_dir, "train")
+    recall = per_class_metrics(long, "class", "pred", by=("model",)).select("model", "recall_STAR")
+    board = recall.join(prediction_metrics(long, "class", "pred", by=("model",)).select("model", "balanced_accuracy", "accuracy"), "model")
+    out = None
+    for name, keys in (("star_recall", ("recall_STAR", "balanced_accuracy")), ("balanced", ("balanced_accuracy", "accuracy"))):
+        order = order_cols([(k, "desc") for k in keys] + [("model", "asc")], board)
+        top = board.orderBy(*order).limit(10).select(F.lit(name).alias("board"), F.row_number().over(Window.orderBy(*order)).alias("rank"), "*")
+        out = top if out is None else out.unionByName(top)
+    return rounded(out)
 
 
 # ---------------------------------------------------------------- H-02 / D-11

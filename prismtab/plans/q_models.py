@@ -249,19 +249,16 @@ def q_model_selection(spark, sf_dir):
 
 # ---------------------------------------------------------------- G-07
 def _g07_sql() -> str:
-    from prismtab.plans.q_search import THRESHOLD_SQL
+    from prismtab.plans import q_search as Q
 
-    return ("SELECT qso_threshold, star_threshold, replace_threshold, balanced_accuracy FROM (" + THRESHOLD_SQL
-            + ") ORDER BY balanced_accuracy DESC, qso_threshold, star_threshold, replace_threshold LIMIT 1")
+    views = with_views(Q.X_SQL, Q._vals("qg", Q.QT), Q._vals("sg", Q.ST), Q._vals("rg", Q.RT), Q.Y_SQL, Q.RES_SQL)
+    return views + """SELECT qt AS qso_threshold, st AS star_threshold, rt AS replace_threshold, round(ba, 6) AS balanced_accuracy
+FROM res ORDER BY round(ba, 12) DESC, qt, st, rt LIMIT 1"""
 
 
 @register("g07_best_parameter", _g07_sql())
 def q_best_parameter(spark, sf_dir):
     from prismtab.plans.q_search import threshold_results
 
-    res = rounded(threshold_results(spark, sf_dir))
-    best = O.best_parameter(res, "balanced_accuracy", False, ["qso_threshold", "star_threshold", "replace_threshold"])
-    return best.select("qso_threshold", "star_threshold", "replace_threshold", "balanced_accuracy")
-
-
-
+    best = O.best_parameter(threshold_results(spark, sf_dir), "balanced_accuracy", False, ["qso_threshold", "star_threshold", "replace_threshold"])
+    return rounded(best.select("qso_threshold", "star_threshold", "replace_threshold", "balanced_accuracy"))

@@ -116,24 +116,34 @@ def q_threshold_grid(spark, sf_dir):
 
 
 # ---------------------------------------------------------------- G-02
-LEADER_SQL = with_views(X_SQL, _vals("qg", QT), _vals("sg", ST), _vals("rg", RT), Y_SQL) + f"""
-, res AS (
-  SELECT qt, st, rt, round({_wacc('final')}, 6) AS weighted_accuracy, round({_bal('final')}, 6) AS balanced_accuracy,
-    round(avg(CASE WHEN final = class THEN 1e0 ELSE 0e0 END), 6) AS accuracy,
+#: unrounded metrics of every grid point; ranks compare them at 12 decimals
+RES_SQL = f"""res AS (
+  SELECT qt, st, rt, {_wacc('final')} AS wa, {_bal('final')} AS ba, avg(CASE WHEN final = class THEN 1e0 ELSE 0e0 END) AS ac,
+    CAST(sum(CASE WHEN final <> class AND class IN ('STAR', 'GALAXY') AND final IN ('STAR', 'GALAXY') THEN 1 ELSE 0 END) AS BIGINT) AS swaps,
     CAST(sum(CASE WHEN replaced THEN 1 ELSE 0 END) AS BIGINT) AS replaced
   FROM y GROUP BY qt, st, rt
-)
-SELECT qt AS qso_threshold, st AS star_threshold, rt AS replace_threshold, weighted_accuracy, balanced_accuracy,
-  accuracy, replaced
-FROM res ORDER BY weighted_accuracy DESC, balanced_accuracy DESC, accuracy DESC, replaced ASC, qt, st, rt LIMIT 20"""
+)"""
+BOARD_SQL = {
+    "balanced": "round(ba, 12) DESC, round(ac, 12) DESC, swaps",
+    "accuracy": "round(ac, 12) DESC, round(ba, 12) DESC, swaps",
+    "weighted": "round(wa, 12) DESC, round(ba, 12) DESC, round(ac, 12) DESC, swaps",
+    "swaps": "swaps, round(ba, 12) DESC, round(ac, 12) DESC",
+}
+LEADER_SQL = with_views(X_SQL, _vals("qg", QT), _vals("sg", ST), _vals("rg", RT), Y_SQL, RES_SQL) + "\nUNION ALL\n".join(
+    f"""SELECT * FROM (SELECT '{board}' AS board, CAST(row_number() OVER (ORDER BY {order}, qt, st, rt) AS INT) AS rank, qt AS qso_threshold,
+  st AS star_threshold, rt AS replace_threshold, round(wa, 6) AS weighted_accuracy, round(ba, 6) AS balanced_accuracy,
+  round(ac, 6) AS accuracy, swaps AS star_galaxy_swaps, replaced FROM res) WHERE rank <= 200"""
+    for board, order in BOARD_SQL.items())
 
 
 @register("g02_threshold_leaderboard", LEADER_SQL)
 def q_leaderboard(spark, sf_dir):
-    res = rounded(threshold_results(spark, sf_dir))
-    top = S.leaderboard(res, "weighted", 20)
-    return top.select("qso_threshold", "star_threshold", "replace_threshold", "weighted_accuracy",
-                      "balanced_accuracy", "accuracy", "replaced")
+    """All four orderings, ranked on the unrounded metrics."""
+    from prismtab.session import cut_lineage
+
+    boards = S.leaderboards(cut_lineage(threshold_results(spark, sf_dir)), 200)  # a row per grid point, read by every board
+    return rounded(boards).select("board", "rank", "qso_threshold", "star_threshold", "replace_threshold", "weighted_accuracy",
+                                  "balanced_accuracy", "accuracy", "star_galaxy_swaps", "replaced")
 
 
 # ---------------------------------------------------------------- I-04 / B-23
@@ -155,13 +165,8 @@ def q_two_stage(spark, sf_dir):
 
 
 @register("i04_materialize_best_threshold", with_views(X_SQL, _vals("qg", QT), _vals("sg", ST), _vals("rg", RT),
-                                                        Y_SQL) + f"""
-, res AS (
-  SELECT qt, st, rt, round({_wacc('final')}, 6) AS wa, round({_bal('final')}, 6) AS ba,
-    round(avg(CASE WHEN final = class THEN 1e0 ELSE 0e0 END), 6) AS ac,
-    sum(CASE WHEN replaced THEN 1 ELSE 0 END) AS rep
-  FROM y GROUP BY qt, st, rt
-), best AS (SELECT * FROM res ORDER BY wa DESC, ba DESC, ac DESC, rep ASC, qt, st, rt LIMIT 1),
+                                                        Y_SQL, RES_SQL) + """
+, best AS (SELECT * FROM res ORDER BY """ + BOARD_SQL["weighted"] + """, qt, st, rt LIMIT 1),
 xt AS (
   SELECT id, pq, sgo, ggo,
     CASE WHEN pg >= pq AND pg >= ps THEN 'GALAXY' WHEN pq >= ps THEN 'QSO' ELSE 'STAR' END AS base
@@ -178,7 +183,7 @@ FROM (SELECT xt.*, CASE WHEN pq >= best.qt THEN 'QSO' WHEN sgo >= best.st THEN '
 def q_materialize_threshold(spark, sf_dir):
     """I-04: pick the best weighted row on train, apply it to the test split.
     The chosen row (one row of a parameter-sized table) is read on the driver."""
-    res = rounded(threshold_results(spark, sf_dir))
+    res = threshold_results(spark, sf_dir)
     best = S.best_row(res, "weighted").first().asDict()
     test = load_pro(spark, sf_dir).where(F.col("split") == "test")
     out = S.apply_threshold_row(test, model_cols("m1"), best, out="pred")
@@ -279,13 +284,22 @@ def q_guard_grid(spark, sf_dir):
     return rounded(guard_results(spark, sf_dir))
 
 
-@register("g03_guard_leaderboard", GUARD_SQL.replace(
-    "SELECT pt AS p_galaxy_threshold", "SELECT * FROM (SELECT pt AS p_galaxy_threshold", 1
-) + """) ORDER BY guard_objective DESC, weighted_accuracy DESC, injured_other_only_correct ASC,
-  recovered_other_only_correct_true_galaxy DESC, changed_to_galaxy ASC, p_galaxy_threshold, redshift_abs_max,
-  compact_color_score_max, mag_std_max, blue_cloud_required LIMIT 25""")
+#: the order of the guard search: weighted accuracy, injuries, recoveries, objective, changes
+GUARD_BOARD = """, bd AS (
+  SELECT *, (wok + dw) / w AS wa, (wok + dw) / w - 2e0 * inj_o / greatest(n, 1) + 0.25e0 * rec_o / greatest(n, 1) AS obj,
+    row_number() OVER (ORDER BY round((wok + dw) / w, 12) DESC, inj_o, rec_o DESC,
+      round((wok + dw) / w - 2e0 * inj_o / greatest(n, 1) + 0.25e0 * rec_o / greatest(n, 1), 12) DESC, changed, pt, zt, ct, mt, bt) AS rank
+  FROM full_ CROSS JOIN bl
+) SELECT CAST(rank AS INT) AS rank, """
+
+
+@register("g03_guard_leaderboard", GUARD_SQL.replace("SELECT pt AS p_galaxy_threshold", GUARD_BOARD + "pt AS p_galaxy_threshold", 1)[: -len("FROM full_ CROSS JOIN bl")] + "FROM bd WHERE rank <= 300")
 def q_guard_leaderboard(spark, sf_dir):
-    return S.guard_leaderboard(rounded(guard_results(spark, sf_dir)), 25)
+    from pyspark.sql import Window
+
+    res = guard_results(spark, sf_dir)
+    order = Window.orderBy(*S.order_cols(S.GUARD_ORDER + S.GUARD_KEYS, res))
+    return rounded(S.guard_leaderboard(res, 300).select(F.row_number().over(order).alias("rank"), "*"))
 
 
 @register("i03_apply_guard", with_views(GF_SQL) + """SELECT id,
