@@ -16,15 +16,17 @@ from __future__ import annotations
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.ml.feature import CountVectorizer
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from prismtab.llm.arrays import LOWER, batches, small_batches, text_buffer
 from prismtab.session import cut_lineage
 
-#: a term: letters beyond ASCII count, ASCII ones are lower-cased
-TERM = r"[^\x00-\x40\x5B-\x60\x7B-\x7F]+"
-UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+#: bytes of a term, ``[^\\x00-\\x40\\x5B-\\x60\\x7B-\\x7F]``: ASCII letters, which are lower-cased, and all of UTF-8 beyond ASCII
+TERM = np.ones(256, bool)
+TERM[0x00:0x41] = TERM[0x5B:0x61] = TERM[0x7B:0x80] = False
 #: stands between language and term; no term holds it
 TAG = "\0"
 #: terms of a stretch of the vocabulary, and sources of a block, that one task evaluates at a time
@@ -33,6 +35,46 @@ STRETCH, SOURCES = 2048, 256
 SCALE = 1_000_000_000
 
 
+def term_lists(frames):
+    """Arrow batches of (text, lang, group) to (group, terms): all texts of a slice at once, byte by byte; terms carry their language."""
+    for batch in batches(frames):
+        raw, offsets = text_buffer(batch.column(0))
+        raw = LOWER[raw]
+        own = TERM[raw]
+        border = np.zeros(len(raw) + 1, bool)
+        border[offsets] = True
+        first, last = own.copy(), own.copy()
+        first[1:] &= ~own[:-1] | border[1:-1]
+        last[:-1] &= ~own[1:] | border[1:-1]
+        starts = np.flatnonzero(first)
+        upto = np.searchsorted(starts, offsets)
+        size = np.flatnonzero(last) + 1 - starts
+        langs = batch.column(1).dictionary_encode()
+        tags = [np.frombuffer((x + TAG).encode(), np.uint8) for x in langs.dictionary.to_pylist()]
+        code = np.repeat(langs.indices.to_numpy(zero_copy_only=False), np.diff(upto))
+        tagged = np.array([len(t) for t in tags], np.int64)[code]
+        ends = np.zeros(len(starts) + 1, np.int32)
+        np.cumsum(size + tagged, out=ends[1:])
+        data = np.empty(ends[-1], np.uint8)
+        data[np.arange(size.sum()) + np.repeat(np.cumsum(tagged), size)] = raw[own]
+        for k, tag in enumerate(tags):
+            at = ends[:-1][code == k]
+            for i, byte in enumerate(tag):
+                data[at + i] = byte
+        terms = pa.Array.from_buffers(pa.string(), len(starts), [None, pa.py_buffer(ends.tobytes()), pa.py_buffer(data.tobytes())])
+        yield pa.RecordBatch.from_arrays([batch.column(2), pa.ListArray.from_arrays(pa.array(upto.astype(np.int32)), terms)], ["group", "terms"])
+
+
+def numbered(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(groups: lang, source, group; docs with group): a 64-bit hash that is sure to tell the groups apart."""
+    groups = cut_lineage(docs.select("lang", "source").distinct())
+    for seed in range(100):
+        number = F.xxhash64(F.lit(seed), "lang", "source")
+        if not groups.groupBy(number).count().where("count > 1").limit(1).count():
+            return groups.withColumn("group", number), docs.withColumn("group", number)
+    raise ValueError("no hash tells the groups apart")
+
+
 def term_counts(docs: DataFrame, least: int = 10) -> tuple[DataFrame, DataFrame, DataFrame]:
     """(groups, counts, vocabulary) of documents with text, lang and source.
 
@@ -43,8 +85,8 @@ def term_counts(docs: DataFrame, least: int = 10) -> tuple[DataFrame, DataFrame,
     collects it and hands it to the executors."""
     spark = docs.sparkSession
     docs = docs.select(*[F.coalesce(F.col(c).cast("string"), F.lit("")).alias(c) for c in ("text", "lang", "source")])
-    found = F.regexp_extract_all(F.translate("text", UPPER, LOWER), F.lit(TERM), F.lit(0))
-    tagged = docs.select("lang", "source", F.transform(found, lambda t: F.concat("lang", F.lit(TAG), t)).alias("terms"))
+    groups, docs = numbered(docs)
+    tagged = small_batches(docs).select("text", "lang", "group").mapInArrow(term_lists, "group long, terms array<string>")
     # an empty vocabulary is an error to CountVectorizer: the empty term, which no document has, is always kept
     always = spark.range(max(1, least)).select(F.array(F.lit("")).alias("terms"))
     model = CountVectorizer(inputCol="terms", outputCol="vector", minDF=float(least), vocabSize=2**31 - 1).fit(tagged.select("terms").unionByName(always))
@@ -56,16 +98,15 @@ def term_counts(docs: DataFrame, least: int = 10) -> tuple[DataFrame, DataFrame,
     vocabulary = spark.createDataFrame(frame, schema) if len(frame) else spark.createDataFrame([], schema)
 
     vector = F.unwrap_udt("vector")
-    sparse = model.transform(tagged).select("lang", "source", F.explode(F.arrays_zip(vector["indices"].alias("i"), vector["values"].alias("x"))).alias("e"))
-    sums = sparse.groupBy("lang", "source", F.col("e.i").alias("index")).agg(F.sum("e.x").cast("long").alias("count"))
+    sparse = model.transform(tagged).select("group", F.explode(F.arrays_zip(vector["indices"].alias("i"), vector["values"].alias("x"))).alias("e"))
+    sums = sparse.groupBy("group", F.col("e.i").alias("index")).agg(F.sum("e.x").cast("long").alias("count"))
     sums = cut_lineage(sums.join(vocabulary.select("index", "term_place"), "index").drop("index"))
-    groups = docs.select("lang", "source").distinct()
     groups = groups.withColumn("place", F.row_number().over(Window.partitionBy("lang").orderBy("source")) - 1)
     groups = groups.join(vocabulary.groupBy("lang").agg(F.count(F.lit(1)).alias("terms")), "lang", "left")
-    groups = groups.join(sums.groupBy("lang", "source").agg(F.sum("count").alias("total")), ["lang", "source"], "left")
+    groups = groups.join(sums.groupBy("group").agg(F.sum("count").alias("total")), "group", "left")
     groups = cut_lineage(groups.fillna(0, ["terms", "total"]))
-    counts = sums.join(groups.select("lang", "source", "place"), ["lang", "source"]).drop("source")
-    return groups, counts, vocabulary.select("lang", "term_place", "term")
+    counts = sums.join(groups.select("lang", "group", "place"), "group").drop("group")
+    return groups.drop("group"), counts, vocabulary.select("lang", "term_place", "term")
 
 
 def share(count: str, total: str, terms: str = "terms") -> str:
