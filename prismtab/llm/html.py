@@ -33,8 +33,12 @@ LEAST_PAGES, LEAST_SHARE = 5, 0.05
 #: template subtrees up to this count are broadcast, more are joined by host
 BROADCAST_ROWS = 100_000
 
-_TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^\"'>]|\"[^\"]*\"|'[^']*')*)>|<[!?][^>]*(?:>|\Z)|</?[a-zA-Z][^<]*\Z", re.S)
-_ATTRIBUTE = re.compile(r"(class|id|role|hidden|style)\b(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?", re.I)
+#: name and value of an attribute; an unquoted value ends at white space or the tag's end and may hold quotes
+_VALUE = r"(?:\s*+=\s*+(?:\"([^\"]*+)\"|'([^']*+)'|([^\s\"'>][^\s>]*+)))?+"
+_ATTRIBUTE = re.compile(r"([^\s\"'>/=][^\s>/=]*+)" + _VALUE)
+#: attributes one by one up to the tag's end; a quote that is never closed is a character like others
+_ATTRIBUTES = r"(?:[\s/]++|[^\s\"'>/=][^\s>/=]*+" + _VALUE.replace("(\"", "(?:\"").replace("([", "(?:[") + r"|[\"'=])*+"
+_TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*+)(" + _ATTRIBUTES + r")>|<[!?][^>]*(?:>|\Z)|</?[a-zA-Z][^<]*\Z", re.S)
 _RAW = {name: re.compile(rf"</{name}\s*>|\Z", re.I) for name in ("script", "style", "textarea", "title", "noscript", "iframe")}
 _VOID = frozenset("area base br col embed hr img input link meta source track wbr".split())
 _INLINE = frozenset("a abbr b bdi bdo big cite code data del dfn em font i ins kbd label mark q ruby rt rp s samp small span strike strong sub sup time tt u var wbr img".split())
@@ -68,8 +72,9 @@ def _marks(attributes: str) -> tuple[str, bool, int, bool]:
         if name == "hidden":
             drop = True
         elif name == "style":
-            drop |= "display:none" in value.replace(" ", "")
-        else:
+            rules = dict([x.strip() for x in rule.split(":", 1)] for rule in value.split(";") if ":" in rule)
+            drop |= rules.get("display", "").split("!")[0].strip() == "none"
+        elif name in ("class", "id", "role"):
             words = value.split()
             for w in words:
                 first = re.split(r"[-_:]+", w, maxsplit=1)[0]
@@ -133,13 +138,14 @@ def parse(page: str, templates=frozenset()) -> tuple[str, list[tuple[int, bool]]
         inside -= e.article
         if e.tag not in _INLINE:
             pieces.append(BREAK)
-        gone = e.drop or e.tag == "header" and not (inside and e.heading)
-        if not gone and not e.article and e.tag not in ("body", "html") and not (inside and e.tag in _TEXT_BLOCK):
+        gone = False
+        # counted before any tag or word is judged: what recurs on a site is found by that alone
+        if not e.article and e.tag not in ("body", "html", "head") and not (inside and e.tag in _TEXT_BLOCK):
             number = int.from_bytes(digest, "big", signed=True)
             if any(p and not p.isspace() for p in pieces[e.start :]):
                 found.append((number, inside > 0))
             gone = number in templates
-        if gone:
+        if gone or e.drop or e.tag == "header" and not (inside and e.heading):
             del pieces[e.start :]
             pieces.append(BREAK)
             for ranges in (articles, marked):

@@ -9,7 +9,17 @@ CASES = {
     "<body><nav>menu</nav><header>site</header><article><header><h1>T &amp; U</h1></header><p>x <b>y</b>z&nbsp;&eacute;&#233;&lt;p&gt;</p></article><aside>s</aside><footer>f</footer>": "T & U\n\nx yz éé<p>",
     "<div class='cookie-notice'>c</div><p>keep</p><div id=comments><p>nice</p></div><form>f</form><script>var a='<p>no</p>'</script><style>p{}</style>": "keep",
     "<main><p>m</p><article class='comment'><p>reader</p></article></main>": "m",
-    "<article><p>short</p></article><article><p>the longer one</p></article>": "the longer one",
+    "<article><p>short</p></article><article><p>the longer one</p></article>": "short\n\nthe longer one",
+    'See <a href="/the-hidden-valley">the valley</a> now.': "See the valley now.",
+    '<p title="The hidden gems">All this text.</p>': "All this text.",
+    '<div aria-hidden="false"><p>Shown text.</p></div>': "Shown text.",
+    'Read <a href="/p?id=search">this link</a> and <a data-id="menu">this link</a>': "Read this link and this link",
+    "<p data-x=don't>Hello it's me</p><p>and you</p>": "Hello it's me\n\nand you",
+    '<p title="open>Hello</p> <p>it is me</p>': "Hello\n\nit is me",
+    "<p title = 'a > b' class = x>kept</p><p hidden>gone</p><p HIDDEN=''>gone</p>": "kept",
+    "<p style='color:red; display : none !important'>gone</p><p style='--display:none-ish'>kept</p><p style='content:\"display:none\"'>too</p>": "kept\n\ntoo",
+    "<a href=/x/y/>link</a><p data-hidden=style id=a/b>kept": "link\n\nkept",
+    "<p " + "a='" * 2000 + ">kept</p>": "kept",
     "<ul><li>a<li>b</ul><table><tr><td>c<td>d</table>": "a\n\nb\n\nc\n\nd",
     "<article><p>cut &am": "cut &am",
     "<article><p>cut <a href='x": "cut",
@@ -50,6 +60,16 @@ def test_subtrees_that_recur_on_a_host_go(spark):
     assert got[600] == got[601] == got[602] == ""
 
 
+def test_only_counting_finds_a_frame_without_tags_or_words(spark):
+    """Nothing in the markup tells the frame from the text; the same frame on a host of few pages stays."""
+    frame = "<body><div class=x1><div>Our shop</div><div>Offers of today</div></div><div class=x2>{}</div><div class=x3>Call us</div></body>"
+    got = run(spark, site("a.com", 12, frame) + site("few.com", 3, frame, 100))
+    assert got[4] == "page 4 of a.com"
+    assert got[101] == "Our shop\n\nOffers of today\n\npage 101 of few.com\n\nCall us"
+    found = html.parse("<body><nav><ul><li>Home</ul></nav><p>text</p>")[1]
+    assert len(found) == 4  # li, ul and nav count as well as p
+
+
 def test_many_templates_are_joined_without_a_broadcast(spark, monkeypatch):
     rows = site("a.com", 20, "<body><div><p>Welcome</p></div>{}")
     want = run(spark, rows)
