@@ -1,8 +1,8 @@
 """Cleaning and encoding of model inputs (B-20, B-34..B-38).
 
 Encoders are fitted with aggregates (distinct values, medians) whose output
-size is bounded by the column's cardinality, and applied with broadcast
-joins or literal maps, so applying them never shuffles the big table.
+size is bounded by the column's cardinality, and applied with literal
+medians and joins that broadcast the levels if their measured size allows it.
 """
 
 from __future__ import annotations
@@ -14,6 +14,16 @@ from pyspark.sql import types as T
 from prismtab.constants import KEY_NA_STRING
 
 NUMERIC_TYPES = (T.DoubleType, T.FloatType)
+#: most bytes of category levels that go to every task
+BROADCAST_BYTES = 32 << 20
+
+
+def small_side(df: DataFrame, text: str) -> DataFrame:
+    """``df``, marked for broadcast if its ``text`` column and 32 bytes a row come to ``BROADCAST_BYTES`` at most.
+
+    Beyond it the join shuffles, and AQE splits the partitions of frequent values."""
+    size = df.agg(F.sum(F.octet_length(text) + 32)).first()[0] or 0
+    return F.broadcast(df) if size <= BROADCAST_BYTES else df
 
 
 def clean_numeric(df: DataFrame, columns=None) -> DataFrame:
@@ -54,11 +64,14 @@ def encode_categoricals(frames: list[DataFrame], cols: list[str], token: str = K
     for c in cols:
         if not all(c in f.columns for f in frames):
             continue
-        levels = category_levels(frames, c, token)
+        from prismtab.session import cut_lineage
+
+        levels = cut_lineage(category_levels(frames, c, token))
         lv = levels.select(F.col("value").alias(f"_v_{c}"), F.col("code").cast("int").alias(f"_code_{c}"))
+        lv = small_side(lv, f"_v_{c}")
         new = []
         for f in out:
-            joined = f.withColumn(f"_v_{c}", fill_na_string(c, token)).join(F.broadcast(lv), f"_v_{c}", "left")
+            joined = f.withColumn(f"_v_{c}", fill_na_string(c, token)).join(lv, f"_v_{c}", "left")
             new.append(
                 joined.withColumn(c, F.coalesce(F.col(f"_code_{c}"), F.lit(unseen).cast("int"))).drop(
                     f"_v_{c}", f"_code_{c}"
@@ -68,28 +81,17 @@ def encode_categoricals(frames: list[DataFrame], cols: list[str], token: str = K
     return out
 
 
-def median_impute(train: DataFrame, others: list[DataFrame], cols: list[str], relative_error: float = 0.0):
-    """B-36: fill NULL numerics with the train median (0 when all NULL).
+def median_impute(train: DataFrame, others: list[DataFrame], cols: list[str]):
+    """B-36: fill NULL numerics with the exact train median (0 when all NULL); all columns in one pass."""
+    from prismtab.operators.groupkeys import exact_quantiles_multi
 
-    ``relative_error=0`` is the exact median (``percentile``); a positive value
-    uses ``percentile_approx`` for columns with huge distinct counts."""
     if not cols:
         return train, others
-    if relative_error > 0:
-        acc = int(1.0 / relative_error)
-        aggs = [F.percentile_approx(F.col(c), 0.5, acc).alias(c) for c in cols]
-    else:
-        aggs = [F.percentile(F.col(c), F.lit(0.5)).alias(c) for c in cols]
-    med = train.agg(*aggs)
-    med = med.select(*[F.coalesce(F.col(c).cast("double"), F.lit(0.0)).alias(f"_med_{c}") for c in cols])
-
-    from prismtab.operators.search import attach_scalars
+    found = exact_quantiles_multi(train, {c: [0.5] for c in cols})
+    fill = {c: float(found[c][0] or 0.0) for c in cols}
 
     def apply(df):
-        j = attach_scalars(df, med)
-        return j.withColumns({c: F.coalesce(F.col(c).cast("double"), F.col(f"_med_{c}")) for c in cols}).drop(
-            *[f"_med_{c}" for c in cols]
-        )
+        return df.withColumns({c: F.coalesce(F.col(c).cast("double"), F.lit(fill[c])) for c in cols})
 
     return apply(train), [apply(o) for o in others]
 

@@ -439,47 +439,91 @@ def crosstab(df: DataFrame, reference: str, candidate: str, classes=CLASSES, by=
 
 
 # ---------------------------------------------------------------- E-20/E-21
+#: models of one block of a cross-product matrix
+GRAM_BLOCK = 64
+
+
+SUMS = ("n", "xy", "sx", "sy", "sxx", "syy")
+
+
+def cross_sums(df: DataFrame, positions: list[list[str]], shift: float = 0.0) -> DataFrame:
+    """a, b, n, xy, sx, sy, sxx, syy for all models a <= b, over all rows and positions where both have a value.
+
+    ``positions``: for each position one numeric column per model; ``shift`` is taken off all values.
+    A task multiplies whole Arrow batches, keeps matrices of models x models, and gives them out in blocks of
+    ``GRAM_BLOCK`` models a side; Spark adds the blocks up entry by entry."""
+    n = len(positions[0])
+    columns = list(dict.fromkeys(c for group in positions for c in group))
+    places = [[columns.index(c) for c in group] for group in positions]
+
+    def run(frames):
+        import numpy as np
+        import pyarrow as pa
+
+        total = {name: np.zeros((n, n)) for name in SUMS}
+        for batch in frames:
+            if not batch.num_rows:
+                continue
+            table = np.stack([c.cast(pa.float64()).to_numpy(zero_copy_only=False) for c in batch.columns], 1) - shift
+            for at in places:
+                x = table[:, at]
+                gap = np.isnan(x)
+                if gap.any():
+                    own = (~gap).astype(float)
+                    x = np.where(gap, 0.0, x)
+                    parts = own.T @ own, x.T @ x, x.T @ own, own.T @ x, (x * x).T @ own, own.T @ (x * x)
+                else:
+                    one, two = x.sum(0), (x * x).sum(0)
+                    parts = float(len(x)), x.T @ x, one[:, None], one[None, :], two[:, None], two[None, :]
+                for name, part in zip(SUMS, parts):
+                    total[name] += part
+        for i in range(0, n, GRAM_BLOCK):
+            for j in range(i, n, GRAM_BLOCK):
+                block = (slice(i, i + GRAM_BLOCK), slice(j, j + GRAM_BLOCK))
+                a, b = (x.ravel() + at for x, at in zip(np.indices(total["n"][block].shape), (i, j)))
+                keep = a <= b
+                values = [total[name][block].ravel()[keep] for name in SUMS]
+                yield pa.RecordBatch.from_arrays([pa.array(a[keep].astype(np.int32)), pa.array(b[keep].astype(np.int32)), *map(pa.array, values)], ["a", "b", *SUMS])
+
+    parts = df.select(*[F.col(f"`{c}`") for c in columns]).mapInArrow(run, "a int, b int, " + ", ".join(f"{name} double" for name in SUMS))
+    return parts.groupBy("a", "b").agg(*[F.sum(name).alias(name) for name in SUMS])
+
+
+def _both_ways(pairs: DataFrame, names: list[str], value: str) -> DataFrame:
+    """Rows of a <= b to (model_a, model_b, value) for all ordered pairs."""
+    label = F.array(*[F.lit(n) for n in names])
+    mirrored = F.array(F.struct(F.col("a").alias("i"), F.col("b").alias("j")), F.struct(F.col("b").alias("i"), F.col("a").alias("j")))
+    all_pairs = pairs.select(F.col(value), F.explode(F.when(F.col("a") == F.col("b"), F.slice(mirrored, 1, 1)).otherwise(mirrored)).alias("_p"))
+    return all_pairs.select(F.get(label, F.col("_p.i")).alias("model_a"), F.get(label, F.col("_p.j")).alias("model_b"), value)
+
+
 def probability_correlation(df: DataFrame, blocks: dict[str, list[str]]) -> DataFrame:
-    """E-20: Pearson correlation of models' flattened N x classes probabilities.
-
-    One pass: unpivot classes into rows (Expand), then a single aggregate
-    with one ``corr`` per model pair.  Output: model_a, model_b, corr."""
-    names = list(blocks)
-    k = len(next(iter(blocks.values())))
-    arr = F.array(*[F.struct(*[F.col(blocks[n][j]).alias(n) for n in names]) for j in range(k)])
-    long = df.select(F.inline(arr))
-    pairs = [(a, b) for a in names for b in names]
-    aggs = [F.corr(F.col(a), F.col(b)).alias(f"{a}|{b}") for a, b in pairs if a < b]
-    one = long.agg(*aggs) if aggs else None
-    rows = []
-    for a, b in pairs:
-        if a == b:
-            rows.append(F.struct(F.lit(a).alias("model_a"), F.lit(b).alias("model_b"), F.lit(1.0).alias("corr")))
-        else:
-            key = f"{a}|{b}" if a < b else f"{b}|{a}"
-            rows.append(F.struct(F.lit(a).alias("model_a"), F.lit(b).alias("model_b"), F.col(f"`{key}`").alias("corr")))
-    base = one if one is not None else df.sparkSession.range(1)
-    return base.select(F.inline(F.array(*rows)))
+    """E-20: Pearson correlation of models' flattened N x classes probabilities: model_a, model_b, corr.
+
+    From cross-product sums of all models at once.  Values are moved by the mean of a
+    class (1 / classes), so the sums do not cancel.  A pair uses the places where both models have a value."""
+    names, k = list(blocks), len(next(iter(blocks.values())))
+    both = cross_sums(df, [[blocks[n][j] for n in names] for j in range(k)], 1.0 / k)
+    over = F.col("n") * F.col("xy") - F.col("sx") * F.col("sy")
+    under = F.sqrt(F.col("n") * F.col("sxx") - F.col("sx") * F.col("sx")) * F.sqrt(F.col("n") * F.col("syy") - F.col("sy") * F.col("sy"))
+    corr = F.when(F.col("a") == F.col("b"), F.lit(1.0)).when(under > 0, over / under)
+    return _both_ways(both.withColumn("corr", corr), names, "corr")
 
 
 def prediction_agreement(df: DataFrame, pred_cols: dict[str, str]) -> DataFrame:
-    """E-21: pairwise mean(pred_a == pred_b) in one aggregate."""
+    """E-21: pairwise mean(pred_a == pred_b): model_a, model_b, agreement (of all rows; a NULL agrees with nothing).
+
+    One-hot codes make it a sum of cross products, one position per class that occurs."""
     names = list(pred_cols)
-    aggs = [
-        F.avg(F.when(F.col(pred_cols[a]) == F.col(pred_cols[b]), 1.0).otherwise(0.0)).alias(f"{a}|{b}")
-        for a in names for b in names if a < b
-    ]
-    one = df.agg(*aggs) if aggs else df.sparkSession.range(1)
-    rows = []
-    for a in names:
-        for b in names:
-            if a == b:
-                v = F.lit(1.0)
-            else:
-                key = f"{a}|{b}" if a < b else f"{b}|{a}"
-                v = F.col(f"`{key}`")
-            rows.append(F.struct(F.lit(a).alias("model_a"), F.lit(b).alias("model_b"), v.alias("agreement")))
-    return one.select(F.inline(F.array(*rows)))
+    values = df.select(F.explode(F.array_distinct(F.array(*[F.col(f"`{c}`").cast("string") for c in pred_cols.values()]))).alias("v")).where("v is not null")
+    classes = sorted(r.v for r in values.distinct().collect())  # one row per class
+    if not classes:
+        classes = [""]
+    hot = df.select(*[F.when(F.col(f"`{c}`").cast("string") == v, 1.0).otherwise(0.0).alias(f"h_{i}_{j}") for i, c in enumerate(pred_cols.values()) for j, v in enumerate(classes)])
+    group = [[f"h_{i}_{j}" for i in range(len(names))] for j in range(len(classes))]
+    rows = df.select(F.count(F.lit(1))).scalar()
+    pairs = cross_sums(hot, group).withColumn("agreement", F.when(F.col("a") == F.col("b"), F.lit(1.0)).otherwise(F.col("xy") / rows))
+    return _both_ways(pairs, names, "agreement")
 
 
 # ---------------------------------------------------------------- E-22

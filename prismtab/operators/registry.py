@@ -9,6 +9,7 @@ single aggregates over the prediction table, so they scale with it.
 from __future__ import annotations
 
 import re
+import time
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -147,7 +148,22 @@ REGISTRY_SCHEMA = T.StructType([
 
 def read_registry_jsonl(spark, path: str, schema: T.StructType = REGISTRY_SCHEMA) -> DataFrame:
     """A-11: JSONL registry; blank and malformed lines are skipped."""
-    return spark.read.schema(schema).option("mode", "DROPMALFORMED").json(path)
+    return quarantined(spark, path, schema)[0]
+
+
+def quarantined(spark, path: str, schema: T.StructType = REGISTRY_SCHEMA) -> tuple[DataFrame, DataFrame]:
+    """A-11: (records, quarantine) of a JSONL file or folder.
+
+    The quarantine has a row per line that is no record of the schema: file, line (its text) and reason
+    (``no json``, ``wrong type``).  Blank lines are neither.  Both are lazy and read the lines once each."""
+    lines = spark.read.text(path).select("value", F.col("_metadata.file_path").alias("file")).where(F.trim("value") != "")
+    held = T.StructType([*schema.fields, T.StructField("_corrupt", T.StringType())])
+    parsed = lines.withColumn("_r", F.from_json("value", held, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt"}))
+    good = F.col("_r").isNotNull() & F.col("_r._corrupt").isNull()
+    records = parsed.where(good).select(*[F.col(f"_r.`{f.name}`").alias(f.name) for f in schema.fields])
+    is_object = F.try_parse_json("value").isNotNull() & F.trim("value").startswith("{")
+    bad = parsed.where(~good).select("file", F.col("value").alias("line"), F.when(is_object, F.lit("wrong type")).otherwise(F.lit("no json")).alias("reason"))
+    return records, bad
 
 
 def write_registry(df: DataFrame, path: str, fmt: str = "json") -> None:
@@ -200,23 +216,53 @@ def read_registry_table(spark, path: str) -> DataFrame | None:
     versions = _registry_versions(spark, path)
     if versions:
         return spark.read.parquet(f"{path}/{versions[-1]}")
-    return spark.read.parquet(path) if path_exists(spark, path) else None
+    return spark.read.parquet(path) if path_exists(spark, f"{path}/_SUCCESS") else None
+
 
+#: how long a claimed version may take to complete before others pass over it, and how often they look
+CLAIM_SECONDS, LOOK_SECONDS = 600.0, 0.2
 
-def upsert_registry_table(spark, path: str, new_rows: DataFrame, key: str = "submission_relpath") -> DataFrame:
-    """L-04 / H-05: keyed upsert into a stored registry table, in any store.
 
-    The merged table is written as a new version beside the one it was read from, and
-    counts once it is complete, so a failed write loses nothing.  The version before it is kept, older ones go."""
-    from prismtab.sources.io import delete_folder
+class LostRace(RuntimeError):
+    """No version could be claimed."""
+
+
+def upsert_registry_table(spark, path: str, new_rows: DataFrame, key: str = "submission_relpath", attempts: int = 100,
+                          claim_seconds: float = CLAIM_SECONDS) -> DataFrame:
+    """L-04 / H-05: keyed upsert into a stored registry table, in any store, by any number of writers.
+
+    A writer claims the number after the newest version by creating a file that must not exist yet, and
+    merges only if that version is still the newest once the claim is its own.  Otherwise it waits for the other writer's
+    version and merges anew with that; a claim that does not complete within ``claim_seconds`` is passed over.
+    The merged table is a new version beside the one it was read from and counts once it is complete, so a
+    failed write loses nothing.  The version before it is kept, older ones go."""
+    from prismtab.sources.io import create_new, delete_folder
 
     new_rows = new_rows.drop("metrics", "params")
     path = path.rstrip("/")
-    versions = _registry_versions(spark, path)
-    stored = read_registry_table(spark, path)
-    merged = new_rows if stored is None else upsert(stored, new_rows, key)
-    number = int(versions[-1][8:]) + 1 if versions else 1
-    merged.write.mode("overwrite").parquet(f"{path}/version={number}")
-    for old in versions[:-1]:
-        delete_folder(spark, f"{path}/{old}")
-    return read_registry_table(spark, path)
+    skipped = 0  # claims after the newest version whose writers are taken to be gone
+    waited = time.monotonic()
+    for _ in range(attempts):
+        versions = _registry_versions(spark, path)
+        newest = int(versions[-1][8:]) if versions else 0
+        number = newest + 1 + skipped
+        if not create_new(spark, f"{path}/claims/{number}"):
+            while not (found := _registry_versions(spark, path)) or int(found[-1][8:]) <= newest:
+                if time.monotonic() - waited > claim_seconds:
+                    skipped += 1
+                    waited = time.monotonic()
+                    break
+                time.sleep(LOOK_SECONDS)
+            else:
+                skipped, waited = 0, time.monotonic()
+            continue
+        if _registry_versions(spark, path) != versions:
+            delete_folder(spark, f"{path}/claims/{number}")
+            continue
+        stored = read_registry_table(spark, path)
+        merged = new_rows if stored is None else upsert(stored, new_rows, key)
+        merged.write.mode("overwrite").parquet(f"{path}/version={number}")
+        for old in versions[:-1]:
+            delete_folder(spark, f"{path}/{old}")
+        return spark.read.parquet(f"{path}/version={number}")
+    raise LostRace(f"no version of {path} could be claimed in {attempts} attempts")

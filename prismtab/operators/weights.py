@@ -141,17 +141,21 @@ def local_guard_weights(df: DataFrame, label: str, base_pred: str, pred_a: str,
     """J-09: class weight x disagreement(a,b) x both-wrong(a, base) x
     only-a-correct-on-GALAXY x local region; no clipping, no normalising."""
     p = {**GUARD_WEIGHT_DEFAULTS, **kw}
-    col = F.col
-    t = col(label)
-    a_ok = col(pred_a) == t
-    base_ok = col(base_pred) == t
-    f = [_factor(col(pred_a) != col(pred_b), p["disagreement_weight"]),
-         _factor(~a_ok & ~base_ok, p["both_wrong_weight"]),
-         _factor(a_ok & ~base_ok & (t == "GALAXY"), p["only_other_correct_weight"]),
-         _factor(region, p["local_region_weight"])]
+    t = F.col(label)
+    why = guard_reasons(label, base_pred, pred_a, pred_b, region)
+    f = [_factor(why["disagreement"], p["disagreement_weight"]),
+         _factor(why["both_wrong"], p["both_wrong_weight"]),
+         _factor(why["only_other_correct"] & (t == "GALAXY"), p["only_other_correct_weight"]),
+         _factor(why["local_region"], p["local_region_weight"])]
     return df.withColumn(out, _product(f, weight_of(t, weights or DEFAULT_CLASS_WEIGHTS)))
 
 
+def guard_reasons(label: str, base_pred: str, pred_a: str, pred_b: str, region: Column) -> dict[str, Column]:
+    """What the guard weights look at, by name; E-26 counts the same."""
+    t, a, base = F.col(label), F.col(pred_a), F.col(base_pred)
+    return {"disagreement": a != F.col(pred_b), "both_wrong": (a != t) & (base != t), "only_other_correct": (a == t) & (base != t), "local_region": region}
+
+
 # fixed values: default factors of the pairwise weights
 PAIR_WEIGHT_DEFAULTS = dict(hard_slice_weight=2.25, base_error_weight=1.70, galaxy_injury_weight=2.40,
                             disagreement_weight=1.25)
@@ -177,8 +181,9 @@ def pair_weights(df: DataFrame, label: str, base_pred: str | None = "base_pred",
     return mean_normalise(df.withColumn(out, w), out)
 
 
-def weight_summary(df: DataFrame, col: str = "sample_weight", by=()) -> DataFrame:
-    """E-26: min / mean / max / std (sample) of the weights, one aggregate."""
+def weight_summary(df: DataFrame, col: str = "sample_weight", by=(), reasons: dict[str, Column] | None = None) -> DataFrame:
+    """E-26: min / mean / max / std (sample) of the weights, and for each of ``reasons`` the rows it is true for; one aggregate."""
     c = F.col(col)
+    counts = [F.sum(F.when(r, 1).otherwise(0)).cast("bigint").alias(n) for n, r in (reasons or {}).items()]
     return df.groupBy(*by).agg(F.count(c).alias("n"), F.min(c).alias("weight_min"), F.avg(c).alias("weight_mean"),
-                               F.max(c).alias("weight_max"), F.stddev_samp(c).alias("weight_std"))
+                               F.max(c).alias("weight_max"), F.stddev_samp(c).alias("weight_std"), *counts)

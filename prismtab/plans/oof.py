@@ -1,4 +1,4 @@
-"""Model jobs on ``pyspark.ml`` (K-01..K-13, I-06, G-06, G-07, B-33).
+"""Model jobs on ``pyspark.ml`` (K-01..K-12, I-06, G-06, G-07, B-33).
 
 Every fit is a distributed ``pyspark.ml`` fit on the fold's rows; the
 driver only loops over folds / parameter points (k and grid sizes are
@@ -520,31 +520,3 @@ def select_diverse_models(scoreboard: DataFrame, corr: DataFrame, corr_threshold
     return scoreboard.sparkSession.createDataFrame(
         out, "rank int, model string, accuracy double, weighted_accuracy double, selected boolean, "
              "feature_weight double, drop_reason string")
-
-
-# ---------------------------------------------------------------- K-13
-def feature_search(train: DataFrame, base_features: list[str], candidates: dict[str, object], family: str = "lr",
-                   params: dict | None = None, label: str = "class", k: int = 3, seed: int = 42,
-                   min_gain: float = 1e-5, id_col: str = "id", metric: str = "accuracy"):
-    """K-13: greedy forward search over generated candidate columns (E-14/E-15
-    bins, digits, pair crosses given as Column expressions): a candidate is
-    kept when the k-fold OOF ``metric`` improves by more than ``min_gain``.
-    Returns (kept feature names, trace table)."""
-    spark = train.sparkSession
-    frame = train.withColumns(dict(candidates))
-
-    def score(feats):
-        r = run_oof(frame, None, feats, family, params, "search", label, k, seed, id_col=id_col)
-        return r.scores.where(F.col("fold") == "overall").first()[metric]
-
-    current = list(base_features)
-    best = score(current)
-    trace = [("<base>", best, True)]
-    for name in candidates:
-        s = score(current + [name])
-        keep = s > best + min_gain
-        trace.append((name, s, bool(keep)))
-        if keep:
-            current.append(name)
-            best = s
-    return current, spark.createDataFrame(trace, f"candidate string, {metric} double, kept boolean")

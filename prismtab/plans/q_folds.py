@@ -83,35 +83,88 @@ _LOWMID = "(redshift > 0.0497 AND redshift <= 0.127)"
 _HARD = f"({_STAR} AND gr > 1.037 AND uz > 3.834 AND (rng > 3.949 OR mstd > 1.624))"
 STAR_LOWZ_W = " * ".join([_f(_STAR, 1.15), _f(f"{_STAR} AND spectral_type = 'M'", 1.45), _f(_LOWMID, 1.20),
                           _f(f"{_STAR} AND {_LOWMID}", 1.75), _f(_HARD, 1.65)])
+#: base predictions that the hard schemes look at: STAR or QSO taken for GALAXY by m1, rows that all three models get wrong
+HARD_SQL = """hd AS (SELECT id, class = 'STAR' AND pred_m1 = 'GALAXY' AS hs, class = 'QSO' AND pred_m1 = 'GALAXY' AS hq,
+    pred_m1 <> class AND pred_m2 <> class AND pred_m3 <> class AS aw FROM preds WHERE split = 'train')"""
+STAR_LOWZ_HARD_W = " * ".join([STAR_LOWZ_W, _f("hs OR hq", 1.90), _f("aw", 2.30)])
 
 
-@register("j06_star_lowz_weights", with_views(FEAT_SQL, f"w AS (SELECT id, least(greatest({STAR_LOWZ_W}, 0.25e0), 8e0) AS w FROM fe)")
-          + "SELECT id, round(w / (SELECT avg(w) FROM w), 6) AS sample_weight FROM w")
+def _schemes_sql(source: str, schemes: dict[str, str], low: float, high: float) -> str:
+    """(scheme, id, sample_weight): the factors clipped, then divided by their mean within the scheme."""
+    parts = [f"SELECT '{name}' AS scheme, id, least(greatest({w}, {low}e0), {high}e0) AS w FROM {source}" for name, w in schemes.items()]
+    return ("SELECT scheme, id, round(w / avg(w) OVER (PARTITION BY scheme), 6) AS sample_weight FROM (" + " UNION ALL ".join(parts) + ")")
+
+
+def _union(tables):
+    out = None
+    for name, t in tables.items():
+        t = t.select(F.lit(name).alias("scheme"), "id", "sample_weight")
+        out = t if out is None else out.unionByName(t)
+    return rounded(out)
+
+
+def _wrong_tables(spark, sf_dir):
+    """Training predictions with the hard cases of m1, and the ids that the hard schemes weigh."""
+    p = predictions(spark, sf_dir, "train")
+    gal = F.col("pred_m1") == "GALAXY"
+    p = p.withColumns({"hard_star": (F.col("class") == "STAR") & gal, "hard_qso": (F.col("class") == "QSO") & gal})
+    wrong = [F.col(f"pred_m{i}") != F.col("class") for i in (1, 2, 3)]
+    return p, p.where("hard_star or hard_qso").select("id"), p.where(wrong[0] & wrong[1] & wrong[2]).select("id")
+
+
+@register("j06_star_lowz_weights", with_views(PREDS_SQL, FEAT_SQL, HARD_SQL, "fh AS (SELECT * FROM fe JOIN hd USING (id))")
+          + _schemes_sql("fh", {"none": "1e0", "star_lowz": STAR_LOWZ_W, "star_lowz_hard": STAR_LOWZ_HARD_W}, 0.25, 8))
 def q_star_lowz(spark, sf_dir):
+    """All schemes, weight by weight."""
     obs = astronomy_features(load_obs(spark, sf_dir).where(F.col("split") == "train"))
-    return rounded(WT.star_lowz_weights(obs).select("id", "sample_weight"))
+    _, hard, all_wrong = _wrong_tables(spark, sf_dir)
+    return _union({s: WT.star_lowz_weights(obs, scheme=s, hard_ids=hard, all_wrong_ids=all_wrong) for s in ("none", "star_lowz", "star_lowz_hard")})
 
 
-@register("e26_weight_summary", with_views(FEAT_SQL, f"w AS (SELECT id, least(greatest({STAR_LOWZ_W}, 0.25e0), 8e0) AS w FROM fe)",
-                                           "wn AS (SELECT w / (SELECT avg(w) FROM w) AS v FROM w)")
+@register("e26_weight_summary", with_views(PREDS_SQL, FEAT_SQL, f"w AS (SELECT id, least(greatest({STAR_LOWZ_W}, 0.25e0), 8e0) AS w FROM fe)",
+                                           "wn AS (SELECT id, w / (SELECT avg(w) FROM w) AS v FROM w)", GW_SQL := """gw AS (
+  SELECT p.id, p.class, p.pred_m1, p.pred_m2, p.pred_m3,
+    (abs(o.redshift) <= 0.144 AND sqrt(((o.u-o.g)*(o.u-o.g) + (o.g-o.r)*(o.g-o.r) + (o.r-o.i)*(o.r-o.i)
+      + (o.i-o.z)*(o.i-o.z))/4) <= 1.3 AND sqrt(((o.u-mm)*(o.u-mm) + (o.g-mm)*(o.g-mm) + (o.r-mm)*(o.r-mm)
+      + (o.i-mm)*(o.i-mm) + (o.z-mm)*(o.z-mm))/4) <= 0.75 AND o.galaxy_population = 'Blue_Cloud') AS region
+  FROM preds p JOIN (SELECT *, (u+g+r+i+z)/5 AS mm FROM obs) o USING (id) WHERE p.split = 'train'
+)""")
           + """SELECT count(v) AS n, round(min(v), 6) AS weight_min, round(avg(v), 6) AS weight_mean,
-  round(max(v), 6) AS weight_max, round(stddev_samp(v), 6) AS weight_std FROM wn""")
+  round(max(v), 6) AS weight_max, round(stddev_samp(v), 6) AS weight_std,
+  CAST(count(*) FILTER (pred_m2 <> pred_m3) AS BIGINT) AS disagreement,
+  CAST(count(*) FILTER (pred_m2 <> class AND pred_m1 <> class) AS BIGINT) AS both_wrong,
+  CAST(count(*) FILTER (pred_m2 = class AND pred_m1 <> class) AS BIGINT) AS only_other_correct,
+  CAST(count(*) FILTER (region) AS BIGINT) AS local_region FROM wn JOIN gw USING (id)""")
 def q_weight_summary(spark, sf_dir):
+    """The weights' range, and how many rows each reason for a weight holds for."""
     obs = astronomy_features(load_obs(spark, sf_dir).where(F.col("split") == "train"))
-    return rounded(WT.weight_summary(WT.star_lowz_weights(obs)))
+    weighted = WT.star_lowz_weights(obs).select("id", "sample_weight")
+    p = predictions(spark, sf_dir, "train").join(_local_region(spark, sf_dir), "id").join(weighted, "id")
+    return rounded(WT.weight_summary(p, reasons=WT.guard_reasons("class", "pred_m1", "pred_m2", "pred_m3", F.col("_region"))))
+
+
+def _local_region(spark, sf_dir):
+    from prismtab.functions.features import guard_features_v2
+
+    obs = guard_features_v2(astronomy_features(load_obs(spark, sf_dir)))
+    region = (F.col("redshift_abs") <= 0.144) & (F.col("compact_color_rms") <= 1.30) & (
+        F.col("mag_std") <= 0.75) & (F.col("is_blue_cloud") == 1)
+    return obs.select("id", region.alias("_region"))
 
 
 # ---------------------------------------------------------------- J-07
-@register("j07_hard_sgq_weights", with_views(PREDS_SQL, "w AS (SELECT id, least(greatest(" + " * ".join([
-    _f("class = 'STAR'", 1.20), _f("class = 'QSO'", 1.10),
-    _f("class = 'STAR' AND pred_m1 = 'GALAXY'", 2.60), _f("class = 'QSO' AND pred_m1 = 'GALAXY'", 2.20)])
-    + ", 0.25e0), 10e0) AS w FROM preds WHERE split = 'train')")
-    + "SELECT id, round(w / (SELECT avg(w) FROM w), 6) AS sample_weight FROM w")
+_S, _Q = "class = 'STAR'", "class = 'QSO'"
+EXTENSION_SQL = {
+    "star": _f(_S, 1.75), "qso": _f(_Q, 1.50), "star_qso": _f(_S, 1.75) + " * " + _f(_Q, 1.50),
+    "hard_sgq_to_galaxy": " * ".join([_f(_S, 1.20), _f(_Q, 1.10), _f("hs", 2.60), _f("hq", 2.20)]),
+}
+
+
+@register("j07_hard_sgq_weights", with_views(PREDS_SQL, HARD_SQL, "ph AS (SELECT * FROM preds JOIN hd USING (id))") + _schemes_sql("ph", EXTENSION_SQL, 0.25, 10))
 def q_hard_sgq(spark, sf_dir):
-    p = predictions(spark, sf_dir, "train")
-    gal = F.col("pred_m1") == "GALAXY"
-    p = p.withColumns({"hard_star": (F.col("class") == "STAR") & gal, "hard_qso": (F.col("class") == "QSO") & gal})
-    return rounded(WT.extension_weights(p, "hard_sgq_to_galaxy").select("id", "sample_weight"))
+    """All four schemes."""
+    p, _, _ = _wrong_tables(spark, sf_dir)
+    return _union({s: WT.extension_weights(p, s) for s in EXTENSION_SQL})
 
 
 # ---------------------------------------------------------------- J-08
@@ -122,12 +175,15 @@ FLAGS_SQL = """fl AS (
           CASE WHEN pred_m1 = 'GALAXY' AND pred_m2 IN ('QSO', 'STAR') THEN pred_m2 ELSE pred_m1 END AS c
         FROM preds WHERE split = 'train')
 )"""
+SUPPLEMENTAL_SQL = {
+    "star": _f(_S, 1.35), "star_qso": _f(_S, 1.35) + " * " + _f(_Q, 1.20), "disagreement": _f("dis", 1.70), "both_wrong": _f("bw", 2.40),
+    "star_gal_hard": " * ".join([_f(_S, 1.35), _f("dis", 1.70), _f("sgh", 2.25)]),
+}
 
 
-@register("j08_star_gal_hard_weights", with_views(PREDS_SQL, FLAGS_SQL, "w AS (SELECT id, least(greatest(" + " * ".join([
-    _f("class = 'STAR'", 1.35), _f("dis", 1.70), _f("sgh", 2.25)]) + ", 0.25e0), 10e0) AS w FROM fl)")
-    + "SELECT id, round(w / (SELECT avg(w) FROM w), 6) AS sample_weight FROM w")
+@register("j08_star_gal_hard_weights", with_views(PREDS_SQL, FLAGS_SQL) + _schemes_sql("fl", SUPPLEMENTAL_SQL, 0.25, 10))
 def q_star_gal_hard(spark, sf_dir):
+    """All five schemes."""
     p = predictions(spark, sf_dir, "train")
     a, t = F.col("pred_m1"), F.col("class")
     c = take_b_if_a_galaxy(a, F.col("pred_m2"))
@@ -137,32 +193,17 @@ def q_star_gal_hard(spark, sf_dir):
         "both_wrong": (a != t) & (F.col("_c") != t),
         "star_gal_hard": t.isin(*sg) & a.isin(*sg) & F.col("_c").isin(*sg) & ((a != t) | (F.col("_c") != t)),
     })
-    return rounded(WT.supplemental_weights(p, "star_gal_hard").select("id", "sample_weight"))
+    return _union({s: WT.supplemental_weights(p, s) for s in SUPPLEMENTAL_SQL})
 
 
 # ---------------------------------------------------------------- J-09
-GW_SQL = """gw AS (
-  SELECT p.id, p.class, p.pred_m1, p.pred_m2, p.pred_m3,
-    (abs(o.redshift) <= 0.144 AND sqrt(((o.u-o.g)*(o.u-o.g) + (o.g-o.r)*(o.g-o.r) + (o.r-o.i)*(o.r-o.i)
-      + (o.i-o.z)*(o.i-o.z))/4) <= 1.3 AND sqrt(((o.u-mm)*(o.u-mm) + (o.g-mm)*(o.g-mm) + (o.r-mm)*(o.r-mm)
-      + (o.i-mm)*(o.i-mm) + (o.z-mm)*(o.z-mm))/4) <= 0.75 AND o.galaxy_population = 'Blue_Cloud') AS region
-  FROM preds p JOIN (SELECT *, (u+g+r+i+z)/5 AS mm FROM obs) o USING (id) WHERE p.split = 'train'
-)"""
-
-
 @register("j09_local_guard_weights", with_views(PREDS_SQL, GW_SQL) + "SELECT id, round(" + " * ".join([
     "CASE class WHEN 'GALAXY' THEN 1e0 WHEN 'QSO' THEN 3.2e0 WHEN 'STAR' THEN 4.6e0 END",
     _f("pred_m2 <> pred_m3", 1.25), _f("pred_m2 <> class AND pred_m1 <> class", 1.50),
     _f("pred_m2 = class AND pred_m1 <> class AND class = 'GALAXY'", 2.00), _f("region", 1.75)])
     + ", 6) AS sample_weight FROM gw")
 def q_local_guard_weights(spark, sf_dir):
-    from prismtab.functions.features import guard_features_v2
-
-    obs = guard_features_v2(astronomy_features(load_obs(spark, sf_dir)))
-    region = (F.col("redshift_abs") <= 0.144) & (F.col("compact_color_rms") <= 1.30) & (
-        F.col("mag_std") <= 0.75) & (F.col("is_blue_cloud") == 1)
-    reg = obs.select("id", region.alias("_region"))
-    p = predictions(spark, sf_dir, "train").join(reg, "id")
+    p = predictions(spark, sf_dir, "train").join(_local_region(spark, sf_dir), "id")
     out = WT.local_guard_weights(p, "class", "pred_m1", "pred_m2", "pred_m3", F.col("_region"))
     return rounded(out.select("id", "sample_weight"))
 

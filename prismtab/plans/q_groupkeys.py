@@ -14,7 +14,7 @@ from prismtab.sources.fixtures import load_obs, read_table
 
 CAT_KEYS = ["spectral_type", "galaxy_population"]
 BIN_KEYS = ["qbin__redshift__5", "qbin__u__10", "qbin__z__5", "round__alpha__0", "round__redshift__1"]
-CANDIDATES = GK.group_candidates(CAT_KEYS, BIN_KEYS)  # G-05: 53 candidates → two grouping-sets chunks
+CANDIDATES = GK.group_candidates(CAT_KEYS, BIN_KEYS)  # G-05: 53 candidates
 PROFILE_CANDIDATES = GK.group_candidates(CAT_KEYS, BIN_KEYS[:2], max_degree=2)
 
 
@@ -76,8 +76,7 @@ HY_SQL = " + ".join(f"(CASE WHEN {n} > 0 THEN -({n} / n_all) * ln({n} / n_all) E
 
 
 def _score_sql(keys: tuple[str, ...]) -> str:
-    name, joined = GK.key_label(keys), "|".join(keys)
-    return f"""SELECT '{name}' AS key_name, '{joined}' AS keys, {len(keys)} AS degree,
+    return f"""SELECT '{"|".join(keys)}' AS keys, {len(keys)} AS degree,
   CAST(count(*) FILTER (WHERE tr > 0) AS INTEGER) AS n_train_groups,
   CAST(count(*) FILTER (WHERE te > 0) AS INTEGER) AS n_test_groups,
   round(quantile_cont(tr, 0.5) FILTER (WHERE tr > 0), 6) AS median_train_group_size,
@@ -109,9 +108,8 @@ def q_group_key_scores(spark, sf_dir):
 
 # ---------------------------------------------------------------- E-07 / E-09
 def _profile_sql(keys: tuple[str, ...]) -> str:
-    name, joined = GK.key_label(keys), "|".join(keys)
     k2 = keys[1] if len(keys) > 1 else "CAST(NULL AS VARCHAR)"
-    return f"""SELECT '{name}' AS key_name, '{joined}' AS keys, {keys[0]} AS k1, {k2} AS k2,
+    return f"""SELECT '{"|".join(keys)}' AS keys, {keys[0]} AS k1, {k2} AS k2,
   CAST(cg AS BIGINT) AS count_GALAXY, CAST(cq AS BIGINT) AS count_QSO, CAST(cs AS BIGINT) AS count_STAR,
   CAST(tr AS BIGINT) AS train_count, CAST(te AS BIGINT) AS test_count,
   round(cg / tr, 6) AS rate_GALAXY, round(cq / tr, 6) AS rate_QSO, round(cs / tr, 6) AS rate_STAR,
@@ -136,13 +134,13 @@ def q_group_profile(spark, sf_dir):
 
 # ---------------------------------------------------------------- F-03
 @register("f03_top_groups_per_key", with_views(KEYED_SQL, "prof AS (" + "\nUNION ALL\n".join(
-    _profile_sql(k) for k in PROFILE_CANDIDATES) + ")") + """SELECT key_name, k1, k2, dominant_class, dominant_rate,
+    _profile_sql(k) for k in PROFILE_CANDIDATES) + ")") + """SELECT keys, k1, k2, dominant_class, dominant_rate,
   train_count FROM (
-  SELECT *, row_number() OVER (PARTITION BY key_name ORDER BY dominant_rate DESC, train_count DESC,
+  SELECT *, row_number() OVER (PARTITION BY keys ORDER BY dominant_rate DESC, train_count DESC,
     k1 ASC NULLS FIRST, k2 ASC NULLS FIRST) AS rn FROM prof) WHERE rn <= 3""")
 def q_top_groups(spark, sf_dir):
     top = GK.top_groups(profile_frame(spark, sf_dir), 3)
-    return top.select("key_name", "k1", "k2", "dominant_class", "dominant_rate", "train_count")
+    return top.select("keys", "k1", "k2", "dominant_class", "dominant_rate", "train_count")
 
 
 # ---------------------------------------------------------------- E-14 / E-15
@@ -185,11 +183,13 @@ def q_rounded_keys(spark, sf_dir):
 
 # ---------------------------------------------------------------- E-12 / D-08
 @register("e12_group_stats_attach", with_views("""fit AS (
-  SELECT spectral_type, galaxy_population, avg(redshift) AS m, stddev_samp(redshift) AS s, count(redshift) AS c
+  SELECT spectral_type, galaxy_population, avg(redshift) AS m, stddev_samp(redshift) AS s, count(redshift) AS c,
+    quantile_cont(redshift, 0.5) AS md
   FROM obs WHERE split = 'train' GROUP BY ALL
-), g AS (SELECT avg(redshift) AS gm, stddev_samp(redshift) AS gs FROM obs WHERE split = 'train')""")
+), g AS (SELECT avg(redshift) AS gm, stddev_samp(redshift) AS gs, quantile_cont(redshift, 0.5) AS gmd FROM obs WHERE split = 'train')""")
           + """SELECT o.id, round(coalesce(f.m, g.gm), 6) AS redshift__mean, round(coalesce(f.s, g.gs), 6) AS redshift__std,
-  round(coalesce(CAST(f.c AS DOUBLE), 0e0), 6) AS redshift__count
+  round(coalesce(CAST(f.c AS DOUBLE), 0e0), 6) AS redshift__count,
+  round(coalesce(f.md, g.gmd), 6) AS redshift__median
 FROM obs o LEFT JOIN fit f ON o.spectral_type IS NOT DISTINCT FROM f.spectral_type
   AND o.galaxy_population IS NOT DISTINCT FROM f.galaxy_population
 CROSS JOIN g WHERE o.split = 'test'""")
@@ -198,10 +198,11 @@ def q_group_stats(spark, sf_dir):
     train = obs.where(F.col("split") == "train")
     test = obs.where(F.col("split") == "test")
     keys = ["spectral_type", "galaxy_population"]
-    fitted = GK.fit_group_stats(train, keys, "redshift")
-    glob = GK.global_stats(train, "redshift")
-    out = GK.attach_group_stats(test, fitted, glob, keys, "redshift")
-    return rounded(out.select("id", "redshift__mean", "redshift__std", "redshift__count"))
+    stats = ("mean", "std", "count", "median")
+    fitted = GK.fit_group_stats(train, keys, "redshift", stats)
+    glob = GK.global_stats(train, "redshift", stats)
+    out = GK.attach_group_stats(test, fitted, glob, keys, "redshift", stats)
+    return rounded(out.select("id", *[f"redshift__{s}" for s in stats]))
 
 
 # ---------------------------------------------------------------- F-01
@@ -221,7 +222,7 @@ ANOVA_FEATURES = ["u", "g", "r", "i", "z", "redshift", "alpha", "delta"]
 
 
 def _anova_sql(f: str) -> str:
-    return f"""SELECT '{f}' AS feature, round((ssb / (k - 1)) / (ssw / (n - k)), 6) AS f_score,
+    return f"""SELECT '{f}' AS feature, round((ssb / (k - 1)) / (ssw / (n - k)), 6) AS f_score, (ssb / (k - 1)) / (ssw / (n - k)) AS f_exact,
   CAST(k - 1 AS INTEGER) AS df_between, CAST(n - k AS BIGINT) AS df_within
 FROM (SELECT sum(nc * (mc - gm) * (mc - gm)) AS ssb, sum((nc - 1) * coalesce(vc, 0e0)) AS ssw,
         any_value(n) AS n, count(*) AS k
@@ -230,7 +231,9 @@ FROM (SELECT sum(nc * (mc - gm) * (mc - gm)) AS ssb, sum((nc - 1) * coalesce(vc,
       CROSS JOIN (SELECT count({f}) AS n, avg({f}) AS gm FROM obs WHERE split = 'train' AND {f} IS NOT NULL) t)"""
 
 
-@register("e13_anova_f", with_views() + "\nUNION ALL\n".join(_anova_sql(f) for f in ANOVA_FEATURES))
+#: with three classes the tail of the F distribution has a closed form
+@register("e13_anova_f", "SELECT * EXCLUDE (f_exact), round(CASE WHEN f_score <= 0 THEN 1e0 ELSE pow(1e0 + 2e0 * f_exact / df_within, -df_within / 2e0) END, 6) AS p_value FROM ("
+          + with_views() + "\nUNION ALL\n".join(_anova_sql(f) for f in ANOVA_FEATURES) + ")")
 def q_anova(spark, sf_dir):
     obs = load_obs(spark, sf_dir).where(F.col("split") == "train")
-    return rounded(GK.anova_f(obs, "class", ANOVA_FEATURES))
+    return rounded(GK.anova_with_pvalues(obs, "class", ANOVA_FEATURES))

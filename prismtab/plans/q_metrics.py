@@ -319,6 +319,38 @@ def q_agree(spark, sf_dir):
     return rounded(M.prediction_agreement(p, {m: f"pred_{m}" for m in MODELS}))
 
 
+# ---------------------------------------------------------------- E-20 / E-21 for many models
+MANY = 200
+
+
+def _blend(i: int) -> tuple[int, int, int]:
+    """Integer weights of the three base models in the i-th blend."""
+    return 1 + i % 7, i % 11, (i * 3) % 13
+
+
+#: correlations of blends follow from the covariances of the three models they are made of
+MANY_SQL = with_views("""flat AS (SELECT unnest([m1__GALAXY, m1__QSO, m1__STAR]) AS x, unnest([m2__GALAXY, m2__QSO, m2__STAR]) AS y,
+    unnest([m3__GALAXY, m3__QSO, m3__STAR]) AS z FROM pro WHERE split = 'train')""",
+    """cv AS (SELECT covar_pop(x, x) AS xx, covar_pop(y, y) AS yy, covar_pop(z, z) AS zz, covar_pop(x, y) AS xy, covar_pop(x, z) AS xz, covar_pop(y, z) AS yz FROM flat)""",
+    f"w AS (SELECT i, (1e0 + i % 7) / t AS a, (i % 11) / t AS b, ((i * 3) % 13) / t AS c FROM (SELECT range AS i, (1e0 + range % 7 + range % 11 + (range * 3) % 13) AS t FROM range({MANY})))",
+    """vr AS (SELECT w.*, sqrt(a * a * xx + b * b * yy + c * c * zz + 2 * (a * b * xy + a * c * xz + b * c * yz)) AS sd FROM w CROSS JOIN cv)""",
+) + """SELECT 'b' || p.i AS model_a, 'b' || q.i AS model_b, round((p.a * q.a * xx + p.b * q.b * yy + p.c * q.c * zz + (p.a * q.b + p.b * q.a) * xy
+  + (p.a * q.c + p.c * q.a) * xz + (p.b * q.c + p.c * q.b) * yz) / (p.sd * q.sd), 6) AS corr FROM vr p CROSS JOIN vr q CROSS JOIN cv"""
+
+
+@register("e20_correlation_of_200_models", MANY_SQL)
+def q_corr_many(spark, sf_dir):
+    """All pairs of 200 blends of the three base models."""
+    pro = load_pro(spark, sf_dir).where(F.col("split") == "train")
+    cols = {}
+    for i in range(MANY):
+        w = _blend(i)
+        for c in CLASSES:
+            cols[f"b{i}__{c}"] = sum(F.col(f"{m}__{c}") * float(x) for m, x in zip(MODELS, w)) / float(sum(w))
+    wide = pro.select(*[v.alias(n) for n, v in cols.items()])
+    return rounded(M.probability_correlation(wide, {f"b{i}": [f"b{i}__{c}" for c in CLASSES] for i in range(MANY)}))
+
+
 # ---------------------------------------------------------------- E-22
 @register("e22_model_scoreboard", with_views(LONG_PRED_SQL, """rec AS (
   SELECT model, class, avg(CASE WHEN pred = class THEN 1e0 ELSE 0e0 END) AS recall

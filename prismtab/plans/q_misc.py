@@ -289,12 +289,10 @@ def q_membership(spark, sf_dir):
   CAST(coalesce(tr.n, 0) AS BIGINT) AS train_n, CAST(coalesce(te.n, 0) AS BIGINT) AS test_n
 FROM tr FULL OUTER JOIN te ON tr.spectral_type IS NOT DISTINCT FROM te.spectral_type""")
 def q_outer_alignment(spark, sf_dir):
-    """D-10 as one conditional aggregate (no join needed): NULL keys group."""
+    """D-10: both frequency tables, outer-joined on a key that may be NULL, missing counts 0."""
     obs = load_obs(spark, sf_dir)
-    return obs.groupBy("spectral_type").agg(
-        F.sum(F.when(F.col("split") == "train", 1).otherwise(0)).cast("bigint").alias("train_n"),
-        F.sum(F.when(F.col("split") == "test", 1).otherwise(0)).cast("bigint").alias("test_n"),
-    )
+    train, test = (obs.where(F.col("split") == s).groupBy("spectral_type").agg(F.count(F.lit(1)).alias(f"{s}_n")) for s in ("train", "test"))
+    return C.null_safe_join(train, test, "spectral_type", "full").fillna(0, ["train_n", "test_n"])
 
 
 # ---------------------------------------------------------------- H-01

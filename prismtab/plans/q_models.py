@@ -18,6 +18,7 @@ from prismtab.constants import CLASSES
 from prismtab.functions.features import astronomy_features
 
 from prismtab.operators import metrics as M
+from prismtab.plans import feature_search as FS
 from prismtab.plans import oof as O
 from prismtab.plans.catalog import register, rounded
 from prismtab.plans.common import MODELS, model_cols, with_views
@@ -212,17 +213,74 @@ def q_holdout(spark, sf_dir):
 
 
 # ---------------------------------------------------------------- K-13
+SEARCHED = ["u", "g", "r", "i", "z", "redshift", "alpha", "delta"]
+SEARCH_CATS = ["spectral_type", "galaxy_population"]
+
+
+def search_frame(spark, sf_dir):
+    """Training rows whose class follows from two columns in part."""
+    obs = load_obs(spark, sf_dir).where(F.col("split") == "train").drop("split")
+    planted = F.when(F.col("redshift") > 1.3, "QSO").when(F.col("u") - F.col("z") > 3.0, "STAR").otherwise(F.col("class"))
+    return obs.withColumn("class", planted)
+
+
+def _screen_sql() -> str:
+    from prismtab.plans import q_groupkeys as Q
+
+    keys = FS.candidate_keys(SEARCHED, SEARCH_CATS)
+    names = ("GALAXY", "QSO", "STAR")
+
+    def expr(spec: str) -> str:
+        kind, _, rest = spec.partition("__")
+        column, _, p = rest.rpartition("__")
+        if kind == "round":
+            return f"CAST(round_even(coalesce({column}, -999999e0), {p}) + 0e0 AS FLOAT)"
+        if kind == "digit":
+            return f"CASE WHEN {column} IS NULL THEN -1 ELSE floor(round(abs({column}) * 1e{p}, 6)) % 10 END"
+        if kind == "qbin":
+            e = f"e_{column}_{p}"
+            return f"CASE WHEN {column} IS NULL THEN -1 ELSE len(list_filter({e}, lambda v: v > list_min({e}) AND v < {column})) END"
+        return f"coalesce({spec}, '__NA__')"
+
+    edges = ", ".join(Q._edges_sql(c, q) for c in SEARCHED for q in FS.BINS)
+    specs = sorted({s for k in keys for s in k})
+    counts = ", ".join(f"sum(CASE WHEN fold = {f} AND class = '{c}' THEN 1 ELSE 0 END) AS n{f}{c}" for f in range(K) for c in names)
+
+    def others(f: int, c: str) -> str:
+        return "(" + " + ".join(f"n{g}{c}" for g in range(K) if g != f) + ")"
+
+    def right(f: int) -> str:
+        best = "greatest(" + ", ".join(others(f, c) for c in names) + ")"
+        most = f"CASE m{f} WHEN 'GALAXY' THEN n{f}GALAXY WHEN 'QSO' THEN n{f}QSO ELSE n{f}STAR END"
+        return f"CASE WHEN {best} = 0 THEN {most} WHEN {others(f, 'GALAXY')} = {best} THEN n{f}GALAXY WHEN {others(f, 'QSO')} = {best} THEN n{f}QSO ELSE n{f}STAR END"
+
+    majority = ", ".join(f"(SELECT class FROM fr WHERE fold <> {f} GROUP BY class ORDER BY count(*) DESC, class LIMIT 1) AS m{f}" for f in range(K))
+    rows = "\nUNION ALL\n".join(
+        f"""SELECT '{"|".join(k)}' AS candidate, {len(k)} AS degree, count(*) AS n_values, CAST(sum({" + ".join(right(f) for f in range(K))}) AS BIGINT) AS ok
+FROM (SELECT {", ".join(f'"{s}"' for s in k)}, {counts} FROM made GROUP BY ALL) CROSS JOIN mj""" for k in keys)
+    return with_views(
+        """sf AS (SELECT * EXCLUDE (class), CASE WHEN redshift > 1.3 THEN 'QSO' WHEN u - z > 3e0 THEN 'STAR' ELSE class END AS class FROM obs WHERE split = 'train')""",
+        f"""fr AS (SELECT *, (row_number() OVER (PARTITION BY class ORDER BY md5('42:' || CAST(id AS VARCHAR)), id) - 1) % {K} AS fold FROM sf)""",
+        f"ed AS (SELECT {edges} FROM sf)",
+        "made AS (SELECT fold, class, " + ", ".join(f'{expr(s)} AS "{s}"' for s in specs) + " FROM fr CROSS JOIN ed)",
+        f"mj AS (SELECT {majority})",
+        "base AS (SELECT count(*) AS n, " + " + ".join(f"count(*) FILTER (fold = {f} AND class = m{f})" for f in range(K)) + " AS ok0 FROM fr CROSS JOIN mj)",
+        f"found AS ({rows})",
+    ) + """SELECT candidate, degree, n_values, round(ok / n, 6) AS accuracy, round((ok - ok0) / n, 6) AS gain, (ok - ok0) / n > 1e-5 AS survives
+FROM found CROSS JOIN base"""
+
+
+@register("k13_feature_screen", _screen_sql())
+def q_feature_screen(spark, sf_dir):
+    """Gains of all generated columns and crosses."""
+    return rounded(FS.screen(search_frame(spark, sf_dir), FS.candidate_keys(SEARCHED, SEARCH_CATS), k=K))
+
+
 @register("k13_feature_search")
 def q_feature_search(spark, sf_dir):
-    from prismtab.operators.groupkeys import rounded_key
-
-    train, _ = model_frames(spark, sf_dir)
-    cands = {
-        "round__redshift__1": rounded_key(F.col("redshift"), 1).cast("double"),
-        "digit__u__1": (F.floor(F.col("u") * 10) % 10).cast("double"),
-        "cross__signal_q_x_g_minus_r": F.col("signal_q") * F.col("g_minus_r"),
-    }
-    _, trace = O.feature_search(train, BASE_FEATURES, cands, "lr", {"maxIter": 60}, k=K)
+    """Forward search; the screen leaves only some candidates to be fitted."""
+    train = search_frame(spark, sf_dir)
+    _, trace = FS.feature_search(train, ["g", "r", "i"], FS.candidate_keys(["redshift", "u"], SEARCH_CATS, (0, 1), (0,), (5,)), "lr", {"maxIter": 40}, k=K, refits=4)
     return rounded(trace)
 
 

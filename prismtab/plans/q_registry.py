@@ -137,3 +137,66 @@ def q_submission(spark, sf_dir):
     pred = predictions(spark, sf_dir, "test").select("id", F.col("pred_m3").alias("class"))
     return IO.submission(sample, pred)
 
+
+
+# ---------------------------------------------------------------- A-11
+def shared_path(spark, name: str) -> str:
+    """A new folder below the shared checkpoint folder."""
+    import uuid
+
+    from prismtab.session import ensure_checkpoint_dir
+
+    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
+@register("a11_registry_quarantine", """WITH l AS (SELECT c_custkey AS k, CASE WHEN c_custkey % 11 = 0 THEN 'blank' WHEN c_custkey % 7 = 0 THEN 'no json'
+    WHEN c_custkey % 5 = 0 THEN 'wrong type' ELSE 'record' END AS kind, c_acctbal AS b FROM customer)
+SELECT kind, count(*) AS n, round(CAST(sum(CASE WHEN kind = 'record' THEN b END) AS DOUBLE), 2) AS balance FROM l WHERE kind <> 'blank' GROUP BY kind""")
+def q_registry_quarantine(spark, sf_dir):
+    """A registry file with blank lines, cut lines and values of a wrong type, written from customers and read back."""
+    c = read_table(spark, sf_dir, "customer")
+    k = F.col("c_custkey")
+    metrics = F.map_from_arrays(F.array(F.lit("balance")), F.array(F.col("c_acctbal").cast("double")))
+    whole = F.to_json(F.struct(F.concat(F.lit("sub/"), k).alias("submission_relpath"), metrics.alias("metrics")))
+    wrong = F.to_json(F.struct(k.cast("string").alias("submission_relpath"), F.lit("none").alias("metrics")))
+    line = F.when(k % 11 == 0, "  ").when(k % 7 == 0, F.expr("substring(line, 1, length(line) - 3)")).when(k % 5 == 0, wrong).otherwise(F.col("line"))
+    path = shared_path(spark, "registry-lines")
+    c.withColumn("line", whole).select(line.alias("value")).write.text(path)
+    good, bad = RG.quarantined(spark, path)
+    records = good.agg(F.lit("record").alias("kind"), F.count(F.lit(1)).alias("n"), F.sum(F.element_at("metrics", "balance")).alias("balance"))
+    held = bad.groupBy(F.col("reason").alias("kind")).agg(F.count(F.lit(1)).alias("n"), F.lit(None).cast("double").alias("balance"))
+    return records.unionByName(held).withColumn("balance", F.round("balance", 2))
+
+
+# ---------------------------------------------------------------- A-08
+@register("a08_experiment_partitions", with_views(PREDS_SQL) + """SELECT 'm1' AS experiment, count(*) AS n, sum(id) AS ids FROM preds WHERE split = 'train'
+UNION ALL SELECT 'm2', count(*), sum(id) FROM preds WHERE split = 'test' UNION ALL SELECT 'm3', count(*), sum(id) FROM preds""".replace("sum(id)", "CAST(sum(id) AS BIGINT)"))
+def q_experiment_partitions(spark, sf_dir):
+    """Two experiments written, one written anew and one added: the first stays as it was."""
+    p = predictions(spark, sf_dir, None)
+    path = shared_path(spark, "experiments")
+    one = lambda rows, m: rows.select("id", F.col(f"pred_{m}").alias("class"), F.lit(m).alias("experiment"))
+    IO.write_experiments(one(p.where("split = 'train'"), "m1").unionByName(one(p.where("split = 'train'"), "m2")), path)
+    IO.write_experiments(one(p.where("split = 'test'"), "m2").unionByName(one(p, "m3")), path)
+    return spark.read.parquet(path).groupBy("experiment").agg(F.count(F.lit(1)).alias("n"), F.sum("id").alias("ids"))
+
+
+# ---------------------------------------------------------------- D-04
+@register("d04_stored_predictions_join", with_views(PREDS_SQL) + """SELECT a.id, a.pred_m1 AS base_pred, b.pred_m2 AS other_pred, a.pred_m1 <> b.pred_m2 AS differs
+FROM preds a JOIN preds b ON a.id = b.id AND b.id % 3 <> 0""")
+def q_stored_join(spark, sf_dir):
+    """Two prediction tables, stored in buckets in the shared folder and joined there without an exchange."""
+    p = predictions(spark, sf_dir, None)
+    a = IO.store_bucketed(p.select("id", F.col("pred_m1").alias("base_pred")), shared_path(spark, "base"), buckets=8)
+    b = IO.store_bucketed(p.where("id % 3 <> 0").select("id", F.col("pred_m2").alias("other_pred")), shared_path(spark, "other"), buckets=8)
+    return a.hint("merge").join(b, "id").withColumn("differs", F.col("base_pred") != F.col("other_pred"))
+
+
+# ---------------------------------------------------------------- L-04
+@register("l04_stored_registry", with_views(PREDS_SQL) + "\nUNION ALL\n".join([_reg_sql("m1", "old"), _reg_sql("m2", "new"), _reg_sql("m3", "new")]))
+def q_stored_registry(spark, sf_dir):
+    """The upsert of H-05 through a stored table: two versions, the newest read back."""
+    path = shared_path(spark, "registry")
+    RG.upsert_registry_table(spark, path, _registry_frame(spark, sf_dir, ["m1", "m2"], "old"))
+    stored = RG.upsert_registry_table(spark, path, _registry_frame(spark, sf_dir, ["m2", "m3"], "new"))
+    return rounded(stored.select(*REG_COLS, "notes"))

@@ -7,6 +7,9 @@ unless asked.  Outputs are keyed by id: nothing depends on row order.
 
 from __future__ import annotations
 
+import uuid
+
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -44,6 +47,23 @@ def child_folders(spark: SparkSession, path: str) -> list[str]:
     return sorted(s.getPath().getName() for s in fs.listStatus(p) if s.isDirectory()) if fs.exists(p) else []
 
 
+def create_new(spark: SparkSession, path: str) -> bool:
+    """Create an empty file; False if it exists.  Of several callers one gets True."""
+    fs, p = _hadoop(spark, path)
+    fs.mkdirs(p.getParent())
+    try:
+        if fs.getScheme() == "file":  # the local file system of Hadoop looks first and creates then
+            jvm, attributes = spark._jvm, spark.sparkContext._gateway.new_array(spark._jvm.java.nio.file.attribute.FileAttribute, 0)
+            jvm.java.nio.file.Files.createFile(jvm.java.io.File(p.toUri().getPath()).toPath(), attributes)
+        else:
+            fs.create(p, False).close()
+    except Py4JJavaError as e:
+        if "AlreadyExists" in e.java_exception.getClass().getName():
+            return False
+        raise
+    return True
+
+
 def delete_folder(spark: SparkSession, path: str) -> None:
     fs, p = _hadoop(spark, path)
     fs.delete(p, True)
@@ -158,6 +178,29 @@ def write_table(df: DataFrame, path: str, fmt: str = "parquet", mode: str = "err
     w.save(path)
 
 
+def write_experiments(df: DataFrame, path: str, experiment: str = "experiment", fmt: str = "parquet") -> None:
+    """A-08: probability tables below one folder, a partition per experiment.
+
+    Only the partitions of the experiments in ``df`` are replaced; others stay.  A rerun of one experiment is one write."""
+    df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(experiment).format(fmt).save(path)
+
+
+#: buckets of a stored prediction table
+BUCKETS = 64
+
+
+def store_bucketed(df: DataFrame, path: str, key: str = ID_COL, buckets: int = BUCKETS) -> DataFrame:
+    """D-04: ``df`` stored below ``path`` in ``buckets`` files by ``key``, each sorted by it.
+
+    Tables of equal key and number of buckets join without an exchange.  The session's catalog knows the
+    table by a name of its own; the files are an ordinary Parquet folder."""
+    spark = df.sparkSession
+    name = f"bucketed_{uuid.uuid4().hex}"
+    spread = df.repartition(buckets, key)  # a file per bucket
+    spread.write.option("path", path).bucketBy(buckets, key).sortBy(key).format("parquet").saveAsTable(name)
+    return spark.table(name)
+
+
 def submission(sample: DataFrame, pred: DataFrame, id_col: str = ID_COL, label_col: str = LABEL_COL,
                check: bool = True) -> DataFrame:
     """A-10: keyed submission: the sample's ids left-joined with predictions;

@@ -240,11 +240,21 @@ def test_align_columns_and_drop_non_features(spark):
     assert {r["cat"] for r in coded_tr.collect()} == {0} and {r["cat"] for r in coded_te.collect()} == {1}
 
 
-def test_f_pvalue_closed_form():
-    # for d1 = 2 the F survival function is (1 + 2 f / d2) ** (-d2 / 2)
-    for f, d2 in [(3.0, 10.0), (0.5, 7.0), (12.0, 40.0)]:
-        assert GK.f_pvalue(f, 2.0, d2) == pytest.approx((1 + 2 * f / d2) ** (-d2 / 2), rel=1e-9)
-    assert GK.f_pvalue(0.0, 3.0, 20.0) == 1.0
+def test_f_tail_closed_forms(spark):
+    from prismtab.functions.special import f_tail
+
+    rows = [(f, d1, d2) for f in (1e-9, 0.01, 0.3, 1.0, 2.5, 40.0, 1e6) for d1 in (1, 2, 3, 7, 40) for d2 in (2, 6, 101, 11_997, 10**6)]
+    df = spark.createDataFrame(rows, "f double, d1 int, d2 long")
+    for r in df.withColumn("p", f_tail(F.col("f"), F.col("d1"), F.col("d2"))).collect():
+        if r.d1 == 2:
+            assert r.p == pytest.approx((1 + 2 * r.f / r.d2) ** (-r.d2 / 2), rel=1e-8, abs=1e-300)
+        if r.d2 == 2:
+            assert r.p == pytest.approx(1 - (r.d1 * r.f / (2 + r.d1 * r.f)) ** (r.d1 / 2), rel=1e-8)
+        if r.d1 == r.d2 and r.f == 1.0:
+            assert r.p == pytest.approx(0.5)
+        assert 0 <= r.p <= 1
+    edge = spark.createDataFrame([(0.0, 3, 20), (None, 3, 20)], "f double, d1 int, d2 long")
+    assert [r[0] for r in edge.select(f_tail(F.col("f"), F.col("d1"), F.col("d2"))).collect()] == [1.0, None]
 
 
 def test_register_prediction_and_upsert_table(spark):
