@@ -104,7 +104,7 @@ def parse(formatted: str) -> list[tuple[str, str]]:
 def events_of(turns: DataFrame, conversation: str = "conv_id", turn: str = "turn", role: str = "role", text: str = "text") -> DataFrame:
     """The event log of a table of turns: each row opens a message and streams its text line by line.
 
-    Rows of equal turns follow each other by role, then by their texts' hashes; a null text is empty, a null role the empty role, a null turn comes first.
+    Rows of equal turns follow each other by role, then by the MD5 of their texts; a null text is empty, a null role the empty role, a null turn comes first.
     """
     whole = F.coalesce(F.col(text), F.lit(""))
     rows = turns.select(
@@ -114,7 +114,7 @@ def events_of(turns: DataFrame, conversation: str = "conv_id", turn: str = "turn
     lines = F.split("text", "(?<=\n)", -1)
     opened = F.array(F.struct(F.lit("message").alias("kind"), F.lit("").alias("text")))
     streamed = F.transform(lines, lambda line: F.struct(F.lit("delta").alias("kind"), line.alias("text")))
-    seq = F.struct("turn", "role", F.xxhash64("text").alias("text"), "message")
+    seq = F.struct("turn", "role", F.md5(F.col("text").cast("binary")).alias("text"), "message")
     return rows.select("conversation", seq.alias("seq"), "message", "role", F.posexplode(F.concat(opened, streamed)).alias("part", "event")).select(
         "conversation", "seq", "part", F.col("event.kind").alias("kind"), "message", "role", F.col("event.text").alias("text"))
 

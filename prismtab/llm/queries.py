@@ -151,9 +151,9 @@ WITH c AS (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '')
   UNION ALL VALUES (-7, 0, 'user', '</s>[INST] ok [/INST]'), (-7, 1, 'assistant', '</s>[INST] ok [/INST]')),
 e AS (SELECT *, length(regexp_replace(text, '(<</TEXT>>|<</SYS>>|<<ROLE>>|<<TEXT>>|<<SYS>>|\[/INST\]|\[INST\]|<unk>|</s>|<s>|\\)', '\1+', 'g'))
   + CASE role WHEN 'system' THEN 15 WHEN 'user' THEN 13 WHEN 'assistant' THEN 7 ELSE 25 + length(role) END AS n FROM c)
-SELECT conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS FIRST, role, text)) AS turns_sha256,
+SELECT conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS FIRST, role, md5(text))) AS turns_sha256,
   CAST(coalesce(sum(length(text)) FILTER (role = 'assistant'), 0) AS BIGINT) AS loss_chars,
-  sha256(coalesce(string_agg(text, '' ORDER BY turn NULLS FIRST, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
+  sha256(coalesce(string_agg(text, '' ORDER BY turn NULLS FIRST, role, md5(text)) FILTER (role = 'assistant'), '')) AS loss_sha256,
   CAST(sum(n) AS BIGINT) AS formatted_chars FROM e GROUP BY conv_id"""
 
 

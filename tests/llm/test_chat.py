@@ -50,3 +50,24 @@ def test_turns_are_streamed_and_read_back(spark):
     assert got[7].loss_sha256 == hashlib.sha256("".join(t for c, _, r, t in turns if c == 7 and r == "assistant").encode()).hexdigest()
     assert (got[8].n_turns, got[8].loss_chars, got[9].n_turns, got[None].n_turns) == (2, 0, 1, 1)
     assert got[10].loss_chars == len(long) and got[10].formatted_chars == len(long) + 30_000 + 7
+
+
+def test_ties_are_ordered_as_in_the_sql(spark):
+    """Turns of equal number and role: the query and its SQL give the same digests."""
+    import duckdb
+    import pandas
+
+    from prismtab.llm import queries
+
+    rows = [(c, t, "user", f"text {c} {k}") for c in range(5) for t in (1, None) for k in range(4)] + [(9, 1, "user", "same")] * 3 + [(None, 1, None, None)]
+    turns = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    path = f"{spark.sparkContext.getCheckpointDir()}/ties"
+    turns.coalesce(1).write.mode("overwrite").parquet(f"{path}/conversations.parquet")
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW conversations AS SELECT * FROM read_parquet('{path.removeprefix('file:')}/conversations.parquet/*.parquet')")
+    got = {r.conv_id: r.asDict() for r in queries.QUERIES["op6_chat_formatting"](spark, path).collect()}
+    want = con.execute(queries.ORACLE["op6_chat_formatting"]).df()
+    assert len(got) == len(want)
+    for r in want.itertuples():
+        own = got[None if pandas.isna(r.conv_id) else int(r.conv_id)]
+        assert (own["turns_sha256"], own["loss_sha256"], own["n_turns"], own["formatted_chars"]) == (r.turns_sha256, r.loss_sha256, r.n_turns, r.formatted_chars)
