@@ -5,7 +5,8 @@ A class can hold a third of all rows, so a window partitioned by class alone
 would sort that third in one task.  Instead the order key's first hex
 characters form a bucket: buckets are contiguous ranges of the order, so the
 global in-class rank = rank inside (class, bucket) + number of class rows in
-earlier buckets.  The offsets table has classes x 16^prefix rows.
+earlier buckets.  How many characters is read off the largest class, so that
+a bucket holds about ``BUCKET_ROWS`` rows at any size; ranks do not depend on it.
 """
 
 from __future__ import annotations
@@ -22,22 +23,33 @@ def order_key(id_col: str, seed: int) -> Column:
     return F.md5(F.concat(F.lit(f"{seed}:"), F.col(id_col).cast("string")))
 
 
-def class_rank(df: DataFrame, label: str, id_col: str = "id", seed: int = 42, prefix_len: int = 3,
+#: rows that a bucket of one class aims at
+BUCKET_ROWS = 1 << 18
+
+
+def prefix_length(df: DataFrame, label: str) -> int:
+    """Hash characters that cut the largest class into buckets of at most about ``BUCKET_ROWS``; one at least."""
+    largest = df.groupBy(label).count().agg(F.max("count")).first()[0] or 1
+    return max(1, math.ceil(math.log(largest / BUCKET_ROWS, 16)))
+
+
+def class_rank(df: DataFrame, label: str, id_col: str = "id", seed: int = 42, prefix_len: int | None = None,
                name: str = "class_rank") -> DataFrame:
     """0-based rank of each row inside its class by the seeded hash order."""
+    prefix_len = prefix_len or prefix_length(df, label)
     keyed = df.withColumn("_ok", order_key(id_col, seed)).withColumn("_bk", F.substring("_ok", 1, prefix_len))
     counts = keyed.groupBy(F.col(label).alias("_lab"), "_bk").agg(F.count(F.lit(1)).alias("_cnt"))
     w_off = Window.partitionBy("_lab").orderBy("_bk").rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select("_lab", F.col("_bk").alias("_obk"),
                             F.coalesce(F.sum("_cnt").over(w_off), F.lit(0)).alias("_off"))
-    # offsets: at most classes x 16^prefix_len rows (parameter bound) → broadcast
-    j = keyed.join(F.broadcast(offsets), F.col(label).eqNullSafe(F.col("_lab")) & (F.col("_bk") == F.col("_obk")))
+    # no hint: the offsets are a row per bucket, and the join is on the keys that the window needs anyway
+    j = keyed.join(offsets, F.col(label).eqNullSafe(F.col("_lab")) & (F.col("_bk") == F.col("_obk")))
     w = Window.partitionBy(label, "_bk").orderBy("_ok", id_col)
     return j.select(*df.columns, (F.row_number().over(w) - 1 + F.col("_off")).alias(name), "_ok")
 
 
 def stratified_folds(df: DataFrame, label: str, k: int = 5, id_col: str = "id", seed: int = 42,
-                     prefix_len: int = 3, name: str = "fold") -> DataFrame:
+                     prefix_len: int | None = None, name: str = "fold") -> DataFrame:
     """F-02: fold = in-class rank mod k; per-class fold sizes differ by <= 1
     and every row is in exactly one validation fold."""
     r = class_rank(df, label, id_col, seed, prefix_len)

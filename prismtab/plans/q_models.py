@@ -21,6 +21,7 @@ from prismtab.operators import metrics as M
 from prismtab.plans import feature_search as FS
 from prismtab.plans import oof as O
 from prismtab.plans.catalog import register, rounded
+from prismtab.plans.ensembles import run_ensembles
 from prismtab.plans.common import MODELS, model_cols, with_views
 from prismtab.sources.fixtures import load_obs, load_pro
 
@@ -110,6 +111,55 @@ def _suite(spark, sf_dir):
     return O.run_suite(train, test, exps, k=K)
 
 
+# ---------------------------------------------------------------- K-02 ensembles
+STRATEGIES = {"equal": {}, "less_m1": {"m1": 0.55, "m2": 1.35, "m3": 1.25}, "m2_alone": {"m1": 0.0, "m3": 0.0}}
+
+
+def _ensemble_sql() -> str:
+    def mean(weights: dict, c: str) -> str:
+        w = {m: float(weights.get(m, 1.0)) for m in MODELS}
+        return "(" + " + ".join(f"{m}__{c} * {x!r}e0" for m, x in w.items()) + f") / {sum(w.values())!r}e0"
+
+    raw = ", ".join(f"{mean(w, c)} AS r__{n}__{c}" for n, w in STRATEGIES.items() for c in CLASSES)
+    normed = ", ".join(f"r__{n}__{c} / (" + " + ".join(f"r__{n}__{k}" for k in CLASSES) + f") AS ens__{n}__{c}" for n in STRATEGIES for c in CLASSES)
+    return f"en AS (SELECT id, class, split, {normed} FROM (SELECT id, class, split, {raw} FROM pro))"
+
+
+def _ensemble_board_sql() -> str:
+    import json
+
+    boards = []
+    for n, w in STRATEGIES.items():
+        p = {c: f"ens__{n}__{c}" for c in CLASSES}
+        best = f"CASE WHEN {p['GALAXY']} >= {p['QSO']} AND {p['GALAXY']} >= {p['STAR']} THEN 'GALAXY' WHEN {p['QSO']} >= {p['STAR']} THEN 'QSO' ELSE 'STAR' END"
+        own = "CASE class " + " ".join(f"WHEN '{c}' THEN {p[c]}" for c in CLASSES) + " END"
+        text = json.dumps({m: float(w.get(m, 1.0)) for m in MODELS}, sort_keys=True)
+        boards.append(f"""SELECT '{n}' AS strategy, round(avg(CASE WHEN pred = class THEN 1e0 ELSE 0e0 END), 6) AS accuracy,
+  round((SELECT avg(r) FROM (SELECT avg(CASE WHEN {best} = class THEN 1e0 ELSE 0e0 END) AS r FROM en WHERE split = 'train' GROUP BY class)), 6) AS balanced_accuracy,
+  round(avg(-ln(least(greatest(own, 1e-15), 1e0 - 1e-15))), 6) AS log_loss, '{text}' AS weights
+FROM (SELECT class, {best} AS pred, {own} AS own FROM en WHERE split = 'train')""")
+    return with_views(_ensemble_sql()) + "\nUNION ALL\n".join(boards)
+
+
+def _ensembles(spark, sf_dir):
+    pro = load_pro(spark, sf_dir)
+    blocks = {m: model_cols(m) for m in MODELS}
+    return run_ensembles(pro.where("split = 'train'"), pro.where("split = 'test'"), blocks, STRATEGIES)
+
+
+@register("k02_ensemble_scores", _ensemble_board_sql())
+def q_ensemble_scores(spark, sf_dir):
+    return rounded(_ensembles(spark, sf_dir)[2])
+
+
+@register("k02_ensemble_tables", with_views(_ensemble_sql()) + "SELECT id, split, " + ", ".join(
+    f"round(ens__{n}__{c}, 6) AS ens__{n}__{c}" for n in STRATEGIES for c in CLASSES) + " FROM en")
+def q_ensemble_tables(spark, sf_dir):
+    """Blended probabilities of both splits under all strategies."""
+    train, test, _ = _ensembles(spark, sf_dir)
+    return rounded(train.drop("class").withColumn("split", F.lit("train")).unionByName(test.withColumn("split", F.lit("test"))))
+
+
 # ---------------------------------------------------------------- K-04
 @register("k04_mlp_oof")
 def q_mlp(spark, sf_dir):

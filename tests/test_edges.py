@@ -344,3 +344,14 @@ def test_null_safe_full_join_keeps_the_keys_of_both_sides(spark):
     b = spark.createDataFrame([("y", 3), (None, 4)], "k string, b int")
     got = sorted(map(tuple, C.null_safe_join(a, b, "k", "full_outer").collect()), key=str)
     assert got == sorted([("x", 1, None), (None, 2, 4), ("y", None, 3)], key=str)
+
+
+def test_folds_do_not_depend_on_the_number_of_buckets(spark, monkeypatch):
+    from prismtab.operators import folds
+
+    df = spark.range(20_000).withColumn("class", F.when(F.col("id") % 50 == 0, None).when(F.col("id") % 9 == 0, "STAR").otherwise("QSO"))
+    want = {r.id: r.fold for r in folds.stratified_folds(df, "class", prefix_len=2).collect()}
+    assert folds.prefix_length(df, "class") == 1
+    monkeypatch.setattr(folds, "BUCKET_ROWS", 3)
+    assert folds.prefix_length(df, "class") == 4
+    assert {r.id: r.fold for r in folds.stratified_folds(df, "class").collect()} == want
