@@ -231,7 +231,7 @@ def upsert_registry_table(spark, path: str, new_rows: DataFrame, key: str = "sub
                           claim_seconds: float = CLAIM_SECONDS) -> DataFrame:
     """L-04 / H-05: keyed upsert into a stored registry table, in any store, by any number of writers.
 
-    A writer claims the number after the newest version by creating a file that must not exist yet, and
+    A writer claims the number after the newest version by creating a file (below ``<path>.claims``) that must not exist yet, and
     merges only if that version is still the newest once the claim is its own.  Otherwise it waits for the other writer's
     version and merges anew with that; a claim that does not complete within ``claim_seconds`` is passed over.
     The merged table is a new version beside the one it was read from and counts once it is complete, so a
@@ -246,7 +246,7 @@ def upsert_registry_table(spark, path: str, new_rows: DataFrame, key: str = "sub
         versions = _registry_versions(spark, path)
         newest = int(versions[-1][8:]) if versions else 0
         number = newest + 1 + skipped
-        if not create_new(spark, f"{path}/claims/{number}"):
+        if not create_new(spark, f"{path}.claims/{number}"):
             while not (found := _registry_versions(spark, path)) or int(found[-1][8:]) <= newest:
                 if time.monotonic() - waited > claim_seconds:
                     skipped += 1
@@ -257,12 +257,13 @@ def upsert_registry_table(spark, path: str, new_rows: DataFrame, key: str = "sub
                 skipped, waited = 0, time.monotonic()
             continue
         if _registry_versions(spark, path) != versions:
-            delete_folder(spark, f"{path}/claims/{number}")
+            delete_folder(spark, f"{path}.claims/{number}")
             continue
         stored = read_registry_table(spark, path)
         merged = new_rows if stored is None else upsert(stored, new_rows, key)
         merged.write.mode("overwrite").parquet(f"{path}/version={number}")
         for old in versions[:-1]:
             delete_folder(spark, f"{path}/{old}")
+            delete_folder(spark, f"{path}.claims/{int(old[8:])}")
         return spark.read.parquet(f"{path}/version={number}")
     raise LostRace(f"no version of {path} could be claimed in {attempts} attempts")

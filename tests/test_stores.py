@@ -56,7 +56,7 @@ def test_a_writer_that_reads_an_old_version_merges_anew(spark, tmp_path, monkeyp
 def test_a_claim_that_never_completes_is_passed_over(spark, tmp_path):
     path = str(tmp_path / "registry")
     RG.upsert_registry_table(spark, path, row(spark, "first", "1"))
-    assert IO.create_new(spark, f"{path}/claims/2") and not IO.create_new(spark, f"{path}/claims/2")
+    assert IO.create_new(spark, f"{path}.claims/2") and not IO.create_new(spark, f"{path}.claims/2")
     RG.upsert_registry_table(spark, path, row(spark, "second", "2"), claim_seconds=0.5)
     assert RG.read_registry_table(spark, path).count() == 2
 
