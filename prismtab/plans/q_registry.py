@@ -98,9 +98,19 @@ def _reg_sql(m: str, note: str | None = None) -> str:
 FROM preds WHERE split = 'test'"""
 
 
-@register("l05_registry_rows", with_views(PREDS_SQL) + "\nUNION ALL\n".join(_reg_sql(m) for m in MODELS))
+def _flat_sql(m: str) -> str:
+    return f"""SELECT *, primary_metric_value AS json_accuracy, (SELECT round(avg(r), 6) FROM (SELECT avg(CASE WHEN pred_{m} = class THEN 1e0 ELSE 0e0 END) AS r
+  FROM preds WHERE split = 'train' GROUP BY class)) AS json_balanced_accuracy, 'accuracy|balanced_accuracy' AS json_keys, '{{}}' AS params_json, true AS is_registered
+FROM ({_reg_sql(m)})"""
+
+
+@register("l05_registry_rows", with_views(PREDS_SQL) + "\nUNION ALL\n".join(_flat_sql(m) for m in MODELS))
 def q_registry_rows(spark, sf_dir):
-    return rounded(_registry_frame(spark, sf_dir).select(*REG_COLS))
+    """The flat rows, with the JSON columns read back (keys in order, values) and whether there is a time."""
+    keys = F.array_join(F.json_object_keys("metrics_json"), "|")
+    values = [F.get_json_object("metrics_json", f"$.{k}").cast("double").alias(f"json_{k}") for k in ("accuracy", "balanced_accuracy")]
+    flat = _registry_frame(spark, sf_dir)
+    return rounded(flat.select(*REG_COLS, *values, keys.alias("json_keys"), "params_json", F.col("registered_at").isNotNull().alias("is_registered")))
 
 
 # ---------------------------------------------------------------- H-05
