@@ -1,12 +1,19 @@
 """Word n-gram language model of any order with interpolated modified Kneser-Ney smoothing.
 
-Counting: map tasks combine the n-grams of their texts and send them, packed
-with a word list, to the partition that the last two tokens (of the last one four bits,
-so that a hot word spreads) give.  There equal n-grams meet, and with them all that share a suffix of
+Counting: map tasks combine the n-grams of their texts and send them, packed,
+to the partition that the token before the last gives (if that one is hot, with four bits of the last, so that it
+spreads).  There equal n-grams meet, and with them all that share a suffix of
 two or more tokens, so the partition has the counts of every order from two on; it
-stores each order's hashes as one sorted array with their counts in the shared folder,
-and sends per-word and per-context sums on.  A second exchange adds these up
-and stores their sorted hash arrays.  All of the model beyond a few totals stays in those files.
+stores each order's sorted hashes with their counts in the shared folder, and the sums of contexts
+whose last token is not hot, which are whole there.  Sums of words and of the other contexts go on; a second exchange
+adds these up and stores their sorted hash arrays.  All of the model beyond a few totals stays in those files.
+
+The words of a bounded sample serve as codes of packed n-grams and name the hot words; they change the
+bytes sent and where rows meet, never a count.
+
+A file holds sorted 64-bit keys as an index of their first bits and 32 further bits of each (about 48 bits in all), and
+values only of keys that differ from the usual ones.  A context is seen if it is an n-gram itself, so contexts
+with the usual sums (followed once) are not stored.
 
 Scoring: workers memory-map the arrays and look up the sorted, distinct words, contexts and
 n-grams of a chunk of texts, so lookups walk through the arrays in order.
@@ -48,6 +55,11 @@ END, START = np.uint64(0), np.uint64(1)
 #: parts that one context may spread over, text bytes that a part aims at, n-grams held before a flush, text bytes scored at once
 SPREAD, PART_BYTES, HELD, SCORED = 16, 16 << 20, 2 << 20, 2 << 20
 BIG = 255
+#: text bytes of the sample, and words kept of it (one MB)
+SAMPLE_BYTES, CODES = 16 << 20, 1 << 17
+#: values that files leave out: an n-gram's count; a context's sum and how many n-grams of count 1, 2 and more it has; a word's
+#: sums as a context, the distinct contexts before it, its occurrences
+GRAM, CONTEXT, WORD = (1,), (1, 1, 0, 0), (1, 1, 0, 0, 1, 1)
 
 
 def _words(column) -> tuple[np.ndarray, np.ndarray]:
@@ -94,9 +106,19 @@ def gram_hash(columns: list[np.ndarray]) -> np.ndarray:
     return out
 
 
-def part_of(context: np.ndarray, token: np.ndarray, parts: int) -> np.ndarray:
+def is_in(words: np.ndarray, known: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(whether each word is one of the sorted ``known``, its place there)."""
+    if not len(known):
+        return np.zeros(len(words), bool), np.zeros(len(words), np.int64)
+    at = np.searchsorted(known, words)
+    at[at == len(known)] = 0
+    return known[at] == words, at
+
+
+def part_of(context: np.ndarray, token: np.ndarray, parts: int, hot: np.ndarray) -> np.ndarray:
     with np.errstate(over="ignore"):
-        return (mix(context * np.uint64(SPREAD) + (mix(token) & np.uint64(SPREAD - 1))) % np.uint64(parts)).astype(np.int64)
+        slot = np.where(is_in(context, hot)[0], mix(token) & np.uint64(SPREAD - 1), np.uint64(0))
+        return (mix(context * np.uint64(SPREAD) + slot) % np.uint64(parts)).astype(np.int64)
 
 
 def range_of(words: np.ndarray, parts: int) -> np.ndarray:
@@ -117,33 +139,64 @@ def _unsqueeze(blob: bytes) -> list[np.ndarray]:
     return out
 
 
-def _pack(columns: list[np.ndarray], count: np.ndarray) -> bytes:
-    """N-grams with their counts: a list of the distinct tokens, and places in it."""
-    words, place = np.unique(np.concatenate(columns), return_inverse=True)
-    place = place.astype(np.uint16 if len(words) <= 1 << 16 else np.uint32).reshape(len(columns), -1)
-    count = count.astype(np.min_scalar_type(int(count.max())))
-    return _squeeze(np.diff(words, prepend=np.uint64(0)), count, *place)
+def _pack(columns: list[np.ndarray], count: np.ndarray, codes: np.ndarray) -> bytes:
+    """N-grams with their counts: each token by its place in ``codes``, or behind them in a list of the blob's other tokens."""
+    order = np.argsort(codes)
+    words = np.concatenate(columns)
+    known, at = is_in(words, codes[order])
+    other, place = np.unique(words[~known], return_inverse=True)
+    code = np.empty(len(words), np.uint32)
+    code[known], code[~known] = order[at[known]], len(codes) + place
+    code = code.reshape(len(columns), -1)
+    by = np.lexsort([*code[:-2], code[-1], code[-2]])
+    code = np.ascontiguousarray(code[:, by])
+    code[-2] = np.diff(code[-2], prepend=np.uint32(0))
+    count = count[by].astype(np.min_scalar_type(int(count.max())))
+    return _squeeze(np.diff(other, prepend=np.uint64(0)), count, *code)
 
 
-def _unpack(blob: bytes) -> list[np.ndarray]:
+def _unpack(blob: bytes, codes: np.ndarray) -> list[np.ndarray]:
     """The count and then the tokens."""
-    delta, count, *place = _unsqueeze(blob)
-    words = np.cumsum(delta, dtype=np.uint64)
-    return [count.astype(np.int64), *[words[p] for p in place]]
+    delta, count, *code = _unsqueeze(blob)
+    words = np.concatenate([codes, np.cumsum(delta, dtype=np.uint64)])
+    code[-2] = np.cumsum(code[-2], dtype=np.uint32)
+    return [count.astype(np.int64), *[words[c] for c in code]]
+
+
+def _sample(frames, every: int):
+    """(token, count) of every so many texts of a task."""
+    seen, found = 0, []
+    for batch in batches(frames):
+        rows = np.arange(-seen % every, batch.num_rows, every)
+        seen += batch.num_rows
+        if len(rows):
+            found.append(grams(batch.column(0).take(pa.array(rows)), 1)[0][0])
+    if found:
+        words, count = np.unique(np.concatenate(found), return_counts=True)
+        yield pa.RecordBatch.from_arrays([pa.array(words.view(np.int64)), pa.array(count)], ["token", "n"])
+
+
+def sampled_words(df: DataFrame, text: str, size: int, parts: int) -> tuple[np.ndarray, np.ndarray]:
+    """(the most frequent tokens of a sample of the texts, most frequent first; the start mark and those that may fill a quarter of a part, sorted)."""
+    every = max(1, math.ceil(size / SAMPLE_BYTES))
+    found = df.select(text).mapInArrow(lambda f: _sample(f, every), "token long, n long").groupBy("token").agg(F.sum("n").alias("n"))
+    top = found.orderBy(F.desc("n"), "token").limit(CODES).toArrow()
+    words, n = top.column(0).to_numpy().astype(np.int64).view(np.uint64), top.column(1).to_numpy()
+    return words, np.unique(np.append(words[n * 4 * parts >= n.sum()], START))
 
 
-def _count(frames, parts: int, order: int):
-    """Texts to (part, blob): the distinct n-grams of some texts with their counts, by part and last context word."""
+def _count(frames, parts: int, order: int, codes: np.ndarray, hot: np.ndarray):
+    """Texts to (part, blob): the distinct n-grams of some texts with their counts, by part."""
 
     def flushed(held):
         columns = [np.concatenate(x) for x in zip(*held)]
         _, at, count = np.unique(gram_hash(columns), return_index=True, return_counts=True)
         columns = [c[at] for c in columns]
-        part = part_of(columns[-2], columns[-1], parts)
-        by = np.lexsort([columns[-1], columns[-2], part])
+        part = part_of(columns[-2], columns[-1], parts, hot)
+        by = np.argsort(part, kind="stable")
         part, columns, count = part[by], [c[by] for c in columns], count[by]
         edge = np.flatnonzero(np.append(True, part[1:] != part[:-1])).tolist() + [len(part)]
-        blobs = [_pack([c[a:b] for c in columns], count[a:b]) for a, b in zip(edge, edge[1:])]
+        blobs = [_pack([c[a:b] for c in columns], count[a:b], codes) for a, b in zip(edge, edge[1:])]
         return pa.RecordBatch.from_arrays([pa.array(part[edge[:-1]].astype(np.int32)), pa.array(blobs, pa.binary())], ["part", "blob"])
 
     held, n = [], 0
@@ -214,6 +267,41 @@ class Store:
         return out
 
 
+def table(keys: np.ndarray, columns: list[np.ndarray], usual: tuple[int, ...]) -> list[np.ndarray]:
+    """Arrays of a file: sorted keys, spread evenly over 64 bits, with the columns of those that differ from ``usual``."""
+    bits = max(1, (len(keys) >> 3).bit_length())
+    edge = np.searchsorted(keys >> np.uint64(64 - bits), np.arange((1 << bits) + 1, dtype=np.uint64)).astype(np.uint32)
+    rest = ((keys << np.uint64(bits)) >> np.uint64(32)).astype(np.uint32)
+    odd = np.flatnonzero(np.any([c != u for c, u in zip(columns, usual)], axis=0))
+    own = [c[odd] for c in columns]
+    big = np.flatnonzero(np.any([c >= BIG for c in own], axis=0))
+    return [edge, rest, odd.astype(np.uint32), *[np.minimum(c, BIG).astype(np.uint8) for c in own], big.astype(np.uint32), *[c[big].astype(np.int64) for c in own]]
+
+
+def look_up(arrays: list[np.ndarray], keys: np.ndarray, usual: tuple[int, ...]) -> tuple[np.ndarray, np.ndarray]:
+    """(which keys a file has, their columns)."""
+    edge, rest, odd = arrays[:3]
+    bits = max(1, (len(rest) >> 3).bit_length())
+    first = (keys >> np.uint64(64 - bits)).astype(np.int64)
+    key = ((keys << np.uint64(bits)) >> np.uint64(32)).astype(np.uint32)
+    low, high = edge[first].astype(np.int64), edge[first + 1].astype(np.int64)
+    end, last = high, max(0, len(rest) - 1)
+    for _ in range(int((high - low).max(initial=0)).bit_length() if len(rest) else 0):
+        mid = (low + high) >> 1
+        less = (low < high) & (rest[np.minimum(mid, last)] < key)
+        low, high = np.where(less, mid + 1, low), np.where(less, high, mid)
+    hit = np.flatnonzero((low < end) & (rest[np.minimum(low, last)] == key)) if len(rest) else np.empty(0, np.int64)
+    out = np.repeat(np.array(usual, np.int64)[:, None], len(hit), axis=1)
+    unusual, at = is_in(low[hit].astype(np.uint32), odd)
+    k, at = len(usual), at[unusual]
+    values = [c[at].astype(np.int64) for c in arrays[3 : 3 + k]]
+    own, place = is_in(at.astype(np.uint32), arrays[3 + k])
+    for v, c in zip(values, arrays[4 + k :]):
+        v[own] = c[place[own]]
+    out[:, unusual] = values
+    return hit, out
+
+
 def _group(keys: np.ndarray, *values: np.ndarray):
     """Distinct keys in order, with the sums of their values."""
     order = np.argsort(keys, kind="stable")
@@ -229,7 +317,17 @@ def _by_range(kind: int, where: np.ndarray, key: np.ndarray, *sums: np.ndarray)
     return [(int(where[a]), kind, _squeeze(np.diff(key[a:b], prepend=np.uint64(0)), *[c[a:b] for c in small])) for a, b in zip(edge, edge[1:]) if b > a]
 
 
-def _store_grams(frames, store: Store, ranges: int):
+def _store_table(store: Store, name: str, keys: np.ndarray, *columns: np.ndarray, usual: tuple[int, ...]) -> None:
+    """Distinct keys and their columns; contexts with the usual ones are left out."""
+    if usual is CONTEXT:
+        odd = np.any([c != u for c, u in zip(columns, usual)], axis=0)
+        keys, columns = keys[odd], [c[odd] for c in columns]
+    keys = mix(keys)
+    by = np.argsort(keys)
+    store.write(name, *table(keys[by], [c[by] for c in columns], usual))
+
+
+def _store_grams(frames, store: Store, ranges: int, codes: np.ndarray, hot: np.ndarray):
     """One part's blobs to a sorted array for each order.
 
     Out go (range, kind, blob): per-word sums as kind 1, per-context sums of an order from three on as
@@ -239,7 +337,7 @@ def _store_grams(frames, store: Store, ranges: int):
     for batch in frames:
         for p, blob in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
             part = p
-            found.append(_unpack(blob))
+            found.append(_unpack(blob, codes))
     if part is None:
         return
     count, *columns = (np.concatenate(x) for x in zip(*found))
@@ -253,13 +351,17 @@ def _store_grams(frames, store: Store, ranges: int):
         begin = np.flatnonzero(np.append(True, key[1:] != key[:-1]))
         key, count = key[begin], np.add.reduceat(count[by], begin)
         columns = [c[by][begin] for c in columns]
-        big = np.flatnonzero(count >= BIG)
-        store.write(f"grams{order}-{part}", key, np.minimum(count, BIG).astype(np.uint8), big, count[big])
+        store.write(f"grams{order}-{part}", *table(key, [count], GRAM))
         rows.append((part % ranges, -order, _squeeze(np.bincount(np.minimum(count, 5), minlength=6))))
-        context = _group(gram_hash(columns[:-1]), count, *[(count == k).astype(np.int64) for k in (1, 2)], (count > 2).astype(np.int64))
+        key, sums = gram_hash(columns[:-1]), [count, *[(count == k).astype(np.int64) for k in (1, 2)], (count > 2).astype(np.int64)]
         if order > 2:
+            whole = ~is_in(columns[-2], hot)[0]
+            _store_table(store, f"contexts{order}-{part}", *_group(key[whole], *[x[whole] for x in sums]), usual=CONTEXT)
+            context = _group(key[~whole], *[x[~whole] for x in sums])
             rows += _by_range(order, range_of(context[0] >> np.uint64(16), ranges), *context)
             columns, count = columns[1:], np.ones(len(count), np.int64)
+        else:
+            context = _group(key, *sums)
     after, contexts = _group(columns[-1], np.ones(len(columns[-1]), np.int64))
     groups = [(context[0], *context[1:], None, None), (after, None, None, None, None, contexts, None), (heard, None, None, None, None, None, raw)]
     sums = [[np.zeros(len(g[0]), np.int64) if x is None else x for x in g] for g in groups]
@@ -288,13 +390,12 @@ def _store_sums(frames, store: Store, order: int):
         keys, *sums = (np.concatenate(x) for x in zip(*found.pop(kind)))
         key, *sums = _group(keys, *[x.astype(np.int64) for x in sums])
         if kind == 1:
-            store.write(f"words-{where}", key, *sums)
+            _store_table(store, f"words-{where}", key, *sums, usual=WORD)
             contexts, raw = sums[4:]
             counts[0] = np.bincount(np.minimum(contexts[contexts > 0], 5), minlength=6)
             totals[:] = [(contexts > 0).sum(), raw.sum(), contexts.sum()]
-        else:  # the first sum is the largest
-            big = np.flatnonzero(sums[0] >= BIG)
-            store.write(f"contexts{kind}-{where}", key, *[np.minimum(x, BIG).astype(np.uint8) for x in sums], big, *[x[big] for x in sums])
+        else:
+            _store_table(store, f"hot{kind}-{where}", key, *sums, usual=CONTEXT)
     yield pa.RecordBatch.from_arrays([pa.array([where], pa.int32()), pa.array([[*totals.tolist(), *counts.ravel().tolist()]], pa.list_(pa.int64()))], ["range", "totals"])
 
 
@@ -321,6 +422,7 @@ class Model:
     contexts: int
     context_counts: tuple[int, ...]
     discounts: tuple[tuple[float, float, float], ...]  # of order 1 first
+    hot: np.ndarray  # sorted words whose n-grams are spread over parts
 
 
 def train(df: DataFrame, text: str = "text", order: int = 2) -> Model:
@@ -331,14 +433,15 @@ def train(df: DataFrame, text: str = "text", order: int = 2) -> Model:
     store = Store(f"{ensure_checkpoint_dir(spark).rstrip('/')}/ngrams-{uuid.uuid4().hex}")
     size = small_batches(df).agg(F.sum(F.octet_length(text))).first()[0] or 0
     parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), math.ceil(size / PART_BYTES))
-    counted = df.select(text).mapInArrow(lambda f: _count(f, parts, order), "part int, blob binary").repartitionById(parts, "part")
-    summed = counted.mapInArrow(lambda f: _store_grams(f, store, parts), "range int, kind int, blob binary").repartitionById(parts, "range")
+    codes, hot = sampled_words(df, text, size, parts)
+    counted = df.select(text).mapInArrow(lambda f: _count(f, parts, order, codes, hot), "part int, blob binary").repartitionById(parts, "part")
+    summed = counted.mapInArrow(lambda f: _store_grams(f, store, parts, codes, hot), "range int, kind int, blob binary").repartitionById(parts, "range")
     totals = np.zeros(3 + 6 * order, np.int64)
     for r in summed.mapInArrow(lambda f: _store_sums(f, store, order), "range int, totals array<long>").collect():
         totals += r.totals
     distinct, tokens, contexts = totals[:3].tolist()
     counts = totals[3:].reshape(order, 6)
-    return Model(store.uri, parts, parts, order, tokens, distinct, contexts, tuple(counts[0].tolist()), tuple(discounts(c) for c in counts))
+    return Model(store.uri, parts, parts, order, tokens, distinct, contexts, tuple(counts[0].tolist()), tuple(discounts(c) for c in counts), hot)
 
 
 class Lookup:
@@ -358,59 +461,49 @@ class Lookup:
                 self.files[name] = None
         return self.files[name]
 
-    def find(self, kind: str, where: np.ndarray, keys: np.ndarray):
-        """(rows, arrays, their places) for the keys that each file has; keys are sorted within each value of ``where``."""
-        edge = np.flatnonzero(np.append(True, where[1:] != where[:-1])).tolist() + [len(where)]
+    def find(self, kind: str, where: np.ndarray, keys: np.ndarray, usual: tuple[int, ...]) -> tuple[np.ndarray, np.ndarray]:
+        """(whether a key is in its file of this kind, its columns; zeros if not)."""
+        found, out = np.zeros(len(keys), bool), np.zeros((len(usual), len(keys)), np.int64)
+        order = np.lexsort([keys, where])
+        edge = np.flatnonzero(np.diff(where[order], prepend=-1)).tolist() + [len(keys)]
         for a, b in zip(edge, edge[1:]):
-            if a == b:
-                continue
-            arrays = self.file(f"{kind}-{int(where[a])}")
-            if arrays is None:
-                continue
-            at = np.searchsorted(arrays[0], keys[a:b])
-            at[at == len(arrays[0])] = 0
-            hit = np.flatnonzero(arrays[0][at] == keys[a:b])
-            yield a + hit, arrays, at[hit]
+            rows = order[a:b]
+            arrays = self.file(f"{kind}-{int(where[rows[0]])}")
+            if arrays is not None:
+                hit, columns = look_up(arrays, keys[rows], usual)
+                found[rows[hit]] = True
+                out[:, rows[hit]] = columns
+        return found, out
 
     def words(self, words: np.ndarray):
-        """(count as a token, sum as a context, freed share, p(w)) of sorted distinct words."""
+        """(count as a token, sum as a context, freed share, p(w)) of distinct words."""
         m = self.model
-        count, total, contexts, freed = np.zeros(len(words), np.int64), np.zeros(len(words), np.int64), np.zeros(len(words), np.int64), np.zeros(len(words))
-        for rows, arrays, at in self.find("words", range_of(words, m.ranges), words):
-            total[rows], contexts[rows], count[rows] = arrays[1][at], arrays[5][at], arrays[6][at]
-            freed[rows] = sum(d * arrays[k][at] for d, k in zip(m.discounts[1], (2, 3, 4)))
+        _, (total, *n, contexts, count) = self.find("words", range_of(words, m.ranges), mix(words), WORD)
+        freed = sum(d * x for d, x in zip(m.discounts[1], n))
         less = np.array([0.0, *m.discounts[0]])[np.minimum(contexts, 3)]
         alone = np.maximum(contexts - less, 0.0) / max(1, m.contexts) + self.floor
         return count, total, freed / np.maximum(total, 1), alone
 
-    def contexts(self, order: int, keys: np.ndarray):
-        """(sum, freed share) of an order's contexts, given by sorted distinct hashes."""
-        m = self.model
-        sums = np.zeros((4, len(keys)), np.int64)
-        for rows, arrays, at in self.find(f"contexts{order}", range_of(keys >> np.uint64(16), m.ranges), keys):
-            found = np.stack([x[at] for x in arrays[1:5]]).astype(np.int64)
-            big = np.flatnonzero(found[0] == BIG)
-            if len(big):
-                own = np.searchsorted(arrays[5], at[big])
-                found[:, big] = np.stack([x[own] for x in arrays[6:10]])
-            sums[:, rows] = found
+    def contexts(self, columns: list[np.ndarray]):
+        """(sum, freed share) of distinct contexts of two tokens or more."""
+        m, order = self.model, len(columns) + 1
+        keys, hot = gram_hash(columns), is_in(columns[-1], m.hot)[0]
+        found, sums = np.zeros(len(keys), bool), np.zeros((len(CONTEXT), len(keys)), np.int64)
+        for kind, rows in ((f"contexts{order}", np.flatnonzero(~hot)), (f"hot{order}", np.flatnonzero(hot))):
+            where = range_of(keys[rows] >> np.uint64(16), m.ranges) if kind[0] == "h" else part_of(columns[-1][rows], columns[-1][rows], m.parts, m.hot)
+            found[rows], sums[:, rows] = self.find(kind, where, mix(keys[rows]), CONTEXT)
+        # what is not stored was followed once if it was there at all; before start marks nothing stands, so they are no n-grams
+        rest = np.flatnonzero(~found)
+        seen = self.grams([c[rest] for c in columns]) > 0
+        seen |= (columns[-1][rest] == START) & (m.tokens > 0)
+        sums[:, rest[seen]] = np.array(CONTEXT)[:, None]
         freed = sum(d * x for d, x in zip(m.discounts[order - 1], sums[1:]))
         return sums[0], freed / np.maximum(sums[0], 1)
 
     def grams(self, columns: list[np.ndarray]) -> np.ndarray:
         """Counts of the n-grams."""
         m = self.model
-        key, part = gram_hash(columns), part_of(columns[-2], columns[-1], m.parts)
-        order = np.lexsort([key, part])
-        out, counts = np.zeros(len(key), np.int64), np.zeros(len(key), np.int64)
-        for rows, arrays, at in self.find(f"grams{len(columns)}", part[order], key[order]):
-            found = arrays[1][at].astype(np.int64)
-            big = np.flatnonzero(found == BIG)
-            if len(big):
-                found[big] = arrays[3][np.searchsorted(arrays[2], at[big])]
-            counts[rows] = found
-        out[order] = counts
-        return out
+        return self.find(f"grams{len(columns)}", part_of(columns[-2], columns[-1], m.parts, m.hot), gram_hash(columns), GRAM)[1][0]
 
 
 _OPEN: dict[str, Lookup] = {}
@@ -433,8 +526,8 @@ def token_scores(lookup: Lookup, columns: list[np.ndarray]):
     for order in range(2, m.order + 1):
         own = columns[-order:]
         if order > 2:
-            keys, place = np.unique(gram_hash(own[:-1]), return_inverse=True)
-            sums, freed = lookup.contexts(order, keys)
+            _, first, place = np.unique(gram_hash(own[:-1]), return_index=True, return_inverse=True)
+            sums, freed = lookup.contexts([c[first] for c in own[:-1]])
             total, free = sums[place], freed[place]
         # each n-gram once
         _, first, again = np.unique(gram_hash(own), return_index=True, return_inverse=True)

@@ -155,3 +155,29 @@ def test_a_word_two_back_tells(spark):
     score = lambda order: {r.doc_id: r.score for r in ngrams.score(scored, ngrams.train(frame(spark, train), order=order)).collect()}
     pair, triple = score(2), score(3)
     assert abs(pair[1] - pair[2]) < 1e-9 and triple[1] > triple[2] + 1
+
+
+def test_the_sampled_words_change_no_score(spark, monkeypatch):
+    rows = [tuple(r) for r in spark.read.parquet(f"{SF_MID}/documents.parquet").select("doc_id", "text").where("doc_id < 40").collect()]
+    brute = BruteOrder([t for _, t in rows], 3)
+    for codes, hot in ((0, 0), (3, 3), (5000, 5000)):  # none, some, all words
+        def chosen(df, text, size, parts, codes=codes, hot=hot):
+            words = np.unique(np.concatenate([ngrams.grams(df.select(text).toArrow().column(0).combine_chunks(), 1)[0][0]]))
+            return words[::-1][:codes], np.unique(np.append(words[:hot], ngrams.START))
+
+        monkeypatch.setattr(ngrams, "sampled_words", chosen)
+        model = ngrams.train(frame(spark, rows), order=3)
+        for r in ngrams.score(frame(spark, rows), model).collect():
+            assert abs(r.score - brute.scores(r.text)[3]) < 1e-5 * max(1, -r.score)
+
+
+def test_tables_give_back_every_value():
+    rng = np.random.default_rng(3)
+    for n in (0, 1, 7, 8, 5000):
+        keys = np.unique(rng.integers(0, 1 << 63, n, dtype=np.uint64) * np.uint64(2))
+        columns = [rng.choice([1, 1, 1, 2, 254, 255, 256, 1 << 40], len(keys)), np.ones(len(keys), np.int64)]
+        arrays = ngrams.table(keys, columns, (1, 1))
+        asked = np.concatenate([keys, rng.integers(0, 1 << 63, 100, dtype=np.uint64)])
+        hit, found = ngrams.look_up(arrays, asked, (1, 1))
+        assert set(range(len(keys))) <= set(hit.tolist()) and np.isin(asked[hit] >> np.uint64(20), keys >> np.uint64(20)).all()
+        assert (found[:, : len(keys)] == np.array(columns)).all()
