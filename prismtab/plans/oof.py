@@ -34,6 +34,7 @@ from prismtab.constants import CLASSES
 from prismtab.functions.proba import class_code
 from prismtab.operators.folds import stratified_folds
 from prismtab.operators.metrics import log_loss, prediction_metrics
+from prismtab.plans.early_stopping import stop_early
 from prismtab.session import cut_lineage
 
 FEATURES = "_features"
@@ -161,6 +162,7 @@ class OOFResult:
     test: DataFrame     # id, <prefix>__<CLASS>... (mean over fold models)
     scores: DataFrame   # fold (1..k or 'overall'), accuracy, balanced_accuracy, log_loss
     seconds: list = field(default_factory=list)
+    stopped: list = field(default_factory=list)  # K-05: each fold's StoppedModel
 
 
 @dataclass
@@ -212,10 +214,15 @@ def prepare(train: DataFrame, features: list[str], label: str = "class", k: int
 def run_oof(train: DataFrame, test: DataFrame | None, features: list[str], family: str = "rf",
             params: dict | None = None, prefix: str = "l1__model", label: str = "class", k: int = 5,
             seed: int = 42, weight_col: str | None = None, id_col: str = "id", classes=CLASSES,
-            prepared: DataFrame | None = None) -> OOFResult:
+            prepared: DataFrame | None = None, patience: int | None = None) -> OOFResult:
     """K-01: k-fold out-of-fold probabilities.  Each validation row gets the
     probability of the model that did not see it; test rows get the mean over
-    the k fold models.  Per-fold and overall metrics (E-03/E-05)."""
+    the k fold models.  Per-fold and overall metrics (E-03/E-05).
+
+    With ``patience`` (K-05, family ``gbt``) every fold's model ends at the round with the least multiclass log loss on
+    its validation fold, as soon as so many further rounds bring nothing better."""
+    if patience is not None and (family != "gbt" or patience < 1):
+        raise ValueError("patience is a positive number of rounds of the family gbt")
     n = len(classes)
     vectoriser = fit_vectoriser(train, features)
     base = prepared if prepared is not None else prepare(train, features, label, k, seed, None, weight_col, id_col,
@@ -231,6 +238,8 @@ def run_oof(train: DataFrame, test: DataFrame | None, features: list[str], famil
         if family == "mlp" and weight_col:
             fit_rows = replicate_by_weight(fit_rows, weight_col, id_col)
         model = Pipeline(stages=[st.copy() for st in stages]).fit(fit_rows)
+        if patience is not None:
+            model = stop_early(model, base.where(F.col("fold") == f), n, patience, LABEL, weight_col)
         return model, time.time() - t0
 
     fitted = fit_folds(fit_one, k)
@@ -246,7 +255,7 @@ def run_oof(train: DataFrame, test: DataFrame | None, features: list[str], famil
     names = [f"{prefix}__{c}" for c in classes]
     oof = oof.select(id_col, label, "fold", *[F.col(f"_p{j}").alias(names[j]) for j in range(n)])
     test_out = average_over_models(tv, models, n, id_col, names) if tv is not None else None
-    return OOFResult(oof, test_out, oof_scores(oof, label, names, classes), secs)
+    return OOFResult(oof, test_out, oof_scores(oof, label, names, classes), secs, models if patience is not None else [])
 
 
 def oof_scores(oof: DataFrame, label: str, prob_cols: list[str], classes=CLASSES) -> DataFrame:

@@ -234,6 +234,34 @@ def q_local_binary_metrics(spark, sf_dir):
     return rounded(met)
 
 
+# ---------------------------------------------------------------- K-05
+STOPPING = {"maxIter": 20, "maxDepth": 4, "stepSize": 0.5}
+PATIENCE = 3
+
+
+def _stopped(spark, sf_dir):
+    train, test = model_frames(spark, sf_dir)
+    return O.run_oof(train, test, FEATURES, "gbt", STOPPING, "l1__stopped", k=K, patience=PATIENCE)
+
+
+@register("k05_early_stopping")
+def q_early_stopping(spark, sf_dir):
+    """Out-of-fold probabilities of boosted models for three classes that end at one common round per fold."""
+    return _oof_table(_stopped(spark, sf_dir), "l1__stopped")
+
+
+@register("k05_early_stopping_checked", CHECKED_SQL)
+def q_early_stopping_checked(spark, sf_dir):
+    return _checked(q_early_stopping(spark, sf_dir), [f"l1__stopped__{c}" for c in CLASSES])
+
+
+@register("k05_stopping_curve")
+def q_stopping_curve(spark, sf_dir):
+    """Validation log loss after each round of each fold, and the round that the fold's models end at."""
+    rows = [(f, t, loss, t == m.rounds) for f, m in enumerate(_stopped(spark, sf_dir).stopped) for t, loss in enumerate(m.losses, 1)]
+    return rounded(spark.createDataFrame(rows, "fold int, round int, log_loss double, chosen boolean"))
+
+
 # ---------------------------------------------------------------- K-11
 @register("k11_pairwise_blocks")
 def q_pairwise(spark, sf_dir):
