@@ -44,6 +44,7 @@ def rounded(df: DataFrame, digits: int = 6) -> DataFrame:
 def load_all() -> None:
     """Import every query module so that they register themselves."""
     from prismtab.plans import (  # noqa: F401
+        q_feature_sets,
         q_features,
         q_folds,
         q_metrics,
