@@ -374,7 +374,29 @@ def q_sweep(spark, sf_dir):
 
 
 # ---------------------------------------------------------------- G-06
-@register("g06_diverse_model_selection")
+def _g06_sql() -> str:
+    """The greedy choice as a recursion over the board's ranks: a model goes if a kept one correlates with it."""
+    from prismtab.plans.q_metrics import LONG_PRED_SQL, W_SQL
+
+    flat = " UNION ALL ".join("SELECT " + ", ".join(f"{m}__{c} AS {m}" for m in MODELS) + " FROM pro WHERE split = 'train'" for c in CLASSES)
+    cor = " UNION ALL ".join(f"SELECT '{a}|{b}' AS pair, corr({a}, {b}) AS c FROM flat" for a in MODELS for b in MODELS if a != b)
+    return with_views(
+        LONG_PRED_SQL,
+        "rec AS (SELECT model, class, avg(CASE WHEN pred = class THEN 1e0 ELSE 0e0 END) AS r FROM lp WHERE split = 'train' GROUP BY ALL)",
+        "bal AS (SELECT model, avg(r) AS ba FROM rec GROUP BY model)",
+        f"""acc AS (SELECT model, avg(CASE WHEN pred = class THEN 1e0 ELSE 0e0 END) AS a,
+          sum(CASE WHEN pred = class THEN {W_SQL} ELSE 0e0 END) / sum({W_SQL}) AS wa FROM lp WHERE split = 'train' GROUP BY model)""",
+        "board AS (SELECT CAST(row_number() OVER (ORDER BY wa DESC, ba DESC, a DESC, model) AS INT) AS rank, model, a, wa FROM acc JOIN bal USING (model))",
+        f"flat AS ({flat})", f"cor AS ({cor})", "cm AS (SELECT map(list(pair), list(c)) AS m FROM cor)",
+        """pick(rank, kept, close) AS (SELECT 0, CAST([] AS VARCHAR[]), CAST(NULL AS VARCHAR)
+          UNION ALL SELECT rank, CASE WHEN close IS NULL THEN list_append(kept, model) ELSE kept END, close FROM (
+            SELECT b.rank, p.kept, b.model, list_filter(p.kept, lambda k: cm.m[b.model || '|' || k] >= 0.9)[1] AS close
+            FROM pick p JOIN board b ON b.rank = p.rank + 1 CROSS JOIN cm))""",
+    ).replace("WITH ", "WITH RECURSIVE ", 1) + """SELECT board.rank, model, round(a, 6) AS accuracy, round(wa, 6) AS weighted_accuracy, close IS NULL AS selected,
+  1e0 AS feature_weight, coalesce('corr>=0.9 with ' || close, '') AS drop_reason FROM board JOIN pick USING (rank)"""
+
+
+@register("g06_diverse_model_selection", _g06_sql())
 def q_model_selection(spark, sf_dir):
     pro = load_pro(spark, sf_dir).where(F.col("split") == "train")
     blocks = {m: model_cols(m) for m in MODELS}
