@@ -4,7 +4,8 @@ The encoder walks over a text once.  At every position it keeps one
 backpointer, and only positions within the longest piece ahead can still be
 reached from behind, so the paths that survive end in a window of that
 length.  Whenever all of them run through one boundary, the ids up to it are
-committed and everything before it is forgotten.
+committed and everything before it is forgotten: at once where no path has gone
+beyond a position, and by following the backpointers where paths have parted for longer.
 
 For a unigram model the backpointer of a position is the best-scoring path to
 it.  For a BPE model it is the merge result of the text up to there, which is unique: a
@@ -33,8 +34,10 @@ from prismtab.llm.arrays import batches, small_batches
 
 MARK = "▁"
 MODEL_BYTES = 64 << 20
-#: positions between attempts to commit; remembered stretches (in each of two generations) and their length
-STRIDE, REMEMBERED, SHORT = 64, 1 << 18, 48
+#: positions between looks for a common boundary behind paths that have parted; positions after which committed ones are forgotten
+STRIDE, HELD = 16, 1024
+#: remembered stretches (in each of two generations) and their length
+REMEMBERED, SHORT = 1 << 18, 48
 UNIGRAM, BPE = 1, 2
 NORMAL, UNKNOWN, CONTROL, USER_DEFINED, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
 
@@ -186,98 +189,82 @@ class Pieces:
     def viterbi(self, text: str) -> list[int]:
         """Ids of a normalised stretch.
 
-        ``last`` and ``came`` hold, for each position from the committed
-        boundary on, the piece that ends there and where it begins: -2 is not
-        reached, -1 a start or an unknown character.
+        ``last`` and ``came`` hold, for each position that is kept, the piece that ends there and
+        where it begins: -2 is not reached, -1 a start or an unknown
+        character.  Paths go through ``base``, the last committed boundary;
+        ``reach`` is the furthest position that any path has come to.
         """
-        if self.kind == BPE and len(text) <= STRIDE:
-            return self._short(text)
         n, bpe, out = len(text), self.kind == BPE, []
         trie, follows, score, longest = self.trie, self.follows, self.score, self.longest
-        characters = list(text)
-        base, last, came, best = 0, [-1], [0], [0.0]
-        for i in range(n):
-            at = i - base
-            end = min(n, i + longest)
-            if len(last) <= end - base:
-                more = min(n - base, end - base + STRIDE) + 1 - len(last)
-                last += [-2] * more
-                came += [0] * more
-                best += [0.0] * more
-            left = last[at]
-            if left == -2:
-                continue
-            node, to, before = trie, at, (left + 1) << 32
-            for c in characters[i:end]:
-                node = node.get(c)
-                if node is None:
-                    break
-                to += 1
-                piece = node.get("")
-                if piece is None:
-                    continue
-                if bpe:
-                    if last[to] == -2:
-                        known = follows.get(before | piece)
-                        if known or known is None and self.may_follow(left, piece):
-                            last[to], came[to] = piece, at
-                else:
-                    value = best[at] + score[piece]
-                    if last[to] == -2 or value > best[to]:
-                        last[to], came[to], best[to] = piece, at, value
-            if "" not in trie.get(characters[i], trie):
-                value = best[at] + self.unknown_score
-                if last[at + 1] == -2 or value > best[at + 1]:
-                    last[at + 1], came[at + 1], best[at + 1] = -1, at, value
-            if at >= STRIDE and at % STRIDE == 0:
-                # where the paths to all positions ahead run through one boundary
-                ends = {p for p in range(at + 1, len(last)) if last[p] != -2}
+        room = min(n, HELD)
+        last, came, best = [-1] + [-2] * room, [0] * (room + 1), [0.0] * (room + 1)
+        first = base = at = reach = 0
+        while first + at < n:
+            if at == reach:
+                if at > base:  # no path has gone beyond, so all of them end here
+                    self._commit(text, first, base, at, last, came, out)
+                    base = at
+            elif at - base >= STRIDE and (at - base) % STRIDE == 0:
+                # the boundary that the paths to all positions ahead run through
+                ends = {p for p in range(at, reach + 1) if last[p] != -2}
                 while len(ends) > 1:
                     furthest = max(ends)
                     ends.remove(furthest)
                     ends.add(came[furthest])
-                at = ends.pop()
-                if at:
-                    self._commit(text, base, at, last, came, out)
-                    base += at
-                    last, came, best = last[at:], [x - at for x in came[at:]], best[at:]
-        self._commit(text, base, n - base, last, came, out)
-        return out
-
-    def _short(self, text: str) -> list[int]:
-        """The same for a BPE model and a stretch within one stride, where nothing is committed early."""
-        trie, follows, n = self.trie, self.follows, len(text)
-        last, came = [-1] + [-2] * n, [0] * (n + 1)
-        for at in range(n):
+                furthest = ends.pop()
+                if furthest > base:
+                    self._commit(text, first, base, furthest, last, came, out)
+                    base = furthest
+            if at + longest > room and first + room < n:
+                # what lies before the boundary is forgotten
+                more = min(n - first - room, base + HELD)
+                last, came, best = last[base:] + [-2] * more, [x - base for x in came[base:]] + [0] * more, best[base:] + [0.0] * more
+                room, first, at, reach, base = room - base + more, first + base, at - base, reach - base, 0
             left = last[at]
-            before, node, to = (left + 1) << 32, trie, at
-            for c in text[at:]:
-                node = node.get(c)
-                if node is None:
-                    break
-                to += 1
-                if last[to] == -2 and "" in node:
+            if left != -2:
+                node, to, before = trie, at, (left + 1) << 32
+                for c in text[first + at : first + at + longest]:
+                    node = node.get(c)
+                    if node is None:
+                        break
+                    to += 1
+                    if "" not in node:
+                        continue
                     piece = node[""]
-                    known = follows.get(before | piece)
-                    if known or known is None and self.may_follow(left, piece):
-                        last[to], came[to] = piece, at
-            if last[at + 1] == -2:
-                last[at + 1], came[at + 1] = -1, at
-        out: list[int] = []
-        self._commit(text, 0, n, last, came, out)
+                    if bpe:
+                        if last[to] == -2:
+                            known = follows.get(before | piece)
+                            if known or known is None and self.may_follow(left, piece):
+                                last[to], came[to] = piece, at
+                                if to > reach:
+                                    reach = to
+                    else:
+                        value = best[at] + score[piece]
+                        if last[to] == -2 or value > best[to]:
+                            last[to], came[to], best[to] = piece, at, value
+                            if to > reach:
+                                reach = to
+                if last[at + 1] == -2 if bpe else "" not in trie.get(text[first + at], trie):
+                    value = best[at] + self.unknown_score
+                    if last[at + 1] == -2 or value > best[at + 1]:
+                        last[at + 1], came[at + 1], best[at + 1] = -1, at, value
+                        if at >= reach:
+                            reach = at + 1
+            at += 1
+        self._commit(text, first, base, at, last, came, out)
         return out
 
-    def _commit(self, text: str, base: int, upto: int, last: list, came: list, out: list) -> None:
-        """Append the ids of the path from the committed boundary to ``upto``."""
+    def _commit(self, text: str, first: int, base: int, upto: int, last: list, came: list, out: list) -> None:
+        """Append the ids of the path from the committed boundary ``base`` to ``upto`` (both counted from ``first``)."""
         path = []
-        while upto:
+        while upto > base:
             path.append((last[upto], came[upto], upto))
             upto = came[upto]
         for piece, a, b in reversed(path):
             if piece >= 0:
                 out.append(piece)
             elif self.bytes:
-                out.extend(self.bytes[x] for x in text[base + a : base + b].encode())
+                out.extend(self.bytes[x] for x in text[first + a : first + b].encode())
             else:
                 out.append(self.unknown)
 

@@ -1,5 +1,6 @@
 import random
 
+import pyarrow.parquet as pq
 import pytest
 import sentencepiece
 
@@ -86,18 +87,61 @@ def test_unigram_paths_have_the_best_score(model):
         assert own.decode(found) == t.replace(pieces.MARK, " ")
 
 
+def whole_path(own, text):
+    """Ids of a stretch by a table over all its positions, read back once from its end."""
+    n = len(text)
+    last, came, best = [-1] + [-2] * n, [0] * (n + 1), [0.0] * (n + 1)
+    for i in range(n):
+        for j in range(i + 1, min(n, i + own.longest) + 1):
+            piece = own.ids.get(text[i:j])
+            if piece is None or last[i] == -2:
+                continue
+            if own.kind == pieces.BPE:
+                better = last[j] == -2 and own.may_follow(last[i], piece)
+            else:
+                better = last[j] == -2 or best[i] + own.score[piece] > best[j]
+            if better:
+                last[j], came[j], best[j] = piece, i, best[i] + own.score[piece]
+        if text[i] not in own.ids and (last[i + 1] == -2 or best[i] + own.unknown_score > best[i + 1]):
+            last[i + 1], came[i + 1], best[i + 1] = -1, i, best[i] + own.unknown_score
+    out, j = [], n
+    while j:
+        out[:0] = [last[j]] if last[j] >= 0 else [own.bytes[x] for x in text[came[j] : j].encode()]
+        j = came[j]
+    return out
+
+
 @pytest.mark.parametrize("change", [bytes, as_unigram])
-def test_streaming_commits_give_the_whole_path(model, change):
-    """One stretch for the whole text, committed every few positions, against one that never commits."""
+@pytest.mark.parametrize("stride, held", [(16, 1024), (1, 20), (4, 64)])
+def test_streaming_commits_give_the_whole_path(model, change, stride, held, monkeypatch):
+    """One stretch for the whole text, committed as paths meet, against one that never commits."""
     own = pieces.Pieces(change(model))
-    whole = [own.viterbi(own.normalise(t)) for t in texts()]
-    stride, pieces.STRIDE = pieces.STRIDE, 4
-    try:
-        assert [own.viterbi(own.normalise(t)) for t in texts()] == whole
-        pieces.STRIDE = 1 << 40
-        assert [own.viterbi(own.normalise(t)) for t in texts()] == whole
-    finally:
-        pieces.STRIDE = stride
+    monkeypatch.setattr(pieces, "STRIDE", stride)
+    monkeypatch.setattr(pieces, "HELD", held)
+    for t in texts():
+        text = own.normalise(t)
+        assert own.viterbi(text) == whole_path(own, text)
+
+
+def test_the_given_documents_are_committed_early_in_a_bounded_window(model, monkeypatch):
+    """Commits before a stretch's end on ``documents``, ids as the library's; open paths stay short."""
+    table = pq.read_table("/root/testdata/sf0.001/documents.parquet", columns=["text"])["text"].to_pylist()
+    own, library = pieces.Pieces(model), sentencepiece.SentencePieceProcessor(model_proto=model)
+    early, longest, commit = 0, 0, pieces.Pieces._commit
+
+    def counted(self, text, first, base, upto, *rest):
+        nonlocal early, longest
+        early += first + upto < len(text)
+        longest = max(longest, upto - base)
+        commit(self, text, first, base, upto, *rest)
+
+    monkeypatch.setattr(pieces.Pieces, "_commit", counted)
+    for t in table:
+        assert ids(own, t or "") == library.encode(t or "")
+        # the whole text as one stretch, without the memory
+        assert own.viterbi(own.normalise(t or "")) == library.encode(t or "")
+    assert early > 10_000
+    assert longest <= 2 * own.longest + pieces.STRIDE
 
 
 def test_round_trip_through_spark(spark):
