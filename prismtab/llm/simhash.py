@@ -11,7 +11,9 @@ full distance is taken.
 
 Equal fingerprints are one node from the start, so copies are never paired.
 A key's rows yield a spanning forest of its links, not all pairs: pairs that
-are already connected are not looked at again.
+are already connected are not looked at again, and a key of many rows that are not connected
+is divided: its rows meet again under longer keys, which add one of
+``distance + 1`` parts of the other bits, as often as it takes.
 """
 
 from __future__ import annotations
@@ -27,6 +29,8 @@ from prismtab.session import cut_lineage
 
 HASH_SEED = 42
 BLOCK = 1 << 14
+#: neighbours that every key's rows are compared with, and rows from which a key is divided further
+NEAR, LONG = 32, 512
 
 
 def text_fingerprints(column, shingle: int) -> np.ndarray:
@@ -115,41 +119,97 @@ def linked(a: np.ndarray, b: np.ndarray, start: np.ndarray, distance: int) -> np
     return keep
 
 
-def _forest(keys: np.ndarray, fp: np.ndarray, distance: int):
-    """Links that connect the rows of equal (sorted) keys, a spanning forest of each key's links."""
-    root = np.arange(len(keys))
+def _gather(fp: np.ndarray, places: np.ndarray) -> np.ndarray:
+    """The bits at the given places, side by side."""
+    out = np.zeros(len(fp), np.uint64)
+    for j, place in enumerate(places.tolist()):
+        out |= ((fp >> np.uint64(place)) & np.uint64(1)) << np.uint64(j)
+    return out
+
+
+class _Forest:
+    """A spanning forest of the links among fingerprints that share keys."""
 
-    def find(x: int) -> int:
+    def __init__(self, fp: np.ndarray, distance: int):
+        self.fp, self.distance, self.root, self.found = fp, distance, np.arange(len(fp)), []
+
+    def find(self, x: int) -> int:
+        root = self.root
         while root[x] != x:
             root[x] = root[root[x]]
             x = root[x]
         return x
 
-    found, step = [], 1
-    live = np.arange(len(keys))
-    while True:
-        live = live[live + step < len(keys)]
-        live = live[keys[live] == keys[live + step]]
-        if not len(live):
-            break
-        if step > 32 and (step & (step - 1)) == 0:
-            # keys whose rows are all connected need no more pairs
-            top = np.array([find(x) for x in range(len(keys))])
-            root[:] = top
-            begin = np.flatnonzero(np.append(True, keys[1:] != keys[:-1]))
-            whole = np.minimum.reduceat(top, begin) == np.maximum.reduceat(top, begin)
-            live = live[~np.repeat(whole, np.diff(np.append(begin, len(keys))))[live]]
-            if not len(live):
-                break
-        ask = live[root[live] != root[live + step]]
-        if len(ask):
-            start = ((keys[ask] & np.uint64(255)) >> np.uint64(1)).astype(np.int64)
-            for x in ask[linked(fp[ask], fp[ask + step], start, distance)].tolist():
-                p, q = find(x), find(x + step)
-                if p != q:
-                    root[max(p, q)] = min(p, q)
-                    found.append((int(fp[x]), int(fp[x + step])))
-        step += 1
+    def walk(self, rows: np.ndarray, label: np.ndarray, start: np.ndarray, long: int):
+        """Link rows of equal labels (which are neighbours).  Returns the labels' numbers and which rows are left over.
+
+        After ``NEAR`` neighbours a label whose rows are all connected needs no more pairs, and
+        one of more than ``long`` rows is left over, to be divided.
+        """
+        change = np.append(True, label[1:] != label[:-1])[: len(label)]
+        begin, group = np.flatnonzero(change), np.cumsum(change) - 1
+        size = np.diff(np.append(begin, len(rows)))
+        left_over = np.zeros(len(rows), bool)
+        live, step = np.arange(len(rows)), 1
+        while len(live):
+            live = live[live + step < len(rows)]
+            live = live[group[live] == group[live + step]]
+            if step >= NEAR and step & (step - 1) == 0 and len(live):
+                while True:
+                    top = self.root[self.root]
+                    if (top == self.root).all():
+                        break
+                    self.root = top
+                own = self.root[rows]
+                whole = np.minimum.reduceat(own, begin) == np.maximum.reduceat(own, begin)
+                if step == NEAR:
+                    left_over = (~whole & (size > long))[group]
+                live = live[~whole[group[live]] & ~left_over[live]]
+            ask = live[self.root[rows[live]] != self.root[rows[live + step]]]
+            if len(ask):
+                near = linked(self.fp[rows[ask]], self.fp[rows[ask + step]], start[ask], self.distance)
+                for x, y in zip(rows[ask[near]].tolist(), rows[ask[near] + step].tolist()):
+                    p, q = self.find(x), self.find(y)
+                    if p != q:
+                        self.root[max(p, q)] = min(p, q)
+                        self.found.append((int(self.fp[x]), int(self.fp[y])))
+            step += 1
+        return group, left_over
+
+    def divide(self, rows: np.ndarray, group: np.ndarray, start: np.ndarray, free: np.ndarray) -> None:
+        """Link rows of long groups by the bits at the ``free`` places.
+
+        Rows that differ in at most ``distance`` bits are equal in one of ``distance + 1`` parts of
+        them, so each part continues the key; groups that are still long are divided by the other parts.
+        """
+        parts = [part for part in np.array_split(free, self.distance + 1) if len(part)]
+        for k, part in enumerate(parts):
+            more = _gather(self.fp[rows], part)
+            order = np.lexsort((more, group))
+            both = np.stack([group[order].astype(np.uint64), more[order]])
+            label = np.cumsum(np.append(False, (both[:, 1:] != both[:, :-1]).any(axis=0)))
+            others = parts[:k] + parts[k + 1 :]
+            own, left_over = self.walk(rows[order], label, start[order], LONG if others else len(rows))
+            if left_over.any():
+                self.divide(rows[order][left_over], own[left_over], start[order][left_over], np.concatenate(others))
+
+
+def _forest(keys: np.ndarray, fp: np.ndarray, distance: int) -> list:
+    """Links that connect the rows of equal (sorted) keys, a spanning forest of each key's links."""
+    forest, ring = _Forest(fp, distance), segments(distance)
+    kind = (keys & np.uint64(255)).astype(np.int64)
+    group, left_over = forest.walk(np.arange(len(keys)), keys, kind >> 1, LONG)
+    found = forest.found
+    for one in np.unique(kind[left_over]).tolist():
+        # the bits of the first segment and of the key's half of the second are equal within a key
+        rows = np.flatnonzero(left_over & (kind == one))
+        low, width = ring[one >> 1]
+        at, size = ring[((one >> 1) + 1) % len(ring)]
+        at, size = (at + size // 2, size - size // 2) if one & 1 else (at, size // 2)
+        free = np.array([x for x in range(64) if not low <= x < low + width and not at <= x < at + size], np.int64)
+        deeper = _Forest(fp[rows], distance)
+        deeper.divide(np.arange(len(rows)), group[rows], kind[rows] >> 1, free)
+        found += deeper.found
     return found
 
 
@@ -168,18 +228,21 @@ def links(prints: DataFrame, distance: int) -> DataFrame:
             both = np.array(found, np.uint64).reshape(-1, 2).view(np.int64)
             return pa.RecordBatch.from_arrays([pa.array(both[:, 0].copy()), pa.array(both[:, 1].copy())], ["a", "b"])
 
-        keys, fp = np.empty(0, np.uint64), np.empty(0, np.uint64)
+        held = []  # batches of the last key, which may go on
         for batch in frames:
             if not batch.num_rows:
                 continue
-            keys = np.concatenate([keys, batch.column(0).to_numpy().view(np.uint64)])
-            fp = np.concatenate([fp, batch.column(1).to_numpy().view(np.uint64)])
-            cut = int(np.searchsorted(keys.view(np.int64), keys.view(np.int64)[-1]))  # the last key may go on
-            if cut:
+            keys, fp = batch.column(0).to_numpy().view(np.uint64), batch.column(1).to_numpy().view(np.uint64)
+            cut = int(np.searchsorted(keys.view(np.int64), keys.view(np.int64)[-1]))
+            if held and (cut or held[-1][0][-1] != keys[0]):
+                held.append((keys[:cut], fp[:cut]))
+                yield out(*map(np.concatenate, zip(*held)))
+                held = []
+            elif cut:
                 yield out(keys[:cut], fp[:cut])
-                keys, fp = keys[cut:], fp[cut:]
-        if len(keys):
-            yield out(keys, fp)
+            held.append((keys[cut:], fp[cut:]))
+        if held:
+            yield out(*map(np.concatenate, zip(*held)))
 
     spreaded = prints.select("fp").distinct().mapInArrow(spread, "k long, fp long")
     return spreaded.repartition("k").sortWithinPartitions("k", "fp").mapInArrow(pair, "a long, b long")

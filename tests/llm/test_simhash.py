@@ -4,8 +4,9 @@ import numpy as np
 import pyarrow as pa
 
 from brute import frame, groups, simhash
+from prismtab.llm import simhash as simhash_module
 from prismtab.llm.components import components
-from prismtab.llm.simhash import chain_keys, linked, near_duplicates, text_fingerprints
+from prismtab.llm.simhash import chain_keys, linked, near_duplicates, segments, text_fingerprints
 
 EDGES = [None, "", "  \t\n", "One", "one two", "A b C d", "a b c d", "a  b\nc\td e", "é " * 50, "x" * 5000, "word " * 40_000]
 
@@ -29,6 +30,56 @@ def test_every_close_pair_shares_a_key_and_passes_its_chain():
         assert found.all() if bits <= 4 else not found.any()
 
 
+def one_key(rows: int, close: int, seed: int):
+    """Sorted keys and distinct fingerprints that share the key of the first segment and half; ``close`` of them have a partner."""
+    rng = np.random.default_rng(seed)
+    low, width = segments(4)[0]
+    size = width + segments(4)[1][1] // 2
+    fp = np.unique(rng.integers(0, 1 << 63, rows, dtype=np.uint64) << np.uint64(size))
+    flip = np.array([sum(1 << int(b) for b in rng.choice(np.arange(size, 64), rng.integers(1, 5), replace=False)) for _ in range(close)], np.uint64)
+    fp = np.unique(np.concatenate([fp, fp[:close] ^ flip]))
+    return np.zeros(len(fp), np.uint64), fp
+
+
+def test_long_keys_of_unlinked_fingerprints_are_divided(monkeypatch):
+    """The components of one key are those of all its pairs that pass the chain; pairs asked for stay far below all."""
+    asked = 0
+
+    def counted(a, b, start, distance):
+        nonlocal asked
+        asked += len(a)
+        return linked(a, b, start, distance)
+
+    monkeypatch.setattr(simhash_module, "linked", counted)
+    for long, rows, close in ((512, 16_000, 300), (8, 1_500, 200)):
+        monkeypatch.setattr(simhash_module, "LONG", long)
+        keys, fp = one_key(rows, close, rows)
+        asked = 0
+        found = simhash_module._forest(keys, fp, 4)
+        assert asked < len(fp) ** 2 / 30
+        want = set()
+        for i in range(len(fp) - 1):
+            near = np.flatnonzero(linked(np.repeat(fp[i], len(fp) - 1 - i), fp[i + 1 :], np.zeros(len(fp) - 1 - i, np.int64), 4))
+            want |= {(int(fp[i]), int(fp[i + 1 + j])) for j in near}
+        assert len(want) > close / 4
+
+        def classes(pairs):
+            root = {}
+
+            def find(x):
+                while root.setdefault(x, x) != x:
+                    x = root[x]
+                return x
+
+            for a, b in pairs:
+                a, b = find(a), find(b)
+                root[max(a, b)] = min(a, b)
+            return {x: find(x) for x in list(root)}
+
+        assert classes(found) == classes(want)
+        assert all((a ^ b).bit_count() <= 4 for a, b in found)
+
+
 def test_components_are_those_of_brute_force(spark):
     random.seed(3)
     base = [[random.choice("abcdefghijklmnop") * random.randint(1, 4) for _ in range(150)] for _ in range(12)]
