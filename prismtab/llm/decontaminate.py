@@ -4,7 +4,9 @@ A mask keeps some token positions of a window and ignores the others, so a
 window still hashes alike when ignored positions were substituted.  The
 hashes of all windows of the benchmark (for each mask) are a sorted array; the
 windows of each document are looked up in it, and around each hit document and
-item are compared token by token along the hit's diagonal.
+item are compared token by token along the hit's diagonal.  A run of hits on one diagonal
+is taken up once, where it begins, so a passage that many items
+share (a common prompt) costs a document as many comparisons as it has matches.
 
 The benchmark is the stated query set.  It is taken in blocks of about
 ``BLOCK_BYTES`` of text (one block for usual sizes); each block's index is
@@ -100,16 +102,26 @@ class Index:
             at = at[length[item_of[at]] == only] if only else at[length[item_of[at]] >= SPAN]
             if not len(at):
                 continue
-            order = at[np.argsort(h[at], kind="stable")]
-            bits = max(10, min(26, int(8 * len(order)).bit_length()))
+            keys, known = np.unique(h[at], return_inverse=True)
+            # places of one hash stand by the hash of the window before theirs; the first window of an item has none
+            before = np.where(item_of[at - 1] == item_of[at], np.append(len(keys), known[:-1]), len(keys))
+            code = known * (len(keys) + 1) + before
+            order = np.argsort(code, kind="stable")
+            bits = max(10, min(26, int(8 * len(keys)).bit_length()))
             seen = np.zeros(1 << bits, bool)
-            seen[(h[order] >> np.uint64(64 - bits)).astype(np.int64)] = True
-            self.tables.append((mask, h[order], order, seen, bits, bool(only and only < LEAST_TOKENS)))
+            seen[(keys >> np.uint64(64 - bits)).astype(np.int64)] = True
+            self.tables.append((mask, keys, code[order], at[order], seen, bits, bool(only and only < LEAST_TOKENS)))
         self.item_of = item_of
 
     def hits(self, hashes: np.ndarray, row_of: np.ndarray, alone: np.ndarray):
-        """(token of the document side, token of the benchmark side) of all equal masked windows."""
-        for mask, keys, at, seen, bits, whole in self.tables:
+        """(token of the document side, token of the benchmark side) where equal masked windows begin.
+
+        Of windows that are equal one after another on one diagonal only the first counts: if a
+        document's previous window is in the index too, the places behind that
+        window are left out.  So a passage that many items share costs a document
+        one pair per item, not one per item and window.
+        """
+        for mask, keys, codes, at, seen, bits, whole in self.tables:
             h = spaced(hashes, mask)
             if not len(h):
                 continue
@@ -117,10 +129,20 @@ class Index:
             maybe = maybe[row_of[maybe] == row_of[maybe + len(mask) - 1]]
             if whole:  # the window is the whole document
                 maybe = maybe[alone[row_of[maybe]] == len(mask)]
-            low = np.searchsorted(keys, h[maybe], "left")
-            many = np.searchsorted(keys, h[maybe], "right") - low
-            left = np.repeat(maybe, many)
-            yield left, at[np.repeat(low, many) + np.arange(len(left)) - np.repeat(np.cumsum(many) - many, many)]
+            known = np.minimum(np.searchsorted(keys, h[maybe]), len(keys) - 1)
+            sure = keys[known] == h[maybe]
+            maybe, known = maybe[sure], known[sure]
+            code, none = known * (len(keys) + 1), len(keys)
+            low, high = np.searchsorted(codes, code), np.searchsorted(codes, code + none, "right")
+            follows = np.zeros(len(maybe), bool)
+            follows[1:] = (maybe[1:] == maybe[:-1] + 1) & (row_of[maybe[1:]] == row_of[maybe[:-1]])
+            before = np.where(follows, np.append(none, known[:-1])[: len(known)], none)
+            skip = np.where(follows, np.searchsorted(codes, code + before), low)
+            resume = np.where(follows, np.searchsorted(codes, code + before, "right"), low)
+            for a, b in ((low, skip), (resume, high)):
+                many = b - a
+                left = np.repeat(maybe, many)
+                yield left, at[np.repeat(a, many) + np.arange(len(left)) - np.repeat(np.cumsum(many) - many, many)]
 
     def matches(self, hashes: np.ndarray, first: np.ndarray, window: int, similarity: float) -> dict[int, dict]:
         """row: {item: (matched, first token, last token)} for the verified overlaps."""
@@ -138,21 +160,41 @@ class Index:
         found: dict[int, dict] = {}
         if not asked:
             return found
-        for row, item, diagonal in np.unique(np.concatenate(asked), axis=0).tolist():
-            own = self.hashes[self.first[item] : self.first[item + 1]]
-            text = hashes[first[row] : first[row + 1]]
-            low, high = max(0, -diagonal), min(len(own), len(text) - diagonal)
-            size = min(window, len(own))
-            if high - low < size:
+        row, item, diagonal = np.unique(np.concatenate(asked), axis=0).T
+        own = np.diff(self.first)[item]
+        low, high = np.maximum(0, -diagonal), np.minimum(own, length[row] - diagonal)
+        size = np.minimum(window, own)
+        enough = np.flatnonzero(high - low >= size)
+        upto = np.cumsum((high - low)[enough])
+        at = 0
+        while at < len(enough):
+            # pairs of together about a chunk of tokens
+            end = max(at + 1, int(np.searchsorted(upto, (upto[at - 1] if at else 0) + CHUNK * 8, "right")))
+            some = enough[at:end]
+            at = end
+            n, edge = (high - low)[some], np.concatenate([[0], np.cumsum((high - low)[some])])
+            step = np.arange(edge[-1]) - np.repeat(edge[:-1], n)
+            mine = self.hashes[np.repeat(self.first[item[some]] + low[some], n) + step]
+            text = hashes[np.repeat(first[row[some]] + low[some] + diagonal[some], n) + step]
+            equal = np.concatenate([[0], np.cumsum(mine == text)])
+            # windows by the place where they begin; those that would leave their pair are none
+            width = np.repeat(size[some], n)
+            inside = np.flatnonzero(step + width <= np.repeat(n, n))
+            need = np.ceil(similarity * size[some] - 1e-9).astype(np.int64)
+            pair = np.repeat(np.arange(len(some)), n)[inside]
+            good = equal[inside + width[inside]] - equal[inside] >= need[pair]
+            inside, pair = inside[good], pair[good]
+            if not len(pair):
                 continue
-            equal = own[low:high] == text[low + diagonal : high + diagonal]
-            upto = np.concatenate([[0], np.cumsum(equal)])
-            good = np.flatnonzero(upto[size:] - upto[:-size] >= math.ceil(similarity * size - 1e-9))
-            if len(good):
-                best = (int(upto[good[-1] + size] - upto[good[0]]), int(good[0]) + low + diagonal, int(good[-1]) + size - 1 + low + diagonal)
-                before = found.setdefault(row, {}).get(item)
+            change = np.append(True, pair[1:] != pair[:-1])
+            one, begin = pair[change], inside[change]
+            last = inside[np.append(change[1:], True)] + size[some][one]
+            shift = low[some][one] + diagonal[some][one] - edge[one]
+            for r, i, best in zip(row[some][one].tolist(), item[some][one].tolist(),
+                                  zip((equal[last] - equal[begin]).tolist(), (begin + shift).tolist(), (last - 1 + shift).tolist())):
+                before = found.setdefault(r, {}).get(i)
                 if before is None or (best[0], -best[1]) > (before[0], -before[1]):
-                    found[row][item] = best
+                    found[r][i] = best
         return found
 
 

@@ -1,6 +1,9 @@
 import itertools
 import random
 
+import numpy as np
+import pyarrow as pa
+
 from brute import contaminated, frame
 from prismtab.llm import decontaminate
 
@@ -51,6 +54,35 @@ def test_matches_are_those_of_brute_force(spark):
     assert len(want) > 80
 
 
+def test_a_prompt_that_many_items_share_is_paired_once_per_item():
+    """Hits grow with items times documents, not with the prompt's windows; the matches are those of every alignment."""
+    random.seed(8)
+    word = lambda: f"v{random.randrange(500)}"
+    prompt = [word() for _ in range(80)]
+    prompt[30:33] = prompt[10:13]
+    items = [" ".join(prompt + [word() for _ in range(15)]) for _ in range(400)]
+    docs = [" ".join([word() for _ in range(k)] + prompt[: 80 - k] + prompt[5:] + ["end"]) for k in range(6)] + [" ".join(prompt[:40] + ["x"] + prompt[41:])]
+    index = decontaminate.Index(list(range(len(items))), items)
+    hashes, first = decontaminate.tokens(pa.array(docs))
+    length = np.diff(first)
+    pairs = sum(len(left) for left, _ in index.hits(hashes, np.repeat(np.arange(len(docs)), length), length))
+    # two copies of the prompt, four masks and few breaks; every window of every item would be 85 times as much
+    assert pairs < 30 * len(items) * len(docs)
+    found = index.matches(hashes, first, 13, 0.8)
+    for r, doc in enumerate(docs):
+        assert sorted(found[r]) == list(range(len(items)))
+        for i in (0, 17, 399):
+            own, text = items[i].split(), doc.split()
+            best = None
+            for diagonal in range(-len(own), len(text)):
+                same = [text[x + diagonal] == own[x] if 0 <= x + diagonal < len(text) else None for x in range(len(own))]
+                good = [x for x in range(len(own) - 12) if None not in same[x : x + 13] and sum(same[x : x + 13]) >= 11]
+                if good:
+                    now = (sum(same[good[0] : good[-1] + 13]), -(good[0] + diagonal), good[-1] + 12 + diagonal)
+                    best = max(best or now, now)
+            assert found[r][i] == (best[0], -best[1], best[2])
+
+
 def test_a_benchmark_of_several_blocks_gives_the_same(spark, monkeypatch):
     docs, items = corpus()
     whole = {(r.doc_id, r.text): sorted(map(str, r.matches)) for r in overlap_rows(spark, docs, items)}
