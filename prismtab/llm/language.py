@@ -26,8 +26,10 @@ from pyspark.sql import types as T
 from prismtab.llm.arrays import SPACE, batches, small_batches, text_buffer
 from prismtab.session import cut_lineage
 
-#: labelled rows (about) that the trigram model is fitted on, for each of at most so many labels
-SAMPLE_ROWS, MAX_LANGUAGES = 2000, 256
+#: labelled rows (about) that the trigram model is fitted on, for each label; labels beyond which fitting is refused
+SAMPLE_ROWS, MAX_LANGUAGES = 2000, 1024
+#: bytes of text whose trigrams are held at a time
+CHUNK = 1 << 20
 BUCKETS = 1 << 16
 #: weight of a trigram's log-likelihood (neighbours overlap), prior of und, weight of a parent's shares, least posterior
 TEMPER, UNDETERMINED, STRENGTH, ACCEPT = 0.3, 0.01, 20.0, 0.5
@@ -40,32 +42,38 @@ _LETTER[97:123] = np.arange(97, 123)
 _LETTER[128:] = np.arange(128, 256)
 
 
-def trigrams(column) -> tuple[np.ndarray, np.ndarray]:
-    """(bucket of the trigram at every byte, row offsets); bucket ``BUCKETS`` is none: no letter, or a row's end."""
+def trigrams(column):
+    """Stretches of at most ``CHUNK`` bytes of a text column, as (first row, edges of its rows, bucket of the trigram at every byte).
+
+    Edges count from the stretch's first byte.  Bucket ``BUCKETS`` is none: no letter, or a row's end.
+    """
     raw, offsets = text_buffer(pc.utf8_lower(column.cast(pa.large_string())))
-    raw = _LETTER[raw]
-    out = np.full(len(raw), BUCKETS, np.int32)
-    if len(raw) < 3:
-        return out, offsets
-    x = raw.astype(np.uint32)
-    code = x[:-2] << np.uint32(16) | x[1:-1] << np.uint32(8) | x[2:]
-    bucket = (code * np.uint32(2654435761)) >> np.uint32(16)
-    letter = ~SPACE[raw]
-    out[:-2] = np.where(letter[:-2] | letter[1:-1] | letter[2:], bucket, BUCKETS)
     ends = offsets[1:][np.diff(offsets) > 0]
-    for back in (1, 2):
-        at = ends - back
-        out[at[at >= 0]] = BUCKETS
-    return out, offsets
-
-
-def fit(df: DataFrame, text: str, label: str, sample_rows: int = SAMPLE_ROWS) -> tuple[list[str], np.ndarray]:
+    for a in range(0, len(raw), CHUNK):
+        b = min(a + CHUNK, len(raw))
+        x = _LETTER[raw[a : b + 2]].astype(np.uint32)
+        out = np.full(b - a, BUCKETS, np.int32)
+        if len(x) > 2:
+            bucket = ((x[:-2] << np.uint32(16) | x[1:-1] << np.uint32(8) | x[2:]) * np.uint32(2654435761)) >> np.uint32(16)
+            letter = x != 32
+            out[: len(bucket)] = np.where(letter[:-2] | letter[1:-1] | letter[2:], bucket, BUCKETS)
+        for back in (1, 2):
+            at = ends - back
+            out[at[(at >= a) & (at < b)] - a] = BUCKETS
+        row, upto = int(np.searchsorted(offsets, a, "right")) - 1, int(np.searchsorted(offsets, b))
+        yield row, np.clip(offsets[row : upto + 1], a, b) - a, out
+
+
+def fit(df: DataFrame, text: str, label: str, sample_rows: int = SAMPLE_ROWS, max_languages: int = MAX_LANGUAGES) -> tuple[list[str], np.ndarray]:
     """(languages, log-likelihood of every bucket by language, und last) from a bounded sample of labelled rows.
 
-    About ``sample_rows`` rows of each label, chosen by a hash of label and text, are read whole.
+    About ``sample_rows`` rows of each label, chosen by a hash of label and text, are read whole.  Every label is
+    modelled; the model grows by 256 KB a label, so more than ``max_languages`` labels are an error.
     """
     labelled = small_batches(df).where(F.col(label).isNotNull() & (F.col(label) != "")).select(F.col(label).alias("label"), F.col(text).alias("text"))
-    counts = labelled.groupBy("label").count().orderBy(F.desc("count"), "label").limit(MAX_LANGUAGES).collect()
+    counts = labelled.groupBy("label").count().limit(max_languages + 1).collect()
+    if len(counts) > max_languages:
+        raise ValueError(f"more than {max_languages} labels in {label}; raise max_languages to model them all")
     languages = sorted(r[0] for r in counts if r[0] != UND)
     if not languages:
         return [], np.zeros((1, BUCKETS + 1))
@@ -76,10 +84,11 @@ def fit(df: DataFrame, text: str, label: str, sample_rows: int = SAMPLE_ROWS) ->
     def count(frames):
         sums = {}
         for batch in batches(frames):
-            bucket, offsets = trigrams(batch.column(1))
-            for r, name in enumerate(batch.column(0).to_pylist()):
-                own = sums.setdefault(name, np.zeros(BUCKETS + 1, np.int64))
-                own += np.bincount(bucket[offsets[r] : offsets[r + 1]], minlength=BUCKETS + 1)
+            labels = batch.column(0).to_pylist()
+            for row, edges, bucket in trigrams(batch.column(1)):
+                for name, x, y in zip(labels[row:], edges, edges[1:]):
+                    own = sums.setdefault(name, np.zeros(BUCKETS + 1, np.int64))
+                    own += np.bincount(bucket[x:y], minlength=BUCKETS + 1)
         for name, own in sums.items():
             at = np.flatnonzero(own[:BUCKETS])
             yield pa.RecordBatch.from_arrays([pa.array([place[name]] * len(at), pa.int32()), pa.array(at, pa.int32()), pa.array(own[at])], ["language", "bucket", "n"])
@@ -122,7 +131,8 @@ def identify(df: DataFrame, text: str = "text", declared: Column | None = None,
     ``ACCEPT`` and for texts without a letter (null and empty ones
     included), whose language is und with probability 1.  Texts too short for a trigram
     are decided by the declared language and the host.  Ties go to the
-    language that sorts first.  Without any labelled row all are und.  Input
+    language that sorts first.  Without any labelled row all are und.  Long texts
+    are read whole, a ``CHUNK`` at a time.  Input
     columns of the three names are replaced.
     """
     df = small_batches(df).drop("language", "probability", "accepted")
@@ -139,13 +149,15 @@ def identify(df: DataFrame, text: str = "text", declared: Column | None = None,
     rows = df.select(F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("row"), F.col(text).alias("text"), host.alias("host"), kind.alias("kind"))
 
     def likelihoods(column) -> tuple[np.ndarray, np.ndarray]:
-        bucket, offsets = trigrams(column)
-        out = np.zeros((len(offsets) - 1, k))
-        for i in range(k):
-            upto = np.concatenate([[0.0], np.cumsum(held.value[i][bucket], dtype=np.float64)])
-            out[:, i] = np.diff(upto[offsets])
-        upto = np.concatenate([[0], np.cumsum(bucket < BUCKETS)])
-        return TEMPER * out, np.diff(upto[offsets])
+        out, seen = np.zeros((len(column), k)), np.zeros(len(column), np.int64)
+        for row, edges, bucket in trigrams(column):
+            rows = slice(row, row + len(edges) - 1)
+            for i in range(k):
+                upto = np.concatenate([[0.0], np.cumsum(held.value[i][bucket], dtype=np.float64)])
+                out[rows, i] += np.diff(upto[edges])
+            upto = np.concatenate([[0], np.cumsum(bucket < BUCKETS)])
+            seen[rows] += np.diff(upto[edges])
+        return TEMPER * out, seen
 
     flat = np.log(np.append(np.full(k - 1, (1 - UNDETERMINED) / max(1, k - 1)), UNDETERMINED if k > 1 else 1.0))
 

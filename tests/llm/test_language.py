@@ -1,3 +1,9 @@
+import math
+from collections import Counter, defaultdict
+
+import numpy as np
+import pyarrow as pa
+import pytest
 from pyspark.sql import functions as F
 
 from brute import frame
@@ -73,3 +79,104 @@ def test_the_pipeline_keeps_short_documents_with_a_letter(spark):
     short = first.withColumn("doc_id", F.lit(-1).cast("long")).withColumn("text", F.lit("A."))
     kept = corpus_pipeline.language_id(spark, docs.unionByName(short.select(docs.columns)), SF_MID)
     assert [r.text for r in kept.where("doc_id = -1").collect()] == ["A."]
+
+
+def fused(rows, temper=0.3, und=0.01, strength=20.0):
+    """(language, probability) of each (text, declared, host) row, written out: counts, evidence and priors by plain loops."""
+
+    def grams(text):
+        own = bytes(b if 97 <= b <= 122 or b >= 128 else 32 for b in (text or "").lower().encode())
+        return [((own[i] << 16 | own[i + 1] << 8 | own[i + 2]) * 2654435761 % (1 << 32)) >> 16 for i in range(len(own) - 2) if own[i : i + 3] != b"   "]
+
+    counts = defaultdict(Counter)
+    for text, said, _ in rows:
+        if said:
+            counts[said].update(grams(text))
+    names = sorted(counts)
+    k, every = len(names) + 1, Counter()
+    for own in counts.values():
+        every.update(own)
+    total, flat = sum(every.values()), -math.log(1 << 16)
+    shared = lambda g: (every[g] + 0.5) / (total + 0.5 * (1 << 16))
+
+    def likelihood(text):
+        own = grams(text)
+        return [temper * sum(math.log((counts[n][g] + 200 * shared(g)) / (sum(counts[n].values()) + 200)) for g in own) for n in names] + [temper * flat * len(own)]
+
+    def normal(logs):
+        top = max(logs)
+        own = [math.exp(x - top) for x in logs]
+        return [x / sum(own) for x in own]
+
+    kind = lambda said: names.index(said) + 1 if said in names else 0
+    mass, hosts = [[0.0] * k for _ in range(k + 2)], defaultdict(lambda: [0.0] * k)
+    for text, said, host in rows:
+        if grams(text):
+            alone = normal([x + math.log((1 - und) / (k - 1)) for x in likelihood(text)[:-1]] + [likelihood(text)[-1] + math.log(und)])
+            for i, p in enumerate(alone):
+                mass[kind(said)][i] += p
+                hosts[host or ""][i] += p
+        else:
+            hosts[host or ""]
+    add = lambda many: [sum(x) for x in zip(*many)]
+    world = [(x + 1) / (sum(map(sum, mass)) + k) for x in add(mass)]
+    declared = add(mass[1:])
+    given = [[0.0] * k] + [[math.log((row[i] + 0.05 * declared[i] + 1) / (declared[i] * (1 + 0.05 * (k + 1)) + k + 1)) for i in range(k)] for row in mass[1:]]
+    smooth = lambda own, above: [(x + strength * y) / (sum(own) + strength) for x, y in zip(own, above)]
+    suffix, domain = (lambda h: h.split(".")[-1]), (lambda h: ".".join(h.split(".")[-2:]))
+
+    def prior(host):
+        if not host:
+            return world
+        above = smooth(add(v for h, v in hosts.items() if suffix(h) == suffix(host)), world)
+        above = smooth(add(v for h, v in hosts.items() if domain(h) == domain(host)), above)
+        return smooth(hosts[host], above)
+
+    out = []
+    for text, said, host in rows:
+        if not any(c.isalpha() for c in text or ""):
+            out.append(("und", 1.0))
+            continue
+        post = normal([a + b + math.log(c) for a, b, c in zip(likelihood(text), given[kind(said)], prior(host))])
+        best = max(range(k), key=lambda i: (post[i], -i))
+        out.append(((*names, "und")[best], post[best]))
+    return out
+
+
+def test_posteriors_are_those_written_out(spark):
+    said = ["en", "fr", "de", "", None]
+    words = {"en": "the of and that with", "fr": "le des que qui dans", "de": "der und die nicht mit"}
+    rows = [(" ".join(words[n].split()[i % 5 :] + [f"w{i}", "on"]), said[(i + j) % 5] if i % 4 == 0 else n, ["a.x.fr", "b.x.fr", "c.y.fr", "d.de", "", None][(i + 2 * j) % 6])
+            for j, n in enumerate(words) for i in range(12)]
+    rows += [("on", "fr", "new.x.fr"), ("A", "", "d.de"), ("12", "en", "d.de"), (None, "en", ""), ("", None, None), ("on on", "", ""), ("on on", "", "")]
+    df = spark.createDataFrame([(i, *r) for i, r in enumerate(rows)], "i int, text string, said string, host string")
+    got = language.identify(df, "text", F.col("said"), F.col("host"), label="said").orderBy("i").collect()
+    want = fused(rows)
+    assert [r.language for r in got] == [w[0] for w in want]
+    assert np.allclose([r.probability for r in got], [w[1] for w in want], atol=1e-5)
+    assert len({w[0] for w in want}) == 4
+
+
+def test_long_texts_are_read_in_chunks(monkeypatch):
+    column = pa.array(["", "Aé b, c!", None, "x", "the end " * 50, "ab", "", "1 2"])
+    want = [(row, edges.tolist(), bucket.tolist()) for row, edges, bucket in language.trigrams(column)]
+    assert len(want) == 1
+    _, offsets, whole = want[0]
+    offsets = [0, *offsets]  # the first row is empty
+    for chunk in (1, 2, 7, 64):
+        monkeypatch.setattr(language, "CHUNK", chunk)
+        parts = list(language.trigrams(column))
+        assert [x for _, _, bucket in parts for x in bucket] == whole
+        of_row = defaultdict(list)
+        for row, edges, bucket in parts:
+            for r, (a, b) in enumerate(zip(edges, edges[1:])):
+                of_row[row + r] += bucket[a:b].tolist()
+        for r in range(len(column)):
+            assert of_row[r] == whole[offsets[r] : (offsets + [len(whole)])[r + 1]]
+
+
+def test_more_labels_than_allowed_are_refused(spark):
+    df = spark.createDataFrame([(f"l{i}", f"text number {i}") for i in range(5)], "label string, text string")
+    assert len(language.fit(df, "text", "label", max_languages=5)[0]) == 5
+    with pytest.raises(ValueError):
+        language.fit(df, "text", "label", max_languages=4)
