@@ -46,9 +46,10 @@ def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str)
 
 
 def sentencepiece(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The documents with their piece ids; ``text`` is what the ids decode to."""
-    coded = pieces.encode(docs, PIECES, decoded="text")
-    return coded.select(*docs.columns, F.size("ids").cast("long").alias("n_ids"), "ids")
+    """The documents, texts untouched, with their piece ids and ``decoded``, the text that the ids give back (U+2581 as a space)."""
+    coded = pieces.encode(docs, PIECES, decoded="decoded")
+    kept = [c for c in docs.columns if c not in ("n_ids", "ids", "decoded")]
+    return coded.select(*kept, F.size("ids").cast("long").alias("n_ids"), "ids", "decoded")
 
 
 STAGES = [
