@@ -64,6 +64,7 @@ def test_each_stage_against_brute_force(spark):
     five = stages["sentencepiece"](spark, four, SF_SMALL)
     assert texts(five) == texts(four)
     assert five.where("n_ids <> size(ids)").count() == 0
+    assert sorted((r.decoded or "") for r in five.collect()) == sorted(t.replace("\u2581", " ") for _, _, t in texts(four))
 
 
 def test_stages_of_empty_documents(spark):
@@ -76,5 +77,5 @@ def test_stages_of_empty_documents(spark):
 
 def test_run_gives_the_last_stages_rows(spark):
     got = corpus_pipeline.run(spark, SF_SMALL)
-    assert got.columns == [*COLUMNS, "n_ids", "ids"]
+    assert got.columns == [*COLUMNS, "n_ids", "ids", "decoded"]
     assert 0 < got.count() < spark.read.parquet(f"{SF_SMALL}/documents.parquet").count()
