@@ -107,9 +107,9 @@ def q_group_key_scores(spark, sf_dir):
 
 
 # ---------------------------------------------------------------- E-07 / E-09
-def _profile_sql(keys: tuple[str, ...]) -> str:
+def _profile_sql(keys: tuple[str, ...], lead: str = "") -> str:
     k2 = keys[1] if len(keys) > 1 else "CAST(NULL AS VARCHAR)"
-    return f"""SELECT '{"|".join(keys)}' AS keys, {keys[0]} AS k1, {k2} AS k2,
+    return f"""SELECT {lead}'{"|".join(keys)}' AS keys, {keys[0]} AS k1, {k2} AS k2,
   CAST(cg AS BIGINT) AS count_GALAXY, CAST(cq AS BIGINT) AS count_QSO, CAST(cs AS BIGINT) AS count_STAR,
   CAST(tr AS BIGINT) AS train_count, CAST(te AS BIGINT) AS test_count,
   round(cg / tr, 6) AS rate_GALAXY, round(cq / tr, 6) AS rate_QSO, round(cs / tr, 6) AS rate_STAR,
@@ -118,7 +118,7 @@ def _profile_sql(keys: tuple[str, ...]) -> str:
 FROM ({_cells_sql(keys)}) c WHERE tr > 0"""
 
 
-PROFILE_SQL = with_views(KEYED_SQL) + "\nUNION ALL\n".join(_profile_sql(k) for k in PROFILE_CANDIDATES)
+PROFILE_SQL = with_views(KEYED_SQL) + "\nUNION ALL\n".join(_profile_sql(k, f"'{'__'.join(k)}' AS key_name, ") for k in PROFILE_CANDIDATES)
 
 
 def profile_frame(spark, sf_dir):
@@ -129,7 +129,8 @@ def profile_frame(spark, sf_dir):
 
 @register("e07_group_key_profile", PROFILE_SQL)
 def q_group_profile(spark, sf_dir):
-    return profile_frame(spark, sf_dir)
+    profile = profile_frame(spark, sf_dir)
+    return profile.select(F.replace("keys", F.lit("|"), F.lit("__")).alias("key_name"), *profile.columns)
 
 
 # ---------------------------------------------------------------- F-03

@@ -71,3 +71,13 @@ def test_levels_beyond_the_bound_are_joined_without_a_broadcast(spark, monkeypat
     want = sorted(r.c for r in cleaning.encode_categoricals([df], ["c"])[0].collect())
     monkeypatch.setattr(cleaning, "BROADCAST_BYTES", 10)
     assert sorted(r.c for r in cleaning.encode_categoricals([df], ["c"])[0].collect()) == want
+
+
+def test_profile_rows_carry_the_key_name(spark, tmp_path):
+    from prismtab.plans import q_groupkeys as Q
+
+    rows = [(i, i * 3, "FOP"[i % 3], ("1-URGENT", "2-HIGH", None)[i % 3]) for i in range(60)]
+    spark.createDataFrame(rows, "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_orderpriority string").write.parquet(str(tmp_path / "orders.parquet"))
+    got = Q.q_group_profile(spark, str(tmp_path))
+    assert got.columns[:2] == ["key_name", "keys"]
+    assert {(r.key_name, r["keys"]) for r in got.collect()} == {("__".join(k), "|".join(k)) for k in Q.PROFILE_CANDIDATES}
