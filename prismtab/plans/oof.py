@@ -451,7 +451,8 @@ def holdout_baseline(train: DataFrame, test: DataFrame, features: list[str], fam
     split = train_valid_split(train, label, 0.2, id_col, seed)
     asm = fit_vectoriser(train, features)
     lab = split.withColumn(LABEL, class_code(F.col(label)).cast("double"))
-    v = asm.transform(lab)
+    # written once: both fits pass over it several times, and the split's ranks need a shuffle of all rows
+    v = cut_lineage(asm.transform(lab).select(label, "is_valid", LABEL, FEATURES))
     stages = make_estimator(family, params, None, seed, len(features), len(CLASSES))
     m = Pipeline(stages=stages).fit(v.where(~F.col("is_valid")))
     hv = m.transform(v.where(F.col("is_valid")))

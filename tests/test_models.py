@@ -95,3 +95,15 @@ def test_a_weight_of_two_is_a_doubled_row(spark, rough):
     a = O.make_estimator(**fit, weight_col="w")[0].fit(twice).coefficientMatrix.toArray()
     b = O.make_estimator(**fit)[0].fit(doubled).coefficientMatrix.toArray()
     assert abs(a - b).max() < 1e-4
+
+
+def test_holdout_ranks_its_rows_once(spark, frames, monkeypatch):
+    train, test = frames
+    ranked, written = [], []
+    cut = O.cut_lineage
+    monkeypatch.setattr(O, "cut_lineage", lambda df: written.append(df.columns) or cut(df))
+    fit = O.Pipeline.fit
+    monkeypatch.setattr(O.Pipeline, "fit", lambda self, df: ranked.append("Window" in df._jdf.queryExecution().optimizedPlan().toString()) or fit(self, df))
+    metrics, pred = O.holdout_baseline(train, test, FEATURES, "rf", {"numTrees": 3, "maxDepth": 2})
+    assert ranked == [False, False] and len(written) == 1
+    assert pred.count() == test.count() and metrics.first()["n"] > 0
