@@ -148,9 +148,9 @@ def true_class_probability(truth: Column, prob_cols: list[str], classes=CLASSES)
     return expr
 
 
-def log_loss(df: DataFrame, truth: str, prob_cols: list[str], by=(), classes=CLASSES, eps: float = LOGLOSS_EPS,
-             normalize_rows: bool = True) -> DataFrame:
-    """E-05: mean of -ln(clip(p_true)); rows renormalised first like sklearn."""
+def row_log_loss(truth: str, prob_cols: list[str], classes=CLASSES, eps: float = LOGLOSS_EPS,
+                 normalize_rows: bool = True) -> Column:
+    """-ln(clip(p_true)) of a row, renormalised first like sklearn."""
     ps = [F.col(c) for c in prob_cols]
     if normalize_rows:
         tot = sum(ps[1:], ps[0])
@@ -158,8 +158,13 @@ def log_loss(df: DataFrame, truth: str, prob_cols: list[str], by=(), classes=CLA
     pt = F.when(F.col(truth) == classes[0], ps[0])
     for c, p in zip(classes[1:], ps[1:]):
         pt = pt.when(F.col(truth) == c, p)
-    pt = F.least(F.greatest(pt, F.lit(eps)), F.lit(1.0 - eps))
-    return df.groupBy(*by).agg(F.avg(-F.ln(pt)).alias("log_loss"))
+    return -F.ln(F.least(F.greatest(pt, F.lit(eps)), F.lit(1.0 - eps)))
+
+
+def log_loss(df: DataFrame, truth: str, prob_cols: list[str], by=(), classes=CLASSES, eps: float = LOGLOSS_EPS,
+             normalize_rows: bool = True) -> DataFrame:
+    """E-05: mean of -ln(clip(p_true)); rows renormalised first like sklearn."""
+    return df.groupBy(*by).agg(F.avg(row_log_loss(truth, prob_cols, classes, eps, normalize_rows)).alias("log_loss"))
 
 
 # ---------------------------------------------------------------- E-06

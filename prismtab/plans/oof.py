@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 from prismtab.constants import CLASSES
 from prismtab.functions.proba import class_code
 from prismtab.operators.folds import stratified_folds
-from prismtab.operators.metrics import log_loss, prediction_metrics
+from prismtab.operators.metrics import log_loss, metrics_from_cells, prediction_metrics, row_log_loss
 from prismtab.plans.early_stopping import stop_early
 from prismtab.session import cut_lineage
 
@@ -214,7 +214,8 @@ def prepare(train: DataFrame, features: list[str], label: str = "class", k: int
 def run_oof(train: DataFrame, test: DataFrame | None, features: list[str], family: str = "rf",
             params: dict | None = None, prefix: str = "l1__model", label: str = "class", k: int = 5,
             seed: int = 42, weight_col: str | None = None, id_col: str = "id", classes=CLASSES,
-            prepared: DataFrame | None = None, patience: int | None = None) -> OOFResult:
+            prepared: DataFrame | None = None, patience: int | None = None,
+            vectoriser: Vectoriser | None = None) -> OOFResult:
     """K-01: k-fold out-of-fold probabilities.  Each validation row gets the
     probability of the model that did not see it; test rows get the mean over
     the k fold models.  Per-fold and overall metrics (E-03/E-05).
@@ -224,7 +225,8 @@ def run_oof(train: DataFrame, test: DataFrame | None, features: list[str], famil
     if patience is not None and (family != "gbt" or patience < 1):
         raise ValueError("patience is a positive number of rounds of the family gbt")
     n = len(classes)
-    vectoriser = fit_vectoriser(train, features)
+    if vectoriser is None and (prepared is None or test is not None):
+        vectoriser = fit_vectoriser(train, features)
     base = prepared if prepared is not None else prepare(train, features, label, k, seed, None, weight_col, id_col,
                                                           classes, vectoriser=vectoriser)
     stages = make_estimator(family, params, weight_col, seed, len(features), n)
@@ -262,14 +264,14 @@ def oof_scores(oof: DataFrame, label: str, prob_cols: list[str], classes=CLASSES
     """Per-fold and overall accuracy / balanced accuracy / log loss."""
     from prismtab.functions.proba import argmax_class
 
-    p = oof.withColumn("_pred", argmax_class(prob_cols, classes)).withColumn("fold", F.col("fold").cast("string"))
-    per = prediction_metrics(p, label, "_pred", by=("fold",), classes=classes, absent="skip").join(
-        log_loss(p, label, prob_cols, by=("fold",), classes=classes), "fold")
-    overall = prediction_metrics(p.withColumn("fold", F.lit("overall")), label, "_pred", by=("fold",),
-                                 classes=classes, absent="skip").join(
-        log_loss(p.withColumn("fold", F.lit("overall")), label, prob_cols, by=("fold",), classes=classes), "fold")
-    cols = ["fold", "n", "accuracy", "balanced_accuracy", "weighted_accuracy", "log_loss"]
-    return per.select(*cols).unionByName(overall.select(*cols))
+    p = oof.withColumn("_pred", argmax_class(prob_cols, classes))
+    # one pass over the rows; folds and overall are sums of the same cells
+    cells = p.groupBy(F.col("fold").cast("string").alias("fold"), F.col(label).alias("true_class"), F.col("_pred").alias("pred_class")).agg(
+        F.count(F.lit(1)).alias("n"), F.sum(row_log_loss(label, prob_cols, classes)).alias("_loss"))
+    both = cells.withColumn("fold", F.explode(F.array(F.col("fold"), F.lit("overall"))))
+    scores = metrics_from_cells(both, by=("fold",), classes=classes, absent="skip",
+                                extra_aggs=[(F.sum("_loss") / F.sum("n")).alias("log_loss")], extra_cols=[F.col("log_loss")])
+    return scores.select("fold", "n", "accuracy", "balanced_accuracy", "weighted_accuracy", "log_loss")
 
 
 # ---------------------------------------------------------------- K-02
@@ -278,9 +280,16 @@ def run_suite(train: DataFrame, test: DataFrame, experiments: list[dict], label:
     """K-02: several experiments (name, family, features, params) → wide OOF
     train table, wide test table, leaderboard ranked by log loss."""
     wide_tr = wide_te = board = None
+    inputs: dict[tuple, tuple] = {}  # experiments on the same columns read one prepared table
     for exp in experiments:
+        weight = exp.get("weight_col")
+        own = (*exp["features"], weight)
+        if own not in inputs:
+            vectoriser = fit_vectoriser(train, exp["features"])
+            inputs[own] = vectoriser, prepare(train, exp["features"], label, k, seed, None, weight, id_col, vectoriser=vectoriser)
+        vectoriser, prepared = inputs[own]
         r = run_oof(train, test, exp["features"], exp["family"], exp.get("params"), f"l1__{exp['name']}", label, k,
-                    seed, exp.get("weight_col"), id_col)
+                    seed, weight, id_col, prepared=prepared, vectoriser=vectoriser)
         tr = r.oof.drop("fold")
         wide_tr = tr if wide_tr is None else wide_tr.join(tr.drop(label), id_col)
         wide_te = r.test if wide_te is None else wide_te.join(r.test, id_col)
@@ -299,7 +308,8 @@ def lr_stacker(train: DataFrame, test: DataFrame, features: list[str], c_values=
     sklearn's L2 strength maps to ``regParam = 1 / (C * sum of fit weights)``
     with ``standardization=False``.  Selects by overall log loss (or by
     weighted accuracy when class-weighted).  Returns (best C, OOF result, scores)."""
-    prepared = prepare(train, features, label, k, seed, None, weight_col, id_col, classes)
+    vectoriser = fit_vectoriser(train, features)
+    prepared = prepare(train, features, label, k, seed, None, weight_col, id_col, classes, vectoriser=vectoriser)
     # weights (1 each, if there are none) of the rows that one fold's model is fitted on, on average
     mass = F.sum(F.col(weight_col).cast("double")) if weight_col else F.count(F.lit(1)).cast("double")
     fit_mass = prepared.agg(mass).first()[0] * (k - 1) / k
@@ -308,7 +318,7 @@ def lr_stacker(train: DataFrame, test: DataFrame, features: list[str], c_values=
     for c in c_values:
         reg = 1.0 / (float(c) * fit_mass)
         r = run_oof(train, test, features, "lr", {"regParam": reg, "standardization": False, "maxIter": 300},
-                    "lr_logits", label, k, seed, weight_col, id_col, classes, prepared=prepared)
+                    "lr_logits", label, k, seed, weight_col, id_col, classes, prepared=prepared, vectoriser=vectoriser)
         row = r.scores.where(F.col("fold") == "overall").first().asDict()
         results.append((float(c), row))
         key = -row["weighted_accuracy"] if weight_col else row["log_loss"]

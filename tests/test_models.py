@@ -107,3 +107,36 @@ def test_holdout_ranks_its_rows_once(spark, frames, monkeypatch):
     metrics, pred = O.holdout_baseline(train, test, FEATURES, "rf", {"numTrees": 3, "maxDepth": 2})
     assert ranked == [False, False] and len(written) == 1
     assert pred.count() == test.count() and metrics.first()["n"] > 0
+
+
+def test_scores_are_those_of_plain_metrics(spark):
+    from prismtab.operators.metrics import log_loss, prediction_metrics
+
+    rows = [(i % 3, (*CLASSES, None)[i % 4], float(i % 7), float(i % 5), float(i % 2)) for i in range(200)]
+    oof = spark.createDataFrame(rows, "fold int, class string, p0 double, p1 double, p2 double")
+    got = {r.fold: r for r in O.oof_scores(oof, "class", ["p0", "p1", "p2"]).collect()}
+    assert set(got) == {"0", "1", "2", "overall"}
+    from prismtab.functions.proba import argmax_class
+
+    for fold, r in got.items():
+        part = oof.withColumn("pred", argmax_class(["p0", "p1", "p2"])).where(F.lit(True) if fold == "overall" else F.col("fold") == int(fold))
+        plain = prediction_metrics(part, "class", "pred", absent="skip").first()
+        assert all(abs(r[c] - plain[c]) < 1e-12 for c in ("n", "accuracy", "balanced_accuracy", "weighted_accuracy"))
+        assert abs(r.log_loss - log_loss(part, "class", ["p0", "p1", "p2"]).first().log_loss) < 1e-9
+
+
+def test_inputs_of_a_job_are_prepared_once(spark, frames, monkeypatch):
+    train, test = frames
+    seen = []
+    fit = O.fit_vectoriser
+    monkeypatch.setattr(O, "fit_vectoriser", lambda *a: seen.append(a[1]) or fit(*a))
+    wanted = ["u", "redshift"]
+    lr = {"family": "lr", "params": {"maxIter": 2}}
+    _, _, board = O.run_suite(train, test, [{"name": n, "features": f, **lr} for n, f in (("a", wanted), ("b", wanted), ("c", ["g"]))], k=2)
+    assert seen == [wanted, ["g"]] and board.count() == 3
+    seen.clear()
+    O.lr_stacker(train, test, wanted, c_values=(0.1, 1.0), k=2)
+    assert seen == [wanted]
+    seen.clear()
+    O.hyperparameter_sweep(train, {"x": wanted}, [{**lr, "variant": v} for v in "ab"], k=2)
+    assert seen == [wanted]
