@@ -165,3 +165,16 @@ def test_bucketed_rank_with_hot_class(spark):
     w = Window.partitionBy("class").orderBy(FO.order_key("id", 42), "id")
     plain = {r["id"]: r["rk"] for r in df.select("id", (F.row_number().over(w) - 1).alias("rk")).collect()}
     assert ours == plain
+
+
+def test_fast_rounding_is_that_of_decimals(spark):
+    from prismtab.plans.catalog import round_half_up
+
+    h = F.xxhash64("id")
+    x = F.when(F.col("id") % 4 == 0, h / 2.0**40).when(F.col("id") % 4 == 1, F.pmod(h, F.lit(10**9)) / 1e7 * F.signum(h)).otherwise(F.pmod(h, F.lit(10**6)) * 10.0 ** (F.col("id") % 23 - 14))
+    odd = spark.createDataFrame([(v,) for v in (None, float("nan"), float("inf"), -float("inf"), -0.0, -1e-9, 5e-7, -5e-7, 1.0000005, 2.5e300, 1e-320, 1099511.6277755, 1099511.627776)], "x double")
+    values = spark.range(200_000).select(x.alias("x")).unionByName(odd)
+    both = values.select("x", F.round("x", 6).alias("a"), round_half_up(F.col("x"), 6).alias("b"))
+    assert "rint" in both._jdf.queryExecution().analyzed().toString().lower()
+    off = both.where(~(F.col("a") + F.lit(0.0)).eqNullSafe(F.col("b") + F.lit(0.0)))
+    assert off.collect() == []
