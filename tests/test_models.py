@@ -112,7 +112,7 @@ def test_holdout_ranks_its_rows_once(spark, frames, monkeypatch):
 def test_scores_are_those_of_plain_metrics(spark):
     from prismtab.operators.metrics import log_loss, prediction_metrics
 
-    rows = [(i % 3, (*CLASSES, None)[i % 4], float(i % 7), float(i % 5), float(i % 2)) for i in range(200)]
+    rows = [(i % 3, (*CLASSES, None)[i % 4], float(i % 7), float(i % 5), i % 2 + 0.5) for i in range(200)]
     oof = spark.createDataFrame(rows, "fold int, class string, p0 double, p1 double, p2 double")
     got = {r.fold: r for r in O.oof_scores(oof, "class", ["p0", "p1", "p2"]).collect()}
     assert set(got) == {"0", "1", "2", "overall"}
