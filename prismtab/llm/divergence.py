@@ -3,9 +3,10 @@
 One ``CountVectorizer`` (minimum document frequency, largest integer as vocabulary size)
 learns the vocabularies of all languages in one pass: every term carries its
 language in front, and a document has terms of one language only, so document
-frequencies and counts are those of a fit per language, however many languages
-there are.  Its sparse document vectors are summed per (language, source): one row per
-term that occurs there.  Pairs of sources are evaluated over stretches of
+frequencies are those of a fit per language, however many languages
+there are.  It is fitted on each text's distinct terms.  Its sparse vectors of bags, each the terms that occur in some
+texts of one (language, source) a number of times that has one power of two in it, are summed with that weight per
+(language, source): one row per term that occurs there.  Pairs of sources are evaluated over stretches of
 the vocabulary: only the columns in which one of the two has a count are
 visited, and all others add one constant each.
 
@@ -17,6 +18,7 @@ from __future__ import annotations
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.ml.feature import CountVectorizer
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -31,38 +33,63 @@ TERM[0x00:0x41] = TERM[0x5B:0x61] = TERM[0x7B:0x80] = False
 TAG = "\0"
 #: terms of a stretch of the vocabulary, and sources of a block, that one task evaluates at a time
 STRETCH, SOURCES = 2048, 256
+#: text bytes whose terms are combined at a time
+SLICE = 4 << 20
 #: shares are in units of 1 / SCALE
 SCALE = 1_000_000_000
 
 
+def text_terms(batch: pa.RecordBatch) -> tuple[pa.Array, np.ndarray, np.ndarray, np.ndarray]:
+    """(distinct terms of the texts of a batch of (text, lang, group), each behind its language; row, term and
+    occurrences of each term of each text, by row): all texts at once, byte by byte."""
+    raw, offsets = text_buffer(batch.column(0))
+    raw = LOWER[raw]
+    own = TERM[raw]
+    border = np.zeros(len(raw) + 1, bool)
+    border[offsets] = True
+    first, last = own.copy(), own.copy()
+    first[1:] &= ~own[:-1] | border[1:-1]
+    last[:-1] &= ~own[1:] | border[1:-1]
+    starts = np.flatnonzero(first)
+    ends = np.zeros(len(starts) + 1, np.int32)
+    np.cumsum(np.flatnonzero(last) + 1 - starts, out=ends[1:])
+    coded = pa.Array.from_buffers(pa.string(), len(starts), [None, pa.py_buffer(ends.tobytes()), pa.py_buffer(raw[own].tobytes())]).dictionary_encode()
+    kinds = max(1, len(coded.dictionary))
+    row = np.repeat(np.arange(batch.num_rows), np.diff(np.searchsorted(starts, offsets)))
+    pair, count = np.unique(row * kinds + coded.indices.to_numpy(), return_counts=True)
+    row, term = np.divmod(pair, kinds)
+    langs = batch.column(1).dictionary_encode()
+    tagged, term = np.unique(langs.indices.to_numpy()[row].astype(np.int64) * kinds + term, return_inverse=True)
+    lang, plain = np.divmod(tagged, kinds)
+    return pc.binary_join_element_wise(langs.dictionary.take(pa.array(lang)), coded.dictionary.take(pa.array(plain)), TAG), row, term, count
+
+
 def term_lists(frames):
-    """Arrow batches of (text, lang, group) to (group, terms): all texts of a slice at once, byte by byte; terms carry their language."""
-    for batch in batches(frames):
-        raw, offsets = text_buffer(batch.column(0))
-        raw = LOWER[raw]
-        own = TERM[raw]
-        border = np.zeros(len(raw) + 1, bool)
-        border[offsets] = True
-        first, last = own.copy(), own.copy()
-        first[1:] &= ~own[:-1] | border[1:-1]
-        last[:-1] &= ~own[1:] | border[1:-1]
-        starts = np.flatnonzero(first)
-        upto = np.searchsorted(starts, offsets)
-        size = np.flatnonzero(last) + 1 - starts
-        langs = batch.column(1).dictionary_encode()
-        tags = [np.frombuffer((x + TAG).encode(), np.uint8) for x in langs.dictionary.to_pylist()]
-        code = np.repeat(langs.indices.to_numpy(zero_copy_only=False), np.diff(upto))
-        tagged = np.array([len(t) for t in tags], np.int64)[code]
-        ends = np.zeros(len(starts) + 1, np.int32)
-        np.cumsum(size + tagged, out=ends[1:])
-        data = np.empty(ends[-1], np.uint8)
-        data[np.arange(size.sum()) + np.repeat(np.cumsum(tagged), size)] = raw[own]
-        for k, tag in enumerate(tags):
-            at = ends[:-1][code == k]
-            for i, byte in enumerate(tag):
-                data[at + i] = byte
-        terms = pa.Array.from_buffers(pa.string(), len(starts), [None, pa.py_buffer(ends.tobytes()), pa.py_buffer(data.tobytes())])
-        yield pa.RecordBatch.from_arrays([batch.column(2), pa.ListArray.from_arrays(pa.array(upto.astype(np.int32)), terms)], ["group", "terms"])
+    """Arrow batches of (text, lang, group) to (terms): each text's distinct terms, behind their language."""
+    for batch in batches(frames, size=SLICE):
+        terms, row, term, _ = text_terms(batch)
+        upto = np.searchsorted(row, np.arange(batch.num_rows + 1)).astype(np.int32)
+        yield pa.RecordBatch.from_arrays([pa.ListArray.from_arrays(pa.array(upto), terms.take(pa.array(term)))], ["terms"])
+
+
+def term_bags(frames):
+    """Arrow batches of (text, lang, group) to (group, weight, terms): the terms of all texts of a group in a slice, each
+    in the rows whose weights, powers of two, add up to its occurrences there."""
+    for batch in batches(frames, size=SLICE):
+        terms, row, term, count = text_terms(batch)
+        if not len(row):
+            continue
+        groups, place = np.unique(batch.column(2).to_numpy(), return_inverse=True)
+        key, again = np.unique(place[row] * len(terms) + term, return_inverse=True)
+        count = np.bincount(again, count).astype(np.int64)
+        place, term = np.divmod(key, len(terms))
+        for bit in range(int(count.max()).bit_length()):
+            at = np.flatnonzero(count >> bit & 1)
+            if not len(at):
+                continue
+            begin = np.flatnonzero(np.diff(place[at], prepend=-1))
+            lists = pa.ListArray.from_arrays(pa.array(np.append(begin, len(at)).astype(np.int32)), terms.take(pa.array(term[at])))
+            yield pa.RecordBatch.from_arrays([pa.array(groups[place[at[begin]]]), pa.array(np.full(len(begin), 1 << bit)), lists], ["group", "weight", "terms"])
 
 
 def numbered(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -86,10 +113,12 @@ def term_counts(docs: DataFrame, least: int = 10) -> tuple[DataFrame, DataFrame,
     spark = docs.sparkSession
     docs = docs.select(*[F.coalesce(F.col(c).cast("string"), F.lit("")).alias(c) for c in ("text", "lang", "source")])
     groups, docs = numbered(docs)
-    tagged = small_batches(docs).select("text", "lang", "group").mapInArrow(term_lists, "group long, terms array<string>")
+    texts = small_batches(docs).select("text", "lang", "group")
+    # document frequencies need a term once per text, counts need it once per group and power of two
+    once, bags = texts.mapInArrow(term_lists, "terms array<string>"), texts.mapInArrow(term_bags, "group long, weight long, terms array<string>")
     # an empty vocabulary is an error to CountVectorizer: the empty term, which no document has, is always kept
     always = spark.range(max(1, least)).select(F.array(F.lit("")).alias("terms"))
-    model = CountVectorizer(inputCol="terms", outputCol="vector", minDF=float(least), vocabSize=2**31 - 1).fit(tagged.select("terms").unionByName(always))
+    model = CountVectorizer(inputCol="terms", outputCol="vector", minDF=float(least), vocabSize=2**31 - 1).fit(once.unionByName(always))
     entries = [(*term.rpartition(TAG)[::2], i) for i, term in enumerate(model.vocabulary) if term]
     entries.sort(key=lambda e: (e[0].encode(), e[1].encode()))
     frame = pd.DataFrame(entries, columns=["lang", "term", "index"])
@@ -98,8 +127,8 @@ def term_counts(docs: DataFrame, least: int = 10) -> tuple[DataFrame, DataFrame,
     vocabulary = spark.createDataFrame(frame, schema) if len(frame) else spark.createDataFrame([], schema)
 
     vector = F.unwrap_udt("vector")
-    sparse = model.transform(tagged).select("group", F.explode(F.arrays_zip(vector["indices"].alias("i"), vector["values"].alias("x"))).alias("e"))
-    sums = sparse.groupBy("group", F.col("e.i").alias("index")).agg(F.sum("e.x").cast("long").alias("count"))
+    sparse = model.transform(bags).select("group", "weight", F.explode(vector["indices"]).alias("index"))
+    sums = sparse.groupBy("group", "index").agg(F.sum("weight").alias("count"))
     sums = cut_lineage(sums.join(vocabulary.select("index", "term_place"), "index").drop("index"))
     groups = groups.withColumn("place", F.row_number().over(Window.partitionBy("lang").orderBy("source")) - 1)
     groups = groups.join(vocabulary.groupBy("lang").agg(F.count(F.lit(1)).alias("terms")), "lang", "left")

@@ -3,6 +3,7 @@ import re
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 
 from prismtab.llm import divergence
 
@@ -81,3 +82,11 @@ def test_sparse_sums_are_dense_ones():
         dense[at[:, 0], at[:, 1]] = shares
         want = np.array([[divergence.gap(a, b).sum() for b in dense] for a in dense])
         assert (divergence.pair_sums(at, none, shares, width) == want).all()
+
+
+def test_bags_hold_each_term_of_a_group_once_per_power_of_two():
+    texts, groups = ["a b a", "b", "a a a a", None, "c"], [7, 7, 7, 7, 9]
+    batch = pa.RecordBatch.from_arrays([pa.array(texts), pa.array(["en"] * 5), pa.array(groups)], ["text", "lang", "group"])
+    bags = [row for out in divergence.term_bags([batch]) for row in out.to_pylist()]
+    assert sorted((r["group"], r["weight"], sorted(x.split("\0")[1] for x in r["terms"])) for r in bags) == [(7, 2, ["a", "b"]), (7, 4, ["a"]), (9, 1, ["c"])]
+    assert [sorted(r["terms"]) for out in divergence.term_lists([batch]) for r in out.to_pylist()] == [["en\0a", "en\0b"], ["en\0b"], ["en\0a"], [], ["en\0c"]]
