@@ -385,12 +385,14 @@ def two_stage_classifier(train: DataFrame, test: DataFrame, features: list[str],
 def local_binary_model(train: DataFrame, test: DataFrame, features: list[str], positive: str = "GALAXY",
                        negative: str = "STAR", family: str = "gbt", params: dict | None = None, label: str = "class",
                        k: int = 5, seed: int = 42, weight_col: str | None = None, id_col: str = "id",
-                       early_stopping: bool = True, out: str = "p_binary") -> tuple[DataFrame, DataFrame, DataFrame]:
+                       early_stopping: bool = True, out: str = "p_binary",
+                       with_metrics: bool = True) -> tuple[DataFrame, DataFrame, DataFrame | None]:
     """K-10: binary model on the pair's rows.  Pair rows get their OOF
     probability; rows outside the pair and test rows get the mean of the k
     fold models.  With ``early_stopping`` (K-05) a hash-chosen 12% of each
     fold's fit rows is the GBT validation set.  Returns (train probs, test
-    probs, per-fold binary metrics)."""
+    probs, per-fold binary metrics; None unless ``with_metrics``, as the AUC
+    ranks all scored rows)."""
     from prismtab.operators.metrics import binary_metrics, roc_auc
 
     pair = train.where(F.col(label).isin(positive, negative))
@@ -419,9 +421,11 @@ def local_binary_model(train: DataFrame, test: DataFrame, features: list[str], p
     # rows outside the pair and test rows: mean of the k fold models (no shuffle)
     rest = average_over_models(others, models, 1, id_col, [out], positive_only=True)
     test_out = average_over_models(tv, models, 1, id_col, [out], positive_only=True)
+    train_out = oof.select(id_col, out).unionByName(rest)
+    if not with_metrics:
+        return train_out, test_out, None
     scored = oof.withColumn("_yb", (F.col(label) == positive).cast("int")).withColumn("fold", F.col("fold").cast("string"))
     metrics = binary_metrics(scored, "_yb", out, by=("fold",)).join(roc_auc(scored, "_yb", out, by=("fold",)), "fold")
-    train_out = oof.select(id_col, out).unionByName(rest)
     return train_out, test_out, metrics
 
 

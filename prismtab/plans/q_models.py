@@ -223,7 +223,7 @@ def q_two_stage_clf(spark, sf_dir):
 @register("k10_local_binary_model")
 def q_local_binary(spark, sf_dir):
     train, test = model_frames(spark, sf_dir)
-    tr, te, _ = O.local_binary_model(train, test, FEATURES, "GALAXY", "STAR", "gbt", GBT, k=K)
+    tr, te, _ = O.local_binary_model(train, test, FEATURES, "GALAXY", "STAR", "gbt", GBT, k=K, with_metrics=False)
     return rounded(tr.withColumn("split", F.lit("train")).unionByName(te.withColumn("split", F.lit("test"))))
 
 
@@ -266,8 +266,8 @@ def q_stopping_curve(spark, sf_dir):
 @register("k11_pairwise_blocks")
 def q_pairwise(spark, sf_dir):
     train, test = model_frames(spark, sf_dir)
-    gs_tr, gs_te, _ = O.local_binary_model(train, test, FEATURES, "GALAXY", "STAR", "rf", RF, k=K, early_stopping=False)
-    gq_tr, gq_te, _ = O.local_binary_model(train, test, FEATURES, "GALAXY", "QSO", "rf", RF, k=K, early_stopping=False)
+    gs_tr, gs_te, _ = O.local_binary_model(train, test, FEATURES, "GALAXY", "STAR", "rf", RF, k=K, early_stopping=False, with_metrics=False)
+    gq_tr, gq_te, _ = O.local_binary_model(train, test, FEATURES, "GALAXY", "QSO", "rf", RF, k=K, early_stopping=False, with_metrics=False)
     base = load_pro(spark, sf_dir).select("id", "split", *model_cols("m1"))
     both = [
         O.pairwise_blocks(base.where(F.col("split") == name).drop("split"), gs, gq, model_cols("m1")).withColumn("split", F.lit(name))

@@ -140,3 +140,15 @@ def test_inputs_of_a_job_are_prepared_once(spark, frames, monkeypatch):
     seen.clear()
     O.hyperparameter_sweep(train, {"x": wanted}, [{**lr, "variant": v} for v in "ab"], k=2)
     assert seen == [wanted]
+
+
+def test_pairwise_blocks_rank_no_rows(spark, monkeypatch):
+    """The metrics of the pair models are no part of the blocks; the AUC among them sorts all scored rows."""
+    from prismtab.operators import metrics
+    from prismtab.plans import q_models
+
+    monkeypatch.setattr(metrics, "roc_auc", lambda *a, **k: pytest.fail("metrics that nobody reads"))
+    out = q_models.q_pairwise(spark, SF_SMALL)
+    rows = out.groupBy("split").count().collect()
+    assert {r["split"] for r in rows} == {"train", "test"}
+    assert out.where(F.abs(sum(F.col(f"blend_050__{c}") for c in CLASSES) - 1) > 1e-5).count() == 0
