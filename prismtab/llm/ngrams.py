@@ -115,6 +115,18 @@ def is_in(words: np.ndarray, known: np.ndarray) -> tuple[np.ndarray, np.ndarray]
     return known[at] == words, at
 
 
+def distinct(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(an index of each distinct key, by key; the place of every key among them; their counts).  Unlike ``np.unique``
+    it may name any of equal keys, so the sort need not be stable."""
+    order = np.argsort(keys)
+    ranked = keys[order]
+    new = np.append(True, ranked[1:] != ranked[:-1]) if len(keys) else np.zeros(0, bool)
+    begin = np.flatnonzero(new)
+    place = np.empty(len(keys), np.int64)
+    place[order] = np.cumsum(new) - 1
+    return order[begin], place, np.diff(begin, append=len(keys))
+
+
 def part_of(context: np.ndarray, token: np.ndarray, parts: int, hot: np.ndarray) -> np.ndarray:
     with np.errstate(over="ignore"):
         slot = np.where(is_in(context, hot)[0], mix(token) & np.uint64(SPREAD - 1), np.uint64(0))
@@ -139,16 +151,16 @@ def _unsqueeze(blob: bytes) -> list[np.ndarray]:
     return out
 
 
-def _pack(columns: list[np.ndarray], count: np.ndarray, codes: np.ndarray) -> bytes:
-    """N-grams with their counts: each token by its place in ``codes``, or behind them in a list of the blob's other tokens."""
-    order = np.argsort(codes)
+def _pack(columns: list[np.ndarray], count: np.ndarray, ranked: np.ndarray, order: np.ndarray) -> bytes:
+    """N-grams with their counts: each token by its place in the codes (``ranked`` sorted, ``order`` their places), or
+    behind them in a list of the blob's other tokens."""
     words = np.concatenate(columns)
-    known, at = is_in(words, codes[order])
+    known, at = is_in(words, ranked)
     other, place = np.unique(words[~known], return_inverse=True)
     code = np.empty(len(words), np.uint32)
-    code[known], code[~known] = order[at[known]], len(codes) + place
+    code[known], code[~known] = order[at[known]], len(ranked) + place
     code = code.reshape(len(columns), -1)
-    by = np.lexsort([*code[:-2], code[-1], code[-2]])
+    by = np.argsort(code[-2].astype(np.uint64) << np.uint64(32) | code[-1])
     code = np.ascontiguousarray(code[:, by])
     code[-2] = np.diff(code[-2], prepend=np.uint32(0))
     count = count[by].astype(np.min_scalar_type(int(count.max())))
@@ -190,15 +202,17 @@ def _count(frames, parts: int, order: int, codes: np.ndarray, hot: np.ndarray):
 
     def flushed(held):
         columns = [np.concatenate(x) for x in zip(*held)]
-        _, at, count = np.unique(gram_hash(columns), return_index=True, return_counts=True)
+        at, _, count = distinct(gram_hash(columns))
         columns = [c[at] for c in columns]
         part = part_of(columns[-2], columns[-1], parts, hot)
-        by = np.argsort(part, kind="stable")
+        by = np.argsort(part.astype(np.min_scalar_type(parts)), kind="stable")
         part, columns, count = part[by], [c[by] for c in columns], count[by]
         edge = np.flatnonzero(np.append(True, part[1:] != part[:-1])).tolist() + [len(part)]
-        blobs = [_pack([c[a:b] for c in columns], count[a:b], codes) for a, b in zip(edge, edge[1:])]
+        blobs = [_pack([c[a:b] for c in columns], count[a:b], ranked, rank) for a, b in zip(edge, edge[1:])]
         return pa.RecordBatch.from_arrays([pa.array(part[edge[:-1]].astype(np.int32)), pa.array(blobs, pa.binary())], ["part", "blob"])
 
+    rank = np.argsort(codes)  # once for all blobs of the task
+    ranked = codes[rank]
     held, n = [], 0
     for batch in batches(frames):
         columns, _ = grams(batch.column(0), order)
@@ -304,7 +318,7 @@ def look_up(arrays: list[np.ndarray], keys: np.ndarray, usual: tuple[int, ...])
 
 def _group(keys: np.ndarray, *values: np.ndarray):
     """Distinct keys in order, with the sums of their values."""
-    order = np.argsort(keys, kind="stable")
+    order = np.argsort(keys)
     keys = keys[order]
     begin = np.flatnonzero(np.append(True, keys[1:] != keys[:-1])) if len(keys) else np.empty(0, np.int64)
     return keys[begin], *[np.add.reduceat(v[order], begin) if len(begin) else v[:0] for v in values]
@@ -346,7 +360,7 @@ def _store_grams(frames, store: Store, ranges: int, codes: np.ndarray, hot: np.n
     heard, raw = _group(columns[-1], count)
     for order in range(len(columns), 1, -1):
         key = gram_hash(columns)
-        by = np.argsort(key, kind="stable")
+        by = np.argsort(key)
         key = key[by]
         begin = np.flatnonzero(np.append(True, key[1:] != key[:-1]))
         key, count = key[begin], np.add.reduceat(count[by], begin)
@@ -464,7 +478,9 @@ class Lookup:
     def find(self, kind: str, where: np.ndarray, keys: np.ndarray, usual: tuple[int, ...]) -> tuple[np.ndarray, np.ndarray]:
         """(whether a key is in its file of this kind, its columns; zeros if not)."""
         found, out = np.zeros(len(keys), bool), np.zeros((len(usual), len(keys)), np.int64)
-        order = np.lexsort([keys, where])
+        order = np.arange(len(keys)) if np.all(keys[1:] >= keys[:-1]) else np.argsort(keys)
+        # small integers are sorted by their digits
+        order = order[np.argsort(where[order].astype(np.min_scalar_type(max(self.model.parts, self.model.ranges))), kind="stable")]
         edge = np.flatnonzero(np.diff(where[order], prepend=-1)).tolist() + [len(keys)]
         for a, b in zip(edge, edge[1:]):
             rows = order[a:b]
@@ -519,18 +535,21 @@ def opened(model: Model) -> Lookup:
 def token_scores(lookup: Lookup, columns: list[np.ndarray]):
     """(training count, log10 of the base probability, log10 p(token | context)) of the tokens that n-grams end with."""
     m = lookup.model
-    distinct, place = np.unique(np.concatenate(columns[-2:]), return_inverse=True)
-    left, right = place[: len(columns[-1])], place[len(columns[-1]) :]
-    count, sums, freed, alone = lookup.words(distinct)
+    # the token before is the one at the place before, unless a text or the piece begins here
+    words = np.concatenate([columns[-1], columns[-2][:1], [START]])
+    first, place, _ = distinct(words)
+    right = place[:-2]
+    left = np.where(columns[-2] == START, place[-1], np.append(place[-2], right[:-1]))
+    count, sums, freed, alone = lookup.words(words[first])
     chance, total, free = alone[right], sums[left], freed[left]
     for order in range(2, m.order + 1):
         own = columns[-order:]
         if order > 2:
-            _, first, place = np.unique(gram_hash(own[:-1]), return_index=True, return_inverse=True)
+            first, place, _ = distinct(gram_hash(own[:-1]))
             sums, freed = lookup.contexts([c[first] for c in own[:-1]])
             total, free = sums[place], freed[place]
         # each n-gram once
-        _, first, again = np.unique(gram_hash(own), return_index=True, return_inverse=True)
+        first, again, _ = distinct(gram_hash(own))
         seen = lookup.grams([c[first] for c in own])[again]
         less = np.array([0.0, *m.discounts[order - 1]])[np.minimum(seen, 3)]
         chance = np.where(total > 0, np.maximum(seen - less, 0.0) / np.maximum(total, 1) + free * chance, chance)

@@ -2,6 +2,7 @@ import collections
 import math
 
 import numpy as np
+import pyarrow as pa
 
 from brute import frame, words
 from conftest import SF_MID
@@ -181,3 +182,21 @@ def test_tables_give_back_every_value():
         hit, found = ngrams.look_up(arrays, asked, (1, 1))
         assert set(range(len(keys))) <= set(hit.tolist()) and np.isin(asked[hit] >> np.uint64(20), keys >> np.uint64(20)).all()
         assert (found[:, : len(keys)] == np.array(columns)).all()
+
+
+def test_distinct_is_unique_in_any_order():
+    rng = np.random.default_rng(5)
+    for n in (0, 1, 7, 5000):
+        keys = rng.integers(0, 900, n).astype(np.uint64) << np.uint64(50)
+        at, place, count = ngrams.distinct(keys)
+        want, again, n_each = np.unique(keys, return_inverse=True, return_counts=True)
+        assert (keys[at] == want).all() and (place == again).all() and (count == n_each).all()
+
+
+def test_codes_are_sorted_once_for_all_parts_of_a_task(monkeypatch):
+    texts = pa.RecordBatch.from_arrays([pa.array([f"w{i} w{i % 7} x" for i in range(500)])], ["text"])
+    codes = np.arange(10, 5000, dtype=np.uint64)
+    seen, sort = [], np.argsort
+    monkeypatch.setattr(np, "argsort", lambda x, *a, **k: seen.append(x is codes) or sort(x, *a, **k))
+    out = list(ngrams._count([texts], 32, 3, codes, np.array([1], np.uint64)))
+    assert sum(len(b) for b in out) > 16 and sum(seen) == 1
