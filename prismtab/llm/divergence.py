@@ -64,12 +64,23 @@ def text_terms(batch: pa.RecordBatch) -> tuple[pa.Array, np.ndarray, np.ndarray,
     return pc.binary_join_element_wise(langs.dictionary.take(pa.array(lang)), coded.dictionary.take(pa.array(plain)), TAG), row, term, count
 
 
-def term_lists(frames):
-    """Arrow batches of (text, lang, group) to (terms): each text's distinct terms, behind their language."""
+def term_lists(frames, least: int | None = None):
+    """Arrow batches of (text, lang, group) to (terms): each text's distinct terms, behind their language.
+
+    With ``least`` the terms of a slice come in rows that hold a term as often as texts of the slice have it, but at
+    most ``least`` times.  Whether ``least`` texts have a term is the same in these rows: a term is
+    cut only where the slice alone has ``least`` texts with it."""
     for batch in batches(frames, size=SLICE):
         terms, row, term, _ = text_terms(batch)
-        upto = np.searchsorted(row, np.arange(batch.num_rows + 1)).astype(np.int32)
-        yield pa.RecordBatch.from_arrays([pa.ListArray.from_arrays(pa.array(upto), terms.take(pa.array(term)))], ["terms"])
+        upto = np.searchsorted(row, np.arange(batch.num_rows + 1))
+        if least is not None:
+            texts = np.minimum(np.bincount(term, minlength=len(terms)), least)
+            # row i holds the terms of more than i texts: the first ones by descending number of texts
+            order = np.argsort(-texts)
+            sizes = np.searchsorted(-texts[order], -np.arange(texts.max(initial=0)))
+            upto = np.append(0, sizes.cumsum())
+            term = order[np.arange(upto[-1]) - np.repeat(upto[:-1], sizes)]
+        yield pa.RecordBatch.from_arrays([pa.ListArray.from_arrays(pa.array(upto.astype(np.int32)), terms.take(pa.array(term)))], ["terms"])
 
 
 def term_bags(frames):
@@ -114,8 +125,9 @@ def term_counts(docs: DataFrame, least: int = 10) -> tuple[DataFrame, DataFrame,
     docs = docs.select(*[F.coalesce(F.col(c).cast("string"), F.lit("")).alias(c) for c in ("text", "lang", "source")])
     groups, docs = numbered(docs)
     texts = small_batches(docs).select("text", "lang", "group")
-    # document frequencies need a term once per text, counts need it once per group and power of two
-    once, bags = texts.mapInArrow(term_lists, "terms array<string>"), texts.mapInArrow(term_bags, "group long, weight long, terms array<string>")
+    # the vocabulary needs a term in ``least`` rows, if so many texts have it; counts need it once per group and power of two
+    once = texts.mapInArrow(lambda frames: term_lists(frames, max(1, least)), "terms array<string>")
+    bags = texts.mapInArrow(term_bags, "group long, weight long, terms array<string>")
     # an empty vocabulary is an error to CountVectorizer: the empty term, which no document has, is always kept
     always = spark.range(max(1, least)).select(F.array(F.lit("")).alias("terms"))
     model = CountVectorizer(inputCol="terms", outputCol="vector", minDF=float(least), vocabSize=2**31 - 1).fit(once.unionByName(always))

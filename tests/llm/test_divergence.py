@@ -4,6 +4,7 @@ from collections import Counter
 
 import numpy as np
 import pyarrow as pa
+from pyspark.sql import functions as F
 
 from prismtab.llm import divergence
 
@@ -90,3 +91,30 @@ def test_bags_hold_each_term_of_a_group_once_per_power_of_two():
     bags = [row for out in divergence.term_bags([batch]) for row in out.to_pylist()]
     assert sorted((r["group"], r["weight"], sorted(x.split("\0")[1] for x in r["terms"])) for r in bags) == [(7, 2, ["a", "b"]), (7, 4, ["a"]), (9, 1, ["c"])]
     assert [sorted(r["terms"]) for out in divergence.term_lists([batch]) for r in out.to_pylist()] == [["en\0a", "en\0b"], ["en\0b"], ["en\0a"], [], ["en\0c"]]
+
+
+def test_lists_hold_a_term_once_per_text_up_to_the_minimum():
+    texts = ["a b", "a a c", "a", "a b", None]
+    batch = pa.RecordBatch.from_arrays([pa.array(texts), pa.array(["en"] * 4 + ["de"]), pa.array([7] * 5)], ["text", "lang", "group"])
+    for least, want in ((1, ["abc"]), (2, ["abc", "ab"]), (3, ["abc", "ab", "a"]), (9, ["abc", "ab", "a", "a"])):
+        rows = [r["terms"] for out in divergence.term_lists([batch], least) for r in out.to_pylist()]
+        assert [sorted(r) for r in rows] == [[f"en\0{x}" for x in w] for w in want]
+    empty = batch.slice(4)
+    assert [r for out in divergence.term_lists([empty], 3) for r in out.to_pylist()] == []
+
+
+def test_vocabulary_is_that_of_all_texts_across_slices(spark, monkeypatch):
+    rows = rows_of(4)
+    seen, plain = [], divergence.CountVectorizer.fit
+
+    def fit(self, df):
+        seen.append(df.select(F.sum(F.size("terms"))).first()[0])
+        return plain(self, df)
+
+    monkeypatch.setattr(divergence.CountVectorizer, "fit", fit)
+    assert found(spark, rows, least=2) == brute(rows, 2)
+    whole = seen[-1]
+    monkeypatch.setattr(divergence, "SLICE", 64)  # a few texts a slice: a term's texts add up over slices
+    assert found(spark, rows, least=2) == brute(rows, 2)
+    pairs = sum(len(set(TERM.findall((t or "").translate(LOWER)))) for t, _, _ in rows)
+    assert whole < pairs  # fewer than one entry per text and term reach the fit
