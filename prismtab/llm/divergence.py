@@ -151,8 +151,9 @@ def term_counts(docs: DataFrame, least: int = 10) -> tuple[DataFrame, DataFrame,
 
 
 def share(count: str, total: str, terms: str = "terms") -> str:
-    """SQL of a smoothed share in units of 1 / SCALE, from 1 up; decimals, as the product may leave a long."""
-    return f"1 + ((cast({count} as decimal(20, 0)) + 2) * {SCALE}BD) div ({total} + 2 * {terms})"
+    """SQL of a smoothed share in units of 1 / SCALE, from 1 up; decimals only where the product may leave a long."""
+    exact = f"1 + ((cast({count} as decimal(20, 0)) + 2) * {SCALE}BD) div ({total} + 2 * {terms})"
+    return f"if({count} < {2**63 // SCALE - 2}, 1 + ((cast({count} as bigint) + 2) * {SCALE}L) div ({total} + 2 * {terms}), {exact})"
 
 
 def gap(p, q):

@@ -118,3 +118,14 @@ def test_vocabulary_is_that_of_all_texts_across_slices(spark, monkeypatch):
     assert found(spark, rows, least=2) == brute(rows, 2)
     pairs = sum(len(set(TERM.findall((t or "").translate(LOWER)))) for t, _, _ in rows)
     assert whole < pairs  # fewer than one entry per text and term reach the fit
+
+
+def test_shares_are_exact_up_to_the_largest_counts(spark):
+    edge = 2**63 // divergence.SCALE
+    counts = [0, 1, 9, *range(edge - 5, edge + 4), 10**15]
+    rows = [(c, t, v) for c in counts for t in (max(c, 1), 3 * c + 7, 10**16) for v in (1, 977)]
+    df = spark.createDataFrame(rows, "count long, total long, terms long").selectExpr("*", divergence.share("count", "total") + " as p", divergence.share("0", "total") + " as none")
+    assert dict(df.dtypes)["p"] == "bigint"
+    for r in df.collect():
+        assert r.p == 1 + divergence.SCALE * (r["count"] + 2) // (r.total + 2 * r.terms)
+        assert r.none == 1 + divergence.SCALE * 2 // (r.total + 2 * r.terms)
