@@ -5,7 +5,8 @@ learns the vocabularies of all languages in one pass: every term carries its
 language in front, and a document has terms of one language only, so document
 frequencies are those of a fit per language, however many languages
 there are.  It is fitted on each text's distinct terms.  Its sparse vectors of bags, each the terms that occur in some
-texts of one (language, source) a number of times that has one power of two in it, are summed with that weight per
+texts of one (language, source) a number of times that has one power of two in it, made from texts shuffled by
+(language, source), are summed with that weight per
 (language, source): one row per term that occurs there.  Pairs of sources are evaluated over stretches of
 the vocabulary: only the columns in which one of the two has a count are
 visited, and all others add one constant each.
@@ -113,6 +114,13 @@ def numbered(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     raise ValueError("no hash tells the groups apart")
 
 
+def by_group(texts: DataFrame) -> DataFrame:
+    """``texts`` with each group's rows side by side, so that a slice holds few groups and a term seldom comes in many bags.
+
+    Large groups are split over tasks of the advisory partition size."""
+    return texts.hint("rebalance", "group").sortWithinPartitions("group")
+
+
 def term_counts(docs: DataFrame, least: int = 10) -> tuple[DataFrame, DataFrame, DataFrame]:
     """(groups, counts, vocabulary) of documents with text, lang and source.
 
@@ -126,8 +134,9 @@ def term_counts(docs: DataFrame, least: int = 10) -> tuple[DataFrame, DataFrame,
     groups, docs = numbered(docs)
     texts = small_batches(docs).select("text", "lang", "group")
     # the vocabulary needs a term in ``least`` rows, if so many texts have it; counts need it once per group and power of two
-    once = texts.mapInArrow(lambda frames: term_lists(frames, max(1, least)), "terms array<string>")
-    bags = texts.mapInArrow(term_bags, "group long, weight long, terms array<string>")
+    # texts of a language side by side: fewer terms a slice
+    once = texts.sortWithinPartitions("lang").mapInArrow(lambda frames: term_lists(frames, max(1, least)), "terms array<string>")
+    bags = by_group(texts).mapInArrow(term_bags, "group long, weight long, terms array<string>")
     # an empty vocabulary is an error to CountVectorizer: the empty term, which no document has, is always kept
     always = spark.range(max(1, least)).select(F.array(F.lit("")).alias("terms"))
     model = CountVectorizer(inputCol="terms", outputCol="vector", minDF=float(least), vocabSize=2**31 - 1).fit(once.unionByName(always))

@@ -120,6 +120,40 @@ def test_vocabulary_is_that_of_all_texts_across_slices(spark, monkeypatch):
     assert whole < pairs  # fewer than one entry per text and term reach the fit
 
 
+def test_bags_come_from_texts_of_a_group_side_by_side(spark, monkeypatch):
+    words = [f"w{chr(97 + i)}" for i in range(20)]
+    rows = [(" ".join(words), f"l{g % 2}", f"s{g}") for _ in range(8) for g in range(8)]
+    seen, plain = [], divergence.CountVectorizer.fit
+
+    def fit(self, df):
+        model = plain(self, df)
+        monkeypatch.setattr(model, "transform", lambda bags, own=model.transform: seen.append(bags) or own(bags))
+        return model
+
+    monkeypatch.setattr(divergence.CountVectorizer, "fit", fit)
+    docs = spark.createDataFrame(rows, "text string, lang string, source string").repartition(8)
+    assert sorted(tuple(r) for r in divergence.audit(docs).collect()) == brute(rows)
+    # 8 occurrences a group, one power of two: each term of a group once, however the rows are spread
+    assert seen[0].select(F.sum(F.size("terms"))).first()[0] == 8 * len(words)
+
+
+def test_rows_by_group_are_all_rows_also_of_a_large_group(spark):
+    rows = [(f"{i} " + "x" * 500, "en", 0 if i % 4 else i) for i in range(2000)]
+    texts = spark.createDataFrame(rows, "text string, lang string, group long").repartition(16)
+    size = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    before = spark.conf.get(size)
+    spark.conf.set(size, "2k")
+    try:
+        got = divergence.by_group(texts).withColumn("part", F.spark_partition_id()).collect()
+    finally:
+        spark.conf.set(size, before)
+    assert sorted((r.text, r.lang, r.group) for r in got) == sorted(rows)
+    assert len({r.part for r in got if r.group == 0}) > 1          # no one task has to take a large group
+    for part in {r.part for r in got}:
+        own = [r.group for r in got if r.part == part]
+        assert own == sorted(own)
+
+
 def test_shares_are_exact_up_to_the_largest_counts(spark):
     edge = 2**63 // divergence.SCALE
     counts = [0, 1, 9, *range(edge - 5, edge + 4), 10**15]
