@@ -34,6 +34,7 @@ from prismtab.constants import CLASSES
 from prismtab.functions.proba import class_code
 from prismtab.operators.folds import stratified_folds
 from prismtab.operators.metrics import log_loss, metrics_from_cells, prediction_metrics, row_log_loss
+from prismtab.plans.boosting import boost_folds, can_boost
 from prismtab.plans.early_stopping import stop_early
 from prismtab.session import cut_lineage
 
@@ -221,7 +222,9 @@ def run_oof(train: DataFrame, test: DataFrame | None, features: list[str], famil
     the k fold models.  Per-fold and overall metrics (E-03/E-05).
 
     With ``patience`` (K-05, family ``gbt``) every fold's model ends at the round with the least multiclass log loss on
-    its validation fold, as soon as so many further rounds bring nothing better."""
+    its validation fold, as soon as so many further rounds bring nothing better.
+
+    The folds' boosted models are fitted in common passes (``boosting``), if the features are numbers and there are no weights."""
     if patience is not None and (family != "gbt" or patience < 1):
         raise ValueError("patience is a positive number of rounds of the family gbt")
     n = len(classes)
@@ -244,9 +247,14 @@ def run_oof(train: DataFrame, test: DataFrame | None, features: list[str], famil
             model = stop_early(model, base.where(F.col("fold") == f), n, patience, LABEL, weight_col)
         return model, time.time() - t0
 
-    fitted = fit_folds(fit_one, k)
-    models = [m for m, _ in fitted]
-    secs = [t for _, t in fitted]
+    if family == "gbt" and n > 2 and can_boost(stages[0].getClassifier(), base, len(features), k * n):
+        t0 = time.time()
+        models = boost_folds(stages[0].getClassifier(), base, k, n, patience)
+        secs = [(time.time() - t0) / k] * k
+    else:
+        fitted = fit_folds(fit_one, k)
+        models = [m for m, _ in fitted]
+        secs = [t for _, t in fitted]
     oofs = []
     for f, model in enumerate(models):
         va = model.transform(base.where(F.col("fold") == f))
